@@ -62,3 +62,10 @@ def copartition_summary(check: DataFrame) -> DataFrame:
     return check.agg(F.count(F.lit(1)).alias("cells"), count_of(F.col("aligned")).alias("aligned"),
                      count_of(~F.col("aligned")).alias("misaligned"),
                      count_of(F.col("aligned").isNull()).alias("one_sided"))
+
+
+def top1(df: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """The first row of each group in ``order``; every map task sends one candidate per group."""
+    others = [c for c in df.columns if c not in by]
+    best = df.groupBy(*by).agg(F.min_by(F.struct(*others), F.struct(*order)).alias("__best"))
+    return best.select(*by, "__best.*")

@@ -29,7 +29,7 @@ _STATUS = "CASE event_type WHEN 'error' THEN 'OFFLINE' WHEN 'purchase' THEN 'ON_
 
 PINGS = f"""(SELECT event_id, user_id, concat('driver-', CAST(user_id AS VARCHAR)) AS driver_id,
   {num(40.4774)} + {num(0.4402)} * {_E} AS lat, {num(-74.2591)} + {num(0.5588)} * {_N} AS lon,
-  epoch_ms(ts) AS ts_ms, ts AS event_ts, {_STATUS} AS status FROM events)"""
+  epoch_us(ts) // 1000 AS ts_ms, ts AS event_ts, {_STATUS} AS status FROM events)"""
 WORLD = f"""(SELECT * REPLACE ({num(-85.0)} + {num(170.0)} * {_E} AS lat, {num(-180.0)} + {num(360.0)} * {_N} AS lon) FROM {PINGS})"""
 FLAWED = f"""(SELECT * REPLACE (CASE WHEN event_id % 97 = 0 THEN '  ' ELSE driver_id END AS driver_id,
   CASE WHEN event_id % 89 = 0 THEN {num(95.0)} ELSE lat END AS lat,

@@ -18,8 +18,12 @@ def get_i64(data: ColumnLike, start: Column | int) -> Column:
     return hex_to_bigint(F.hex(_slice(col(data), start, 8)))
 
 
+def get_u32(data: ColumnLike, start: Column | int) -> Column:
+    return F.conv(F.hex(_slice(col(data), start, 4)), 16, 10).cast("bigint")
+
+
 def get_i32(data: ColumnLike, start: Column | int) -> Column:
-    return signed32(F.conv(F.hex(_slice(col(data), start, 4)), 16, 10).cast("bigint"))
+    return signed32(get_u32(data, start))
 
 
 def get_text(data: ColumnLike, start: Column | int, length: Column | int) -> Column:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialise
+
 # Rank of a percentile in a sorted sample, counted from 0.
 #   i  floor(p*n)          j  ceil(p*n) - 1 (nearest rank)          k  p*n of a sample of 10,000
 KINDS = "ijk"
 CUTS_LOG2 = 10
+# Up to this many distinct values are ordered in one window.
+ORDERED_VALUES = 2_000_000
 LAST_SAMPLES = 10_000
 
 
@@ -22,17 +26,23 @@ def last_samples(df: DataFrame, order: str, n: int = LAST_SAMPLES) -> DataFrame:
     return df.orderBy(F.desc(order)).limit(n)
 
 
-def pctl(df: DataFrame, value: str, kind: str = "j", ps: tuple[float, ...] = (0.99,), rounds: int = 2) -> DataFrame:
+def pctl(df: DataFrame, value: str, kind: str = "j", ps: tuple[float, ...] = (0.99,),
+         ordered_values: int = ORDERED_VALUES) -> DataFrame:
     """Exact percentiles of a column: one row per ``p``, as an element of the sample.
 
-    Equal values are merged first.  Each round then cuts what is left of the
-    value range at 1023 approximate quantiles, counts the slices, and keeps for
-    each percentile only the slice that holds its rank.  The counts are exact,
-    so approximate cuts cost precision nowhere; two rounds shrink a trillion
-    distinct values to a few million before anything is ordered.
+    Equal values are merged first.  While more than ``ordered_values`` distinct
+    ones are left, a round cuts their range at 1023 approximate quantiles,
+    counts the slices, and keeps for each percentile only the slice that holds
+    its rank.  The counts are exact, so approximate cuts cost no precision; two
+    rounds shrink a trillion distinct values to about a million.
     """
     merged = (df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v"))
               .agg(F.count(F.lit(1)).alias("c")))
+    distinct, rounds = merged.count(), 0
+    while distinct > ordered_values:
+        distinct, rounds = distinct >> CUTS_LOG2, rounds + 1
+    if rounds:
+        merged = materialise(merged, "value-counts")
     total = merged.agg(F.sum("c").alias("n"))
     wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), _rank(kind, p, F.col("n")).alias("rank")) for p in ps])
     targets = total.filter("n > 0").select(F.inline(wanted))

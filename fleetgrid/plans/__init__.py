@@ -6,7 +6,7 @@ from importlib import import_module
 
 from .registry import ORACLES, QUERIES, Query
 
-MODULES = ["cells", "partitions", "matches", "ingest", "figures"]
+MODULES = ["cells", "partitions", "matches", "ingest", "figures", "streams"]
 
 
 def load() -> tuple[dict[str, Query], dict[str, str]]:

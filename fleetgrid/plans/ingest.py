@@ -116,7 +116,7 @@ def _prefix(q: int) -> int:
     return (7 << 52) | (q << 26)
 
 
-PREFIX_LOW, PREFIX_HIGH = _prefix((1 << 25) - 5100), _prefix((1 << 25) - 5070)
+PREFIX_LOW, PREFIX_HIGH = _prefix((1 << 25) - 5035), _prefix((1 << 25) - 5028)
 
 
 @query("state_prefix_scan", f"""SELECT cell, driver_id, event_id, status FROM {Q.latest(Q.with_cell(Q.PINGS, 7), 'cell, driver_id')}

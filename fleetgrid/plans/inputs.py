@@ -73,6 +73,10 @@ def riders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def h3_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H3-shaped ids of every resolution, a good part of them broken in some way."""
+    return as_h3_ids(pings(spark, sf_dir))
+
+
+def as_h3_ids(pings_: DataFrame) -> DataFrame:
     e, u = F.col("event_id"), F.col("user_id")
     res = (e % 16).cast("bigint")
     random = ((e % 1000003) * 2654435761 + u * 40503) % (1 << 45)
@@ -82,7 +86,7 @@ def h3_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     mode = F.when(e % 11 == 0, F.lit(2)).otherwise(F.lit(1)).cast("bigint")
     cell = (F.shiftleft(mode, 59).bitwiseOR(F.shiftleft(res, 52)).bitwiseOR(F.shiftleft(u % 130, 45))
             .bitwiseOR(digits).bitwiseOR(unused))
-    return pings(spark, sf_dir).withColumn("cell", cell)
+    return pings_.withColumn("cell", cell)
 
 
 def run_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from ..functions.binary import (get_f32, get_f64, get_i32, get_i64, get_text, put_f32, put_f64, put_i32, put_i64,
-                                put_text)
+from ..functions.binary import (get_f32, get_f64, get_i32, get_i64, get_text, get_u32, put_f32, put_f64, put_i32,
+                                put_i64, put_text)
 from ..functions.scalar import ColumnLike, col
 from ..schemas import PING, RIDER
 
@@ -22,6 +22,7 @@ LAYOUTS: dict[str, list[tuple[str, str]]] = {
     "lp_match": [("rider_id", "text"), ("driver_id", "text"), ("cell", "i64"), ("latency_ms", "i64")],
     "lp_key": [("entity_id", "text"), ("cell", "i64")],
 }
+LONGEST_TEXT = 1 << 28
 WIDTH = {"i32": 4, "i64": 8, "f32": 4, "f64": 8, "pad8": 8}
 READ = {"i32": get_i32, "i64": get_i64, "f32": get_f32, "f64": get_f64}
 WRITE = {"i32": put_i32, "i64": put_i64, "f32": put_f32, "f64": put_f64, "text": put_text}
@@ -48,22 +49,19 @@ def decode_binary(df: DataFrame, layout: str, value: str = "value") -> Decoded:
     Offsets behind a text field depend on its length, so each length is read
     into a column of its own once and later offsets are sums of columns.
     """
-    out, start, names, lengths = df, F.lit(1), [], []
+    out, start, names = df, F.lit(1), []
     for i, (name, kind) in enumerate(LAYOUTS[layout]):
         if kind == "text":
             length = f"__len{i}"
-            out = out.withColumn(length, F.when(F.octet_length(value) >= start + 3, get_i32(value, start)))
+            out = out.withColumn(length, F.least(get_u32(value, start), F.lit(LONGEST_TEXT)))
             names.append((name, kind, start + 4, F.col(length)))
-            lengths.append(length)
-            start = start + 4 + F.col(length).cast("int")
+            start = start + 4 + F.col(length)
         else:
             if name:
                 names.append((name, kind, start, None))
             start = start + WIDTH[kind]
-    # a negative or oversized length can never add up to the payload's size
+    # a cut, negative or oversized length never adds up to the payload's size
     fits = F.octet_length(value) == start - 1
-    for length in lengths:
-        fits = fits & (F.col(length) >= 0)
     marked = out.withColumn("__fits", F.coalesce(fits, F.lit(False)))
     fields = [(get_text(value, at, size) if kind == "text" else READ[kind](value, at)).alias(name)
               for name, kind, at, size in names]

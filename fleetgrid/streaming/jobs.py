@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.bits import h3_is_valid
 from ..operators.boundary import multicast
+from ..operators.quality import filter_valid_cell, rekey
 from ..operators.skew import partition_band_counts
 from ..session import ROCKSDB_PROVIDER, scratch_path
 from ..sources.writers import start
-from .processors import dedup_stream, latest_stream
+from .processors import dedup_stream
 
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
 STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
@@ -21,10 +23,17 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set(STATE_PROVIDER, ROCKSDB_PROVIDER)
 
 
-def process_pings(pings: DataFrame, order: list[str], cell: str = "cell") -> DataFrame:
-    """Drop invalid cells, keep each driver's last ping in state, forward it keyed by cell."""
-    latest = latest_stream(pings.filter(h3_is_valid(cell)), "driver_id", order)
-    return latest.withColumn("key", F.col(cell))
+def process_pings(pings: DataFrame, order: str, cell: str = "cell") -> tuple[DataFrame, DataFrame]:
+    """(forwarded, state) of the pings whose cell is valid.
+
+    Every valid ping is forwarded keyed by its cell, without a shuffle.  The
+    state holds the last ping of each driver; as a streaming aggregate it
+    combines rows before they travel and stays inside the JVM.
+    """
+    valid = filter_valid_cell(pings, cell)
+    others = [c for c in valid.columns if c != "driver_id"]
+    last = valid.groupBy("driver_id").agg(F.max_by(F.struct(*others), order).alias("__row"))
+    return rekey(valid, cell), last.select("driver_id", "__row.*")
 
 
 def boundary_stream(pings: DataFrame, order: str = "event_id", ttl_ms: int | None = None) -> DataFrame:
@@ -39,9 +48,22 @@ def band_counts_stream(pings: DataFrame, partitioner: str, every: str | None, si
     return start(counts.writeStream.outputMode("complete").foreachBatch(sink), checkpoint, every)
 
 
-def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
+@contextmanager
+def _idle_batches(spark: SparkSession, wanted: bool) -> Iterator[None]:
+    before = spark.conf.get(IDLE_BATCHES)
+    spark.conf.set(IDLE_BATCHES, str(wanted).lower())
+    try:
+        yield
+    finally:
+        spark.conf.set(IDLE_BATCHES, before)
+
+
+def run_to_table(stream: DataFrame, label: str, mode: str = "append", idle_batches: bool = True) -> DataFrame:
     """Process everything available and return what the stream wrote.
 
+    State that expires by wall clock always asks for one more batch, so such a
+    stream only comes to an end with ``idle_batches=False``.
+
     Append streams write one table exactly once.  Update and complete streams
     write every micro-batch to a folder named by its number, so a repeated
     batch replaces itself; rows carry that number as ``batch``.
@@ -52,11 +74,13 @@ def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFra
     out, checkpoint = f"{base}/out", f"{base}/progress"
     if mode == "append":
         writer = stream.writeStream.outputMode("append").format("parquet").option("path", out)
-        start(writer, checkpoint).awaitTermination()
+        with _idle_batches(spark, idle_batches):
+            start(writer, checkpoint).awaitTermination()
         return spark.read.schema(stream.schema).parquet(out)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
 
-    start(stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint).awaitTermination()
-    return spark.read.schema(stream.schema.add("batch", "bigint")).parquet(out)
+    with _idle_batches(spark, idle_batches):
+        start(stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint).awaitTermination()
+    return spark.read.schema(T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType())])).parquet(out)

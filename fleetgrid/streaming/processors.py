@@ -1,4 +1,4 @@
-"""Keyed state with timers: deduplication, cell matching, latest values.
+"""Keyed state with timers: deduplication and cell matching.
 
 A processor sees the rows of its key in arrival order.  Within a micro-batch
 they are sorted by the arrival column; the batch size is bounded by the intake
@@ -81,24 +81,6 @@ class MatchInCell(StatefulProcessor):
         pass
 
 
-class KeepLatest(StatefulProcessor):
-    """Store the last row of a key and forward it once per micro-batch."""
-
-    def __init__(self, order: list[str], schema: T.StructType):
-        self.order, self.schema = order, schema
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.row = handle.getValueState("row", self.schema)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = _in_order(rows, self.order).iloc[[-1]]
-        self.row.update(tuple(v.item() if hasattr(v, "item") else v for v in last[self.schema.names].iloc[0]))
-        yield last[self.schema.names]
-
-    def close(self) -> None:
-        pass
-
-
 def dedup_stream(df: DataFrame, key: str = "driver_id", ts: str = "ts_ms", order: list[str] | None = None,
                  ttl_ms: int | None = None) -> DataFrame:
     """Streaming twin of ``dedup_last``; ``ttl_ms`` forgets keys that were silent that long."""
@@ -123,6 +105,3 @@ def match_same_cell_stream(union: DataFrame, available: bool = True) -> DataFram
     """Riders meet the last driver that reached their cell before them."""
     return union.groupBy("cell").transformWithStateInPandas(MatchInCell(available), MATCH_SCHEMA, "append", "None")
 
-
-def latest_stream(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    return df.groupBy(key).transformWithStateInPandas(KeepLatest(order, df.schema), df.schema, "update", "None")

@@ -77,17 +77,25 @@ def h3_parent(cell: ColumnLike, resolution: int) -> Column:
     return F.when(cell_resolution(c) >= resolution, parent)
 
 
-def h3_children(df: DataFrame, resolution: int, cell: str = "cell", out: str = "child") -> DataFrame:
-    """One row per descendant at ``resolution`` (7 per level, fewer below a pentagon)."""
-    c, own = F.col(cell), cell_resolution(F.col(cell))
-    levels = F.lit(resolution) - own
-    count = F.pow(F.lit(7.0), levels).cast("bigint")
-    numbered = df.filter(levels >= 0).withColumn("__k", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
-    # keep the header, drop every digit finer than the parent, then place the new digits
+def h3_children(df: DataFrame, resolution: int | None = None, levels: int | None = None, cell: str = "cell",
+                out: str = "child") -> DataFrame:
+    """One row per descendant (7 per level, fewer below a pentagon).
+
+    Descendants are taken at a fixed ``resolution`` or ``levels`` below each cell.
+    """
+    c, own = F.col(cell), cell_resolution(F.col(cell)).cast("int")
+    target = F.lit(resolution) if levels is None else own + levels
+    most = resolution if levels is None else levels
+    count = F.pow(F.lit(7.0), F.col("__target") - own).cast("bigint")
+    eligible = df.withColumn("__target", target).filter((F.col("__target") >= own) & (F.col("__target") <= MAX_RESOLUTION))
+    numbered = eligible.withColumn("__k", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+    # the child number in base 7 gives the new digits, finest last
+    digits = F.lit(0).cast("bigint")
+    for place in range(most):
+        digit = F.pmod(F.floor(F.col("__k") / F.lit(float(7**place))), F.lit(7))
+        digits = digits.bitwiseOR(F.shiftleft(digit.cast("bigint"), 3 * place))
     kept = c.bitwiseAND(F.lit(~(15 << 52))).bitwiseAND(F.bitwise_not(_unused_digits(own)))
-    child = kept.bitwiseOR(F.lit((resolution << 52) | ((1 << (45 - 3 * resolution)) - 1)))
-    for level in range(1, resolution + 1):
-        digit = F.floor(F.col("__k") / F.lit(7 ** (resolution - level))) % 7
-        child = child.bitwiseOR(F.when(own < level, F.shiftleft(digit.cast("bigint"), 45 - 3 * level))
-                                .otherwise(F.lit(0).cast("bigint")))
-    return numbered.withColumn(out, child).filter(h3_is_valid(out)).drop("__k")
+    child = (kept.bitwiseOR(shift_left(F.col("__target").cast("bigint"), F.lit(52)))
+             .bitwiseOR(shift_left(digits, F.lit(45) - F.col("__target") * 3))
+             .bitwiseOR(_unused_digits(F.col("__target"))))
+    return numbered.withColumn(out, child).filter(h3_is_valid(out)).drop("__k", "__target")

@@ -59,26 +59,41 @@ def project_ahead(df: DataFrame, seconds: float, resolution: int = 9, cell: str
     return moved.withColumn("ahead_cell", cell_of("ahead_lat", "ahead_lon", resolution))
 
 
-def _spread_bits(v: Column) -> Column:
-    """Put a zero bit between neighbouring bits of a number below 2^32."""
-    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
-                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
-        v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
-    return v
-
-
 def _quantise(v: Column, low: float, span: float, bits: int) -> Column:
     steps = 1 << bits
     return F.least(F.floor((v - dbl(low)) / dbl(span) * dbl(float(steps))), F.lit(steps - 1)).cast("bigint")
 
 
+def _letters() -> str:
+    """The alphabet indexed by (bits of the leading axis, bits of the other one) instead of their interleaving."""
+    out = []
+    for lead in range(8):
+        for other in range(4):
+            code = sum(((lead >> b) & 1) << (2 * b) for b in range(3)) | sum(((other >> b) & 1) << (2 * b + 1) for b in range(2))
+            out.append(GEOHASH_ALPHABET[code])
+    return "".join(out)
+
+
+LETTERS = _letters()
+
+
 def geohash(lat: ColumnLike, lon: ColumnLike, precision: int = 6) -> Column:
-    """Base-32 geohash of 1 to 12 characters by bit interleaving."""
+    """Base-32 geohash of 1 to 12 characters.
+
+    A letter takes three bits of one axis and two of the other, and the axes
+    take turns, so each letter is one look-up in a rearranged alphabet.
+    """
     bits = 5 * precision
-    east = _spread_bits(_quantise(col(lon), -180.0, 360.0, (bits + 1) // 2))
-    north = _spread_bits(_quantise(col(lat), -90.0, 180.0, bits // 2))
-    code = F.shiftleft(east, 1).bitwiseOR(north) if bits % 2 == 0 else east.bitwiseOR(F.shiftleft(north, 1))
-    alphabet = F.lit(GEOHASH_ALPHABET)
-    letters = [F.substring(alphabet, (F.shiftright(code, bits - 5 * (i + 1)).bitwiseAND(F.lit(31)) + 1).cast("int"), F.lit(1))
-               for i in range(precision)]
-    return F.concat(*letters)
+    east_bits, north_bits = (bits + 1) // 2, bits // 2
+    east = _quantise(col(lon), -180.0, 360.0, east_bits)
+    north = _quantise(col(lat), -90.0, 180.0, north_bits)
+    out, used = [], {"east": 0, "north": 0}
+    for i in range(precision):
+        take = {"east": 3, "north": 2} if i % 2 == 0 else {"east": 2, "north": 3}
+        part = {}
+        for axis, value, size in (("east", east, east_bits), ("north", north, north_bits)):
+            used[axis] += take[axis]
+            part[axis] = F.shiftright(value, size - used[axis]).bitwiseAND(F.lit((1 << take[axis]) - 1))
+        lead, other = ("east", "north") if i % 2 == 0 else ("north", "east")
+        out.append(F.substring(F.lit(LETTERS), (part[lead] * 4 + part[other] + 1).cast("int"), F.lit(1)))
+    return F.concat(*out)

@@ -116,6 +116,12 @@ def disk_offsets(k: int) -> list[int]:
     return [(dq << 26) + dr for dq in range(-k, k + 1) for dr in range(-k, k + 1) if abs(dq + dr) <= k]
 
 
+def ring_offsets(k: int) -> list[int]:
+    """The same for the cells exactly ``k`` steps away."""
+    inner = set(disk_offsets(k - 1)) if k else set()
+    return [o for o in disk_offsets(k) if o not in inner]
+
+
 def grid_disk(cell: ColumnLike, k: int) -> Column:
     offsets = F.array(*[F.lit(o).cast("bigint") for o in disk_offsets(k)])
     return F.transform(offsets, lambda o: col(cell) + o)
@@ -142,7 +148,9 @@ def boundary_cells_of(cell: ColumnLike, fine: int = 9, k: int = 3, coarse: int =
     """Distinct coarse cells touched by the ``k``-disk around a fine cell, sorted.
 
     A disk that stays clear of the rim has one parent, which plain arithmetic
-    can prove; only the cells near a rim pay for expanding their disk.
+    can prove; only the cells near a rim pay for expanding their disk.  There
+    the outer ring is enough: a coarse hexagon much larger than the disk that
+    reaches into it widens outwards, so it holds a cell of the ring as well.
     """
     reach = 2.0 * k * edge_km(fine) / edge_km(coarse)
     primary = cell_parent(cell, coarse, fine)
@@ -150,7 +158,9 @@ def boundary_cells_of(cell: ColumnLike, fine: int = 9, k: int = 3, coarse: int =
         near = F.lit(True)
     else:
         near = _inside_margin(cell, fine, coarse) + dbl(reach) >= dbl(1.0 - 1e-9)
-    touched = F.transform(grid_disk(cell, k), lambda c: cell_parent(c, coarse, fine))
+    offsets = ring_offsets(k) if reach <= 0.25 and (fine - coarse) % 2 == 0 else disk_offsets(k)
+    around = F.array(*[F.lit(o).cast("bigint") for o in offsets])
+    touched = F.transform(F.transform(around, lambda o: col(cell) + o), lambda c: cell_parent(c, coarse, fine))
     return F.when(near, F.array_sort(F.array_distinct(touched))).otherwise(F.array(primary))
 
 
@@ -159,13 +169,14 @@ def _ring_bounds(ring: Column) -> tuple[Column, Column, Column, Column]:
     return F.array_min(lats), F.array_max(lats), F.array_min(lons), F.array_max(lons)
 
 
-def _point_in_ring(lat: Column, lon: Column, ring: Column) -> Column:
+def _ring_edges(ring: Column) -> Column:
+    """Neighbouring corners in pairs, the last one with the first."""
+    following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+    return F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+
+
+def _inside(lat: Column, lon: Column, edges: Column) -> Column:
     """Even-odd ray casting in the latitude/longitude plane."""
-    size = F.size(ring)
-    edges = F.transform(
-        F.sequence(F.lit(1), size),
-        lambda i: F.struct(F.element_at(ring, i.cast("int")).alias("a"),
-                           F.element_at(ring, F.when(i == size, 1).otherwise(i + 1).cast("int")).alias("b")))
     crossings = F.filter(edges, lambda e: (
         ((e["a"]["lat"] > lat) != (e["b"]["lat"] > lat))
         & (lon < (e["b"]["lon"] - e["a"]["lon"]) * (lat - e["a"]["lat"]) / (e["b"]["lat"] - e["a"]["lat"]) + e["a"]["lon"])))
@@ -182,10 +193,12 @@ def polygon_cells(polygons: DataFrame, resolution: int, ring: str = "ring", out:
     low_lat, high_lat, low_lon, high_lon = _ring_bounds(F.col(ring))
     x0, y0 = _project(low_lat, low_lon)
     x1, y1 = _project(high_lat, high_lon)
-    boxed = polygons.withColumns({"__x0": x0, "__x1": x1, "__y0": y0, "__y1": y1})
+    boxed = polygons.withColumns({"__x0": x0, "__x1": x1, "__y0": y0, "__y1": y1, "__edges": _ring_edges(F.col(ring))})
     rows = boxed.withColumn("__r", F.explode(F.sequence(
         F.floor(F.col("__y0") / dbl(1.5 * edge)), F.ceil(F.col("__y1") / dbl(1.5 * edge)))))
-    rows = rows.repartition(F.hash(ring), F.col("__r"))
+    # a fixed number of partitions: re-planning would merge these few rows before they multiply
+    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, F.hash(ring), F.col("__r"))
     shift = F.col("__r") / dbl(2.0)
     width = dbl(math.sqrt(3.0) * edge)
     cells = rows.withColumn("__q", F.explode(F.sequence(
@@ -193,6 +206,6 @@ def polygon_cells(polygons: DataFrame, resolution: int, ring: str = "ring", out:
     cells = cells.withColumn(out, pack_cell(F.col("__q"), F.col("__r"), resolution))
     lat, lon = cell_center(out, resolution)
     placed = cells.withColumns({"__lat": lat, "__lon": lon}).filter(F.col("__lat").isNotNull())
-    return (placed.filter(_point_in_ring(F.col("__lat"), F.col("__lon"), F.col(ring)))
-            .drop("__x0", "__x1", "__y0", "__y1", "__r", "__q", "__lat", "__lon"))
+    return (placed.filter(_inside(F.col("__lat"), F.col("__lon"), F.col("__edges")))
+            .drop("__edges", "__x0", "__x1", "__y0", "__y1", "__r", "__q", "__lat", "__lon"))
 

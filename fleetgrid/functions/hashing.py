@@ -20,8 +20,8 @@ def _big(value: int) -> Column:
 
 def signed32(v: Column) -> Column:
     """Read the low 32 bits as a signed number (as BIGINT: a cast to INT would raise)."""
-    low = v.bitwiseAND(_big(MASK32))
-    return F.when(low >= _big(1 << 31), low - _big(1 << 32)).otherwise(low)
+    sign = _big(1 << 31)
+    return v.bitwiseAND(_big(MASK32)).bitwiseXOR(sign) - sign
 
 
 def fold32(cell: ColumnLike) -> Column:
@@ -41,9 +41,9 @@ def java_hash(text: ColumnLike) -> Column:
         pair = (acc * 31 + high) * 31 + low
         return F.when(point > 0xFFFF, pair).otherwise(single).bitwiseAND(_big(MASK32))
 
-    t = col(text)
-    letters = F.when(F.length(t) > 0, F.split(t, "")).otherwise(F.array().cast("array<string>"))
-    return F.when(t.isNotNull(), F.aggregate(letters, _big(0), step))
+    # splitting "" gives one empty letter, which must not be counted
+    letters = lambda t: F.filter(F.split(t, ""), lambda ch: ch != "")
+    return F.aggregate(letters(col(text)), _big(0), step)
 
 
 def byte_at(hexed: Column, index: Column) -> Column:

@@ -1,9 +1,9 @@
 """Nearest driver for every rider, without comparing all pairs in a crowded cell.
 
 A rider may be matched with any driver in the k-disk of cells around it.  Cells
-are summarised by their count, bounding box and four real extreme drivers.
+are summarised by their count, bounding box and one real driver.
 From a summary follow a least possible distance (box) and a reachable one
-(extremes); cells that cannot win are dropped before any driver is looked at.
+(driver); cells that cannot win are dropped before any driver is looked at.
 A crowded cell is opened step by step into 16 parts until every part that is
 left is small.  Each step keeps the winner, so the result is exact.
 """
@@ -19,26 +19,25 @@ from ..session import materialise
 
 # Parts with more distinct positions than this are opened further.
 LEAF_POSITIONS = 128
+# Up to this many positions around a rider are compared without sorting out cells first.
+FEW = 16
 # 16-fold splits of a cell: 300 m at resolution 9 down to 2 cm.
 MAX_DEPTH = 7
 EARTH_PLANE_KM = 6371.0088
 
 
 def _summary(spots: DataFrame, keys: list[str]) -> DataFrame:
-    """Count, box and extreme positions per part; every column has fixed width, so it hash-aggregates."""
+    """Count, box and one real driver per part; every column has fixed width, so it hash-aggregates."""
     return spots.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
         F.min("d_lat").alias("lat0"), F.max("d_lat").alias("lat1"),
         F.min("d_lon").alias("lon0"), F.max("d_lon").alias("lon1"),
-        F.min_by("d_lon", "d_lat").alias("lon_at_lat0"), F.max_by("d_lon", "d_lat").alias("lon_at_lat1"),
-        F.min_by("d_lat", "d_lon").alias("lat_at_lon0"), F.max_by("d_lat", "d_lon").alias("lat_at_lon1"))
+        F.max_by("d_lon", "d_lat").alias("lon_at_lat1"))
 
 
 def _reachable_km(lat: Column, lon: Column, box: Column) -> Column:
-    """Distance to the nearest of the part's four extreme drivers: an upper bound on the answer."""
-    return F.least(*[haversine_km(lat, lon, a, b) for a, b in (
-        (box["lat0"], box["lon_at_lat0"]), (box["lat1"], box["lon_at_lat1"]),
-        (box["lat_at_lon0"], box["lon0"]), (box["lat_at_lon1"], box["lon1"]))])
+    """Distance to the northernmost driver of the part: an upper bound on the answer."""
+    return haversine_km(lat, lon, box["lat1"], box["lon_at_lat1"])
 
 
 def _least_km(lat: Column, lon: Column, box: Column) -> Column:
@@ -73,13 +72,15 @@ def _spots(drivers: DataFrame, resolution: int) -> DataFrame:
     return spots.withColumns({"__column": step(x - x0), "__row": step(y - y0)})
 
 
-def _prune(rows: DataFrame, boxes: str) -> DataFrame:
+def _prune(rows: DataFrame, boxes: str, worthwhile: Column | None = None) -> DataFrame:
     """Keep, per row, the parts of the array ``boxes`` that may hold the nearest driver."""
+    worthwhile = F.lit(True) if worthwhile is None else worthwhile
     lat, lon = F.col("lat"), F.col("lon")
     best = F.least("best_km", F.array_min(F.transform(boxes, lambda b: _reachable_km(lat, lon, b))))
     kept = F.filter(boxes, lambda b: _least_km(lat, lon, b) <= F.col("best_km"))
-    narrowed = rows.withColumn("best_km", best).withColumn("__box", F.explode(kept)).drop(boxes)
-    return narrowed.select("*", "__box.*").drop("__box")
+    narrowed = rows.withColumn("best_km", F.when(worthwhile, best).otherwise(F.col("best_km")))
+    opened = narrowed.withColumn("__box", F.explode(F.when(worthwhile, kept).otherwise(F.col(boxes)))).drop(boxes)
+    return opened.select("*", "__box.*").drop("__box")
 
 
 def _tighten(rows: DataFrame) -> DataFrame:
@@ -89,7 +90,7 @@ def _tighten(rows: DataFrame) -> DataFrame:
             .filter(_least_km(F.col("lat"), F.col("lon"), F.struct("lat0", "lat1", "lon0", "lon1")) <= F.col("best_km")))
 
 
-BOX = ["n", "lat0", "lat1", "lon0", "lon1", "lon_at_lat0", "lon_at_lat1", "lat_at_lon0", "lat_at_lon1"]
+BOX = ["n", "lat0", "lat1", "lon0", "lon1", "lon_at_lat1"]
 RIDER = ["rider_id", "lat", "lon"]
 
 
@@ -111,10 +112,12 @@ def match_nearest(riders: DataFrame, drivers: DataFrame, resolution: int = 9, k:
     boxes = _summary(spots, ["cell"])
     around = (boxes.withColumn("__near", F.explode(F.array(*[F.lit(o).cast("bigint") for o in disk_offsets(k)])))
               .groupBy((F.col("cell") + F.col("__near")).alias("__rider_cell"))
-              .agg(F.collect_list(F.struct("cell", *BOX)).alias("__boxes")))
+              .agg(F.collect_list(F.struct("cell", *BOX)).alias("__boxes"), F.sum("n").alias("__total")))
     start = (asking.withColumnRenamed("cell", "__rider_cell").join(around, "__rider_cell").drop("__rider_cell")
              .withColumn("best_km", dbl(float("inf"))))
-    open_parts = _prune(start, "__boxes").withColumn("part", F.lit(0).cast("bigint"))
+    # Where only a few drivers are near, comparing them all is cheaper than sorting out the cells.
+    open_parts = (_prune(start, "__boxes", F.col("__total") > FEW).drop("__total")
+                  .withColumn("part", F.lit(0).cast("bigint")))
 
     compared, depth = [], 0
     while True:

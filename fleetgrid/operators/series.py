@@ -94,21 +94,6 @@ def step_number(df: DataFrame, keys: list[str], order: Order, hot_rows: int = HO
     return numbered.withColumn("step", F.col("__n") - 1).drop("__n")
 
 
-def _cells_between(start: Column, end: Column, resolution: int) -> Column:
-    """Cells strictly between two cells on the straight hexagon line, in order."""
-    q0, r0, q1, r1 = (v.cast("double") for v in (axial_q(start), axial_r(start), axial_q(end), axial_r(end)))
-    steps = ((F.abs(q1 - q0) + F.abs(r1 - r0) + F.abs(q1 + r1 - q0 - r0)) / dbl(2.0)).cast("int")
-
-    def at(i: Column) -> Column:
-        share = i.cast("double") / steps.cast("double")
-        q = q0 + dbl(NUDGE) + (q1 - q0) * share
-        r = r0 + dbl(2.0 * NUDGE) + (r1 - r0) * share
-        return F.struct(pack_cell(*round_axial(q, r), resolution).alias("cell"), share.alias("share"))
-
-    inner = F.when(steps > 1, F.sequence(F.lit(1), F.greatest(steps - 1, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-    return F.transform(inner, at)
-
-
 def cell_transitions(df: DataFrame, resolution: int, order: Order = "event_id", key: str = "driver_id",
                      ts_ms: str = "ts_ms", cell: str = "cell", fill_gaps: bool = True,
                      hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -121,16 +106,22 @@ def cell_transitions(df: DataFrame, resolution: int, order: Order = "event_id",
     columns = [key, ts_ms, cell, *([order] if isinstance(order, str) else order)]
     moved = (look_back(df.select(*dict.fromkeys(columns)), [key], order, 1, earlier, hot_rows)
              .filter(F.col("__cell").isNull() | (F.col("__cell") != F.col(cell))))
-    arrived = F.struct(F.col(cell).alias("cell"), dbl(1.0).alias("share"))
-    path = F.array(arrived)
-    if fill_gaps:
-        gap = F.when(F.col("__cell").isNotNull(), _cells_between(F.col("__cell"), F.col(cell), resolution))
-        path = F.concat(F.coalesce(gap, F.array().cast("array<struct<cell:bigint,share:double>>")), path)
-    entries = moved.withColumn("__at", F.explode(path))
-    elapsed = F.floor((F.col(ts_ms) - F.col("__ts")) * F.col("__at.share"))
-    when = F.when(F.col("__at.share") == 1.0, F.col(ts_ms)).otherwise(F.col("__ts") + elapsed)
-    return entries.select(key, when.alias("timestamp"), F.col("__at.cell").alias("current_cell"),
-                          (F.col("__at.share") < 1.0).alias("interpolated"))
+    start, end = F.col("__cell"), F.col(cell)
+    line = moved.withColumns({
+        "__q": axial_q(start).cast("double"), "__r": axial_r(start).cast("double"),
+        "__dq": (axial_q(end) - axial_q(start)).cast("double"), "__dr": (axial_r(end) - axial_r(start)).cast("double")})
+    steps = ((F.abs("__dq") + F.abs("__dr") + F.abs(F.col("__dq") + F.col("__dr"))) / dbl(2.0)).cast("int")
+    line = line.withColumn("__steps", F.coalesce(steps, F.lit(1)) if fill_gaps else F.lit(1))
+    # one row per step along the line; the last one is the ping itself
+    walked = line.withColumn("__i", F.explode(F.sequence(F.lit(1), "__steps")))
+    share = F.col("__i").cast("double") / F.col("__steps").cast("double")
+    walked = walked.withColumns({"__share": share, "__there": F.col("__i") == F.col("__steps")})
+    between = pack_cell(*round_axial(F.col("__q") + dbl(NUDGE) + F.col("__dq") * F.col("__share"),
+                                     F.col("__r") + dbl(2.0 * NUDGE) + F.col("__dr") * F.col("__share")), resolution)
+    when = F.col("__ts") + F.floor((F.col(ts_ms) - F.col("__ts")) * F.col("__share"))
+    return walked.select(key, F.when(F.col("__there"), F.col(ts_ms)).otherwise(when).alias("timestamp"),
+                         F.when(F.col("__there"), end).otherwise(between).alias("current_cell"),
+                         (~F.col("__there")).alias("interpolated"))
 
 
 def transition_rate(df: DataFrame, order: Order = "event_id", key: str = "driver_id", ts_ms: str = "ts_ms",

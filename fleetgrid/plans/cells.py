@@ -84,11 +84,7 @@ _CHILDREN = f"""SELECT event_id, child FROM (SELECT event_id, cell, own, (kept |
 @query("cell_children_h3", _CHILDREN)
 def cell_children_h3(spark, d):
     valid = I.h3_ids(spark, d).filter(bits.h3_is_valid("cell")).select("event_id", "cell")
-    out = None
-    for own in range(14):
-        part = bits.h3_children(valid.filter(bits.cell_resolution("cell") == own), own + 2).select("event_id", "child")
-        out = part if out is None else out.unionByName(part)
-    return out
+    return bits.h3_children(valid, levels=2).select("event_id", "child")
 
 
 _GRID_CHILD_PARENTS = Q.with_parent(
@@ -193,7 +189,7 @@ def flat_distance(spark, d):
 
 def _ahead_sql() -> str:
     lat, lon = Q.center("cell", 9)
-    src = f"""(SELECT event_id, heading, speed, {lat} AS la, {lon} AS lo FROM (SELECT *, CAST(event_id % 360 AS DOUBLE) AS heading,
+    src = f"""(SELECT event_id, heading, speed, {lat} AS la, {lon} AS lo FROM (SELECT *, CAST(event_id % 360 AS DOUBLE) + 0.25e0 AS heading,
       CAST(user_id % 333 AS DOUBLE) / 10.0e0 AS speed FROM {Q.with_cell(Q.PINGS, 9)}))"""
     moved = f"""(SELECT event_id, speed * 60.0e0 / 6371000.0e0 AS ang, radians(heading) AS th, radians(la) AS ph, radians(lo) AS lm,
       asin(sin(ph) * cos(ang) + cos(ph) * sin(ang) * cos(th)) AS ph2,
@@ -206,7 +202,7 @@ def _ahead_sql() -> str:
 @query("dead_reckoning", _ahead_sql())
 def dead_reckoning(spark, d):
     moving = with_cell(I.pings(spark, d), 9).withColumns({
-        "heading": (F.col("event_id") % 360).cast("double"),
+        "heading": (F.col("event_id") % 360).cast("double") + dbl(0.25),
         "speed_mps": (F.col("user_id") % 333).cast("double") / dbl(10.0)})
     out = geo.project_ahead(moving, 60.0)
     return out.select("event_id", half_up("ahead_lat", 8).alias("ahead_lat"), half_up("ahead_lon", 8).alias("ahead_lon"), "ahead_cell")

@@ -84,7 +84,7 @@ def as_h3_ids(pings_: DataFrame) -> DataFrame:
     digits = F.when(u % 5 == 0, random).otherwise(random - sevens)
     unused = shift_left(F.lit(1).cast("bigint"), F.lit(45) - res * 3) - 1
     mode = F.when(e % 11 == 0, F.lit(2)).otherwise(F.lit(1)).cast("bigint")
-    cell = (F.shiftleft(mode, 59).bitwiseOR(F.shiftleft(res, 52)).bitwiseOR(F.shiftleft(u % 130, 45))
+    cell = (F.shiftleft(mode, 59).bitwiseOR(F.shiftleft(res, 52)).bitwiseOR(F.shiftleft(u % 125, 45))
             .bitwiseOR(digits).bitwiseOR(unused))
     return pings_.withColumn("cell", cell)
 

@@ -43,7 +43,7 @@ H3_IDS = f"""(SELECT * EXCLUDE (res_, random_, sevens_, digits_) FROM (SELECT p.
   ((event_id % 1000003) * 2654435761 + user_id * 40503) % {1 << 45} AS random_,
   random_ & (random_ >> 1) & (random_ >> 2) & {ONES} AS sevens_,
   CASE WHEN user_id % 5 = 0 THEN random_ ELSE random_ - sevens_ END AS digits_,
-  ((CASE WHEN event_id % 11 = 0 THEN 2::BIGINT ELSE 1::BIGINT END) << 59) | (res_ << 52) | ((user_id % 130) << 45)
+  ((CASE WHEN event_id % 11 = 0 THEN 2::BIGINT ELSE 1::BIGINT END) << 59) | (res_ << 52) | ((user_id % 125) << 45)
    | digits_ | ((1::BIGINT << (45 - res_ * 3)) - 1) AS cell FROM {PINGS} p))"""
 RUNS = """(SELECT o_orderkey AS order_id, (['none', 'lz4', 'snappy', 'gzip'])[o_orderkey % 4 + 1] AS codec,
   concat('{"driverId":"driver-', CAST(o_custkey AS VARCHAR), '","timestamp":', CAST(o_orderkey AS VARCHAR),

@@ -12,7 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scalar import ColumnLike, col, dbl
+from .scalar import ColumnLike, col, dbl, let
 
 # Fixed values of the grid.
 EARTH_KM = 6371.0088
@@ -206,6 +206,6 @@ def polygon_cells(polygons: DataFrame, resolution: int, ring: str = "ring", out:
     cells = cells.withColumn(out, pack_cell(F.col("__q"), F.col("__r"), resolution))
     lat, lon = cell_center(out, resolution)
     placed = cells.withColumns({"__lat": lat, "__lon": lon}).filter(F.col("__lat").isNotNull())
-    return (placed.filter(_inside(F.col("__lat"), F.col("__lon"), F.col("__edges")))
+    return (placed.filter(let(F.struct("__lat", "__lon"), lambda p: _inside(p["__lat"], p["__lon"], F.col("__edges"))))
             .drop("__edges", "__x0", "__x1", "__y0", "__y1", "__r", "__q", "__lat", "__lon"))
 

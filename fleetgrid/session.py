@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,14 +32,20 @@ ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateS
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset
-    (single-machine tests) is a temporary folder chosen.
+    The cluster names it in ``spark.checkpoint.dir``.  Only a single-machine
+    session without that setting gets a temporary folder; a cluster must name one.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="fleetgrid-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="fleetgrid-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import ColumnLike, latency_ms
+from .ordered import HOT_ROWS, running_max
 from .state import latest_by
 
 
@@ -32,6 +33,29 @@ def match_same_cell(riders: DataFrame, pings: DataFrame, order: str = "event_id"
     return matched.select(*out)
 
 
+def tag_union(riders: DataFrame, pings: DataFrame, rider_arrival: str, ping_arrival: str) -> DataFrame:
+    """Drivers and riders of every cell in one table or stream, with a common arrival number."""
+    a = pings.select("cell", F.lit("driver").alias("kind"), F.col(ping_arrival).cast("bigint").alias("arrival"),
+                     "driver_id", "status", F.lit(None).cast("string").alias("rider_id"))
+    b = riders.select("cell", F.lit("rider").alias("kind"), F.col(rider_arrival).cast("bigint").alias("arrival"),
+                      F.lit(None).cast("string").alias("driver_id"), F.lit(None).cast("string").alias("status"), "rider_id")
+    return a.unionByName(b)
+
+
+def match_as_of(union: DataFrame, available: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Riders meet the last driver that wrote to their cell *before they arrived*.
+
+    This is the same-cell match with the table seen as it was at each request,
+    over the rows of ``tag_union``.  A crowded cell is scanned in slices.
+    """
+    driver = F.when(F.col("kind") == "driver", F.struct("arrival", "driver_id", "status"))
+    seen = running_max(union.withColumn("__driver", driver), ["cell"], ["arrival", "kind"], "__driver", "__now", hot_rows)
+    matched = seen.filter((F.col("kind") == "rider") & F.col("__now").isNotNull())
+    if available:
+        matched = matched.filter(F.col("__now.status") == "AVAILABLE")
+    return matched.select("rider_id", F.col("__now.driver_id").alias("driver_id"), "cell", "arrival")
+
+
 def copartition_check(a: DataFrame, b: DataFrame, n_a: int, n_b: int, cell: str = "cell",
                       partition: str = "partition") -> DataFrame:
     """Per cell: the partitions used by each side, and whether a local join would find both.

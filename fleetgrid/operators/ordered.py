@@ -123,7 +123,7 @@ def _add(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return df.withColumns(columns)
 
 
-def running(df: DataFrame, keys: list[str], slice_col: str, order: str, source: str, how: str, out: str) -> DataFrame:
+def running(df: DataFrame, keys: list[str], slice_col: str, order: Order, source: str, how: str, out: str) -> DataFrame:
     """Running ``sum`` or ``max`` of ``source`` per key, computed slice by slice.
 
     ``slice_col`` must grow with ``order`` (a day, a block number).  Slices are
@@ -131,7 +131,7 @@ def running(df: DataFrame, keys: list[str], slice_col: str, order: str, source:
     """
     fold = {"sum": F.sum, "max": F.max}[how]
     keyed, names = _keyed(df, keys)
-    inside = Window.partitionBy(*names, slice_col).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*names, slice_col).orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
     local = keyed.withColumn("__local", fold(source).over(inside))
     totals = keyed.groupBy(*names, slice_col).agg(fold(source).alias("__total"))
     earlier = Window.partitionBy(*names).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
@@ -142,3 +142,20 @@ def running(df: DataFrame, keys: list[str], slice_col: str, order: str, source:
     else:
         value = F.greatest("__carry", "__local")
     return joined.withColumn(out, value).select(*df.columns, out)
+
+
+def running_max(df: DataFrame, keys: list[str], order: Order, source: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Largest ``source`` so far per key, nulls ignored.
+
+    The first order column must be a whole number of which no value repeats
+    more than a few times, such as an arrival number.  Only hot keys are sliced
+    along it, and a slice of ``hot_rows`` numbers cannot hold many more rows.
+    """
+    hot = hot_keys(df, keys, hot_rows)
+    if hot is None:
+        so_far = Window.partitionBy(*keys).orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out, F.max(source).over(so_far))
+    marked = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
+    at = F.floor(F.col(_columns(order)[0]) / hot_rows)
+    sliced = marked.withColumn("__slice", F.when(F.col("__hot"), at).otherwise(F.lit(-1)))
+    return running(sliced, keys, "__slice", order, source, "max", out).select(*df.columns, out)

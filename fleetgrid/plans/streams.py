@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from ..functions.bits import cell_to_hex
 from ..functions.scalar import epoch_millis
 from ..operators import partitioning as P, skew as S
+from ..operators.matching import match_as_of, tag_union
 from ..operators.quality import with_cell
 from ..operators.series import throughput
 from ..operators.state import latest_by
+from ..session import scratch_path
 from ..sources.readers import read_table_stream
 from ..streaming import jobs, processors as K
 from . import inputs as I, sqltext as Q
@@ -65,17 +67,36 @@ def stream_throughput(spark, d):
 _SPLIT = Q.with_cell(Q.PINGS, 6)
 
 
-@query("stream_match_same_cell", f"""SELECT rider_id, driver_id, cell, arrival FROM (
+_AS_OF = f"""SELECT rider_id, driver_id, cell, arrival FROM (
   SELECT concat('rider-', CAST(event_id AS VARCHAR)) AS rider_id, cell, event_id AS arrival, event_id % 2 AS is_rider,
    last_value(CASE WHEN event_id % 2 = 0 THEN driver_id END IGNORE NULLS) OVER w AS driver_id,
    last_value(CASE WHEN event_id % 2 = 0 THEN status END IGNORE NULLS) OVER w AS now_status FROM {_SPLIT}
-  WINDOW w AS (PARTITION BY cell ORDER BY event_id)) WHERE is_rider = 1 AND now_status = 'AVAILABLE'""")
-def stream_match_same_cell(spark, d):
-    events = with_cell(ping_stream(spark, d), 6)
+  WINDOW w AS (PARTITION BY cell ORDER BY event_id)) WHERE is_rider = 1 AND now_status = 'AVAILABLE'"""
+
+
+def _both_sides(pings):
+    events = with_cell(pings, 6)
     drivers = events.filter(F.col("event_id") % 2 == 0)
     riders = events.filter(F.col("event_id") % 2 == 1).withColumn("rider_id", F.concat(F.lit("rider-"), F.col("event_id").cast("string")))
-    union = K.tag_union(riders, drivers, "event_id", "event_id")
-    return jobs.run_to_table(K.match_same_cell_stream(union), "match")
+    return tag_union(riders, drivers, "event_id", "event_id")
+
+
+@query("match_as_of_arrival", _AS_OF)
+def match_as_of_arrival(spark, d):
+    """The batch twin of the two streaming matches below."""
+    return match_as_of(_both_sides(I.pings(spark, d)))
+
+
+@query("stream_match_same_cell", _AS_OF)
+def stream_match_same_cell(spark, d):
+    return jobs.run_to_table(K.match_same_cell_stream(_both_sides(ping_stream(spark, d))), "match")
+
+
+@query("stream_match_in_batches", _AS_OF)
+def stream_match_in_batches(spark, d):
+    base = scratch_path(spark, "match-batches")
+    jobs.match_in_batches(_both_sides(ping_stream(spark, d)), base).awaitTermination()
+    return spark.read.schema(K.MATCH_SCHEMA).parquet(f"{base}/matches").select("rider_id", "driver_id", "cell", "arrival")
 
 
 @query("stream_process_pings", f"SELECT event_id, driver_id, cell, cell AS key FROM {_VALID} WHERE is_valid")

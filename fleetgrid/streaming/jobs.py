@@ -6,10 +6,14 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.boundary import multicast
+from ..operators.matching import match_as_of
+from ..operators.ordered import HOT_ROWS
 from ..operators.quality import filter_valid_cell, rekey
 from ..operators.skew import partition_band_counts
+from ..operators.state import latest_by
 from ..session import ROCKSDB_PROVIDER, scratch_path
 from ..sources.writers import start
 from .processors import dedup_stream
@@ -48,6 +52,28 @@ def band_counts_stream(pings: DataFrame, partitioner: str, every: str | None, si
     return start(counts.writeStream.outputMode("complete").foreachBatch(sink), checkpoint, every)
 
 
+def match_in_batches(union: DataFrame, base: str, available: bool = True, every: str | None = None,
+                     hot_rows: int = HOT_ROWS) -> StreamingQuery:
+    """The same-cell match of a stream with batch operators, which split crowded cells.
+
+    The last driver of each cell is kept as a table in two alternating places:
+    batch n reads what batch n-1 left and rewrites the other place, so a batch
+    that is repeated after a failure starts from the same state.  Matches go to
+    ``<base>/matches`` in folders named by batch.
+    """
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        rows = batch
+        if number > 0:
+            known = batch.sparkSession.read.schema(batch.schema).parquet(f"{base}/state-{(number - 1) % 2}")
+            rows = batch.unionByName(known)
+        match_as_of(rows, available, hot_rows).write.mode("overwrite").parquet(f"{base}/matches/batch={number}")
+        drivers = rows.filter("kind = 'driver'")
+        latest_by(drivers, ["cell"], "arrival").write.mode("overwrite").parquet(f"{base}/state-{number % 2}")
+
+    return start(union.writeStream.foreachBatch(on_batch), f"{base}/progress", every)
+
+
 @contextmanager
 def _idle_batches(spark: SparkSession, wanted: bool) -> Iterator[None]:
     before = spark.conf.get(IDLE_BATCHES)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DEDUP_WINDOW_MS = 10_000
@@ -92,16 +92,11 @@ def dedup_stream(df: DataFrame, key: str = "driver_id", ts: str = "ts_ms", order
 MATCH_SCHEMA = "rider_id STRING, driver_id STRING, cell BIGINT, arrival BIGINT"
 
 
-def tag_union(riders: DataFrame, pings: DataFrame, rider_arrival: str, ping_arrival: str) -> DataFrame:
-    """One stream of drivers and riders per cell, with a common arrival number."""
-    a = pings.select("cell", F.lit("driver").alias("kind"), F.col(ping_arrival).cast("bigint").alias("arrival"),
-                     "driver_id", "status", F.lit(None).cast("string").alias("rider_id"))
-    b = riders.select("cell", F.lit("rider").alias("kind"), F.col(rider_arrival).cast("bigint").alias("arrival"),
-                      F.lit(None).cast("string").alias("driver_id"), F.lit(None).cast("string").alias("status"), "rider_id")
-    return a.unionByName(b)
-
-
 def match_same_cell_stream(union: DataFrame, available: bool = True) -> DataFrame:
-    """Riders meet the last driver that reached their cell before them."""
+    """Riders meet the last driver that reached their cell before them.
+
+    Each cell's rows of a micro-batch go through one task; where cells may be
+    very crowded use ``jobs.match_in_batches``.
+    """
     return union.groupBy("cell").transformWithStateInPandas(MatchInCell(available), MATCH_SCHEMA, "append", "None")
 

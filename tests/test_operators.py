@@ -166,6 +166,23 @@ def test_look_back_equals_a_window(lopsided, limit, back):
     assert key(ordered.look_back(lopsided, [], "id", back, build, hot_rows=limit)) == key(whole)
 
 
+@pytest.mark.parametrize("limit", [5, 100, 10_000_000])
+def test_riders_see_the_table_of_their_time(spark, limit):
+    rng = random.Random(4)
+    rows, last, want = [], {}, []
+    for i in range(3000):
+        cell = 1 if rng.random() < 0.5 else rng.randrange(50)
+        if rng.random() < 0.3:
+            last[cell] = (f"d{i}", rng.choice(["AVAILABLE", "OFFLINE"]))
+            rows.append((cell, "driver", i, *last[cell], None))
+        else:
+            rows.append((cell, "rider", i, None, None, f"r{i}"))
+            if last.get(cell, ("", ""))[1] == "AVAILABLE":
+                want.append((f"r{i}", last[cell][0], cell, i))
+    df = spark.createDataFrame(rows, "cell bigint, kind string, arrival bigint, driver_id string, status string, rider_id string")
+    assert rows_of(matching.match_as_of(df, hot_rows=limit)) == sorted(want)
+
+
 def test_hot_key_is_really_split(lopsided):
     hot = ordered.hot_keys(lopsided, ["key"], 50)
     runs = ordered._with_runs(lopsided, ["key"], ["at"], hot).filter("key = 'hot'")

@@ -43,6 +43,22 @@ def test_riders_meet_the_last_driver_before_them(spark, tmp_path):
     assert sorted((r.rider_id, r.driver_id, r.cell) for r in out.collect()) == [("r3", "a", 1), ("r5", "a", 1)]
 
 
+def test_match_in_batches_keeps_the_state_between_them(spark, tmp_path):
+    schema = "cell bigint, kind string, arrival bigint, driver_id string, status string, rider_id string"
+    src, base = str(tmp_path / "src"), str(tmp_path / "base")
+    feed(spark, src, [(1, "driver", 2, "a", "AVAILABLE", None), (1, "rider", 1, None, None, "r1"), (1, "rider", 3, None, None, "r3")], schema)
+    feed(spark, src, [(2, "driver", 4, "b", "AVAILABLE", None)], schema)
+
+    def run():
+        jobs.match_in_batches(stream(spark, src, schema), base, hot_rows=1).awaitTermination()
+        return sorted((r.rider_id, r.driver_id) for r in spark.read.parquet(f"{base}/matches").collect())
+
+    assert run() == [("r3", "a")]
+    feed(spark, src, [(1, "rider", 5, None, None, "r5"), (1, "driver", 6, "c", "OFFLINE", None), (1, "rider", 7, None, None, "r7")], schema)
+    feed(spark, src, [(2, "rider", 8, None, None, "r8")], schema)
+    assert run() == [("r3", "a"), ("r5", "a"), ("r8", "b")]
+
+
 def test_bad_records_of_a_stream_reach_the_quarantine(spark, tmp_path):
     (tmp_path / "in").mkdir()
     for i in range(3):

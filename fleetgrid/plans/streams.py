@@ -28,12 +28,26 @@ def ping_stream(spark, d):
     return I.ping_columns(event_stream(spark, d))
 
 
-@query("stream_dedup_last", f"""SELECT driver_id, arrival, bucket_ms FROM (SELECT driver_id, event_id AS arrival, ts_ms // 21600000 AS bucket_ms,
-  lag(ts_ms // 21600000) OVER (PARTITION BY driver_id ORDER BY event_id) AS b FROM {Q.PINGS}) WHERE b IS NULL OR b <> bucket_ms""")
-def stream_dedup_last(spark, d):
+_REPEATS = f"""SELECT driver_id, arrival, bucket_ms FROM (SELECT driver_id, event_id AS arrival, ts_ms // 21600000 AS bucket_ms,
+  lag(ts_ms // 21600000) OVER (PARTITION BY driver_id ORDER BY event_id) AS b FROM {Q.PINGS}) WHERE b IS NULL OR b <> bucket_ms"""
+
+
+def _six_hours(spark, d):
     """Timestamps are cut to six hours, so that drivers do repeat them."""
-    rows = ping_stream(spark, d).select("driver_id", F.col("event_id").alias("arrival"), F.floor(F.col("ts_ms") / 21600000).alias("bucket_ms"))
-    return jobs.run_to_table(K.dedup_stream(rows, ts="bucket_ms", order=["arrival"]), "dedup")
+    return ping_stream(spark, d).select("driver_id", F.col("event_id").alias("arrival"), F.floor(F.col("ts_ms") / 21600000).alias("bucket_ms"))
+
+
+@query("stream_dedup_last", _REPEATS)
+def stream_dedup_last(spark, d):
+    return jobs.run_to_table(K.dedup_stream(_six_hours(spark, d), ts="bucket_ms", order=["arrival"]), "dedup")
+
+
+@query("stream_dedup_in_batches", _REPEATS)
+def stream_dedup_in_batches(spark, d):
+    base = scratch_path(spark, "dedup-batches")
+    rows = _six_hours(spark, d)
+    jobs.dedup_in_batches(rows, base, "arrival", "bucket_ms").awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{base}/out").select("driver_id", "arrival", "bucket_ms")
 
 
 @query("stream_dedup_with_expiry", f"SELECT driver_id, event_id, ts_ms FROM {Q.PINGS}")
@@ -96,7 +110,7 @@ def stream_match_same_cell(spark, d):
 def stream_match_in_batches(spark, d):
     base = scratch_path(spark, "match-batches")
     jobs.match_in_batches(_both_sides(ping_stream(spark, d)), base).awaitTermination()
-    return spark.read.schema(K.MATCH_SCHEMA).parquet(f"{base}/matches").select("rider_id", "driver_id", "cell", "arrival")
+    return spark.read.schema(K.MATCH_SCHEMA).parquet(f"{base}/out").select("rider_id", "driver_id", "cell", "arrival")
 
 
 @query("stream_process_pings", f"SELECT event_id, driver_id, cell, cell AS key FROM {_VALID} WHERE is_valid")

@@ -8,7 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.boundary import multicast
+from ..operators.boundary import dedup_last, multicast
 from ..operators.matching import match_as_of
 from ..operators.ordered import HOT_ROWS
 from ..operators.quality import filter_valid_cell, rekey
@@ -52,26 +52,47 @@ def band_counts_stream(pings: DataFrame, partitioner: str, every: str | None, si
     return start(counts.writeStream.outputMode("complete").foreachBatch(sink), checkpoint, every)
 
 
-def match_in_batches(union: DataFrame, base: str, available: bool = True, every: str | None = None,
-                     hot_rows: int = HOT_ROWS) -> StreamingQuery:
-    """The same-cell match of a stream with batch operators, which split crowded cells.
+Step = Callable[[DataFrame], DataFrame]
+
 
-    The last driver of each cell is kept as a table in two alternating places:
+def _in_batches(rows: DataFrame, base: str, every: str | None, answer: Step, remember: Step, arrival: str) -> StreamingQuery:
+    """Run ``answer`` over each micro-batch together with what earlier batches left behind.
+
+    What ``remember`` returns is kept as a table in two alternating places:
     batch n reads what batch n-1 left and rewrites the other place, so a batch
-    that is repeated after a failure starts from the same state.  Matches go to
-    ``<base>/matches`` in folders named by batch.
+    that is repeated after a failure starts from the same state.  Remembered
+    rows come first: they get arrival -1, and real numbers start at 0.  Answers
+    go to ``<base>/out`` in folders named by batch.
     """
 
     def on_batch(batch: DataFrame, number: int) -> None:
-        rows = batch
+        together = batch
         if number > 0:
             known = batch.sparkSession.read.schema(batch.schema).parquet(f"{base}/state-{(number - 1) % 2}")
-            rows = batch.unionByName(known)
-        match_as_of(rows, available, hot_rows).write.mode("overwrite").parquet(f"{base}/matches/batch={number}")
-        drivers = rows.filter("kind = 'driver'")
-        latest_by(drivers, ["cell"], "arrival").write.mode("overwrite").parquet(f"{base}/state-{number % 2}")
+            together = batch.unionByName(known.withColumn(arrival, F.lit(-1).cast("bigint")))
+        together.persist()
+        try:
+            answer(together).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+            remember(together).write.mode("overwrite").parquet(f"{base}/state-{number % 2}")
+        finally:
+            together.unpersist()
+
+    return start(rows.writeStream.foreachBatch(on_batch), f"{base}/progress", every)
+
+
+def match_in_batches(union: DataFrame, base: str, available: bool = True, every: str | None = None,
+                     hot_rows: int = HOT_ROWS) -> StreamingQuery:
+    """The same-cell match of a stream with batch operators, which split crowded cells."""
+    return _in_batches(union, base, every, lambda rows: match_as_of(rows, available, hot_rows),
+                       lambda rows: latest_by(rows.filter("kind = 'driver'"), ["cell"], "arrival"), "arrival")
+
 
-    return start(union.writeStream.foreachBatch(on_batch), f"{base}/progress", every)
+def dedup_in_batches(rows: DataFrame, base: str, order: str = "event_id", ts: str = "ts_ms", key: str = "driver_id",
+                     every: str | None = None, hot_rows: int = HOT_ROWS) -> StreamingQuery:
+    """Streaming dedup with batch operators, which split a driver who sends very many pings."""
+    return _in_batches(rows, base, every,
+                       lambda both: dedup_last(both, order, ts, key, hot_rows=hot_rows).filter(F.col(order) >= 0),
+                       lambda both: latest_by(both, [key], order), order)
 
 
 @contextmanager

@@ -34,6 +34,20 @@ def test_dedup_across_batches_and_a_restart(spark, tmp_path):
     assert run() == [("a", 1), ("b", 3), ("a", 5), ("a", 7), ("c", 8)]
 
 
+def test_dedup_in_batches_across_a_restart(spark, tmp_path):
+    src, base = str(tmp_path / "src"), str(tmp_path / "base")
+
+    def run():
+        jobs.dedup_in_batches(stream(spark, src, PING), base, hot_rows=1).awaitTermination()
+        return [(r.driver_id, r.event_id) for r in spark.read.parquet(f"{base}/out").orderBy("event_id").collect()]
+
+    feed(spark, src, [("a", 2, 1), ("a", 1, 1), ("b", 3, 5)], PING)
+    assert run() == [("a", 1), ("b", 3)]
+    feed(spark, src, [("a", 4, 1), ("a", 5, 2), ("b", 6, 5)], PING)
+    feed(spark, src, [("a", 7, 1), ("c", 8, 1)], PING)
+    assert run() == [("a", 1), ("b", 3), ("a", 5), ("a", 7), ("c", 8)]
+
+
 def test_riders_meet_the_last_driver_before_them(spark, tmp_path):
     schema = "cell bigint, kind string, arrival bigint, driver_id string, status string, rider_id string"
     src = str(tmp_path / "src")
@@ -51,7 +65,7 @@ def test_match_in_batches_keeps_the_state_between_them(spark, tmp_path):
 
     def run():
         jobs.match_in_batches(stream(spark, src, schema), base, hot_rows=1).awaitTermination()
-        return sorted((r.rider_id, r.driver_id) for r in spark.read.parquet(f"{base}/matches").collect())
+        return sorted((r.rider_id, r.driver_id) for r in spark.read.parquet(f"{base}/out").collect())
 
     assert run() == [("r3", "a")]
     feed(spark, src, [(1, "rider", 5, None, None, "r5"), (1, "driver", 6, "c", "OFFLINE", None), (1, "rider", 7, None, None, "r7")], schema)

@@ -8,9 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from fleetgrid.plans import load
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = load()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables not found")
 

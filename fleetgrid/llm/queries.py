@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, quality, url_filters
+from . import decontamination, exact_dedup, mixing, quality, url_filters
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op4_url_filters": url_filters.judged_pages,
+    "op5_benchmark_decontamination": lambda spark, sf_dir: decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op7_mixing": lambda spark, sf_dir: mixing.mix(table(spark, sf_dir, "documents")),
     "op8_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_groups(table(spark, sf_dir, "documents")),
     "op10_quality_classifier": lambda spark, sf_dir: quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, mixing, quality, url_filters
+from . import decontamination, exact_dedup, minhash, mixing, quality, url_filters
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op2_minhash_near_dedup": lambda spark, sf_dir: minhash.near_duplicates(table(spark, sf_dir, "documents")),
     "op4_url_filters": url_filters.judged_pages,
     "op5_benchmark_decontamination": lambda spark, sf_dir: decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
     "op7_mixing": lambda spark, sf_dir: mixing.mix(table(spark, sf_dir, "documents")),

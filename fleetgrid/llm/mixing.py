@@ -119,13 +119,20 @@ def mix(docs: DataFrame, **settings) -> DataFrame:
         "doc_id", "source", "size", "source_size", "target", taken_words().alias("taken"))
 
 
+MIX_COLUMNS = ["size", "source_size", "target", "taken"]
+
+
 def mixed_documents(docs: DataFrame, seed: int = SEED, **settings) -> DataFrame:
-    """Every row of ``docs`` with all its columns and mix_size, mix_target and mix_taken; texts are not shuffled."""
+    """The rows of ``docs`` that the mix takes words from, with all their columns and size, source_size, target and taken.
+
+    Columns of ``docs`` that have one of these four names are replaced.  Texts
+    are not shuffled.
+    """
     _, plan = mix_plan(docs, seed=seed, **settings)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    keyed = docs.select(row, F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size"), seeded_key(seed).alias("key"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in MIX_COLUMNS]
+    keyed = docs.select(F.struct(*kept).alias("_row"), F.col("source").cast("string").alias("source"), word_count(text_of()).alias("size"), seeded_key(seed).alias("key"))
     joined = keyed.join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    return joined.select("_row.*", F.col("size").alias("mix_size"), F.col("target").alias("mix_target"), taken_words().alias("mix_taken"))
+    return joined.withColumn("taken", taken_words()).filter("taken > 0").select("_row.*", *MIX_COLUMNS)
 
 
 #: The same in SQL over a relation ``{docs}``; the clamped sources are a prefix by cap per weight.

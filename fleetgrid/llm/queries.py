@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, minhash, mixing, quality, url_filters
+from . import decontamination, exact_dedup, html_extraction, minhash, mixing, quality, url_filters, warc
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
     "op2_minhash_near_dedup": lambda spark, sf_dir: minhash.near_duplicates(table(spark, sf_dir, "documents")),
+    "op3_warc": lambda spark, sf_dir: warc.archived_pages(table(spark, sf_dir, "pages")),
     "op4_url_filters": url_filters.judged_pages,
     "op5_benchmark_decontamination": lambda spark, sf_dir: decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")),
+    "op6_html_extraction": lambda spark, sf_dir: html_extraction.extract(table(spark, sf_dir, "pages")),
     "op7_mixing": lambda spark, sf_dir: mixing.mix(table(spark, sf_dir, "documents")),
     "op8_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_groups(table(spark, sf_dir, "documents")),
     "op10_quality_classifier": lambda spark, sf_dir: quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),

@@ -11,9 +11,8 @@ item when consistent alignments cover at least 80 % of the item's windows, be
 it word for word or with other numbers and names.
 
 Before the join a bitmap of the benchmark's window hashes drops the document
-windows that cannot match.  It has 16 bits a window and at most 2**28 bits;
-when a larger benchmark fills it, more windows reach the join and nothing is
-lost.
+windows that cannot match.  Its size is bounded; when a larger benchmark fills
+it, more windows reach the join and nothing is lost.
 
 Defined cases: null or empty texts leak nothing; a text of fewer than five
 tokens is one window; repeated items and rows give repeated pairs once;
@@ -30,12 +29,12 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from .bitmaps import bitmap_of, in_bitmap
 from .tables import materialise, text_of
 
 WINDOW = 5
 COVERAGE = 0.8
 LITERALS = 3  # a template window holds at least so many plain words
-MOST_BITS = 28
 TOKEN = re.compile(r"[.!?]+|\d+(?:[.,:/]\d+)*|[^\W\d_]+")
 
 # Words that are units after a number, and words that are numbers.
@@ -141,27 +140,13 @@ def window_rows(texts: DataFrame, bitmap: bytes | None = None, shift: int = 0) -
                 for hashes, form in ((plain, False), (template, True)):
                     ok = hashes != 0
                     if bits is not None:
-                        at = hashes >> np.uint64(shift)
-                        ok &= (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                        ok &= in_bitmap(bits, shift, hashes)
                     out += [(key, h, i, len(plain), slots_of(tokens, i, codes, form)) for i, h in zip(np.flatnonzero(ok).tolist(), hashes[ok].view(np.int64).tolist(), strict=True)]
             yield pd.DataFrame(out, columns=["id", "hash", "place", "total", "slots"]).astype({"id": "Int64"})
 
     return texts.mapInPandas(rows, SCHEMA)
 
 
-def bitmap_of(hashes: DataFrame) -> tuple[bytes, int]:
-    """A bitmap over the leading bits of the hashes, and by how many bits they are shifted; its size is bounded."""
-    n = max(1, hashes.count())
-    bits = min(MOST_BITS, max(16, (16 * n - 1).bit_length()))
-    leading = F.shiftrightunsigned("hash", 64 - bits)
-    blocks = hashes.select(F.shiftright(leading, 15).alias("block"), leading.bitwiseAND(F.lit(32_767)).alias("bit")).groupBy("block").agg(
-        F.bitmap_construct_agg("bit").alias("bitmap"))
-    held = np.zeros((1 << bits) // 8, np.uint8)
-    for block, bitmap in blocks.toLocalIterator():
-        held[block * 4096:block * 4096 + 4096] = np.frombuffer(bitmap, np.uint8)[:len(held) - block * 4096]
-    return held.tobytes(), 64 - bits
-
-
 def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """doc_id, item_id, windows, matched and reparameterised for every document that leaks an item."""
     items = materialise(window_rows(benchmark.select(F.col("item_id").cast("long").alias("id"), text_of().alias("text"))), "items")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, html_extraction, minhash, mixing, quality, url_filters, warc
+from . import decontamination, exact_dedup, html_extraction, minhash, mixing, quality, suffix_dedup, url_filters, warc
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ QUERIES: dict[str, Query] = {
     "op6_html_extraction": lambda spark, sf_dir: html_extraction.extract(table(spark, sf_dir, "pages")),
     "op7_mixing": lambda spark, sf_dir: mixing.mix(table(spark, sf_dir, "documents")),
     "op8_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_groups(table(spark, sf_dir, "documents")),
+    "op9_suffix_array_dedup": lambda spark, sf_dir: suffix_dedup.cut(table(spark, sf_dir, "documents")),
     "op10_quality_classifier": lambda spark, sf_dir: quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
 }
 ORACLES: dict[str, str] = {

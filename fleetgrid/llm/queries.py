@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, html_extraction, minhash, mixing, quality, suffix_dedup, url_filters, warc
+from . import decontamination, exact_dedup, html_extraction, minhash, mixing, quality, secrets, suffix_dedup, url_filters, warc
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {
+    "op1_secret_scans": lambda spark, sf_dir: secrets.scan(table(spark, sf_dir, "documents")),
     "op2_minhash_near_dedup": lambda spark, sf_dir: minhash.near_duplicates(table(spark, sf_dir, "documents")),
     "op3_warc": lambda spark, sf_dir: warc.archived_pages(table(spark, sf_dir, "pages")),
     "op4_url_filters": url_filters.judged_pages,

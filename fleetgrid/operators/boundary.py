@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.grid import boundary_cells_of, cell_of, cell_parent
 from ..functions.scalar import dbl
-from .ordered import HOT_ROWS, Order, look_back
+from .ordered import Order, look_back
 from .partitioning import salted_key
 
 # Resolutions and ring width of the border test.
@@ -30,19 +30,18 @@ def multicast(df: DataFrame, fine: int = FINE, k: int = RINGS, coarse: int = COA
             .drop("coarse_cells"))
 
 
-def mark_duplicates(df: DataFrame, order: Order = "event_id", ts: str = "ts_ms", key: str = "driver_id",
-                    hot_rows: int = HOT_ROWS) -> DataFrame:
+def mark_duplicates(df: DataFrame, order: Order = "event_id", ts: str = "ts_ms", key: str = "driver_id") -> DataFrame:
     """Flag a row whose timestamp equals the last stored one of its driver.
 
     After a dropped row the stored value still equals that row's timestamp, so
     comparing with the previous arrival is the same test.
     """
     repeated = lambda w: {"duplicate": F.coalesce(F.lag(ts).over(w) == F.col(ts), F.lit(False))}
-    return look_back(df, [key], order, 1, repeated, hot_rows)
+    return look_back(df, [key], order, 1, repeated)
 
 
 def dedup_last(df: DataFrame, order: Order = "event_id", ts: str = "ts_ms", key: str = "driver_id",
-               mode: str = "last", hot_rows: int = HOT_ROWS) -> DataFrame:
+               mode: str = "last") -> DataFrame:
     """Drop rows that repeat the last timestamp stored for their driver.
 
     Only the *last* timestamp is remembered, so 1, 2, 1 passes three times;
@@ -50,14 +49,13 @@ def dedup_last(df: DataFrame, order: Order = "event_id", ts: str = "ts_ms", key:
     """
     if mode == "all_seen":
         return df.dropDuplicates([key, ts])
-    return mark_duplicates(df, order, ts, key, hot_rows).filter(~F.col("duplicate")).drop("duplicate")
+    return mark_duplicates(df, order, ts, key).filter(~F.col("duplicate")).drop("duplicate")
 
 
-def boundary_stats(df: DataFrame, order: str = "event_id", fine: int = FINE, k: int = RINGS, coarse: int = COARSE,
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+def boundary_stats(df: DataFrame, order: str = "event_id", fine: int = FINE, k: int = RINGS, coarse: int = COARSE) -> DataFrame:
     """Pings processed, pings near a border, extra copies sent, copies dropped again, extra copies per ping."""
     copies = multicast(df.select("driver_id", "lat", "lon", "ts_ms", order), fine, k, coarse)
-    marked = mark_duplicates(copies.select("driver_id", "ts_ms", order, "copy_no"), [order, "copy_no"], hot_rows=hot_rows)
+    marked = mark_duplicates(copies.select("driver_id", "ts_ms", order, "copy_no"), [order, "copy_no"])
     sums = marked.agg(F.count_if(F.col("copy_no") == 0).alias("total_processed"),
                       F.count_if(F.col("copy_no") == 1).alias("boundary_hits"),
                       F.count_if(F.col("copy_no") > 0).alias("multicast_copies"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalar import ColumnLike, latency_ms
-from .ordered import HOT_ROWS, running_max
+from .ordered import Order, running
 from .state import latest_by
 
 
@@ -42,14 +42,15 @@ def tag_union(riders: DataFrame, pings: DataFrame, rider_arrival: str, ping_arri
     return a.unionByName(b)
 
 
-def match_as_of(union: DataFrame, available: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+def match_as_of(union: DataFrame, available: bool = True, order: Order = "arrival") -> DataFrame:
     """Riders meet the last driver that wrote to their cell *before they arrived*.
 
     This is the same-cell match with the table seen as it was at each request,
-    over the rows of ``tag_union``.  A crowded cell is scanned in slices.
+    over the rows of ``tag_union``.  A crowded cell is scanned in parts.
     """
-    driver = F.when(F.col("kind") == "driver", F.struct("arrival", "driver_id", "status"))
-    seen = running_max(union.withColumn("__driver", driver), ["cell"], ["arrival", "kind"], "__driver", "__now", hot_rows)
+    along = [*([order] if isinstance(order, str) else order), "kind"]
+    driver = F.when(F.col("kind") == "driver", F.struct(*along[:-1], "driver_id", "status"))
+    seen = running(union.withColumn("__driver", driver), ["cell"], along, "__driver", "max", "__now")
     matched = seen.filter((F.col("kind") == "rider") & F.col("__now").isNotNull())
     if available:
         matched = matched.filter(F.col("__now.status") == "AVAILABLE")

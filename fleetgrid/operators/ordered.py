@@ -1,8 +1,12 @@
 """Ordered per-key computations that survive a key holding a third of all rows.
 
-A window partitioned by a hot key would put that key into one task.  Here a hot
-key is first cut into runs along its order column; results are then stitched
-from per-run summaries.  Keys that are not hot keep the plain window.
+A window partitioned by a hot key would put that key into one task.  Here all
+rows are dealt by range of (keys, order) first, so each part is a stretch of
+the whole order and a large key simply covers many parts.  Windows run inside
+the parts; what one part must know of the earlier ones is a row or a few per
+part, and is stitched on.  Small and large inputs take the same path, null keys
+and order columns of any sortable type included.  Rows that tie on all order
+columns are told apart by a number of their own, so they spread as well.
 """
 
 from __future__ import annotations
@@ -11,151 +15,88 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-# A key is hot above both limits; the second bounds their number by HOT_KEYS_MAX.
-HOT_ROWS = 1_000_000
-HOT_KEYS_MAX = 1024
-RUNS_LOG2 = 8
+from ..session import materialise
 
 Build = Callable[[WindowSpec], dict[str, Column]]
 Order = str | list[str]
 
+TIE, PART = "__tie", "__part"
+
 
 def _columns(order: Order) -> list[str]:
     return [order] if isinstance(order, str) else order
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """Keys with more than ``hot_rows`` rows and more than 1/1024 of all rows; None when there are none.
+def _along(order: Order) -> list[str]:
+    return [*_columns(order), TIE]
+
 
-    At most 1024 keys can hold more than 1/1024 each, which bounds the result.
+def deal(df: DataFrame, keys: list[str], order: Order) -> DataFrame:
+    """Adds the number of a row's part; parts follow (keys, order).
+
+    Ranges are sampled, so the dealt rows are written before they are used twice.
     """
-    total = df.count()
-    floor = max(hot_rows, total // HOT_KEYS_MAX)
-    if total <= floor:
-        return None
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > floor)
-    found = counts.select(*keys).collect()
-    return df.sparkSession.createDataFrame(found, counts.select(*keys).schema) if found else None
+    numbered = df.withColumn(TIE, F.monotonically_increasing_id())
+    return materialise(numbered.repartitionByRange(*keys, *_along(order)).withColumn(PART, F.spark_partition_id()), "dealt")
 
 
-def _with_runs(df: DataFrame, keys: list[str], order: Order, hot: DataFrame) -> DataFrame:
-    """Add ``__run``: the position of a hot row among its key's approximate quantiles, 0 for other rows.
+def _same(left: str, right: str, columns: list[str]) -> list[Column]:
+    return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
 
-    Runs are cut on the first order column, so rows that tie there stay together.
-    """
-    order = _columns(order)[0]
-    cuts = (1 << RUNS_LOG2) - 1
-    shares = [i / (cuts + 1) for i in range(1, cuts + 1)]
-    same = [F.col(f"d.{k}").eqNullSafe(F.col(f"h.{k}")) for k in keys]
-    hot_side = F.broadcast(hot.alias("h"))
-    numeric = F.col(order).cast("double") if not _is_time(df, order) else F.unix_micros(F.col(order).cast("timestamp")).cast("double")
-    quantiles = (df.alias("d").join(hot_side, same, "left_semi")
-                 .groupBy(*keys).agg(F.percentile_approx(numeric, shares, 20 * cuts).alias("__cuts")))
-    # binary search: 8 probes instead of 255 comparisons
-    steps = F.array(*[F.lit(1 << b) for b in range(RUNS_LOG2 - 1, -1, -1)])
-    run = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
-        F.element_at("__cuts", at + step) <= numeric, step).otherwise(F.lit(0)))
-    joined = df.alias("d").join(F.broadcast(quantiles.alias("h")), same, "left")
-    return (joined.withColumn("__run", F.when(F.col("__cuts").isNotNull(), run).otherwise(F.lit(0)))
-            .withColumn("__hot", F.col("__cuts").isNotNull())
-            .select("d.*", "__run", "__hot"))
-
-
-def _is_time(df: DataFrame, order: str) -> bool:
-    return df.schema[order].dataType.typeName().startswith("timestamp")
-
-
-def _keyed(df: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str]]:
-    """A single global series becomes a series with a constant key."""
-    return (df, keys) if keys else (df.withColumn("__all", F.lit(0)), ["__all"])
-
-
-def _numbered(df: DataFrame, keys: list[str], order: Order, hot: DataFrame, out: str) -> DataFrame:
-    """1-based row numbers: numbers within a run plus the sizes of the earlier runs."""
-    runs = _with_runs(df, keys, order, hot)
-    local = runs.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, "__run").orderBy(*_columns(order))))
-    sizes = runs.groupBy(*keys, "__run").agg(F.count(F.lit(1)).alias("__size"))
-    earlier = Window.partitionBy(*keys).orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*keys, "__run", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start"))
-    same = [F.col(f"l.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, "__run"]]
-    return (local.alias("l").join(starts.alias("s"), same)
-            .select("l.*", (F.col("__start") + F.col("__local")).alias(out)).drop("__local", "__run"))
-
-
-def number_rows(df: DataFrame, keys: list[str], order: Order, out: str = "row_number",
-                hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``row_number()`` per key from 1, with hot keys numbered in parallel."""
-    keyed, names = _keyed(df, keys)
-    hot = hot_keys(keyed, names, hot_rows)
-    if hot is None:
-        numbered = keyed.withColumn(out, F.row_number().over(Window.partitionBy(*names).orderBy(*_columns(order))).cast("bigint"))
-    else:
-        numbered = _numbered(keyed, names, order, hot, out)
-    return numbered.select(*df.columns, out)
-
-
-def look_back(df: DataFrame, keys: list[str], order: Order, back: int, build: Build,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add the window columns of ``build``, none of which reaches more than ``back`` rows back.
 
-    Rows of a hot key are cut into blocks of equal length; the last ``back``
-    rows of a block are copied to the front of the next one, so every row still
-    sees all it needs, and the copies are dropped afterwards.
-    """
-    keyed, names = _keyed(df, keys)
-    hot = hot_keys(keyed, names, hot_rows)
-    if hot is None:
-        plain = Window.partitionBy(*names).orderBy(*_columns(order))
-        return _add(keyed, build(plain)).select(*df.columns, *build(plain))
-    block_rows = max(hot_rows, 10 * back, 2)
-    at = F.col("__pos") - 1
-    block = F.when(F.col("__hot"), F.floor(at / block_rows)).otherwise(F.lit(0))
-    copied = F.col("__hot") & (at % block_rows >= block_rows - back)
-    blocks = F.when(copied, F.array(block, block + 1)).otherwise(F.array(block))
-    spread = (_numbered(keyed, names, order, hot, "__pos")
-              .withColumn("__own", block).withColumn("__block", F.explode(blocks)))
-    window = Window.partitionBy(*names, "__block").orderBy(*_columns(order))
-    done = _add(spread, build(window)).filter(F.col("__block") == F.col("__own"))
-    return done.select(*df.columns, *build(window))
-
-
-def _add(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
-    return df.withColumns(columns)
-
-
-def running(df: DataFrame, keys: list[str], slice_col: str, order: Order, source: str, how: str, out: str) -> DataFrame:
-    """Running ``sum`` or ``max`` of ``source`` per key, computed slice by slice.
-
-    ``slice_col`` must grow with ``order`` (a day, a block number).  Slices are
-    scanned in parallel and start from the total of the earlier ones.
+def _carried(dealt: DataFrame, keys: list[str], total: Column, fold: Callable[[str], Column]) -> DataFrame:
+    """(keys, part, __carry): what a key's earlier parts come to, for parts that have any.
+
+    A part holds the start of at most one key that began in an earlier part, so
+    there are no more such rows than parts.
     """
+    earlier = Window.partitionBy(*keys).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    placed = dealt.groupBy(*keys, PART).agg(total.alias("__total")).withColumns({
+        "__carry": fold("__total").over(earlier), "__earlier": F.count("*").over(earlier)})
+    return placed.filter("__earlier > 0").select(*keys, PART, "__carry")
+
+
+def number_rows(df: DataFrame, keys: list[str], order: Order, out: str = "row_number") -> DataFrame:
+    """``row_number()`` per key from 1."""
+    dealt = deal(df, keys, order)
+    local = dealt.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, PART).orderBy(*_along(order))))
+    starts = _carried(dealt, keys, F.count("*"), F.sum)
+    joined = local.alias("l").join(F.broadcast(starts.alias("s")), _same("l", "s", [*keys, PART]), "left")
+    number = (F.coalesce("s.__carry", F.lit(0)) + F.col("__local")).cast("bigint")
+    return joined.select(*[f"l.{c}" for c in df.columns], number.alias(out))
+
+
+def running(df: DataFrame, keys: list[str], order: Order, source: str, how: str, out: str) -> DataFrame:
+    """Running ``sum`` or ``max`` of ``source`` per key, nulls ignored."""
     fold = {"sum": F.sum, "max": F.max}[how]
-    keyed, names = _keyed(df, keys)
-    inside = Window.partitionBy(*names, slice_col).orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
-    local = keyed.withColumn("__local", fold(source).over(inside))
-    totals = keyed.groupBy(*names, slice_col).agg(fold(source).alias("__total"))
-    earlier = Window.partitionBy(*names).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
-    carried = totals.select(*names, slice_col, fold("__total").over(earlier).alias("__carry"))
-    joined = local.join(carried, [*names, slice_col])
-    if how == "sum":
-        value = F.coalesce(F.col("__carry"), F.lit(0)) + F.coalesce(F.col("__local"), F.lit(0))
-    else:
-        value = F.greatest("__carry", "__local")
-    return joined.withColumn(out, value).select(*df.columns, out)
-
-
-def running_max(df: DataFrame, keys: list[str], order: Order, source: str, out: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Largest ``source`` so far per key, nulls ignored.
-
-    The first order column must be a whole number of which no value repeats
-    more than a few times, such as an arrival number.  Only hot keys are sliced
-    along it, and a slice of ``hot_rows`` numbers cannot hold many more rows.
+    dealt = deal(df, keys, order)
+    inside = Window.partitionBy(*keys, PART).orderBy(*_along(order)).rowsBetween(Window.unboundedPreceding, 0)
+    local = dealt.withColumn("__local", fold(source).over(inside))
+    before = _carried(dealt, keys, fold(source), fold)
+    joined = local.alias("l").join(F.broadcast(before.alias("s")), _same("l", "s", [*keys, PART]), "left")
+    value = F.coalesce("s.__carry", F.lit(0)) + F.coalesce("__local", F.lit(0)) if how == "sum" else F.greatest("s.__carry", "__local")
+    return joined.select(*[f"l.{c}" for c in df.columns], value.alias(out))
+
+
+def look_back(df: DataFrame, keys: list[str], order: Order, back: int, build: Build) -> DataFrame:
+    """Add the window columns of ``build``, none of which reaches more than ``back`` rows back.
+
+    The last ``back`` rows of a key before a part are copied to that part, so
+    every row sees all it needs; the copies are dropped afterwards.
     """
-    hot = hot_keys(df, keys, hot_rows)
-    if hot is None:
-        so_far = Window.partitionBy(*keys).orderBy(*_columns(order)).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumn(out, F.max(source).over(so_far))
-    marked = df.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), keys, "left")
-    at = F.floor(F.col(_columns(order)[0]) / hot_rows)
-    sliced = marked.withColumn("__slice", F.when(F.col("__hot"), at).otherwise(F.lit(-1)))
-    return running(sliced, keys, "__slice", order, source, "max", out).select(*df.columns, out)
+    dealt, along = deal(df, keys, order), _along(order)
+    mine = Window.partitionBy(*keys).orderBy(PART)
+    parts = dealt.groupBy(*keys, PART).agg(F.least(F.count("*"), F.lit(back)).alias("__tail")).withColumns({
+        "__at": F.row_number().over(mine), "__of": F.count("*").over(Window.partitionBy(*keys)), "__upto": F.sum("__tail").over(mine)})
+    spanning = parts.filter("__of > 1")  # at most two rows for each part
+    last = F.row_number().over(Window.partitionBy(*keys, PART).orderBy(*[F.col(c).desc_nulls_last() for c in along]))
+    tails = dealt.alias("d").join(F.broadcast(spanning.alias("p")), _same("d", "p", [*keys, PART])).select(
+        "d.*", "p.__at", "p.__of", "p.__upto").withColumn("__last", last).filter(F.col("__last") <= back).filter("__at < __of")
+    aimed = tails.withColumn("__aim", F.explode(F.sequence(F.col("__at") + 1, F.least(F.col("__at") + back, F.col("__of")))))
+    goals = spanning.select(*keys, F.col(PART).alias("__goal"), F.col("__at").alias("__aim"), (F.col("__upto") - F.col("__tail")).alias("__ahead"))
+    near = F.col("g.__ahead") - F.col("a.__upto") + F.col("a.__last") <= back
+    copies = aimed.alias("a").join(F.broadcast(goals.alias("g")), [*_same("a", "g", [*keys, "__aim"]), near]).select(
+        *[f"a.{c}" for c in [*df.columns, TIE]], F.col("g.__goal").alias(PART), F.lit(False).alias("__own"))
+    spread = dealt.withColumn("__own", F.lit(True)).unionByName(copies)
+    columns = build(Window.partitionBy(*keys, PART).orderBy(*along))
+    return spread.withColumns(columns).filter("__own").select(*df.columns, *columns)

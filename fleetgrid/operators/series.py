@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.grid import axial_q, axial_r, pack_cell, round_axial
 from ..functions.scalar import dbl
-from .ordered import HOT_ROWS, Order, look_back, number_rows, running
+from .ordered import Order, look_back, number_rows, running
 
 # Fixed values of the soak gate.
 RATE_FLOOR, STREAK_LIMIT, SAMPLE_MS = 0.92, 3, 10_000
@@ -15,7 +15,7 @@ NUDGE = 1e-6
 
 
 def counter_rate(df: DataFrame, keys: list[str], order: Order, ts_ms: str = "ts_ms", value: str = "value",
-                 min_dt: float = 0.5, fixed_seconds: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 min_dt: float = 0.5, fixed_seconds: int | None = None) -> DataFrame:
     """Turn a growing counter into a rate.
 
     0 for the first sample and when no more than ``min_dt`` seconds have passed.
@@ -32,14 +32,13 @@ def counter_rate(df: DataFrame, keys: list[str], order: Order, ts_ms: str = "ts_
         rate = (F.col(value) - before) / dt
         return {"rate": F.when(dt > min_dt, rate).otherwise(dbl(0.0))}
 
-    return look_back(df, keys, order, 1, build, hot_rows)
+    return look_back(df, keys, order, 1, build)
 
 
-def moving_avg(df: DataFrame, keys: list[str], order: Order, value: str = "rate", n: int = 10,
-               hot_rows: int = HOT_ROWS) -> DataFrame:
+def moving_avg(df: DataFrame, keys: list[str], order: Order, value: str = "rate", n: int = 10) -> DataFrame:
     """Mean of the last ``n`` values, the current one included."""
     mean = lambda w: {"moving_avg": F.avg(value).over(w.rowsBetween(-(n - 1), 0))}
-    return look_back(df, keys, order, n - 1, mean, hot_rows)
+    return look_back(df, keys, order, n - 1, mean)
 
 
 def throughput(df: DataFrame, every: str, ts: str = "event_ts", watermark: str | None = None) -> DataFrame:
@@ -74,29 +73,27 @@ def sustained_breach(samples: DataFrame, target: float, floor: float = RATE_FLOO
     A sample is judged only when the one before it was not empty; a fast judged
     sample ends the run and an unjudged one leaves it as it is.
     """
-    day = F.floor(F.col("sample") / (DAY_MS // every_ms))
     share = F.col("records") / dbl(every_ms / 1000.0) / dbl(target)
-    sliced = samples.withColumns({"__day": day, "rate_share": share})
+    sliced = samples.withColumn("rate_share", share)
     known = look_back(sliced, [], "sample", 1, lambda w: {"__before": F.lag("records").over(w)})
     judged = F.coalesce(F.col("__before") > 0, F.lit(False))
     slow = judged & (F.col("rate_share") < floor)
     marked = known.withColumns({"judged": judged, "__slow": slow.cast("bigint"), "__ends": judged & ~slow})
-    total = running(marked, [], "__day", "sample", "__slow", "sum", "__slow_so_far")
+    total = running(marked, [], "sample", "__slow", "sum", "__slow_so_far")
     at_reset = total.withColumn("__mark", F.when(F.col("__ends"), F.col("__slow_so_far")))
-    last = running(at_reset, [], "__day", "sample", "__mark", "max", "__last_mark")
+    last = running(at_reset, [], "sample", "__mark", "max", "__last_mark")
     streak = F.col("__slow_so_far") - F.coalesce("__last_mark", F.lit(0))
     return last.select("sample", "records", "rate_share", "judged", streak.alias("streak"), (streak >= limit).alias("breach"))
 
 
-def step_number(df: DataFrame, keys: list[str], order: Order, hot_rows: int = HOT_ROWS) -> DataFrame:
+def step_number(df: DataFrame, keys: list[str], order: Order) -> DataFrame:
     """Steps of each history, from 0."""
-    numbered = number_rows(df, keys, order, "__n", hot_rows)
+    numbered = number_rows(df, keys, order, "__n")
     return numbered.withColumn("step", F.col("__n") - 1).drop("__n")
 
 
 def cell_transitions(df: DataFrame, resolution: int, order: Order = "event_id", key: str = "driver_id",
-                     ts_ms: str = "ts_ms", cell: str = "cell", fill_gaps: bool = True,
-                     hot_rows: int = HOT_ROWS) -> DataFrame:
+                     ts_ms: str = "ts_ms", cell: str = "cell", fill_gaps: bool = True) -> DataFrame:
     """A row whenever a driver enters a cell; cells skipped between two pings are filled in.
 
     Skipped cells lie on the straight line and get evenly spaced times and
@@ -104,7 +101,7 @@ def cell_transitions(df: DataFrame, resolution: int, order: Order = "event_id",
     """
     earlier = lambda w: {"__cell": F.lag(cell).over(w), "__ts": F.lag(ts_ms).over(w)}
     columns = [key, ts_ms, cell, *([order] if isinstance(order, str) else order)]
-    moved = (look_back(df.select(*dict.fromkeys(columns)), [key], order, 1, earlier, hot_rows)
+    moved = (look_back(df.select(*dict.fromkeys(columns)), [key], order, 1, earlier)
              .filter(F.col("__cell").isNull() | (F.col("__cell") != F.col(cell))))
     start, end = F.col("__cell"), F.col(cell)
     line = moved.withColumns({
@@ -125,11 +122,11 @@ def cell_transitions(df: DataFrame, resolution: int, order: Order = "event_id",
 
 
 def transition_rate(df: DataFrame, order: Order = "event_id", key: str = "driver_id", ts_ms: str = "ts_ms",
-                    cell: str = "cell", hot_rows: int = HOT_ROWS) -> DataFrame:
+                    cell: str = "cell") -> DataFrame:
     """Cell changes per driver-second over the whole fleet."""
     changed = lambda w: {"__changed": F.coalesce(F.lag(cell).over(w) != F.col(cell), F.lit(False))}
     columns = [key, ts_ms, cell, *([order] if isinstance(order, str) else order)]
-    marked = look_back(df.select(*dict.fromkeys(columns)), [key], order, 1, changed, hot_rows)
+    marked = look_back(df.select(*dict.fromkeys(columns)), [key], order, 1, changed)
     per_driver = marked.groupBy(key).agg(F.count_if("__changed").alias("changes"),
                                          (F.max(ts_ms) - F.min(ts_ms)).alias("span_ms"))
     sums = per_driver.agg(F.coalesce(F.sum("changes"), F.lit(0)).alias("transitions"),

@@ -10,7 +10,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.boundary import dedup_last, multicast
 from ..operators.matching import match_as_of
-from ..operators.ordered import HOT_ROWS
 from ..operators.quality import filter_valid_cell, rekey
 from ..operators.skew import partition_band_counts
 from ..operators.state import latest_by
@@ -55,44 +54,61 @@ def band_counts_stream(pings: DataFrame, partitioner: str, every: str | None, si
 Step = Callable[[DataFrame], DataFrame]
 
 
-def _in_batches(rows: DataFrame, base: str, every: str | None, answer: Step, remember: Step, arrival: str) -> StreamingQuery:
+def _in_batches(rows: DataFrame, base: str, every: str | None, answer: Step, remember: Step, latest: Step, keys: list[str]) -> StreamingQuery:
     """Run ``answer`` over each micro-batch together with what earlier batches left behind.
 
-    What ``remember`` returns is kept as a table in two alternating places:
-    batch n reads what batch n-1 left and rewrites the other place, so a batch
-    that is repeated after a failure starts from the same state.  Remembered
-    rows come first: they get arrival -1, and real numbers start at 0.  Answers
-    go to ``<base>/out`` in folders named by batch.
+    A batch leaves what ``remember`` returns of its own rows in a folder named
+    by its number, so the cost of a batch does not grow with all keys ever seen
+    and a batch that is repeated after a failure replaces itself.  Of the earlier folders only rows
+    of the batch's keys are taken, the ``latest`` of each.  Remembered rows are
+    told by ``remembered`` and may have any order number.  Answers go to
+    ``<base>/out`` in folders named by batch.
     """
 
     def on_batch(batch: DataFrame, number: int) -> None:
-        together = batch
+        together = batch.withColumn("remembered", F.lit(False))
         if number > 0:
-            known = batch.sparkSession.read.schema(batch.schema).parquet(f"{base}/state-{(number - 1) % 2}")
-            together = batch.unionByName(known.withColumn(arrival, F.lit(-1).cast("bigint")))
-        together.persist()
-        try:
-            answer(together).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
-            remember(together).write.mode("overwrite").parquet(f"{base}/state-{number % 2}")
-        finally:
-            together.unpersist()
+            read = batch.sparkSession.read.schema(T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())]))
+            left = read.option("basePath", f"{base}/state").parquet(*[f"{base}/state/batch={n}" for n in range(number)])
+            asked = batch.select(*[F.col(k).alias(f"__{k}") for k in keys]).distinct()
+            known = latest(left.join(asked, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys], "left_semi"))
+            together = together.unionByName(known.select(*batch.columns, F.lit(True).alias("remembered")))
+        answer(together).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+        remember(batch).write.mode("overwrite").parquet(f"{base}/state/batch={number}")
 
     return start(rows.writeStream.foreachBatch(on_batch), f"{base}/progress", every)
 
 
-def match_in_batches(union: DataFrame, base: str, available: bool = True, every: str | None = None,
-                     hot_rows: int = HOT_ROWS) -> StreamingQuery:
+FRESH = "__fresh"  # orders remembered rows before those of the batch
+
+
+def _with_fresh(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(FRESH, (~F.col("remembered")).cast("int"))
+
+
+def match_in_batches(union: DataFrame, base: str, available: bool = True, every: str | None = None) -> StreamingQuery:
     """The same-cell match of a stream with batch operators, which split crowded cells."""
-    return _in_batches(union, base, every, lambda rows: match_as_of(rows, available, hot_rows),
-                       lambda rows: latest_by(rows.filter("kind = 'driver'"), ["cell"], "arrival"), "arrival")
+    def drivers(rows: DataFrame) -> DataFrame:
+        return latest_by(rows.filter("kind = 'driver'"), ["cell"], "arrival")
+
+    # a later batch is later, whatever its arrival numbers
+    newest = lambda rows: _newest(rows, ["cell"])
+    return _in_batches(union, base, every, lambda rows: match_as_of(_with_fresh(rows), available, [FRESH, "arrival"]), drivers, newest, ["cell"])
+
+
+def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The row of each key from its last batch."""
+    return latest_by(rows.withColumn("__batch", F.col("batch")), keys, "__batch").drop("__batch")
 
 
 def dedup_in_batches(rows: DataFrame, base: str, order: str = "event_id", ts: str = "ts_ms", key: str = "driver_id",
-                     every: str | None = None, hot_rows: int = HOT_ROWS) -> StreamingQuery:
+                     every: str | None = None) -> StreamingQuery:
     """Streaming dedup with batch operators, which split a driver who sends very many pings."""
-    return _in_batches(rows, base, every,
-                       lambda both: dedup_last(both, order, ts, key, hot_rows=hot_rows).filter(F.col(order) >= 0),
-                       lambda both: latest_by(both, [key], order), order)
+    def fresh(both: DataFrame) -> DataFrame:
+        kept = dedup_last(_with_fresh(both), [FRESH, order], ts, key)
+        return kept.filter("NOT remembered").drop("remembered", FRESH)
+
+    return _in_batches(rows, base, every, fresh, lambda batch: latest_by(batch, [key], order), lambda left: _newest(left, [key]), [key])
 
 
 @contextmanager

@@ -1,4 +1,4 @@
-"""Operators on hand-made rows and against brute force; hot keys are forced with tiny limits."""
+"""Operators on hand-made rows and against brute force."""
 
 import math
 import random
@@ -13,7 +13,7 @@ from fleetgrid.operators.percentiles import pctl
 
 
 def rows_of(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 # ---- validation ------------------------------------------------------------
@@ -145,33 +145,66 @@ def lopsided(spark):
         key = "hot" if rng.random() < 0.6 else rng.choice([None, "warm", f"k{rng.randrange(300)}"])
         at = i if rng.random() < 0.5 else 100000 + i
         rows.append((key, at, i, rng.randrange(5), float(rng.randrange(100))))
-    return spark.createDataFrame(rows, "key string, at bigint, id bigint, v bigint, x double").cache()
+    df = spark.createDataFrame(rows, "key string, at bigint, id bigint, v bigint, x double").repartition(5)
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("at") % 40).cast("int"))
+    return df.withColumns({"text": F.when(F.col("v") > 0, F.concat(F.lit("t"), F.col("at") % 90)), "day": day}).cache()
 
 
-@pytest.mark.parametrize("limit", [7, 50, 400])
-def test_hot_rows_are_numbered_like_a_window(lopsided, limit):
-    plain = lopsided.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy("at", "id")).cast("bigint"))
-    split = ordered.number_rows(lopsided, ["key"], ["at", "id"], "n", hot_rows=limit)
+@pytest.fixture
+def many_parts(spark):
+    """Small inputs are dealt into many parts as well."""
+    changed = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "13"}
+    before = {k: spark.conf.get(k, "true") for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+ORDERS = [["at", "id"], ["text", "id"], ["day", "id"], ["id"]]
+
+
+@pytest.mark.parametrize("order", ORDERS)
+def test_rows_are_numbered_like_a_window(lopsided, order, many_parts):
+    plain = lopsided.withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(*order)).cast("bigint"))
+    split = ordered.number_rows(lopsided, ["key"], order, "n")
     assert rows_of(split.select("id", "n")) == rows_of(plain.select("id", "n"))
 
 
-@pytest.mark.parametrize("limit,back", [(7, 1), (50, 9), (400, 9), (3, 3)])
-def test_look_back_equals_a_window(lopsided, limit, back):
+@pytest.mark.parametrize("order,back", [(ORDERS[0], 1), (ORDERS[1], 9), (ORDERS[2], 3), (ORDERS[3], 700)])
+def test_look_back_equals_a_window(lopsided, order, back, many_parts):
     build = lambda w: {"before": F.lag("v", back).over(w), "sum": F.sum("x").over(w.rowsBetween(-back, 0))}
-    plain = lopsided.withColumns(build(Window.partitionBy("key").orderBy("at", "id")))
-    split = ordered.look_back(lopsided, ["key"], ["at", "id"], back, build, hot_rows=limit)
-    key = lambda df: sorted(((r.id, r.before, r["sum"]) for r in df.collect()))
+    plain = lopsided.withColumns(build(Window.partitionBy("key").orderBy(*order)))
+    split = ordered.look_back(lopsided, ["key"], order, back, build)
+    key = lambda df: sorted((r.id, repr(r.before), r["sum"]) for r in df.collect())
     assert key(split) == key(plain)
     whole = lopsided.withColumns(build(Window.partitionBy(F.lit(0)).orderBy("id")))
-    assert key(ordered.look_back(lopsided, [], "id", back, build, hot_rows=limit)) == key(whole)
+    assert key(ordered.look_back(lopsided, [], "id", back, build)) == key(whole)
+
 
+@pytest.mark.parametrize("how", ["sum", "max"])
+def test_running_equals_a_window(lopsided, how, many_parts):
+    w = Window.partitionBy("key").orderBy("text", "id").rowsBetween(Window.unboundedPreceding, 0)
+    plain = lopsided.withColumn("r", {"sum": F.sum, "max": F.max}[how]("v").over(w))
+    assert rows_of(ordered.running(lopsided, ["key"], ["text", "id"], "v", how, "r").select("id", "r")) == rows_of(plain.select("id", "r"))
 
-@pytest.mark.parametrize("limit", [5, 100, 10_000_000])
-def test_riders_see_the_table_of_their_time(spark, limit):
+
+def test_tied_rows_of_one_key_are_spread(spark, many_parts):
+    df = spark.range(0, 4000, 1, 8).select(F.lit(None).cast("string").alias("key"), F.lit(5).alias("at"), "id")
+    got = ordered.number_rows(df, ["key"], "at", "n")
+    assert sorted(r.n for r in got.collect()) == list(range(1, 4001))
+    assert ordered.running(df.withColumn("one", F.lit(1)), ["key"], "at", "one", "sum", "r").agg(F.max("r"), F.count_distinct("r")).first() == (4000, 4000)
+    sizes = [r["count"] for r in ordered.deal(df.repartition(8), ["key"], "at").groupBy(ordered.PART).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 4000
+    assert ordered.number_rows(df.limit(0), ["key"], "at", "n").count() == 0
+
+
+def test_riders_see_the_table_of_their_time(spark, many_parts):
     rng = random.Random(4)
     rows, last, want = [], {}, []
     for i in range(3000):
-        cell = 1 if rng.random() < 0.5 else rng.randrange(50)
+        cell = 1 if rng.random() < 0.5 else rng.choice([None, rng.randrange(50)])
         if rng.random() < 0.3:
             last[cell] = (f"d{i}", rng.choice(["AVAILABLE", "OFFLINE"]))
             rows.append((cell, "driver", i, *last[cell], None))
@@ -180,14 +213,7 @@ def test_riders_see_the_table_of_their_time(spark, limit):
             if last.get(cell, ("", ""))[1] == "AVAILABLE":
                 want.append((f"r{i}", last[cell][0], cell, i))
     df = spark.createDataFrame(rows, "cell bigint, kind string, arrival bigint, driver_id string, status string, rider_id string")
-    assert rows_of(matching.match_as_of(df, hot_rows=limit)) == sorted(want)
-
-
-def test_hot_key_is_really_split(lopsided):
-    hot = ordered.hot_keys(lopsided, ["key"], 50)
-    runs = ordered._with_runs(lopsided, ["key"], ["at"], hot).filter("key = 'hot'")
-    sizes = [r["count"] for r in runs.groupBy("__run").count().collect()]
-    assert len(sizes) > 100 and max(sizes) < sum(sizes) / 50
+    assert rows_of(matching.match_as_of(df)) == sorted(want, key=repr)
 
 
 def test_dedup_remembers_only_the_last(spark):
@@ -201,7 +227,7 @@ def test_multicast_copies_are_dropped_again(spark):
         F.col("id").alias("event_id"), F.concat(F.lit("d"), (F.col("id") % 7).cast("string")).alias("driver_id"),
         (F.lit(40.5) + (F.col("id") * 7919 % 1009) / 2500.0).alias("lat"), (F.lit(-74.2) + (F.col("id") * 6101 % 1013) / 2500.0).alias("lon"), F.col("id").alias("ts_ms"))
     copies = boundary.multicast(pings)
-    kept = boundary.dedup_last(copies, ["event_id", "copy_no"], hot_rows=100)
+    kept = boundary.dedup_last(copies, ["event_id", "copy_no"])
     assert kept.count() == 3000 and kept.filter("NOT is_primary").count() == 0
     stats = boundary.boundary_stats(pings).first()
     assert stats.multicast_copies == copies.count() - 3000 == stats.dedup_drops > 0

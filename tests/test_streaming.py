@@ -38,7 +38,7 @@ def test_dedup_in_batches_across_a_restart(spark, tmp_path):
     src, base = str(tmp_path / "src"), str(tmp_path / "base")
 
     def run():
-        jobs.dedup_in_batches(stream(spark, src, PING), base, hot_rows=1).awaitTermination()
+        jobs.dedup_in_batches(stream(spark, src, PING), base).awaitTermination()
         return [(r.driver_id, r.event_id) for r in spark.read.parquet(f"{base}/out").orderBy("event_id").collect()]
 
     feed(spark, src, [("a", 2, 1), ("a", 1, 1), ("b", 3, 5)], PING)
@@ -64,7 +64,7 @@ def test_match_in_batches_keeps_the_state_between_them(spark, tmp_path):
     feed(spark, src, [(2, "driver", 4, "b", "AVAILABLE", None)], schema)
 
     def run():
-        jobs.match_in_batches(stream(spark, src, schema), base, hot_rows=1).awaitTermination()
+        jobs.match_in_batches(stream(spark, src, schema), base).awaitTermination()
         return sorted((r.rider_id, r.driver_id) for r in spark.read.parquet(f"{base}/out").collect())
 
     assert run() == [("r3", "a")]

@@ -20,7 +20,7 @@ def _first_failure(rules: dict[str, Column]) -> Column:
 
 def ping_reason(driver_id: str = "driver_id", lat: str = "lat", lon: str = "lon") -> Column:
     return _first_failure({
-        "blank_id": F.trim(col(driver_id)) != "",
+        "blank_id": col(driver_id).rlike(r"\S"),
         "lat_range": col(lat).between(-90.0, 90.0),
         "lon_range": col(lon).between(-180.0, 180.0),
     })

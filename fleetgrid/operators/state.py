@@ -22,7 +22,9 @@ def latest_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     Each map task sends at most one row per key, so a key that holds a third of
     the input costs no more than any other.  Fixed-width columns are taken one
     by one, which keeps the aggregate hash-based; text columns travel together.
+    A row without an arrival number has not arrived and is left out.
     """
+    df = df.filter(F.col(order).isNotNull())
     others = [f for f in df.schema.fields if f.name not in keys and f.name != order]
     if all(_fixed_width(f.dataType) for f in others):
         picked = [F.max_by(f.name, order).alias(f.name) for f in others]

@@ -50,10 +50,13 @@ def stream_dedup_in_batches(spark, d):
     return spark.read.schema(rows.schema).parquet(f"{base}/out").select("driver_id", "arrival", "bucket_ms")
 
 
-@query("stream_dedup_with_expiry", f"SELECT driver_id, event_id, ts_ms FROM {Q.PINGS}")
+@query("stream_dedup_with_expiry", f"""SELECT driver_id, arrival, bucket_ms, ts_ms FROM (SELECT driver_id, event_id AS arrival, ts_ms, ts_ms // 21600000 * 21600000 AS bucket_ms,
+  lag(ts_ms // 21600000) OVER (PARTITION BY driver_id ORDER BY event_id) AS b FROM {Q.PINGS})
+  WHERE b IS NULL OR b <> bucket_ms // 21600000 OR bucket_ms < ts_ms - 10800000""")
 def stream_dedup_with_expiry(spark, d):
-    rows = ping_stream(spark, d).select("driver_id", "event_id", "ts_ms")
-    return jobs.run_to_table(K.dedup_stream(rows, ttl_ms=K.DEDUP_WINDOW_MS), "dedup-ttl", idle_batches=False)
+    """Of the pings of six hours, repeats go in the first half and pass in the second, when what was stored has expired."""
+    rows = ping_stream(spark, d).select("driver_id", F.col("event_id").alias("arrival"), (F.floor(F.col("ts_ms") / 21600000) * 21600000).alias("bucket_ms"), "ts_ms")
+    return jobs.run_to_table(K.dedup_stream(rows, ts="bucket_ms", order=["arrival"], ttl_ms=10_800_000, clock="ts_ms"), "dedup-ttl")
 
 
 _BANDS = f"""SELECT 'geo' AS partitioner, CAST(abs(cell) % 12 AS INTEGER) AS partition, CAST(floor((lat + 90.0e0) / 10.0e0) AS INTEGER) AS lat_band,

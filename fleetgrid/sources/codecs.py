@@ -22,7 +22,6 @@ LAYOUTS: dict[str, list[tuple[str, str]]] = {
     "lp_match": [("rider_id", "text"), ("driver_id", "text"), ("cell", "i64"), ("latency_ms", "i64")],
     "lp_key": [("entity_id", "text"), ("cell", "i64")],
 }
-LONGEST_TEXT = 1 << 28
 WIDTH = {"i32": 4, "i64": 8, "f32": 4, "f64": 8, "pad8": 8}
 READ = {"i32": get_i32, "i64": get_i64, "f32": get_f32, "f64": get_f64}
 WRITE = {"i32": put_i32, "i64": put_i64, "f32": put_f32, "f64": put_f64, "text": put_text}
@@ -53,7 +52,7 @@ def decode_binary(df: DataFrame, layout: str, value: str = "value") -> Decoded:
     for i, (name, kind) in enumerate(LAYOUTS[layout]):
         if kind == "text":
             length = f"__len{i}"
-            out = out.withColumn(length, F.least(get_u32(value, start), F.lit(LONGEST_TEXT)))
+            out = out.withColumn(length, F.least(get_u32(value, start), F.octet_length(value).cast("bigint")))
             names.append((name, kind, start + 4, F.col(length)))
             start = start + 4 + F.col(length)
         else:
@@ -75,7 +74,7 @@ def encode_csv(kind: str) -> Column:
     """``id,lat,lon,ts[,status]`` with six decimals for the coordinates."""
     if kind == "rider":
         return F.format_string("%s,%.6f,%.6f,%d", "rider_id", "lat", "lon", "request_ms")
-    return F.format_string("%s,%.6f,%.6f,%d,%s", "driver_id", "lat", "lon", "ts_ms", "status")
+    return F.format_string("%s,%.6f,%.6f,%d,%s", "driver_id", "lat", "lon", "ts_ms", F.coalesce("status", F.lit("")))
 
 
 def decode_csv(df: DataFrame, kind: str, value: str = "value") -> Decoded:

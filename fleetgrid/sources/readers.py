@@ -10,9 +10,15 @@ from ..schemas import PING
 from .codecs import Decoded, decode_binary, decode_csv, decode_json
 
 
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
+
 def read_raw(spark: SparkSession, src: str | dict[str, str], streaming: bool = False,
-             max_per_trigger: int | None = None) -> DataFrame:
-    """Payload rows (``value``) from a folder of text files, or from a topic when ``src`` is a dict of options.
+             max_per_trigger: int | None = None, binary: bool = False) -> DataFrame:
+    """Payload rows (``value``) from a folder, or from a topic when ``src`` is a dict of options.
+
+    A folder holds text files with a payload per line, or with ``binary`` files
+    that are one payload each; bytes are taken as they are.
 
     ``max_per_trigger`` bounds the intake of each micro-batch: offsets for a
     topic, files for a folder.
@@ -25,13 +31,17 @@ def read_raw(spark: SparkSession, src: str | dict[str, str], streaming: bool = F
         return reader.format("kafka").options(**options).load()
     if streaming and max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    if binary:
+        # file streams need the source's fixed schema spelt out
+        read = reader.schema(BINARY_FILE) if streaming else reader
+        return read.format("binaryFile").load(src).select(F.col("content").alias("value"))
     return reader.format("text").load(src)
 
 
 def read_pings(spark: SparkSession, src: str | dict[str, str], format: str = "json", streaming: bool = False,
                max_per_trigger: int | None = None, schema: T.StructType = PING) -> Decoded:
     """Decoded pings and the quarantine of payloads that could not be read."""
-    raw = read_raw(spark, src, streaming, max_per_trigger)
+    raw = read_raw(spark, src, streaming, max_per_trigger, binary=format not in ("json", "csv"))
     if format == "json":
         return decode_json(raw.select(F.col("value").cast("string").alias("value")), schema)
     if format == "csv":

@@ -23,24 +23,34 @@ def _in_order(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame
 
 
 class DropRepeats(StatefulProcessor):
-    """Forward a row unless its timestamp equals the last one stored for the key."""
+    """Forward a row unless its timestamp equals the last one stored for the key.
 
-    def __init__(self, ts: str, order: list[str], ttl_ms: int | None):
-        self.ts, self.order, self.ttl_ms = ts, order, ttl_ms
+    With ``ttl_ms`` a stored timestamp is void once it is older than that by
+    the clock of the row that meets it; rows that are dropped do not renew it.
+    """
+
+    def __init__(self, ts: str, order: list[str], ttl_ms: int | None, clock: str | None):
+        self.ts, self.order, self.ttl_ms, self.clock = ts, order, ttl_ms, clock
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         schema = T.StructType([T.StructField("ts", T.LongType())])
-        self.last = handle.getValueState("last", schema, ttlDurationMs=self.ttl_ms)
+        self.last = handle.getValueState("last", schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows, self.order)
         stored = self.last.get() if self.last.exists() else None
-        before = batch[self.ts].shift(1)
-        if stored is not None:
+        # nullable whole numbers: nothing passes through floating point on the way
+        now = batch[self.ts].astype("Int64")
+        before = now.shift(1)
+        if stored is not None and stored[0] is not None:
             before.iloc[0] = stored[0]
-        fresh = before.isna() | (before != batch[self.ts])
-        self.last.update((int(batch[self.ts].iloc[-1]),))
-        yield batch[fresh]
+        repeated = (before == now).fillna(False)
+        if self.ttl_ms is not None:
+            clock = batch[self.clock].astype("Int64") if self.clock else timerValues.getCurrentProcessingTimeInMs()
+            repeated &= (now >= clock - self.ttl_ms).fillna(False)
+        last = now.iloc[-1]
+        self.last.update((None if pd.isna(last) else int(last),))
+        yield batch[~repeated.astype(bool)]
 
     def close(self) -> None:
         pass
@@ -82,10 +92,14 @@ class MatchInCell(StatefulProcessor):
 
 
 def dedup_stream(df: DataFrame, key: str = "driver_id", ts: str = "ts_ms", order: list[str] | None = None,
-                 ttl_ms: int | None = None) -> DataFrame:
-    """Streaming twin of ``dedup_last``; ``ttl_ms`` forgets keys that were silent that long."""
-    mode = "ProcessingTime" if ttl_ms else "None"
-    processor = DropRepeats(ts, order or ["event_id"], ttl_ms)
+                 ttl_ms: int | None = None, clock: str | None = None) -> DataFrame:
+    """Streaming twin of ``dedup_last``.
+
+    With ``ttl_ms`` a timestamp is forgotten once it is older than that by the
+    clock: a column of milliseconds, or processing time.
+    """
+    mode = "ProcessingTime" if ttl_ms and not clock else "None"
+    processor = DropRepeats(ts, order or ["event_id"], ttl_ms, clock)
     return df.groupBy(key).transformWithStateInPandas(processor, df.schema, "append", mode)
 
 

@@ -10,11 +10,16 @@ a probability above 0.9995, at 0.5 with one of 0.14.
 Texts with equal shingle sets are one class from the start, so a third of all
 rows in copies costs one representative.  Half keys that only one class has
 are dropped by a count before any pair is formed; most documents end there.
-Candidates are confirmed on full shingle sets, in two steps that never emit all pairs
-of a group: first each class meets the smallest class that it shares a table
-with; then only classes of *different* components that share a table meet,
-those outside a table's main component against the rest.  Links inside a
-component already found cannot change it.
+
+Candidates are confirmed on full shingle sets, in steps that never emit all
+pairs of a group.  First each class meets the smallest class that it shares a
+table with.  Tables whose classes are one component are then done: links inside
+a component cannot change it.  The classes of the others may be many that are
+alike but not alike enough, so they are dealt anew by their rarest shingles:
+linked sets must share one of those, and classes that cannot reach 0.85 with
+anything have none to share.  What is left meets a few seeded members of the main components,
+and at last all classes of *different* components that share a rare shingle meet.
+Every candidate of the tables is thus confirmed, implied or excluded.
 
 Defined cases: null and empty texts have an empty set and stand alone; rows
 with equal doc_id and different texts are linked like other rows; a component
@@ -26,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .components import components
 from .shingles import mixed, set_digest, shingle_set
@@ -36,6 +41,8 @@ ROWS = 5  # minima in a half key
 HALVES = 15  # half keys on each side
 SHARED, OF = 85, 100  # linked when OF * intersection >= SHARED * union
 BLOCK = 1024
+PROBES = 8  # members of main components that a class meets in a turn
+TURNS = 1
 
 _rng = np.random.default_rng(19_970_611)
 _FLIPS = _rng.integers(0, 2**63, 2 * HALVES * ROWS, dtype=np.uint64)
@@ -122,33 +129,77 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return materialise(both.select("a", "b", "a_text", "b_text").mapInPandas(confirm, "a long, b long"), "links")
 
 
-def cross_pairs(tables: DataFrame, labels: DataFrame, sizes: DataFrame) -> DataFrame:
+def rare_tables(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, class, n_shingles): the rarest shingles of each class among these classes, so many that linked sets share one.
+
+    A set of n shingles shares at least 85 % of them with any set that it is
+    linked with, so not all of its rarest ones, n - ceil(0.85 n) + 1, can be
+    missing there.  A class of which so many occur nowhere else leaves for good.
+    """
+    wanted = texts.join(classes, "class")
+
+    def shingles(batches):
+        for batch in batches:
+            for name, n, text in zip(batch["class"], batch.n_shingles, batch.text, strict=True):
+                yield pd.DataFrame({"key": shingle_set(text).view(np.int64)}).assign(**{"class": name, "n_shingles": n})
+
+    spread = materialise(wanted.select("class", "n_shingles", "text").mapInPandas(shingles, "key long, class long, n_shingles long"), "shingles")
+    uses = spread.groupBy("key").agg(F.count("*").alias("uses")).filter("uses > 1")
+    mine = Window.partitionBy("class")
+    placed = spread.join(uses, "key").withColumns({
+        "place": F.row_number().over(mine.orderBy("uses", "key")), "elsewhere": F.count("*").over(mine)})
+    needed = F.ceil(F.col("n_shingles") * SHARED / OF)
+    return materialise(placed.filter(F.col("place") <= F.col("elsewhere") - needed + 1).select("key", "class", "n_shingles"), "rare")
+
+
+def open_rows(tables: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, class, component, main, n_shingles) of the tables in which different components meet; main is a table's largest."""
+    placed = tables.select("key", "class", "n_shingles").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = counts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
+    return materialise(placed.join(main.select("key", "main"), "key"), "open")
+
+
+def similar_sizes(a: str, b: str) -> Column:
+    return F.least(a, b) * OF >= F.greatest(a, b) * SHARED
+
+
+def probes(rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a class outside a table's main component with a seeded member of it, at most ``PROBES`` for a class."""
+    order = F.xxhash64("class", F.lit(turn))
+    pivots = rows.filter("component = main").groupBy("key").agg(F.min_by(F.struct("class", "n_shingles"), order).alias("pivot"))
+    met = rows.filter("component != main").join(pivots, "key").filter(similar_sizes("n_shingles", "pivot.n_shingles")).select(
+        F.col("class").alias("a"), F.col("pivot.class").alias("b")).distinct()
+    place = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("b", F.lit(turn)), "b"))
+    return met.withColumn("place", place).filter(F.col("place") <= PROBES).select("a", "b")
+
+
+def cross_pairs(rows: DataFrame) -> DataFrame:
     """Distinct pairs of classes that share a table, lie in different components and may be similar by their sizes."""
-    placed = tables.select("key", "class").join(labels, "class", "left").join(sizes, "class")
-    placed = placed.withColumn("component", F.coalesce("component", "class"))
-    open_keys = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high").select("key")
-    rows = materialise(placed.join(open_keys, "key", "left_semi"), "open")
-    main = rows.groupBy("key", "component").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"))
-    rows = rows.join(main, "key")
     a, b = rows.filter("component != main").alias("a"), rows.alias("b")
-    similar = F.least("a.n_shingles", "b.n_shingles") * OF >= F.greatest("a.n_shingles", "b.n_shingles") * SHARED
     # a pair of two outsiders comes up from both sides; distinct makes it one
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & similar).select(
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & similar_sizes("a.n_shingles", "b.n_shingles")).select(
         F.greatest("a.class", "b.class").alias("a"), F.least("a.class", "b.class").alias("b")).distinct()
 
 
+def component_labels(links: DataFrame) -> DataFrame:
+    return components(links).select(F.col("node").alias("class"), "component")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
     rows = profiles(docs)
     classes = classes_of(rows)
     tables = tables_of(classes)
-    sizes = classes.select("class", "n_shingles")
     texts = texts_of(docs, classes.join(tables.select("class").distinct(), "class", "left_semi"))
     stars = tables.filter("class != pivot").groupBy("class").agg(F.min("pivot").alias("b")).select(F.col("class").alias("a"), "b")
     links = linked(stars, texts)
-    labels = components(links).select(F.col("node").alias("class"), "component")
-    more = linked(cross_pairs(tables, labels, sizes), texts)
-    labels = materialise(components(links.unionByName(more)).select(F.col("node").alias("class"), "component"), "labels")
+    rows_open = open_rows(tables.join(classes.select("class", "n_shingles"), "class"), component_labels(links))
+    rare = rare_tables(texts, rows_open.select("class", "n_shingles").distinct())
+    for turn in range(TURNS):
+        links = links.unionByName(linked(probes(open_rows(rare, component_labels(links)), turn), texts))
+    links = links.unionByName(linked(cross_pairs(open_rows(rare, component_labels(links))), texts))
+    labels = materialise(component_labels(links), "labels")
     named = classes.select("class", "digest", "low").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
     by_set = materialise(named.join(lows, "component").select("digest", "component_id"), "sets")

@@ -35,7 +35,7 @@ from .tables import materialise, text_of
 WINDOW = 5
 COVERAGE = 0.8
 LITERALS = 3  # a template window holds at least so many plain words
-TOKEN = re.compile(r"[.!?]+|\d+(?:[.,:/]\d+)*|[^\W\d_]+")
+TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,:/]\d+)*")
 
 # Words that are units after a number, and words that are numbers.
 UNITS = frozenset(
@@ -46,22 +46,18 @@ NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
     "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million".split())
 
-WORD, NAME, NUMBER, UNIT, STOP = range(5)  # kinds, kept in the low bits of a token's code
+WORD, NAME, NUMBER, UNIT = range(4)  # kinds, kept in the low bits of a token's code
 KIND_BITS = np.uint64(7)
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+NAMED, NUMBERED, MEASURED = (np.uint64(x * 0x9E3779B97F4A7C15 % 2**64 & ~7) for x in (1, 2, 3))
 
 
 def code_of(token: str) -> int:
-    """A stable 64-bit code of the lower-cased token with its kind in the low bits."""
+    """A stable 64-bit code of the lower-cased token, one for all numbers, with its kind in the low bits."""
     lower = token.lower()
-    if token[0] in ".!?":
-        kind = STOP
-    elif token[0].isdigit() or lower in NUMBER_WORDS:
-        kind = NUMBER
-    elif lower in UNITS:
-        kind = UNIT
-    else:
-        kind = NAME if token[0].isupper() else WORD
+    if token[0].isdigit() or lower in NUMBER_WORDS:
+        return int(NUMBERED) | NUMBER
+    kind = UNIT if lower in UNITS else NAME if token[0].isupper() else WORD
     digest = hashlib.blake2b(lower.encode("utf-8", "surrogatepass"), digest_size=8).digest()
     return int.from_bytes(digest, "little") & ~7 | kind
 
@@ -81,36 +77,31 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-NAMED, NUMBERED, MEASURED = (np.uint64(x) for x in (0x1111, 0x2222, 0x3333))
-
-
 def windows_of(text: str, codes: Codes):
     """tokens, and the plain and template hashes of each window; template hashes are 0 where there is none."""
     found = TOKEN.findall(text)
     if not found:
         return [], np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     code = np.fromiter(map(codes.__getitem__, found), np.uint64, len(found))
-    kind = code & KIND_BITS
-    keep = np.flatnonzero(kind != STOP)
-    if not len(keep):
-        return [], np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    code, kind = code[keep], kind[keep]
-    number = kind == NUMBER
-    unit = (kind == UNIT) & np.concatenate(([False], number[:-1]))
-    plain = np.where(number, NUMBERED, np.where(unit, MEASURED, mixed(code & ~KIND_BITS)))
-    name = kind == NAME
-    template = np.where(name, NAMED, plain)
-    n = max(1, len(code) - WINDOW + 1)
-    width = min(WINDOW, len(code))
-    p, t, literal, names = np.zeros(n, np.uint64), np.zeros(n, np.uint64), np.zeros(n, np.int8), np.zeros(n, bool)
-    for i in range(width):
-        p += plain[i:i + n] * ODD[i]
-        t += template[i:i + n] * ODD[i]
-        literal += ~(number | unit | name)[i:i + n]
-        names |= name[i:i + n]
-    p, t = mixed(p), mixed(t) | np.uint64(1)
-    t[~(names & (literal >= min(LITERALS, width)))] = 0
-    return [found[i] for i in keep] if len(keep) < len(found) else found, p, t
+    kind = (code & KIND_BITS).astype(np.int8)
+    plain = code & ~KIND_BITS
+    name, number = kind == NAME, kind == NUMBER
+    unit = kind == UNIT
+    if unit.any():
+        unit[1:] &= number[:-1]
+        unit[0] = False
+        plain[unit] = MEASURED
+    n, width = max(1, len(code) - WINDOW + 1), min(WINDOW, len(code))
+    p = sum(plain[i:i + n] * ODD[i] for i in range(width))
+    t = np.zeros(n, np.uint64)
+    if name.any():
+        slots = np.concatenate(([0], np.cumsum(name | number | unit)))
+        names = np.concatenate(([0], np.cumsum(name)))
+        good = (names[width:] > names[:n]) & (width - (slots[width:] - slots[:n]) >= min(LITERALS, width))
+        if good.any():
+            template = np.where(name, NAMED, plain)
+            t[good] = (mixed(sum(template[i:i + n] * ODD[i] for i in range(width))) | np.uint64(1))[good]
+    return found, mixed(p), t
 
 
 def slots_of(tokens: list[str], start: int, codes: Codes, template: bool) -> list[str]:

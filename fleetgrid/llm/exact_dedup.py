@@ -76,7 +76,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     rows = hashed.count()
     marked = with_suspects(hashed, "text_sha256", rows, repeat_filter(with_bits(hashed, "text_sha256", block_count(rows))))
     suspects = marked.filter("suspect").drop("suspect")
-    groups = suspects.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
+    # written, so that the join deals the suspects by itself and the engine may split the rows of a large group
+    groups = materialise(suspects.groupBy("text_sha256").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
     columns = ["doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"]
     alone = marked.filter("NOT suspect").withColumns({"keep_id": F.col("doc_id"), "group_size": F.lit(1).cast("long")})
     return alone.select(*columns).unionByName(suspects.join(groups, "text_sha256").select(*columns))

@@ -130,11 +130,12 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def rare_tables(texts: DataFrame, classes: DataFrame) -> DataFrame:
-    """(key, class, n_shingles): the rarest shingles of each class among these classes, so many that linked sets share one.
+    """(key, class, n_shingles, rest): the rarest shingles of each class among these classes, so many that linked sets share one.
 
     A set of n shingles shares at least 85 % of them with any set that it is
     linked with, so not all of its rarest ones, n - ceil(0.85 n) + 1, can be
     missing there.  A class of which so many occur nowhere else leaves for good.
+    ``rest`` counts the shingles of the class behind this one in the common order.
     """
     wanted = texts.join(classes, "class")
 
@@ -149,12 +150,13 @@ def rare_tables(texts: DataFrame, classes: DataFrame) -> DataFrame:
     placed = spread.join(uses, "key").withColumns({
         "place": F.row_number().over(mine.orderBy("uses", "key")), "elsewhere": F.count("*").over(mine)})
     needed = F.ceil(F.col("n_shingles") * SHARED / OF)
-    return materialise(placed.filter(F.col("place") <= F.col("elsewhere") - needed + 1).select("key", "class", "n_shingles"), "rare")
+    return materialise(placed.filter(F.col("place") <= F.col("elsewhere") - needed + 1).select(
+        "key", "class", "n_shingles", (F.col("elsewhere") - F.col("place")).alias("rest")), "rare")
 
 
 def open_rows(tables: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, class, component, main, n_shingles) of the tables in which different components meet; main is a table's largest."""
-    placed = tables.select("key", "class", "n_shingles").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    """(key, class, component, main, n_shingles, rest) of the tables in which different components meet; main is a table's largest."""
+    placed = tables.join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     counts = placed.groupBy("key", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
     return materialise(placed.join(main.select("key", "main"), "key"), "open")
@@ -175,10 +177,15 @@ def probes(rows: DataFrame, turn: int) -> DataFrame:
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:
-    """Distinct pairs of classes that share a table, lie in different components and may be similar by their sizes."""
+    """Distinct pairs of classes of different components that share a rare shingle and may be similar.
+
+    If it is the first shingle that they share, the sets have at most that one and
+    what follows it in common.  That must be enough; a pair of similar sets passes at its first one.
+    """
     a, b = rows.filter("component != main").alias("a"), rows.alias("b")
+    enough = (F.least("a.rest", "b.rest") + 1) * (OF + SHARED) >= (F.col("a.n_shingles") + F.col("b.n_shingles")) * SHARED
     # a pair of two outsiders comes up from both sides; distinct makes it one
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & similar_sizes("a.n_shingles", "b.n_shingles")).select(
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & enough).select(
         F.greatest("a.class", "b.class").alias("a"), F.least("a.class", "b.class").alias("b")).distinct()
 
 
@@ -194,7 +201,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts = texts_of(docs, classes.join(tables.select("class").distinct(), "class", "left_semi"))
     stars = tables.filter("class != pivot").groupBy("class").agg(F.min("pivot").alias("b")).select(F.col("class").alias("a"), "b")
     links = linked(stars, texts)
-    rows_open = open_rows(tables.join(classes.select("class", "n_shingles"), "class"), component_labels(links))
+    rows_open = open_rows(tables.select("key", "class").join(classes.select("class", "n_shingles"), "class"), component_labels(links))
     rare = rare_tables(texts, rows_open.select("class", "n_shingles").distinct())
     for turn in range(TURNS):
         links = links.unionByName(linked(probes(open_rows(rare, component_labels(links)), turn), texts))

@@ -9,8 +9,10 @@ what ends there, by deep-shallow sorting.  With the common prefixes of both
 orders, two windows are equal when they agree on the bytes before their anchor
 and on those from it on, so equality is decided on bytes, not on hashes.
 
-Most of a text is read twice and never moves: only the surroundings of
-repeated grams do.  The grams' bitmap that the second reading uses is bounded;
+Texts are read three times and do not move before the last join: for their
+grams, for the names of what surrounds repeated grams, and for the bytes of one
+representative of each name.  Surroundings that occur twice are repeated as a whole; only
+different ones are compared.  The bitmaps that the readings use are bounded;
 see ``bitmaps``.  A gram with more than ``HOT_CONTEXTS`` different
 surroundings, such as the end of a passage that a third of all documents
 share, is not sorted in one task: its windows are counted one by one in a
@@ -41,6 +43,7 @@ SPAN = MATCH - GRAM + 1  # grams in a window
 PLACE_BITS = 24
 PIECE = 1 << 22  # bytes of a text that are looked at together
 HOT_CONTEXTS = 50_000
+SENT_ROWS = 20_000  # that a task holds before it sends them
 SORTED_ROWS = 20_000  # rows that are sorted together, more where one gram has more
 
 _up, _down = _Powers(BASE), _Powers(INVERSE)
@@ -122,8 +125,21 @@ def _grams(batches):
             yield pd.DataFrame({"hash": np.concatenate(found).view(np.int64)})
 
 
-def _contexts_of(bitmap: bytes, shift: int):
-    bits = np.frombuffer(bitmap, np.uint8)
+def _marks(key: bytes, place: np.ndarray) -> np.ndarray:
+    """A hash of each place of a text."""
+    return mixed(np.uint64(int.from_bytes(key[:8], "big")) ^ (place.astype(np.uint64) * np.uint64(BASE)))
+
+
+def _named(data: bytes, lo: int, hi: int, at: int, gram: int) -> tuple[bytes, bytes]:
+    """The name of a context, gram first, and its bytes; equal names have equal bytes around equal places."""
+    context = data[lo:hi + MATCH]
+    return gram.to_bytes(8, "big") + hashlib.blake2b(context, digest_size=12, salt=(at - lo).to_bytes(8, "big")).digest(), context
+
+
+def _reader(grams: bytes, gram_shift: int, marks: bytes | None = None, mark_shift: int = 0):
+    """Reads texts for the places of repeated grams, or with ``marks`` for the contexts at the marked places."""
+    bits, marked = np.frombuffer(grams, np.uint8), None if marks is None else np.frombuffer(marks, np.uint8)
+    columns = ["key", "place", "left", "windows", "name", "mark"] if marks is None else ["name", "left", "context"]
 
     def rows(batches):
         for batch in batches:
@@ -131,74 +147,94 @@ def _contexts_of(bitmap: bytes, shift: int):
             for key, text in zip(batch.key, batch.text, strict=True):
                 data = _data(text)
                 place, first, last, gram = anchors(data)
-                hit = in_bitmap(bits, shift, gram)
-                for at, lo, hi, h in zip(place[hit].tolist(), first[hit].tolist(), last[hit].tolist(), gram[hit].view(np.int64).tolist(), strict=True):
-                    context = data[lo:hi + MATCH]
-                    name = hashlib.blake2b(context, digest_size=16, salt=(at - lo).to_bytes(8, "big")).digest()
-                    out.append((key, at, h, name, at - lo, hi - lo + 1, context))
-            yield pd.DataFrame(out, columns=["key", "place", "hash", "name", "left", "windows", "context"])
+                hit = in_bitmap(bits, gram_shift, gram)
+                mark = _marks(bytes(key), place)
+                if marked is not None:
+                    hit &= in_bitmap(marked, mark_shift, mark)
+                for at, lo, hi, h, m in zip(place[hit].tolist(), first[hit].tolist(), last[hit].tolist(), gram[hit].tolist(), mark[hit].view(np.int64).tolist(), strict=True):
+                    name, context = _named(data, lo, hi, at, h)
+                    out.append((key, at, at - lo, hi - lo + 1, name, m) if marked is None else (name, at - lo, context))
+                if len(out) > SENT_ROWS:
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
+            yield pd.DataFrame(out, columns=columns)
 
     return rows
 
 
-CONTEXT_SCHEMA = "key string, place long, hash long, name binary, left int, windows int, context binary"
+PLACE_SCHEMA = "key binary, place long, left int, windows int, name binary, mark long"
+CONTEXT_SCHEMA = "name binary, left int, context binary"
 SPAN_SCHEMA = "name binary, before int, after int"
 
 
+def gram_of(name: str = "name"):
+    return F.substring(F.col(name), 1, 8)
+
+
 def _sorted_spans(batches):
-    """Spans of the contexts of whole grams; the rows come ordered by gram."""
+    """Spans of the contexts of whole grams; the rows come ordered by name, so by gram."""
     held = None
     for batch in batches:
         held = batch if held is None else pd.concat([held, batch], ignore_index=True)
         if len(held) >= SORTED_ROWS:
-            last = held.hash.iloc[-1]
-            whole = held[held.hash != last]
-            if len(whole):
-                yield _spans(whole)
-                held = held[held.hash == last].reset_index(drop=True)
+            last = bytes(held["name"].iloc[-1])[:8]
+            open_ = np.fromiter((bytes(n)[:8] == last for n in held["name"]), bool, len(held))
+            if not open_.all():
+                yield _spans(held[~open_])
+                held = held[open_].reset_index(drop=True)
     if held is not None and len(held):
         yield _spans(held)
 
 
 def _spans(frame: pd.DataFrame) -> pd.DataFrame:
-    before, after = repeated_spans(
-        frame.hash.to_numpy(np.int64), frame.context.tolist(), frame.left.to_numpy(np.int64), frame.windows.to_numpy(np.int64), frame.n.to_numpy(np.int64))
+    frame = frame.drop_duplicates("name")
+    gram = np.array([int.from_bytes(bytes(n)[:8], "big") for n in frame["name"]], np.uint64).view(np.int64)
+    windows = frame.context.map(len).to_numpy(np.int64) - MATCH + 1
+    before, after = repeated_spans(gram, frame.context.tolist(), frame.left.to_numpy(np.int64), windows, np.ones(len(frame), np.int64))
     out = pd.DataFrame({"name": frame["name"].to_numpy(), "before": before, "after": after})
     return out[out.after > 0]
 
 
 def _single_windows(batches):
-    """Every window of every context by itself: (name, place in the window, hash of it, occurrences)."""
+    """Every window of every context by itself: (name, place in the window, hash of it)."""
     for batch in batches:
         out = []
-        for name, left, windows, context, n in zip(batch["name"], batch.left, batch.windows, batch.context, batch.n, strict=True):
-            for s in range(windows):
-                out.append((name, left - s, hashlib.blake2b(context[s:s + MATCH], digest_size=16).digest(), n))
-        yield pd.DataFrame(out, columns=["name", "p", "window", "n"])
-
-
-def spans_of(contexts: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
-    """name, before and after of every context that has a repeated window."""
-    crowded = materialise(contexts.groupBy("hash").agg(F.count("*").alias("different"), F.sum("n").alias("all")).filter("all > 1"), "grams")
-    calm = contexts.join(crowded.filter(F.col("different") <= hot_contexts).select("hash"), "hash", "left_semi")
-    ordered = calm.select("hash", "name", "left", "windows", "context", "n").repartition("hash").sortWithinPartitions("hash")
-    spans = ordered.mapInPandas(_sorted_spans, SPAN_SCHEMA)
-    hot = contexts.join(crowded.filter(F.col("different") > hot_contexts).select("hash"), "hash", "left_semi")
-    single = hot.select("name", "left", "windows", "context", "n").mapInPandas(_single_windows, "name binary, p int, window binary, n long")
-    twice = single.groupBy("p", "window").agg(F.sum("n").alias("all")).filter("all > 1").select("p", "window")
+        for name, left, context in zip(batch["name"], batch.left, batch.context, strict=True):
+            for s in range(len(context) - MATCH + 1):
+                out.append((name, left - s, hashlib.blake2b(context[s:s + MATCH], digest_size=16).digest()))
+        yield pd.DataFrame(out, columns=["name", "p", "window"])
+
+
+def spans_of(contexts: DataFrame, names: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
+    """name, before and after of every context that shares a window with another one."""
+    different = names.groupBy(gram_of().alias("gram")).agg(F.count("*").alias("different"))
+    hot = materialise(different.filter(F.col("different") > hot_contexts).select("gram"), "hot")
+    # the engine checks how large the table of hot grams is; a small one does not move the contexts
+    calm = contexts.join(hot, gram_of() == F.col("gram"), "left_anti")
+    spans = calm.repartition(gram_of()).sortWithinPartitions("name").mapInPandas(_sorted_spans, SPAN_SCHEMA)
+    if hot.isEmpty():
+        return spans
+    single = contexts.join(hot, gram_of() == F.col("gram"), "left_semi").dropDuplicates(["name"]).mapInPandas(_single_windows, "name binary, p int, window binary")
+    twice = single.groupBy("p", "window").agg(F.count("*").alias("all")).filter("all > 1").select("p", "window")
     more = single.join(twice, ["p", "window"]).groupBy("name").agg(F.max("p").alias("before"), (F.lit(MATCH) - F.min("p")).alias("after"))
     return spans.unionByName(more)
 
 
 def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """key (MD5 of the text) and runs, the ordered (start, end) of its maximal repeated runs, for texts that have any."""
-    texts = docs.select(F.md5(text_of()).alias("key"), text_of().alias("text"))
+    texts = docs.select(F.unhex(F.md5(text_of())).alias("key"), text_of().alias("text"))
     twice = materialise(texts.select("text").mapInPandas(_grams, "hash long").groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "grams")
-    found = materialise(texts.mapInPandas(_contexts_of(*bitmap_of(twice)), CONTEXT_SCHEMA), "contexts")
-    contexts = found.groupBy("name").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("hash", "left", "windows", "context")])
-    spans = materialise(spans_of(materialise(contexts, "contexts"), hot_contexts), "spans")
-    pieces = found.select("key", "place", "name").join(spans, "name").select(
-        "key", F.struct((F.col("place") - F.col("before")).alias("start"), (F.col("place") + F.col("after")).alias("end")).alias("piece"))
+    grams = bitmap_of(twice)
+    found = materialise(texts.mapInPandas(_reader(*grams), PLACE_SCHEMA), "places")
+    names = materialise(found.groupBy("name").agg(F.count("*").alias("n"), F.min("mark").alias("hash")), "names")
+    contexts = texts.mapInPandas(_reader(*grams, *bitmap_of(names.select("hash").distinct())), CONTEXT_SCHEMA)
+    # a context that occurs twice is repeated as a whole; the others are compared
+    whole = names.filter("n > 1").select("name", F.lit(True).alias("whole"), F.lit(0).alias("before"), F.lit(0).alias("after"))
+    spans = spans_of(contexts, names, hot_contexts).select("name", F.lit(False).alias("whole"), "before", "after")
+    known = materialise(whole.unionByName(spans).groupBy("name").agg(F.max("whole").alias("whole"), F.max("before").alias("before"), F.max("after").alias("after")), "spans")
+    start = F.when(F.col("whole"), F.col("place") - F.col("left")).otherwise(F.col("place") - F.col("before"))
+    end = F.when(F.col("whole"), F.col("place") - F.col("left") + F.col("windows") - 1 + MATCH).otherwise(F.col("place") + F.col("after"))
+    pieces = found.select("key", "place", "left", "windows", "name").join(known, "name").select("key", F.struct(start.alias("start"), end.alias("end")).alias("piece"))
     # a text has at most one piece for each of its anchors; equal texts have equal pieces
     gathered = pieces.groupBy("key").agg(F.sort_array(F.collect_set("piece")).alias("pieces"))
 
@@ -215,7 +251,7 @@ def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFram
                 out.append(runs)
             yield pd.DataFrame({"key": batch.key, "runs": out})
 
-    return materialise(gathered.mapInPandas(merge, "key string, runs array<array<long>>"), "runs")
+    return materialise(gathered.mapInPandas(merge, "key binary, runs array<array<long>>"), "runs")
 
 
 def cut(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
@@ -235,7 +271,7 @@ def cut(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
             yield pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     runs = repeated_runs(docs, hot_contexts)
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_of().alias("text")).withColumn("_key", F.md5("text"))
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_of().alias("text")).withColumn("_key", F.unhex(F.md5("text")))
     joined = rows.join(runs, F.col("_key") == F.col("key"), "left").select("doc_id", "text", "runs")
     return joined.mapInPandas(measure, "doc_id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string").withColumn(
         "doc_id", F.col("doc_id").cast("long"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from ..session import materialise
+from ..session import scratch_path
 
 # What separates words, as a regular expression (Java and SQL engines alike), and the separator bytes.
 SPACES = r"[\x20\x09-\x0D]+"
@@ -15,6 +15,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Writes ``df`` to a fresh path of the shared folder, compressed hard, and reads it back."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))

@@ -3,8 +3,10 @@
 Texts become token sequences in which numbers and units are typed
 placeholders.  Two forms of every window of five tokens are hashed: the plain
 form, with words in lower case, and the template form, in which capitalised
-words are a placeholder as well.  Windows of documents meet windows of
-benchmark items in a hash join.  Windows that agree at the same shift are one
+words are a placeholder as well.  A window with a name and fewer than three
+plain words is widened for its template form until it holds three: to the
+right, or to the left where the item ends first.  Windows of documents meet
+windows of benchmark items in a hash join.  Windows that agree at the same shift are one
 alignment; the values that its placeholders stand for must map one item value
 to one document value, or the alignment is a coincidence.  A document leaks an
 item when consistent alignments cover at least 80 % of the item's windows, be
@@ -14,8 +16,10 @@ Before the join a bitmap of the benchmark's window hashes drops the document
 windows that cannot match.  Its size is bounded; when a larger benchmark fills
 it, more windows reach the join and nothing is lost.
 
-Defined cases: null or empty texts leak nothing; a text of fewer than five
-tokens is one window; repeated items and rows give repeated pairs once;
+Defined cases: null or empty texts leak nothing; an item of fewer than five
+tokens is one window, found anywhere in a document, and found word for word only
+when fewer than three of its tokens are fixed; an item with fewer than three plain
+words has no template form; repeated items and rows give repeated pairs once;
 rows without doc_id or item_id are named by null and compared like any other;
 empty tables give an empty result; other columns are never looked at.
 """
@@ -49,6 +53,8 @@ NUMBER_WORDS = frozenset(
 WORD, NAME, NUMBER, UNIT = range(4)  # kinds, kept in the low bits of a token's code
 KIND_BITS = np.uint64(7)
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+INVERSE = np.uint64(pow(int(ODD[0]), -1, 2**64))
+TO_RIGHT, TO_LEFT = np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)  # tell the two ways of widening apart
 NAMED, NUMBERED, MEASURED = (np.uint64(x * 0x9E3779B97F4A7C15 % 2**64 & ~7) for x in (1, 2, 3))
 
 
@@ -77,11 +83,29 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def windows_of(text: str, codes: Codes):
-    """tokens, and the plain and template hashes of each window; template hashes are 0 where there is none."""
+def literal_code(token: str) -> int:
+    """A stable 64-bit code of the lower-cased token itself, a number or not."""
+    return int.from_bytes(hashlib.blake2b(token.lower().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") & ~7
+
+
+def range_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, salt: np.uint64) -> np.ndarray:
+    """Hashes of the ranges [start, end) of codes; equal ranges hash alike wherever they begin."""
+    base, inverse = np.full(len(codes) + 1, ODD[0]), np.full(len(codes) + 1, INVERSE)
+    base[0] = inverse[0] = 1
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes * np.cumprod(base)[:-1])))
+    return mixed((sums[end] - sums[start]) * np.cumprod(inverse)[start] ^ salt) | np.uint64(1)
+
+
+def windows_of(text: str, codes: Codes, short: tuple[int, ...] | None = None, widest: int | None = None):
+    """tokens, number of windows, and the forms of the windows: (place, start, end, hash) arrays and whether names are placeholders.
+
+    A text of fewer tokens than ``WINDOW`` is one window.  With ``short`` the
+    windows of these widths are added instead, and of the widened windows only
+    those of at most ``widest`` tokens are made.
+    """
     found = TOKEN.findall(text)
     if not found:
-        return [], np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return [], 0, []
     code = np.fromiter(map(codes.__getitem__, found), np.uint64, len(found))
     kind = (code & KIND_BITS).astype(np.int8)
     plain = code & ~KIND_BITS
@@ -91,23 +115,50 @@ def windows_of(text: str, codes: Codes):
         unit[1:] &= number[:-1]
         unit[0] = False
         plain[unit] = MEASURED
-    n, width = max(1, len(code) - WINDOW + 1), min(WINDOW, len(code))
-    p = sum(plain[i:i + n] * ODD[i] for i in range(width))
-    t = np.zeros(n, np.uint64)
-    if name.any():
-        slots = np.concatenate(([0], np.cumsum(name | number | unit)))
+    size, named, forms = len(code), name.any(), []
+    if named:
+        template = np.where(name, NAMED, plain)
         names = np.concatenate(([0], np.cumsum(name)))
-        good = (names[width:] > names[:n]) & (width - (slots[width:] - slots[:n]) >= min(LITERALS, width))
-        if good.any():
-            template = np.where(name, NAMED, plain)
-            t[good] = (mixed(sum(template[i:i + n] * ODD[i] for i in range(width))) | np.uint64(1))[good]
-    return found, mixed(p), t
-
-
-def slots_of(tokens: list[str], start: int, codes: Codes, template: bool) -> list[str]:
+        words = np.concatenate(([0], np.cumsum(~(name | number | unit))))  # plain words before each token
+    for width in ([WINDOW] if size >= WINDOW else [] if short is not None else [size]) + [w for w in short or () if w <= size]:
+        n = size - width + 1
+        place = np.arange(n)
+        p = mixed(sum(plain[i:i + n] * ODD[i] for i in range(width)))
+        if width < WINDOW and (number.any() or unit.any()):
+            # so short a window with few fixed words agrees word for word or not at all
+            slots = np.concatenate(([0], np.cumsum(number | unit)))
+            few = width - (slots[width:] - slots[:n]) < LITERALS
+            literal = plain.copy()
+            literal[number | unit] = [literal_code(found[i]) for i in np.flatnonzero(number | unit)]
+            p[few] = mixed(sum(literal[i:i + n] * ODD[i] for i in range(width)))[few]
+        forms.append((place, place, place + width, p, False))
+        if not named:
+            continue
+        held, rich = names[width:] > names[:n], words[width:] - words[:n] >= LITERALS
+        good = np.flatnonzero(held & rich)
+        if len(good):
+            t = mixed(sum(template[i:i + n] * ODD[i] for i in range(width))) | np.uint64(1)
+            forms.append((good, good, good + width, t[good], True))
+        poor = np.flatnonzero(held & ~rich) if width == WINDOW and widest != 0 else good[:0]
+        if not len(poor):
+            continue
+        # to the right until it holds enough words, at the end of an item to the left; a document cannot know where items end
+        right = np.searchsorted(words, words[poor] + LITERALS)
+        left = np.searchsorted(words, words[poor + width] - LITERALS, "right") - 1
+        inside = right <= size
+        for ok, start, end, salt in ((inside, poor, right, TO_RIGHT), (left >= 0 if short is not None else ~inside & (left >= 0), left, poor + width, TO_LEFT)):
+            if widest is not None:
+                ok = ok & (end - start <= widest)
+            if ok.any():
+                start, end = start[ok], end[ok]
+                forms.append((poor[ok], start, end, range_hashes(template, start, end, salt), True))
+    return found, max(1, size - WINDOW + 1), forms
+
+
+def slots_of(tokens: list[str], start: int, end: int, codes: Codes, template: bool) -> list[str]:
     """The typed values of a window, in order."""
     out, number = [], start > 0 and codes[tokens[start - 1]] & 7 == NUMBER
-    for token in tokens[start:start + WINDOW]:
+    for token in tokens[start:end]:
         kind = codes[token] & 7
         if kind == NUMBER or kind == UNIT and number or kind == NAME and template:
             out.append(f"{kind}:{token.lower()}")
@@ -115,11 +166,11 @@ def slots_of(tokens: list[str], start: int, codes: Codes, template: bool) -> lis
     return out
 
 
-SCHEMA = "id long, hash long, place int, total int, slots array<string>"
+SCHEMA = "id long, hash long, place int, width int, total int, slots array<string>"
 
 
-def window_rows(texts: DataFrame, bitmap: bytes | None = None, shift: int = 0) -> DataFrame:
-    """One row per window of every (id, text); with a bitmap only those whose hash it holds."""
+def window_rows(texts: DataFrame, bitmap: bytes | None = None, shift: int = 0, short: tuple[int, ...] | None = None, widest: int | None = None) -> DataFrame:
+    """One row per form of every window of every (id, text); with a bitmap only those whose hash it holds."""
 
     def rows(batches):
         codes = Codes()
@@ -127,13 +178,13 @@ def window_rows(texts: DataFrame, bitmap: bytes | None = None, shift: int = 0) -
         for batch in batches:
             out = []
             for key, text in zip(batch.id, batch.text, strict=True):
-                tokens, plain, template = windows_of(text, codes)
-                for hashes, form in ((plain, False), (template, True)):
-                    ok = hashes != 0
-                    if bits is not None:
-                        ok &= in_bitmap(bits, shift, hashes)
-                    out += [(key, h, i, len(plain), slots_of(tokens, i, codes, form)) for i, h in zip(np.flatnonzero(ok).tolist(), hashes[ok].view(np.int64).tolist(), strict=True)]
-            yield pd.DataFrame(out, columns=["id", "hash", "place", "total", "slots"]).astype({"id": "Int64"})
+                tokens, total, forms = windows_of(text, codes, short, widest)
+                for place, start, end, hashes, form in forms:
+                    at = np.arange(len(hashes)) if bits is None else np.flatnonzero(in_bitmap(bits, shift, hashes))
+                    if len(at):
+                        out += [(key, h, i, e - s, total, slots_of(tokens, s, e, codes, form)) for i, s, e, h in zip(
+                            place[at].tolist(), start[at].tolist(), end[at].tolist(), hashes[at].view(np.int64).tolist(), strict=True)]
+            yield pd.DataFrame(out, columns=["id", "hash", "place", "width", "total", "slots"]).astype({"id": "Int64"})
 
     return texts.mapInPandas(rows, SCHEMA)
 
@@ -142,7 +193,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) ->
     """doc_id, item_id, windows, matched and reparameterised for every document that leaks an item."""
     items = materialise(window_rows(benchmark.select(F.col("item_id").cast("long").alias("id"), text_of().alias("text"))), "items")
     bitmap, shift = bitmap_of(items.select("hash").distinct())
-    hits = window_rows(docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")), bitmap, shift)
+    # at most WINDOW - 1 short widths, and the widest window of all items
+    seen = items.agg(F.collect_set(F.when(F.col("width") < WINDOW, F.col("width"))).alias("short"), F.max(F.when(F.col("width") > WINDOW, F.col("width"))).alias("widest")).first()
+    hits = window_rows(docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")), bitmap, shift, tuple(sorted(seen.short)), seen.widest or 0)
     d, i = hits.alias("d"), items.alias("i")
     met = d.join(i, F.col("d.hash") == F.col("i.hash")).select(
         F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), F.col("i.place").alias("place"), F.col("i.total").alias("windows"),

@@ -175,6 +175,24 @@ def test_leaks_with_other_numbers_and_names(spark):
     assert out == {1: False, 2: True}
 
 
+def leaked(spark, texts, items):
+    out = decontamination.leaks(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    return {(r.doc_id, r.item_id): r.reparameterised for r in out.collect()}
+
+
+def test_leaks_of_an_item_dense_in_names(spark):
+    item = "Alice has 5 apples. Bob has 3 apples. Carol has 7 apples. How many apples do they have?"
+    changed = item.replace("Alice", "Maria").replace("Bob", "Otto").replace("Carol", "Eve")
+    other = changed.replace("5", "9").replace("3", "4").replace("7", "8")
+    crossed = item.replace("Alice", "Maria").replace("Bob", "Maria").replace("apples. How", "pears. How").replace("many apples", "many pears")
+    # the names stand at the end, where a window can only grow to the left
+    tail = "they sold all of the old apples to Alice 5 Bob 3 Carol 7"
+    moved = "then " + tail.replace("Alice", "Maria").replace("Bob", "Otto").replace("Carol", "Eve") + " and Left it there"
+    unlike = "Maria has 5 pears. Otto sold 3 plums. Eve ate 7 figs. How much fruit was there in the end?"
+    got = leaked(spark, [item, f"{messy.prose(70, 9)} {changed} {messy.prose(71, 9)}", other, crossed, moved, unlike], [item, tail])
+    assert got == {(0, 0): False, (1, 0): True, (2, 0): True, (4, 1): True}
+
+
 def test_cut_against_every_window(docs):
     data = [r[:2] for r in messy.rows()]
     want = sorted(messy.cut_texts(data), key=KEY)

@@ -7,9 +7,10 @@ of tags and classes, digits made ``#``.  Spark adds the scores up per host and
 path; a host that has a third of all pages is one pre-aggregated sum.  Pass two
 extracts, from every page, the elements at the winning path of its host, or at the
 next path in the host's order that the page has; a page with none of them
-uses its own best container.
+uses its own best container.  What is extracted is the whole article or main around
+that element, or without one the outermost element below the body.
 
-Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by tag, role, class or id at either pass.
 
 Defined cases: null or empty html gives empty text; null urls and urls without
@@ -47,7 +48,7 @@ SIGNS = re.compile(
     r"nav|navbar|navigation|menu|menus|breadcrumbs?|sidebars?|aside|footers?|masthead|banners?|cookies?|consent|gdpr|notices?|alerts?|"
     r"ads?|advert|adverts|advertisements?|advertising|sponsor|sponsored|promo|promos|promotion|comments?|disqus|respond|replies|share|sharing|"
     r"social|related|recommended|newsletter|subscribe|signup|login|popup|modal|overlay|widgets?|pagination|pager|toolbar|skip|hidden|adsense|topbar")
-PARAGRAPHS = frozenset("p h1 h2 h3 h4 h5 h6 li dt td th pre blockquote".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table select".split())
 
@@ -79,10 +80,10 @@ def is_noise(tag: str, given: dict[str, str], inside_article: bool) -> bool:
 
 
 class Block:
-    __slots__ = ("text", "links", "owners")
+    __slots__ = ("text", "links", "owners", "heading")
 
-    def __init__(self, text: str, links: int, owners: list[int]):
-        self.text, self.links, self.owners = text, links, owners
+    def __init__(self, text: str, links: int, owners: list[int], heading: bool):
+        self.text, self.links, self.owners, self.heading = text, links, owners, heading
 
 
 def parse(page: str | None) -> tuple[list[str], list[Block]]:
@@ -99,7 +100,7 @@ def parse(page: str | None) -> tuple[list[str], list[Block]]:
         if words:
             text = " ".join("".join(words).split())
             if text:
-                blocks.append(Block(text, links, [n for _, _, n, _, _ in stack if n >= 0]))
+                blocks.append(Block(text, links, [n for _, _, n, _, _ in stack if n >= 0], any(x[0] in HEADINGS for x in stack)))
             words.clear()
         links = 0
 
@@ -178,12 +179,37 @@ def container_scores(paths: list[str], blocks: list[Block]) -> dict[str, float]:
     return {p: s / total for p, s in scores.items()} if total > 0 else {}
 
 
+def root_of(paths: list[str], owners: list[int]) -> tuple[int, bool]:
+    """Of the last of nested containers: the outermost article or main around it, else the outermost element below the body; and which it is."""
+    tags = [paths[n][len(paths[up]) if up >= 0 else 0:][1:].split(".")[0] for up, n in zip([-1, *owners], owners, strict=False)]
+    for n, tag in zip(owners, tags, strict=True):
+        if tag in ("article", "main"):
+            return n, True
+    return next((n for n, tag in zip(owners, tags, strict=True) if tag != "body"), owners[-1]), False
+
+
 def main_text(page: str | None, ranked: list[str]) -> str:
-    """The blocks in the elements at the first of the ranked paths that the page has, else in its own best container."""
+    """The blocks around the first of the ranked paths that the page has, else around its own best container.
+
+    All of the article or main around it is kept.  Without one, all of the
+    outermost element below the body is, but for blocks that are mostly links and
+    lie outside the path: menus without a name.
+    """
     paths, blocks = parse(page)
     own = container_scores(paths, blocks)
     chosen = next((p for p in ranked if p in own), None) or max(own, key=lambda p: (own[p], p), default=None)
-    return "\n".join(b.text for b in blocks if chosen is None or any(paths[o] == chosen for o in b.owners))
+    roots: dict[int, bool] = {}
+    for b in blocks:
+        place = next((i for i, o in enumerate(b.owners) if paths[o] == chosen), None)
+        if place is not None:
+            root, article = root_of(paths, b.owners[:place + 1])
+            roots[root] = article
+
+    def kept(b: Block) -> bool:
+        around = [roots[o] for o in b.owners if o in roots]
+        return any(around) or bool(around) and (b.heading or 2 * b.links <= len(b.text) or any(paths[o] == chosen for o in b.owners))
+
+    return "\n".join(b.text for b in blocks if chosen is None or kept(b))
 
 
 def host_paths(pages: DataFrame) -> DataFrame:

@@ -118,6 +118,21 @@ def test_main_text(spark, pages):
     assert html_extraction.extract(pages).count() == len(PAGES)
 
 
+LINES = "long, text, here and so on, " * 8
+ARTICLES = {
+    "<article><h1>T</h1><div class=lead>Lead.</div><div class=content><p>%s</p></div></article>": "T\nLead.\n%s",
+    "<article><h1>T</h1><p>Intro.</p><ul><li>%s<li>b, c</ul><p>End.</p></article>": "T\nIntro.\n%s\nb, c\nEnd.",
+    "<article><p>Intro.</p><table><tr><td>%s</td><td>x</td></tr></table><blockquote>Q.</blockquote></article>": "Intro.\n%s\nx\nQ.",
+    "<main><h1>T</h1><section class=a><p>%s</p></section><section class=b><p>B.</p></section></main>": "T\n%s\nB.",
+    "<div class=post><h1><a href=/>T</a></h1><ul><li><a>Home</a></ul><div class=lead>Lead.</div><div class=content><p>%s</p></div></div>": "T\nLead.\n%s"}
+
+@pytest.mark.parametrize("host", [False, True])
+def test_all_of_an_article_is_kept(spark, host):
+    rows = [(i, f"http://h{i if host else 0}/", f"<body><nav>No</nav>{a % LINES}<footer>No</footer></body>") for i, a in enumerate(ARTICLES)]
+    out = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, PAGE_SCHEMA)).collect()}
+    assert [out[i] for i in range(len(rows))] == [want % LINES.strip() for want in ARTICLES.values()]
+
+
 def test_a_host_outvotes_a_single_page(spark):
     usual = '<div class="story"><p>{0}, one, two, three, four.</p><p>{0}, five.</p></div><div class="more"><p>{0}.</p></div>'
     odd = '<div class="story"><p>Short.</p></div><div class="more"><p>' + "long, long, long, " * 20 + "</p><p>and more, more</p></div>"

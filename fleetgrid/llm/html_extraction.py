@@ -10,8 +10,11 @@ next path in the host's order that the page has; a page with none of them
 uses its own best container.  What is extracted is the whole article or main around
 that element, or without one the outermost element below the body.
 
-, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out by tag, role, class or id at either pass.
+Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles and
+reader comments are left out by tag, role, class or id at either pass.  A role, class, id or form
+around the main or all articles of the page, or around most of its text, is the
+layout's and drops nothing; neither do names such as has-sidebar, no-comments or
+modal-open.  When nothing is left, only tags that never hold an article are noise.
 
 Defined cases: null or empty html gives empty text; null urls and urls without
 a host vote together; a page without containers gives the text of its body; a tag that is
@@ -48,6 +51,13 @@ SIGNS = re.compile(
     r"nav|navbar|navigation|menu|menus|breadcrumbs?|sidebars?|aside|footers?|masthead|banners?|cookies?|consent|gdpr|notices?|alerts?|"
     r"ads?|advert|adverts|advertisements?|advertising|sponsor|sponsored|promo|promos|promotion|comments?|disqus|respond|replies|share|sharing|"
     r"social|related|recommended|newsletter|subscribe|signup|login|popup|modal|overlay|widgets?|pagination|pager|toolbar|skip|hidden|adsense|topbar")
+# signs that name a kind of content, which may be most of a page and still be noise
+CONTENT_SIGNS = re.compile(
+    r"footers?|banners?|cookies?|consent|gdpr|notices?|alerts?|ads?|advert|adverts|advertisements?|advertising|sponsor|sponsored|promo|promos|promotion|"
+    r"related|recommended|newsletter|subscribe|signup|login|adsense")
+MODIFIERS = frozenset("has no non not with without hide show".split())  # before a sign: the element tells of noise elsewhere
+STATES = frozenset("open opened closed enabled disabled active layout".split())  # the same as the last word of a name
+READER_SIGNS = re.compile(r"comments?|disqus|respond|replies")
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table select".split())
@@ -67,16 +77,39 @@ def generalised(tag: str, classes: str) -> str:
     return ".".join([tag, *sorted({re.sub(r"\d+", "#", c.lower()) for c in classes.split()})])
 
 
-def is_noise(tag: str, given: dict[str, str], inside_article: bool) -> bool:
-    if tag in SKIPPED or tag == "header" and not inside_article:
-        return True
+NAMED, CONTENT, READERS, HARD = 1, 2, 3, 4  # noise by a name that may be the layout's; by a kind of content; reader comments; whatever it holds
+SHARE = {NAMED: 0.5, CONTENT: 0.95, READERS: 2.0, HARD: 2.0}  # holding more of the page's text, an element is layout; comments may outweigh the article
+
+
+def named_noise(names: list[str]) -> int:
+    """What the classes and the id of an element say: 0, NAMED, CONTENT or READERS."""
+    found = 0
+    for name in names:
+        words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
+        if len(words) > 1 and words[-1] in STATES:
+            continue
+        for before, word in zip(["", *words], words, strict=False):
+            if before not in MODIFIERS and SIGNS.fullmatch(word):
+                found = max(found, READERS if READER_SIGNS.fullmatch(word) else CONTENT if CONTENT_SIGNS.fullmatch(word) else NAMED)
+    return found
+
+
+def noise_of(tag: str, given: dict[str, str], inside_article: bool) -> int:
+    """0, or what kind of noise an element is by its tag and attributes."""
+    if tag == "form":
+        return NAMED
+    if tag in SKIPPED:
+        return HARD
+    if tag == "header" and not inside_article:
+        return CONTENT
     if not given or tag in ("html", "body", "article", "main"):
-        return False
-    if given.get("role", "").lower() in ROLES or "hidden" in given or given.get("aria-hidden", "").lower() == "true":
-        return True
-    names = re.sub(r"([a-z])([A-Z])", r"\1 \2", f"{given.get('class', '')} {given.get('id', '')}").lower()
-    words = re.split(r"[^a-z]+", names)
-    return any(SIGNS.fullmatch(w) for w in words) or "header" in words and not inside_article
+        return 0
+    if "hidden" in given:
+        return HARD
+    names = [*given.get("class", "").split(), *given.get("id", "").split()]
+    if given.get("role", "").lower() in ROLES or not inside_article and any("header" in re.split(r"[^a-z]+", n.lower()) for n in names):
+        return max(CONTENT, named_noise(names))
+    return max(named_noise(names), NAMED if given.get("aria-hidden", "").lower() == "true" else 0)
 
 
 class Block:
@@ -86,36 +119,70 @@ class Block:
         self.text, self.links, self.owners, self.heading = text, links, owners, heading
 
 
+class Element:
+    __slots__ = ("tag", "path", "parent", "noise", "article", "link", "real", "size", "mains", "articles")
+
+    def __init__(self, tag: str, path: str, parent: int, noise: int, article: bool, link: bool, real: bool):
+        self.tag, self.path, self.parent, self.noise, self.article, self.link = tag, path, parent, noise, article, link
+        self.real, self.size, self.mains, self.articles = real, 0, 0, 0  # an article or main that no name says to be noise
+
+
+def left_out(elements: list[Element], pieces: list[tuple[str, int]]) -> list[bool]:
+    """Whether each element is noise or lies in noise.
+
+    A name or role does not count where the element holds a main, every
+    article of the page, or most of its text: it then belongs to the layout.
+    When nothing is left, names and roles do not count at all.
+    """
+    hard: list[bool] = []
+    for e in elements:
+        hard.append(e.parent >= 0 and hard[e.parent] or e.noise == HARD)
+    total = mains = articles = 0
+    for text, at in pieces:
+        if at < 0 or not hard[at]:
+            size = len(text.strip())
+            total += size
+            if at >= 0:
+                elements[at].size += size
+    for i in range(len(elements) - 1, -1, -1):
+        e = elements[i]
+        if hard[i]:
+            continue
+        own = e.real and e.tag == "main", e.real and e.tag == "article"
+        mains, articles = mains + own[0], articles + own[1]
+        e.mains, e.articles = e.mains + own[0], e.articles + own[1]
+        if e.parent >= 0:
+            up = elements[e.parent]
+            up.size, up.mains, up.articles = up.size + e.size, up.mains + e.mains, up.articles + e.articles
+    out: list[bool] = []
+    for e, h in zip(elements, hard, strict=True):
+        layout = not e.noise or e.mains or e.articles and e.articles == articles or e.size > total * SHARE.get(e.noise, 0)
+        out.append(h or e.parent >= 0 and out[e.parent] or not layout)
+    return hard if all(at >= 0 and out[at] or not text.strip() for text, at in pieces) else out
+
+
 def parse(page: str | None) -> tuple[list[str], list[Block]]:
     """The paths of the containers, by number, and the blocks of text with the containers around them, innermost last."""
-    paths: list[str] = []
-    blocks: list[Block] = []
-    # of each open element: tag, path, number of its container or -1, whether it is noise, whether it lies in an article
-    stack: list[tuple[str, str, int, bool, bool]] = []
-    words: list[str] = []
-    links = 0
+    elements: list[Element] = []
+    stack: list[int] = []
+    # of each block: its pieces of text with the element around each, and the elements that are open
+    runs: list[tuple[list[tuple[str, int]], list[int]]] = []
+    words: list[tuple[str, int]] = []
 
     def flush() -> None:
-        nonlocal links
+        nonlocal words
         if words:
-            text = " ".join("".join(words).split())
-            if text:
-                blocks.append(Block(text, links, [n for _, _, n, _, _ in stack if n >= 0], any(x[0] in HEADINGS for x in stack)))
-            words.clear()
-        links = 0
+            runs.append((words, list(stack)))
+            words = []
 
     def close(at: int) -> None:
-        if any(x[0] in BLOCKS for x in stack[at:]):
+        if any(elements[x].tag in BLOCKS for x in stack[at:]):
             flush()
         del stack[at:]
 
     def add(text: str) -> None:
-        nonlocal links
-        if text and not (stack and stack[-1][3]):
-            text = html.unescape(text)
-            words.append(text)
-            if any(x[0] == "a" for x in stack):
-                links += len(text)
+        if text:
+            words.append((html.unescape(text), stack[-1] if stack else -1))
 
     page, at = page or "", 0
     for m in TOKEN.finditer(page):
@@ -126,7 +193,7 @@ def parse(page: str | None) -> tuple[list[str], list[Block]]:
             continue
         if m["end"]:
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == tag:
+                if elements[stack[i]].tag == tag:
                     close(i)
                     break
             else:
@@ -134,36 +201,49 @@ def parse(page: str | None) -> tuple[list[str], list[Block]]:
                     flush()
             continue
         if tag == "br":
-            words.append(" ")
+            words.append((" ", stack[-1] if stack else -1))
             continue
         if tag in BLOCKS:
             # a paragraph ends where a block begins, with what is open inside it; a list item where the next one does
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == "p":
+                if elements[stack[i]].tag == "p":
                     close(i)
-                elif stack[i][0] in BLOCKS:
+                elif elements[stack[i]].tag in BLOCKS:
                     break
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSED_BY.get(tag, ()):
+                if elements[stack[i]].tag in CLOSED_BY.get(tag, ()):
                     close(i)
-                elif stack[i][0] in SCOPES:
+                elif elements[stack[i]].tag in SCOPES:
                     break
             flush()
         if tag in VOID or m["attrs"].endswith("/") and tag not in BLOCKS:
             continue
         given = attributes(m["attrs"])
-        article = bool(stack) and stack[-1][4] or tag in ("article", "main")
-        noise = bool(stack) and stack[-1][3] or is_noise(tag, given, article)
-        path = stack[-1][1] if stack else ""
-        number = -1
+        up = elements[stack[-1]] if stack else None
+        article = up is not None and up.article or tag in ("article", "main")
+        path = up.path if up else ""
         if tag in CONTAINERS:
             path = f"{path}/{generalised(tag, given.get('class', ''))}"
-            if not noise:
-                number = len(paths)
-                paths.append(path)
-        stack.append((tag, path, number, noise, article))
+        real = tag == "main" or tag == "article" and not named_noise([*given.get("class", "").split(), *given.get("id", "").split()])
+        elements.append(Element(tag, path, stack[-1] if stack else -1, noise_of(tag, given, article), article, up is not None and up.link or tag == "a", real))
+        stack.append(len(elements) - 1)
     add(page[at:])
     flush()
+
+    noise = left_out(elements, [w for run, _ in runs for w in run])
+    paths: list[str] = []
+    numbers = [-1] * len(elements)
+    for i, e in enumerate(elements):
+        if e.tag in CONTAINERS and not noise[i]:
+            numbers[i] = len(paths)
+            paths.append(e.path)
+    blocks: list[Block] = []
+    for run, around in runs:
+        kept = [(text, at) for text, at in run if at < 0 or not noise[at]]
+        text = " ".join("".join(text for text, _ in kept).split())
+        if text:
+            links = sum(len(text) for text, at in kept if at >= 0 and elements[at].link)
+            blocks.append(Block(text, links, [numbers[i] for i in around if numbers[i] >= 0], any(elements[i].tag in HEADINGS for i in around)))
     return paths, blocks
 
 

@@ -126,6 +126,10 @@ ARTICLES = {
     "<main><h1>T</h1><section class=a><p>%s</p></section><section class=b><p>B.</p></section></main>": "T\n%s\nB.",
     "<div class=post><h1><a href=/>T</a></h1><ul><li><a>Home</a></ul><div class=lead>Lead.</div><div class=content><p>%s</p></div></div>": "T\nLead.\n%s"}
 
+WRAPPERS = ["<div id=page class='has-sidebar'>%s</div>", "<div class='no-comments'>%s</div>", "<div class='content-widget'>%s</div>", "<div class=modal-open>%s</div>", "<form>%s</form>",
+            "<div aria-hidden=true>%s</div>", "<div id=login class=related>%s</div>"]
+
+
 @pytest.mark.parametrize("host", [False, True])
 def test_all_of_an_article_is_kept(spark, host):
     rows = [(i, f"http://h{i if host else 0}/", f"<body><nav>No</nav>{a % LINES}<footer>No</footer></body>") for i, a in enumerate(ARTICLES)]
@@ -133,6 +137,17 @@ def test_all_of_an_article_is_kept(spark, host):
     assert [out[i] for i in range(len(rows))] == [want % LINES.strip() for want in ARTICLES.values()]
 
 
+def test_names_of_layout_drop_no_article():
+    inner = f"<article><p>A.</p><p>{LINES}</p></article><div class=comments><article class=comment>{LINES * 9}</article></div>"
+    for wrapper in WRAPPERS:
+        assert html_extraction.main_text(f"<body><nav>x</nav>{wrapper % inner}</body>", []) == f"A.\n{LINES.strip()}"
+        assert html_extraction.main_text(f"<body><nav>x</nav>{wrapper % f'<div class=c><p>{LINES}</p></div>'}</body>", []) == LINES.strip()
+    noise = f"<section class=comments><p>{LINES * 9}</p></section><div class='cookie-notice'>{LINES * 2}</div><div class=related><article>r</article></div>"
+    assert html_extraction.main_text(f"<body><div class=post><p>Short.</p></div>{noise.replace('article', 'b')}</body>", []) == "Short."
+    assert html_extraction.main_text(f"<body><article>Short.</article>{noise}</body>", []) == "Short."
+    assert html_extraction.main_text("<body><div class=cookie-notice><p>only this</p></div></body>", []) == "only this"
+
+
 def test_a_host_outvotes_a_single_page(spark):
     usual = '<div class="story"><p>{0}, one, two, three, four.</p><p>{0}, five.</p></div><div class="more"><p>{0}.</p></div>'
     odd = '<div class="story"><p>Short.</p></div><div class="more"><p>' + "long, long, long, " * 20 + "</p><p>and more, more</p></div>"

@@ -1,7 +1,8 @@
 """Secret scans: candidate strings, and a random forest that removes false positives.
 
 Candidates are runs of at least ``SHORTEST`` characters of ``[A-Za-z0-9+/_-]`` with a digit, anywhere in
-a text.  Each is described by its length, the shares of its character classes,
+a text, and the whole values that are assigned to a secret's name, of any length
+and characters.  Each is described by its length, the shares of its character classes,
 the transitions between those classes, how much of it dictionary words cover,
 how often findings on its path (the document's source) and next to its
 neighbouring words were secrets, and a forest trained on labelled findings
@@ -43,6 +44,14 @@ FEATURES = ["length", "digits", "upper", "distinct", "coverage", "path_rate", *[
 # What marks a finding of the registered query as a secret: published key formats and names that secrets are assigned to.
 KEY_FORMAT = r"^(?:AKIA|ASIA)[A-Z0-9]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abprs]-[A-Za-z0-9-]{10,}$"
 SECRET_NAMES = "password passwd pwd secret token apikey api_key access_key auth".split()
+# What stands where a value would: no secret, though assigned to a secret's name.
+PLACEHOLDER = r"(?i)^(?:true|false|null|nil|none|undefined|required|optional|string|yes|no|n/a|changeme|redacted|\W+|x+|\$\{.*|\{\{.*|\{\w*\}|<.*>|\[\w*\]|%\w|\$\w+|[\w.]+\(.*|(?:os|process)\.\w+.*)$"
+# A secret's name, also as the end of a longer name, what assigns, and a value: quoted, or up to a blank or the next assignment.
+NAME = r"(?i)(?<![a-z])(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)"
+ASSIGNS = NAME + r"\\?[\"']?\s*(?::=|=>|={1,2}|:)\s*"
+ASSIGNED = ASSIGNS + (
+    r"(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|`([^`\n]+)`|"
+    r"((?!\"\"|'')(?:(?![&,;][\"']?[A-Za-z_][\w.-]*[\"']?[=:])\S)+))")
 
 
 def plain_word(word: Column) -> Column:
@@ -51,18 +60,41 @@ def plain_word(word: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, path, word (its number), part, candidate and its neighbouring words."""
-    rows = docs.select("doc_id", F.col("source").cast("string").alias("path"), text_of().alias("text")).filter(F.col("text").rlike(CANDIDATE))
-    words = rows.select("doc_id", "path", F.split("text", SPACES).alias("words"))
-    places = F.filter(F.transform("words", lambda w, i: F.when(w.rlike(CANDIDATE), i)), lambda i: i.isNotNull())
-    placed = words.select("doc_id", "path", "words", F.explode(places).alias("word"))
+    """doc_id, path, word (its number), part, candidate and its neighbouring words.
+
+    A run's ``part`` counts the runs of its word; values that are no run of the
+    word where they begin are numbered on from there, in the order of the text.
+    """
+    read = docs.select("doc_id", F.col("source").cast("string").alias("path"), text_of().alias("text"))
     at = lambda back: F.when(F.col("word") >= back, F.element_at("words", F.col("word") + 1 - back))
     own = F.element_at("words", F.col("word") + 1)
-    return placed.select(
-        "doc_id", "path", "word", F.posexplode(F.regexp_extract_all(own, F.lit(CANDIDATE), 0)).alias("part", "candidate"),
-        plain_word(at(1)).alias("before"), plain_word(at(2)).alias("before2"),
+    near = [plain_word(at(1)).alias("before"), plain_word(at(2)).alias("before2")]
+
+    words = read.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", "path", F.split("text", SPACES).alias("words"))
+    places = F.filter(F.transform("words", lambda w, i: F.when(w.rlike(CANDIDATE), i)), lambda i: i.isNotNull())
+    placed = words.select("doc_id", "path", "words", F.explode(places).alias("word"))
+    runs = placed.select(
+        "doc_id", "path", "word", F.posexplode(F.regexp_extract_all(own, F.lit(CANDIDATE), 0)).alias("part", "candidate"), *near,
         plain_word(F.regexp_extract(own, r"^[^A-Za-z]*([A-Za-z_]+)[=:]", 1)).alias("inside"))
 
+    # the text between assignments and the assignments alternate; blanks before a value tell its word
+    blanks = lambda c: F.regexp_count(c, F.lit(SPACES))
+    cut = read.filter(F.col("text").rlike(ASSIGNED)).select(
+        "doc_id", "path", F.split("text", SPACES).alias("words"), F.regexp_extract_all("text", F.lit(ASSIGNED), 0).alias("all"), F.split("text", ASSIGNED, -1).alias("between"))
+    told = cut.withColumn("counts", F.zip_with(F.slice("between", 1, F.size("all")), "all", lambda b, a: F.struct(
+        blanks(b).alias("before"), blanks(F.regexp_extract(a, ASSIGNS, 0)).alias("own"), blanks(a).alias("all"))))
+    each = told.select("doc_id", "path", "words", "counts", F.posexplode("all").alias("number", "found"))
+    count = F.element_at("counts", F.col("number") + 1)
+    earlier = F.aggregate(F.slice("counts", F.lit(1), F.col("number")), F.lit(0), lambda n, c: n + c["before"] + c["all"])
+    bare = F.regexp_replace(F.regexp_extract("found", ASSIGNED, 5), r"(?<=.)[.,;]+$", "")
+    value = F.concat(*[F.regexp_extract("found", ASSIGNED, k) for k in (2, 3, 4)], bare)
+    valued = each.select("doc_id", "path", "words", "number", (earlier + count["before"] + count["own"]).alias("word"), value.alias("candidate"),
+                         F.translate(F.lower(F.regexp_extract("found", ASSIGNED, 1)), "-", "_").alias("inside"))
+    own_runs = F.regexp_extract_all(own, F.lit(CANDIDATE), 0)
+    values = valued.filter(~F.array_contains(own_runs, F.col("candidate"))).select(
+        "doc_id", "path", "word", (F.size(own_runs) + F.col("number")).alias("part"), "candidate", *near, "inside")
+    return runs.unionByName(values)
+
 
 def letters_of(candidate: Column) -> Column:
     return F.regexp_extract_all(F.lower(candidate), F.lit("[a-z]{4,}"), 0)
@@ -125,11 +157,11 @@ def score_findings(found: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def rule_label() -> Column:
-    """1 for published key formats and values assigned to a secret's name, else 0."""
+    """1 for published key formats and values assigned to a secret's name, but for placeholders, else 0."""
     named = F.lit(False)
     for column in NEIGHBOURS:
         named = named | F.col(column).isin(SECRET_NAMES)
-    return F.when(F.col("candidate").rlike(KEY_FORMAT) | named, 1).otherwise(0)
+    return F.when(F.col("candidate").rlike(KEY_FORMAT) | named & ~F.col("candidate").rlike(PLACEHOLDER), 1).otherwise(0)
 
 
 def scan(docs: DataFrame) -> DataFrame:

@@ -250,6 +250,21 @@ def test_secrets(spark):
     assert all(r.is_secret == (d < 200) and 0 <= r.score <= 1 for d, r in out.items())
 
 
+def test_whole_values_of_secret_names(spark):
+    text = """the password = "hunter2", pwd: Tr0ub4dor&3 and
+ DB_PASSWORD='correct horse  battery' x?user=a&token=ab.cd-ef&auth=zyx {"api-key": "abcdefGHIJklmnopQRST"} passwd:=p@ss;w0rd! secret => a1B2c3D4e5F6g7H8i9.J1k2L3m4N5o6P7q8 end
+ password=0123456789abcdef01 the secret of it, token: null, tokens = 3, author: Bob. auth: ''"""
+    got = sorted((r.word, r.part, r.candidate, r.inside) for r in secrets.candidates(spark.createDataFrame([(1, text, "a"), (2, None, "a")], "doc_id long, text string, source string")).collect())
+    words = re.split(r"\s+", text)
+    assert [c for _, _, c, _ in got] == ["hunter2", "Tr0ub4dor&3", "correct horse  battery", "ab.cd-ef", "zyx", "abcdefGHIJklmnopQRST", "p@ss;w0rd!",
+                                         "a1B2c3D4e5F6g7H8i9", "J1k2L3m4N5o6P7q8", "a1B2c3D4e5F6g7H8i9.J1k2L3m4N5o6P7q8", "0123456789abcdef01", "null"]
+    assert all(c.split()[0] in words[w] for w, _, c, _ in got) and len({g[:2] for g in got}) == len(got)
+    assert [n for *_, n in got if n] == ["password", "pwd", "password", "token", "auth", "api_key", "passwd", "secret", "password", "token"]
+    data = [(i, f"{messy.prose(i, 8)} password = 'pw{i}!x' {messy.prose(i, 4)} token: null {messy.prose(i, 2)}", "en", "a", 1) for i in range(120)]
+    found = secrets.scan(messy.documents(spark, data)).collect()
+    assert len(found) == 240 and all(r.is_secret == (r.candidate != "null") for r in found)
+
+
 def test_empty_tables(spark, empty):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     bench = spark.createDataFrame([], "item_id long, text string")

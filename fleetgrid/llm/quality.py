@@ -35,6 +35,7 @@ DICTIONARY_BYTES = 65_536
 LEVEL = 3
 DICTIONARY_ROWS = 3_000
 CALIBRATION_ROWS = 4_000
+CALIBRATION = [1, 3]  # remainders of the ids that the fit learns from
 PIECES = 8_000
 ACCEPT = 0.7  # fixed value: a score from here on predicts label 1
 RIDGE = 1e-4
@@ -49,10 +50,15 @@ def held_out() -> Column:
     return F.coalesce(remainder() == 2, F.lit(False))
 
 
-def labelled_ids(labels: DataFrame, remainders: list[int], rows: int) -> DataFrame:
-    """doc_id, quality and share (labelled rows per sampled row of the class): at most ``rows`` ids of each class."""
-    agreed = labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").filter(remainder().isin(remainders)).groupBy("doc_id").agg(
+def agreed_ids(labels: DataFrame, remainders: list[int]) -> DataFrame:
+    """doc_id and quality of the ids whose labels agree, each once."""
+    return labels.filter("doc_id IS NOT NULL AND quality IN (0, 1)").filter(remainder().isin(remainders)).groupBy("doc_id").agg(
         F.min("quality").alias("quality"), F.max("quality").alias("_other")).filter("quality = _other").drop("_other")
+
+
+def labelled_ids(labels: DataFrame, remainders: list[int], rows: int) -> DataFrame:
+    """At most ``rows`` of the agreed ids of each class."""
+    agreed = agreed_ids(labels, remainders)
     order = F.md5(F.col("doc_id").cast("string"))
     picked = [agreed.filter(F.col("quality") == q).orderBy(order, "doc_id").limit(rows) for q in (0, 1)]
     return picked[0].unionByName(picked[1])
@@ -155,7 +161,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     if not all(any(s) for s in samples.values()):
         return Scorer(b"", b"")
     scorer = Scorer(trained_dictionary(samples[1]), trained_dictionary(samples[0]))
-    ids = F.broadcast(labelled_ids(labels, [1, 3], CALIBRATION_ROWS).withColumnRenamed("doc_id", "_id"))
+    ids = F.broadcast(labelled_ids(labels, CALIBRATION, CALIBRATION_ROWS).withColumnRenamed("doc_id", "_id"))
 
     def measure(batches):
         for batch in batches:
@@ -166,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     y = measured.quality.to_numpy(float)
     if y.min(initial=1) == y.max(initial=0) or not len(y):
         return Scorer(b"", b"")
-    totals = {r.quality: r["count"] for r in labels.filter("quality IN (0, 1)").groupBy("quality").count().collect()}
+    totals = {r.quality: r["count"] for r in agreed_ids(labels, CALIBRATION).groupBy("quality").count().collect()}
     weights = np.where(y == 1, totals[1] / max(1, y.sum()), totals[0] / max(1, (1 - y).sum()))
     scorer.fit(measured[list("abcd")].to_numpy(), y, weights)
     return scorer

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -240,6 +241,15 @@ def test_quality_learns_and_survives(spark, docs):
     assert {r.score for r in none} == {0.5} and len(none) == len(messy.rows())
 
 
+def test_quality_weighs_agreed_training_ids_only(spark):
+    data = [(i, messy.prose(1000 + i, 60).upper() if i % 3 == 0 else messy.prose(1000 + i, 60), "en", "a", 1) for i in range(240)]
+    df, labels = messy.documents(spark, data), [(d, int(d % 3 > 0)) for d, *_ in data]
+    held = [d for d, _ in labels if zlib.crc32(str(d).encode()) % 4 == 2]
+    more = [(held[0], 0)] * 300 + [(1, 1)] * 200 + [(20_000, 0), (20_000, 1)] + [(None, 0)] * 50
+    weights = [quality.train(df, spark.createDataFrame(rows, "doc_id long, quality int")).weights for rows in (labels, labels + more)]
+    assert weights[0] is not None and (weights[0] == weights[1]).all()
+
+
 def test_secrets(spark):
     rng = np.random.default_rng(2)
     hexa = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))

@@ -194,6 +194,12 @@ def test_leaks_of_an_item_dense_in_names(spark):
     assert got == {(0, 0): False, (1, 0): True, (2, 0): True, (4, 1): True}
 
 
+def test_short_items_inside_longer_documents(spark):
+    items = ["What causes ocean tides?", "one two", "What is 5 + 7?", "tides"]
+    texts = [f"{messy.prose(80, 20)} what causes ocean tides {messy.prose(81, 20)}", "Who causes ocean tides", "Count 3 4 5 and one Two or so", "so what is 5 7", "What is 5 + 8?", "a ocean tides b"]
+    assert leaked(spark, texts, items) == {(0, 0): False, (0, 3): False, (1, 0): True, (1, 3): False, (2, 1): False, (3, 2): False, (5, 3): False}
+
+
 def test_cut_against_every_window(docs):
     data = [r[:2] for r in messy.rows()]
     want = sorted(messy.cut_texts(data), key=KEY)

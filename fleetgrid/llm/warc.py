@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..session import scratch_path
 from .tables import materialise
 
-SEGMENT_BYTES = 1 << 20
+SEGMENT_BYTES = 16 << 10  # ordinary pages exceed it, so that segments are no rare case
 CHUNK_BYTES = 1 << 15
 BLOCK_BYTES = 4 << 20
 # Fixed value: the date that all records bear, so that reruns agree.

@@ -49,6 +49,15 @@ def test_archive_round_trip(spark, pages, tmp_path):
         assert sorted(got, key=repr) == sorted(want, key=repr)
 
 
+def test_ordinary_pages_are_segmented(spark, tmp_path):
+    rows = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    warc.write_archive(rows, str(tmp_path / "pages"))
+    kinds = [f["WARC-Type"] for r in spark.read.parquet(str(tmp_path / "pages")).collect() for f, _ in warc.parse_records(bytes(r.data))]
+    assert kinds.count("continuation") > 0
+    got = {r.page_id: bytes(r.payload).decode() for r in warc.read_archive(spark, str(tmp_path / "pages")).filter("payload IS NOT NULL").collect()}
+    assert all(got.get(r.page_id, r.html) == r.html for r in rows.collect()) and max(map(len, got.values())) > warc.SEGMENT_BYTES
+
+
 def test_damaged_archives_fail(spark):
     records = warc.records_of(1, 1, "http://a/", b"x" * 500, warc.payload_digest(b"x" * 500), None, 200)
     assert len(records) > 2 and all(next(warc.parse_records(r)) for r in records)
@@ -125,7 +134,6 @@ ARTICLES = {
     "<article><p>Intro.</p><table><tr><td>%s</td><td>x</td></tr></table><blockquote>Q.</blockquote></article>": "Intro.\n%s\nx\nQ.",
     "<main><h1>T</h1><section class=a><p>%s</p></section><section class=b><p>B.</p></section></main>": "T\n%s\nB.",
     "<div class=post><h1><a href=/>T</a></h1><ul><li><a>Home</a></ul><div class=lead>Lead.</div><div class=content><p>%s</p></div></div>": "T\nLead.\n%s"}
-
 WRAPPERS = ["<div id=page class='has-sidebar'>%s</div>", "<div class='no-comments'>%s</div>", "<div class='content-widget'>%s</div>", "<div class=modal-open>%s</div>", "<form>%s</form>",
             "<div aria-hidden=true>%s</div>", "<div id=login class=related>%s</div>"]
 

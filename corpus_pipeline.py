@@ -14,6 +14,9 @@ from fleetgrid.llm import decontamination, exact_dedup, minhash, mixing, quality
 from fleetgrid.llm.tables import materialise, table
 
 
+NEAR = 85  # per cent of shared shingles from which the stage links, as the query op2_ does
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the compression classifier rejects go."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -26,7 +29,7 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near copies one document stays."""
-    return minhash.keep_one(docs)
+    return minhash.keep_one(docs, NEAR)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -110,7 +110,7 @@ def texts_of(docs: DataFrame, classes: DataFrame) -> DataFrame:
     return materialise(read.join(classes.select("digest", "class"), "digest").groupBy("class").agg(F.min("text").alias("text")), "texts")
 
 
-def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def linked(pairs: DataFrame, texts: DataFrame, shared: int = SHARED) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     def confirm(batches):
         last, other = None, None
@@ -121,7 +121,7 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     last, other = b_text, shingle_set(b_text)
                 own = shingle_set(a_text)
                 both = len(np.intersect1d(own, other, assume_unique=True))
-                good.append(OF * both >= SHARED * (len(own) + len(other) - both))
+                good.append(OF * both >= shared * (len(own) + len(other) - both))
             yield batch.loc[good, ["a", "b"]]
 
     first = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("a_text")), "a")
@@ -129,7 +129,7 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return materialise(both.select("a", "b", "a_text", "b_text").mapInPandas(confirm, "a long, b long"), "links")
 
 
-def rare_tables(texts: DataFrame, classes: DataFrame) -> DataFrame:
+def rare_tables(texts: DataFrame, classes: DataFrame, shared: int = SHARED) -> DataFrame:
     """(key, class, n_shingles, rest): the rarest shingles of each class among these classes, so many that linked sets share one.
 
     A set of n shingles shares at least 85 % of them with any set that it is
@@ -149,7 +149,7 @@ def rare_tables(texts: DataFrame, classes: DataFrame) -> DataFrame:
     mine = Window.partitionBy("class")
     placed = spread.join(uses, "key").withColumns({
         "place": F.row_number().over(mine.orderBy("uses", "key")), "elsewhere": F.count("*").over(mine)})
-    needed = F.ceil(F.col("n_shingles") * SHARED / OF)
+    needed = F.ceil(F.col("n_shingles") * shared / OF)
     return materialise(placed.filter(F.col("place") <= F.col("elsewhere") - needed + 1).select(
         "key", "class", "n_shingles", (F.col("elsewhere") - F.col("place")).alias("rest")), "rare")
 
@@ -162,28 +162,28 @@ def open_rows(tables: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(placed.join(main.select("key", "main"), "key"), "open")
 
 
-def similar_sizes(a: str, b: str) -> Column:
-    return F.least(a, b) * OF >= F.greatest(a, b) * SHARED
+def similar_sizes(a: str, b: str, shared: int = SHARED) -> Column:
+    return F.least(a, b) * OF >= F.greatest(a, b) * shared
 
 
-def probes(rows: DataFrame, turn: int) -> DataFrame:
+def probes(rows: DataFrame, turn: int, shared: int = SHARED) -> DataFrame:
     """Pairs of a class outside a table's main component with a seeded member of it, at most ``PROBES`` for a class."""
     order = F.xxhash64("class", F.lit(turn))
     pivots = rows.filter("component = main").groupBy("key").agg(F.min_by(F.struct("class", "n_shingles"), order).alias("pivot"))
-    met = rows.filter("component != main").join(pivots, "key").filter(similar_sizes("n_shingles", "pivot.n_shingles")).select(
+    met = rows.filter("component != main").join(pivots, "key").filter(similar_sizes("n_shingles", "pivot.n_shingles", shared)).select(
         F.col("class").alias("a"), F.col("pivot.class").alias("b")).distinct()
     place = F.row_number().over(Window.partitionBy("a").orderBy(F.xxhash64("b", F.lit(turn)), "b"))
     return met.withColumn("place", place).filter(F.col("place") <= PROBES).select("a", "b")
 
 
-def cross_pairs(rows: DataFrame) -> DataFrame:
+def cross_pairs(rows: DataFrame, shared: int = SHARED) -> DataFrame:
     """Distinct pairs of classes of different components that share a rare shingle and may be similar.
 
     If it is the first shingle that they share, the sets have at most that one and
     what follows it in common.  That must be enough; a pair of similar sets passes at its first one.
     """
     a, b = rows.filter("component != main").alias("a"), rows.alias("b")
-    enough = (F.least("a.rest", "b.rest") + 1) * (OF + SHARED) >= (F.col("a.n_shingles") + F.col("b.n_shingles")) * SHARED
+    enough = (F.least("a.rest", "b.rest") + 1) * (OF + shared) >= (F.col("a.n_shingles") + F.col("b.n_shingles")) * shared
     # a pair of two outsiders comes up from both sides; distinct makes it one
     return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & enough).select(
         F.greatest("a.class", "b.class").alias("a"), F.least("a.class", "b.class").alias("b")).distinct()
@@ -193,19 +193,19 @@ def component_labels(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("class"), "component")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
+def near_duplicates(docs: DataFrame, shared: int = SHARED) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``; linked from a similarity of ``shared`` per cent."""
     rows = profiles(docs)
     classes = classes_of(rows)
     tables = tables_of(classes)
     texts = texts_of(docs, classes.join(tables.select("class").distinct(), "class", "left_semi"))
     stars = tables.filter("class != pivot").groupBy("class").agg(F.min("pivot").alias("b")).select(F.col("class").alias("a"), "b")
-    links = linked(stars, texts)
+    links = linked(stars, texts, shared)
     rows_open = open_rows(tables.select("key", "class").join(classes.select("class", "n_shingles"), "class"), component_labels(links))
-    rare = rare_tables(texts, rows_open.select("class", "n_shingles").distinct())
+    rare = rare_tables(texts, rows_open.select("class", "n_shingles").distinct(), shared)
     for turn in range(TURNS):
-        links = links.unionByName(linked(probes(open_rows(rare, component_labels(links)), turn), texts))
-    links = links.unionByName(linked(cross_pairs(open_rows(rare, component_labels(links))), texts))
+        links = links.unionByName(linked(probes(open_rows(rare, component_labels(links)), turn, shared), texts, shared))
+    links = links.unionByName(linked(cross_pairs(open_rows(rare, component_labels(links)), shared), texts, shared))
     labels = materialise(component_labels(links), "labels")
     named = classes.select("class", "digest", "low").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
@@ -216,8 +216,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, shared: int = SHARED) -> DataFrame:
     """The rows of ``docs`` whose document stays, unchanged: of each component the one with the smallest doc_id."""
-    fate = near_duplicates(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    fate = near_duplicates(docs, shared).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     gone = materialise(fate.filter("NOT kept").select(F.col("doc_id").alias("_gone")), "gone")
     return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")

@@ -83,6 +83,19 @@ def test_near_duplicates_of_a_large_group(spark):
     assert got == {d: (n, c) for d, n, c in messy.near_components(data)}
 
 
+def test_near_copies_from_another_threshold(spark):
+    words = messy.prose(90, 300).split()
+    other = [w if i % 60 != 30 else f"other{i}" for i, w in enumerate(words)]
+    for i in (10, 100):
+        other[i] = "more"
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "doc_id long, text string")
+    a, b = (messy.shingles(" ".join(w)) for w in (words, other))
+    share = len(a & b) / len(a | b)
+    assert 0.78 < share < 0.85
+    for shared in (int(100 * share), int(100 * share) + 1, 85):
+        assert minhash.keep_one(df, shared).count() == (1 if 100 * share >= shared else 2)
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, x) for x in range(101, 140)] + [(7, 7), (3, 2)]
     got = {r.node: r.component for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

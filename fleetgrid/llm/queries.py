@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, exact_dedup, html_extraction, minhash, mixing, quality, secrets, suffix_dedup, url_filters, warc
+from . import (decontamination, exact_dedup, hard_negatives, html_extraction, merkle, minhash, mixing, quality, recompression, secrets, suffix_dedup,
+               url_filters, warc)
 from .tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,9 +23,14 @@ QUERIES: dict[str, Query] = {
     "op8_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_groups(table(spark, sf_dir, "documents")),
     "op9_suffix_array_dedup": lambda spark, sf_dir: suffix_dedup.cut(table(spark, sf_dir, "documents")),
     "op10_quality_classifier": lambda spark, sf_dir: quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op11_substring_dedup": lambda spark, sf_dir: recompression.digests(table(spark, sf_dir, "documents")),
+    "op12_merkle_manifest": lambda spark, sf_dir: merkle.verified_rows(table(spark, sf_dir, "documents")),
+    "op13_hard_negatives": lambda spark, sf_dir: hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings")),
 }
 ORACLES: dict[str, str] = {
     "op4_url_filters": url_filters.SQL,
     "op7_mixing": mixing.SQL,
     "op8_exact_dedup": exact_dedup.SQL,
+    "op12_merkle_manifest": merkle.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }

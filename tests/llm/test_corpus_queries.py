@@ -44,7 +44,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_number_has_a_query():
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -75,6 +75,12 @@ def test_cut_texts(spark, duck):
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out) == sorted(messy.cut_texts(data))
 
 
+def test_repeated_words(spark, duck):
+    data = duck.execute("SELECT doc_id, text FROM documents").fetchall()
+    out = queries.QUERIES["op11_substring_dedup"](spark, SF_DIR).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out) == sorted(messy.cut_words(data))
+
+
 def test_held_out_quality(spark):
     sf_dir = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}

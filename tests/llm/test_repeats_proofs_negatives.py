@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import messy
@@ -46,11 +47,22 @@ def test_cut_words_across_pieces(spark, monkeypatch):
     text = messy.prose(3, 400)
     words = text.split()
     data = [(1, text), (2, " ".join(words[37:130])), (3, "other " + " ".join(words[200:390]))]
-    batches = [__import__("pandas").DataFrame({"doc": [d for d, _ in data], "text": [t for _, t in data]})]
-    windows = [len(seq.windows) for _, seq in recompression._sequences(iter(batches))]
+    monkeypatch.setattr(recompression, "SLICE", 300)
+    batch = pa.RecordBatch.from_pydict({"doc": [d for d, _ in data], "text": [t for _, t in data]})
+    windows = [len(seq.windows) for *_, seq in recompression._read(iter([batch]), units=True)]
     assert sum(windows) == sum(len(t.split()) - 12 for _, t in data) and len(windows) > 3
 
 
+def test_words_of_a_buffer():
+    texts = ["", "one", " two  three\x0bfour ", "x", "\n", "ü ö\u00a0ß", ""]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    edges = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    start, end = recompression._words(data, edges)
+    words = [w for t in texts for w in t.encode().split()]
+    assert [bytes(data[a:b]) for a, b in zip(start, end)] == words
+    assert (recompression._hashed(data, start, end) == word_hashes(words)).all()
+
+
 def test_runs_removed_are_whole_spans(spark):
     shared = messy.prose(4, 30)
     df = spark.createDataFrame([(1, shared), (2, "one two " + shared + " three")], "doc_id long, text string")
@@ -72,8 +84,7 @@ def test_windows_know_their_cores():
     for seed in range(30):
         around = messy.prose(50 + seed, 20).split()
         text = [w.encode() for w in around[:seed % 12] + words + around[12:]]
-        seq = recompression.Sequences(word_hashes(text), np.array([len(text)]))
-        seq.parse()
+        seq = recompression.Sequences(word_hashes(text), np.array([len(text)])).parse(units=False)
         cores.add(int(seq.core[seed % 12]))
     assert len(cores) == 1
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.grid import boundary_cells_of, cell_of, cell_parent
 from ..functions.scalar import dbl
-from .ordered import Order, look_back
+from .ordered import Cuts, Order, find_cuts, look_back
 from .partitioning import salted_key
 
 # Resolutions and ring width of the border test.
@@ -30,14 +30,14 @@ def multicast(df: DataFrame, fine: int = FINE, k: int = RINGS, coarse: int = COA
             .drop("coarse_cells"))
 
 
-def mark_duplicates(df: DataFrame, order: Order = "event_id", ts: str = "ts_ms", key: str = "driver_id") -> DataFrame:
+def mark_duplicates(df: DataFrame, order: Order = "event_id", ts: str = "ts_ms", key: str = "driver_id", cuts: Cuts | None = None) -> DataFrame:
     """Flag a row whose timestamp equals the last stored one of its driver.
 
     After a dropped row the stored value still equals that row's timestamp, so
     comparing with the previous arrival is the same test.
     """
     repeated = lambda w: {"duplicate": F.coalesce(F.lag(ts).over(w) == F.col(ts), F.lit(False))}
-    return look_back(df, [key], order, 1, repeated)
+    return look_back(df, [key], order, 1, repeated, cuts=cuts)
 
 
 def dedup_last(df: DataFrame, order: Order = "event_id", ts: str = "ts_ms", key: str = "driver_id",
@@ -55,7 +55,9 @@ def dedup_last(df: DataFrame, order: Order = "event_id", ts: str = "ts_ms", key:
 def boundary_stats(df: DataFrame, order: str = "event_id", fine: int = FINE, k: int = RINGS, coarse: int = COARSE) -> DataFrame:
     """Pings processed, pings near a border, extra copies sent, copies dropped again, extra copies per ping."""
     copies = multicast(df.select("driver_id", "lat", "lon", "ts_ms", order), fine, k, coarse)
-    marked = mark_duplicates(copies.select("driver_id", "ts_ms", order, "copy_no"), [order, "copy_no"])
+    # the pings tell which drivers are large; no copy is made for that
+    cuts = find_cuts(df, ["driver_id"], order)
+    marked = mark_duplicates(copies.select("driver_id", "ts_ms", order, "copy_no"), [order, "copy_no"], cuts=cuts)
     sums = marked.agg(F.count_if(F.col("copy_no") == 0).alias("total_processed"),
                       F.count_if(F.col("copy_no") == 1).alias("boundary_hits"),
                       F.count_if(F.col("copy_no") > 0).alias("multicast_copies"),

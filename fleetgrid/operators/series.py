@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.grid import axial_q, axial_r, pack_cell, round_axial
 from ..functions.scalar import dbl
-from .ordered import Order, look_back, number_rows, running
+from .ordered import Build, Order, look_back, looked_back, number_rows, series, since_reset
 
 # Fixed values of the soak gate.
 RATE_FLOOR, STREAK_LIMIT, SAMPLE_MS = 0.92, 3, 10_000
@@ -14,15 +17,7 @@ DAY_MS = 86_400_000
 NUDGE = 1e-6
 
 
-def counter_rate(df: DataFrame, keys: list[str], order: Order, ts_ms: str = "ts_ms", value: str = "value",
-                 min_dt: float = 0.5, fixed_seconds: int | None = None) -> DataFrame:
-    """Turn a growing counter into a rate.
-
-    0 for the first sample and when no more than ``min_dt`` seconds have passed.
-    ``fixed_seconds`` divides by a fixed interval with integer division instead,
-    counting the first sample from zero.
-    """
-
+def _rate(ts_ms: str, value: str, min_dt: float, fixed_seconds: int | None, rounded: Callable[[Column], Column]) -> Build:
     def build(w) -> dict[str, Column]:
         before = F.lag(value).over(w)
         if fixed_seconds:
@@ -30,15 +25,35 @@ def counter_rate(df: DataFrame, keys: list[str], order: Order, ts_ms: str = "ts_
             return {"rate": (F.sign(step) * F.floor(F.abs(step) / fixed_seconds)).cast("bigint")}
         dt = (F.col(ts_ms) - F.lag(ts_ms).over(w)) / dbl(1000.0)
         rate = (F.col(value) - before) / dt
-        return {"rate": F.when(dt > min_dt, rate).otherwise(dbl(0.0))}
+        return {"rate": rounded(F.when(dt > min_dt, rate).otherwise(dbl(0.0)))}
+
+    return build
+
 
-    return look_back(df, keys, order, 1, build)
+def _mean(value: str, n: int) -> Build:
+    return lambda w: {"moving_avg": F.avg(value).over(w.rowsBetween(-(n - 1), 0))}
+
+
+def counter_rate(df: DataFrame, keys: list[str], order: Order, ts_ms: str = "ts_ms", value: str = "value",
+                 min_dt: float = 0.5, fixed_seconds: int | None = None) -> DataFrame:
+    """Turn a growing counter into a rate.
+
+    0 for the first sample and when no more than ``min_dt`` seconds have passed.
+    ``fixed_seconds`` divides by a fixed interval with integer division instead,
+    counting the first sample from zero.
+    """
+    return look_back(df, keys, order, 1, _rate(ts_ms, value, min_dt, fixed_seconds, lambda rate: rate))
 
 
 def moving_avg(df: DataFrame, keys: list[str], order: Order, value: str = "rate", n: int = 10) -> DataFrame:
     """Mean of the last ``n`` values, the current one included."""
-    mean = lambda w: {"moving_avg": F.avg(value).over(w.rowsBetween(-(n - 1), 0))}
-    return look_back(df, keys, order, n - 1, mean)
+    return look_back(df, keys, order, n - 1, _mean(value, n))
+
+
+def moving_rate(df: DataFrame, keys: list[str], order: Order, ts_ms: str = "ts_ms", value: str = "value", n: int = 10,
+                min_dt: float = 0.5, rounded: Callable[[Column], Column] = lambda rate: rate) -> DataFrame:
+    """``counter_rate``, rounded as told, and the mean of its last ``n`` values, from one dealing of the rows."""
+    return look_back(df, keys, order, n, _rate(ts_ms, value, min_dt, None, rounded), _mean("rate", n))
 
 
 def throughput(df: DataFrame, every: str, ts: str = "event_ts", watermark: str | None = None) -> DataFrame:
@@ -74,16 +89,13 @@ def sustained_breach(samples: DataFrame, target: float, floor: float = RATE_FLOO
     sample ends the run and an unjudged one leaves it as it is.
     """
     share = F.col("records") / dbl(every_ms / 1000.0) / dbl(target)
-    sliced = samples.withColumn("rate_share", share)
-    known = look_back(sliced, [], "sample", 1, lambda w: {"__before": F.lag("records").over(w)})
+    dealt = series(samples.withColumn("rate_share", share), [], "sample")
+    known = looked_back(dealt, 1, lambda w: {"__before": F.lag("records").over(w)})
     judged = F.coalesce(F.col("__before") > 0, F.lit(False))
     slow = judged & (F.col("rate_share") < floor)
-    marked = known.withColumns({"judged": judged, "__slow": slow.cast("bigint"), "__ends": judged & ~slow})
-    total = running(marked, [], "sample", "__slow", "sum", "__slow_so_far")
-    at_reset = total.withColumn("__mark", F.when(F.col("__ends"), F.col("__slow_so_far")))
-    last = running(at_reset, [], "sample", "__mark", "max", "__last_mark")
-    streak = F.col("__slow_so_far") - F.coalesce("__last_mark", F.lit(0))
-    return last.select("sample", "records", "rate_share", "judged", streak.alias("streak"), (streak >= limit).alias("breach"))
+    marked = replace(known, rows=known.rows.withColumns({"judged": judged, "__slow": slow.cast("bigint"), "__ends": judged & ~slow}))
+    streaks = since_reset(marked, "__slow", "__ends", "streak").rows
+    return streaks.select("sample", "records", "rate_share", "judged", "streak", (F.col("streak") >= limit).alias("breach"))
 
 
 def step_number(df: DataFrame, keys: list[str], order: Order) -> DataFrame:

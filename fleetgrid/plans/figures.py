@@ -116,7 +116,8 @@ def counter_rate_fixed_interval(spark, d):
 @query("moving_average_rate", f"""SELECT status, event_id, {Q.half_up('m', 6)} AS moving_avg FROM (SELECT status, event_id,
   avg(rate) OVER (PARTITION BY status ORDER BY event_id ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS m FROM (SELECT status, event_id, {Q.half_up(_RATE, 6)} AS rate FROM {_COUNTER}))""")
 def moving_average_rate(spark, d):
-    return W.moving_avg(counter_rate(spark, d), ["status"], "event_id").select("status", "event_id", half_up("moving_avg", 6).alias("moving_avg"))
+    averaged = W.moving_rate(_counter(spark, d), ["status"], "event_id", rounded=lambda rate: half_up(rate, 6))
+    return averaged.select("status", "event_id", half_up("moving_avg", 6).alias("moving_avg"))
 
 
 @query("throughput_per_interval", f"SELECT CAST(floor(ts_ms / 10000) AS BIGINT) * 10000 AS window_ms, count(*) AS records FROM {Q.PINGS} GROUP BY 1")

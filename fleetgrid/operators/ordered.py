@@ -16,8 +16,10 @@ the input; where ties are as many as a part, parts are cut between them too.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import cmp_to_key
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
@@ -51,26 +53,40 @@ class Cuts:
     table: DataFrame | None
 
 
-def _sampled(read: DataFrame, keys: list[str], along: list[str]) -> DataFrame:
+def _compare(a, b) -> int:
+    """The engine's order of two values: null first, then whatever they hold."""
+    if isinstance(a, tuple) and isinstance(b, tuple):
+        return next((c for c in map(_compare, a, b) if c), 0)
+    if a is None or b is None:
+        return (a is not None) - (b is not None)
+    if a != a or b != b:  # not a number comes last
+        return (a != a) - (b != b)
+    return (a > b) - (a < b)
+
+
+def _sampled(read: DataFrame, keys: list[str], along: list[str]) -> list[tuple]:
+    """Large keys, each with the values of ``along`` where its parts begin."""
     parts = int(read.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # every task keeps its lowest numbers, so the sample never grows with the rows
-    sample = read.select(*keys, *along).withColumn("__random", F.rand(SEED)).orderBy("__random").limit(parts * SAMPLES)
-    mine = Window.partitionBy(*keys)
-    placed = sample.withColumns({"__at": F.row_number().over(mine.orderBy(*along)), "__of": F.count("*").over(mine)})
-    cut = placed.filter((F.col("__of") >= 2 * SAMPLES) & (F.col("__at") % SAMPLES == 0) & (F.col("__at") < F.col("__of")))
-    return cut.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*along))).alias("__cuts")).filter(F.size("__cuts") > 0)
+    sample = read.select(*[F.col(k).alias(f"__{k}") for k in keys], *along).withColumn("__random", F.rand(SEED)).orderBy("__random").limit(parts * SAMPLES)
+    by_key: dict[tuple, list[tuple]] = defaultdict(list)
+    for row in sample.drop("__random").collect():
+        by_key[tuple(bytes(v) if isinstance(v, bytearray) else v for v in row[:len(keys)])].append(tuple(row[len(keys):]))
+    return [(*key, sorted(rows, key=cmp_to_key(_compare))[SAMPLES - 1:len(rows) - 1:SAMPLES]) for key, rows in by_key.items() if len(rows) >= 2 * SAMPLES]
 
 
 def find_cuts(df: DataFrame, keys: list[str], order: Order) -> Cuts:
     """A key of at least two parts' rows is cut, about evenly; there are no more cuts than shuffle partitions."""
-    along = _columns(order)
-    found = _sampled(df, keys, along)
-    rows = found.collect()
-    if any(len({repr(c) for c in r["__cuts"]}) < len(r["__cuts"]) for r in rows):
-        along = [*along, TIE]
-        found = _sampled(_told_apart(df), keys, along)
-        rows = found.collect()
-    return Cuts(keys, along, df.sparkSession.createDataFrame(rows, found.schema) if rows else None)
+    along, read = _columns(order), df
+    rows = _sampled(df, keys, along)
+    if any(len({repr(c) for c in r[-1]}) < len(r[-1]) for r in rows):
+        along, read = [*along, TIE], _told_apart(df)
+        rows = _sampled(read, keys, along)
+    if not rows:
+        return Cuts(keys, along, None)
+    cut = T.ArrayType(T.StructType([T.StructField(c, read.schema[c].dataType) for c in along]))
+    schema = T.StructType([*[T.StructField(k, read.schema[k].dataType) for k in keys], T.StructField("__cuts", cut)])
+    return Cuts(keys, along, df.sparkSession.createDataFrame(rows, schema))
 
 
 @dataclass(frozen=True)
@@ -155,20 +171,19 @@ def running(df: DataFrame, keys: list[str], order: Order, source: str, how: str,
 
 def _with_tails(dealt: Series, back: int) -> DataFrame:
     """The rows, and copies (not ``__own``) in each part of a large key of the last ``back`` rows before it."""
-    mine = Window.partitionBy(*dealt.keys).orderBy(PART)
-    parts = dealt.large().groupBy(*dealt.keys, PART).agg(F.least(F.count("*"), F.lit(back)).alias("__tail")).withColumns({
-        "__at": F.row_number().over(mine), "__of": F.count("*").over(Window.partitionBy(*dealt.keys)), "__upto": F.sum("__tail").over(mine)})
+    columns = [c for c in dealt.rows.columns if c != PART]
     # the engine keeps no more than that many rows of a part in a task before it sends them
     last = F.row_number().over(Window.partitionBy(*dealt.keys, PART).orderBy(*[F.col(c).desc_nulls_last() for c in dealt.along]))
     tails = dealt.large().withColumn("__last", last).filter(F.col("__last") <= back)
-    known = tails.alias("d").join(F.broadcast(parts.alias("p")), _same("d", "p", [*dealt.keys, PART])).select(
-        "d.*", "p.__at", "p.__of", "p.__upto").filter("__at < __of")
-    aimed = known.withColumn("__aim", F.explode(F.sequence(F.col("__at") + 1, F.least(F.col("__at") + back, F.col("__of")))))
-    goals = parts.select(*dealt.keys, F.col(PART).alias("__goal"), F.col("__at").alias("__aim"), (F.col("__upto") - F.col("__tail")).alias("__ahead"))
-    near = F.col("g.__ahead") - F.col("a.__upto") + F.col("a.__last") <= back
-    columns = [c for c in dealt.rows.columns if c != PART]
-    copies = aimed.alias("a").join(F.broadcast(goals.alias("g")), [*_same("a", "g", [*dealt.keys, "__aim"]), near]).select(
-        *[f"a.{c}" for c in columns], F.col("g.__goal").alias(PART), F.lit(False).alias("__own"))
+    # a row for each large key; it holds no more than ``back`` rows for each of its parts
+    held = tails.groupBy(*[F.col(k).alias(f"__{k}") for k in dealt.keys]).agg(
+        F.collect_list(F.struct(F.col(PART).alias("part"), F.col("__last").alias("last"), F.struct(*columns).alias("row"))).alias("__tails"))
+    later = lambda a, b: (a["part"] > b["part"]) | ((a["part"] == b["part"]) & (a["last"] < b["last"]))
+    lined = held.withColumn("__tails", F.array_sort("__tails", lambda a, b: F.when(later(a, b), 1).otherwise(-1)))
+    goals = lined.select("__tails", F.explode(F.array_distinct("__tails.part")).alias("__goal"))
+    before = goals.select("__goal", F.filter("__tails", lambda t: t["part"] < F.col("__goal")).alias("__before"))
+    sent = before.select("__goal", F.explode(F.slice("__before", F.greatest(F.size("__before") - back + 1, F.lit(1)), back)).alias("__t"))
+    copies = sent.select("__t.row.*", F.col("__goal").alias(PART), F.lit(False).alias("__own"))
     return dealt.rows.withColumn("__own", F.lit(True)).unionByName(copies)
 
 

@@ -10,7 +10,9 @@ windows of benchmark items in a hash join.  Windows that agree at the same shift
 alignment; the values that its placeholders stand for must map one item value
 to one document value, or the alignment is a coincidence.  A document leaks an
 item when consistent alignments cover at least 80 % of the item's windows, be
-it word for word or with other numbers and names.
+it word for word or with other numbers and names.  Documents and items first meet
+by the rarest windows of an item, one of which every leak must hold; a window
+that many items share brings none of them together.
 
 Before the join a bitmap of the benchmark's window hashes drops the document
 windows that cannot match.  Its size is bounded; when a larger benchmark fills
@@ -20,7 +22,8 @@ Defined cases: null or empty texts leak nothing; an item of fewer than five
 tokens is one window, found anywhere in a document, and found word for word only
 when fewer than three of its tokens are fixed; an item with fewer than three plain
 words has no template form; repeated items and rows give repeated pairs once;
-rows without doc_id or item_id are named by null and compared like any other;
+rows with equal or no doc_id or item_id are compared each by itself and named by
+that id; very long texts are read whole;
 empty tables give an empty result; other columns are never looked at.
 """
 
@@ -31,7 +34,7 @@ import re
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .bitmaps import bitmap_of, in_bitmap
 from .tables import materialise, text_of
@@ -166,55 +169,85 @@ def slots_of(tokens: list[str], start: int, end: int, codes: Codes, template: bo
     return out
 
 
-SCHEMA = "id long, hash long, place int, width int, total int, slots array<string>"
+SCHEMA = "key string, id long, hash long, place int, width int, total int, slots array<string>"
+
+
+def row_key(number: str, text: str = "text") -> Column:
+    """Names a row by its id and its text: rows with equal or no ids stay apart."""
+    return F.md5(F.concat(F.coalesce(F.col(number).cast("string"), F.lit("-")), F.lit(":"), text_of(text)))
+
+
+def named_texts(df: DataFrame, number: str) -> DataFrame:
+    return df.select(row_key(number).alias("key"), F.col(number).cast("long").alias("id"), text_of().alias("text"))
 
 
 def window_rows(texts: DataFrame, bitmap: bytes | None = None, shift: int = 0, short: tuple[int, ...] | None = None, widest: int | None = None) -> DataFrame:
-    """One row per form of every window of every (id, text); with a bitmap only those whose hash it holds."""
+    """One row per form of every window of every (key, id, text); with a bitmap only those whose hash it holds."""
 
     def rows(batches):
         codes = Codes()
         bits = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
         for batch in batches:
             out = []
-            for key, text in zip(batch.id, batch.text, strict=True):
+            for key, number, text in zip(batch["key"], batch["id"], batch["text"], strict=True):
                 tokens, total, forms = windows_of(text, codes, short, widest)
                 for place, start, end, hashes, form in forms:
                     at = np.arange(len(hashes)) if bits is None else np.flatnonzero(in_bitmap(bits, shift, hashes))
                     if len(at):
-                        out += [(key, h, i, e - s, total, slots_of(tokens, s, e, codes, form)) for i, s, e, h in zip(
+                        out += [(key, number, h, i, e - s, total, slots_of(tokens, s, e, codes, form)) for i, s, e, h in zip(
                             place[at].tolist(), start[at].tolist(), end[at].tolist(), hashes[at].view(np.int64).tolist(), strict=True)]
-            yield pd.DataFrame(out, columns=["id", "hash", "place", "width", "total", "slots"]).astype({"id": "Int64"})
+            yield pd.DataFrame(out, columns=["key", "id", "hash", "place", "width", "total", "slots"]).astype({"id": "Int64"})
 
     return texts.mapInPandas(rows, SCHEMA)
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """doc_id, item_id, windows, matched and reparameterised for every document that leaks an item."""
-    items = materialise(window_rows(benchmark.select(F.col("item_id").cast("long").alias("id"), text_of().alias("text"))), "items")
+def rare_places(items: DataFrame, coverage: float) -> DataFrame:
+    """(item, hash) of so many of an item's rarest windows that a document with enough of its windows has one of these.
+
+    Of n windows a leak holds at least ``ceil(coverage * n)``, so any
+    ``n - ceil(coverage * n) + 1`` of them hold one that it has.
+    """
+    uses = items.groupBy("hash").agg(F.count_distinct("key").alias("uses"))
+    known = items.join(uses, "hash")
+    places = known.groupBy("key", "total", "place").agg(F.max("uses").alias("uses"), F.collect_set("hash").alias("hashes"))
+    rank = F.row_number().over(Window.partitionBy("key").orderBy("uses", "place"))
+    needed = F.col("total") - F.ceil(F.lit(coverage) * F.col("total") - 1e-9) + 1
+    return places.withColumn("rank", rank).filter(F.col("rank") <= needed).select(F.col("key").alias("item"), F.explode("hashes").alias("hash")).distinct()
+
+
+def _leaking(docs: DataFrame, benchmark: DataFrame, coverage: float) -> DataFrame:
+    """doc (a row's key), doc_id, item_id, windows, matched and same of every row that leaks an item."""
+    items = materialise(window_rows(named_texts(benchmark, "item_id")), "items")
     bitmap, shift = bitmap_of(items.select("hash").distinct())
     # at most WINDOW - 1 short widths, and the widest window of all items
     seen = items.agg(F.collect_set(F.when(F.col("width") < WINDOW, F.col("width"))).alias("short"), F.max(F.when(F.col("width") > WINDOW, F.col("width"))).alias("widest")).first()
-    hits = window_rows(docs.select(F.col("doc_id").cast("long").alias("id"), text_of().alias("text")), bitmap, shift, tuple(sorted(seen.short)), seen.widest or 0)
-    d, i = hits.alias("d"), items.alias("i")
-    met = d.join(i, F.col("d.hash") == F.col("i.hash")).select(
-        F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), F.col("i.place").alias("place"), F.col("i.total").alias("windows"),
+    hits = materialise(window_rows(named_texts(docs, "doc_id"), bitmap, shift, tuple(sorted(seen.short)), seen.widest or 0), "hits")
+    # a window that many items have fetches none of them
+    fetched = hits.select(F.col("key").alias("doc"), "hash").distinct().join(rare_places(items, coverage), "hash").select("doc", "item").distinct()
+    d, i, c = hits.alias("d"), items.alias("i"), fetched.alias("c")
+    met = c.join(d, F.col("c.doc") == F.col("d.key")).join(i, (F.col("c.item") == F.col("i.key")) & (F.col("d.hash") == F.col("i.hash"))).select(
+        "c.doc", "c.item", F.col("d.id").alias("doc_id"), F.col("i.id").alias("item_id"), F.col("i.place").alias("place"), F.col("i.total").alias("windows"),
         (F.col("d.place") - F.col("i.place")).alias("shift"),
         F.zip_with("i.slots", "d.slots", lambda a, b: F.struct(a.alias("item"), b.alias("doc"))).alias("slots"))
     # an alignment holds at most the windows of one item
-    aligned = met.groupBy("doc_id", "item_id", "windows", "shift").agg(
-        F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
+    pair = ["doc", "item", "doc_id", "item_id", "windows"]
+    aligned = met.groupBy(*pair, "shift").agg(F.collect_set("place").alias("places"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"))
     consistent = F.size("slots") == F.size(F.array_distinct("slots.item"))
     changed = F.exists("slots", lambda s: ~s["item"].eqNullSafe(s["doc"]))
-    covered = aligned.filter(consistent).select("doc_id", "item_id", "windows", F.explode("places").alias("place"), changed.alias("changed"))
-    pairs = covered.groupBy("doc_id", "item_id", "windows").agg(
+    covered = aligned.filter(consistent).select(*pair, F.explode("places").alias("place"), changed.alias("changed"))
+    pairs = covered.groupBy(*pair).agg(
         F.count_distinct("place").alias("matched"), F.count_distinct(F.when(~F.col("changed"), F.col("place"))).alias("same"))
-    return pairs.filter(F.col("matched") >= F.lit(coverage) * F.col("windows")).select(
+    return pairs.filter(F.col("matched") >= F.lit(coverage) * F.col("windows"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    """doc_id, item_id, windows, matched and reparameterised for every document that leaks an item."""
+    return _leaking(docs, benchmark, coverage).select(
         "doc_id", "item_id", F.col("windows").cast("long").alias("windows"), "matched",
         (F.col("same") < F.lit(coverage) * F.col("windows")).alias("reparameterised"))
 
 
 def drop_leaking(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that leak no item, unchanged; a null doc_id is judged like any other id."""
-    bad = materialise(leaks(docs, benchmark).select(F.col("doc_id").alias("_leaking")).distinct(), "leaking")
-    return docs.join(bad, F.col("doc_id").cast("long").eqNullSafe(F.col("_leaking")), "left_anti")
+    """The rows of ``docs`` that leak no item, unchanged; rows with equal or no doc_id are judged each by its text."""
+    bad = materialise(_leaking(docs, benchmark, COVERAGE).select(F.col("doc").alias("__leaking")).distinct(), "leaking")
+    return docs.join(bad, row_key("doc_id") == F.col("__leaking"), "left_anti")

@@ -18,12 +18,14 @@ modal-open.  When nothing is left, only tags that never hold an article are nois
 
 Defined cases: null or empty html gives empty text; null urls and urls without
 a host vote together; a page without containers gives the text of its body; a tag that is
-never closed ends with the page; repeated rows give repeated rows; an empty
+never closed ends with the page, and one that the page's end cuts off is text;
+very long and deep pages take time and memory in proportion to their size; repeated rows give repeated rows; an empty
 table gives an empty result; other columns are never looked at.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import defaultdict
@@ -62,9 +64,12 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("ul ol dl table select".split())
 
+# every part is possessive: a tag that never ends is tried once, not in all the ways its quotes may pair
+_QUOTED = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+"
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=raw)\s*>|\Z)|"
-    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)>|<[!?][^>]*(?:>|\Z)", re.S | re.I)
+    r"<!--.*?(?:-->|(?P<cut>\Z))|<(?P<raw>" + "|".join(RAW) + r")\b" + _QUOTED + r">.*?(?:</(?P=raw)\s*+>|(?P<cut_raw>\Z))|"
+    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>" + _QUOTED + r")>|<(?P<odd_end>/?)(?P<odd>[a-zA-Z][^\s/>]*+)(?P<odd_attrs>[^>]*+)>|"
+    r"<[!?][^>]*+>", re.S | re.I)
 ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 
 
@@ -113,20 +118,38 @@ def noise_of(tag: str, given: dict[str, str], inside_article: bool) -> int:
 
 
 class Block:
-    __slots__ = ("text", "links", "owners", "heading")
+    __slots__ = ("text", "links", "owner", "heading")
 
-    def __init__(self, text: str, links: int, owners: list[int], heading: bool):
-        self.text, self.links, self.owners, self.heading = text, links, owners, heading
+    def __init__(self, text: str, links: int, owner: int, heading: bool):
+        self.text, self.links, self.owner, self.heading = text, links, owner, heading
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "noise", "article", "link", "real", "size", "mains", "articles")
+    __slots__ = ("tag", "path", "parent", "noise", "article", "link", "heading", "real", "size", "mains", "articles")
 
-    def __init__(self, tag: str, path: str, parent: int, noise: int, article: bool, link: bool, real: bool):
-        self.tag, self.path, self.parent, self.noise, self.article, self.link = tag, path, parent, noise, article, link
+    def __init__(self, tag: str, path: str, parent: int, up: Element | None, noise: int, article: bool, real: bool):
+        self.tag, self.path, self.parent, self.noise, self.article = tag, path, parent, noise, article
+        self.link = up is not None and up.link or tag == "a"
+        self.heading = up is not None and up.heading or tag in HEADINGS
         self.real, self.size, self.mains, self.articles = real, 0, 0, 0  # an article or main that no name says to be noise
 
 
+class Containers:
+    """The containers of a page that are no noise, outer ones first: path, tag and the container around each."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.tags: list[str] = []
+        self.parents: list[int] = []
+
+    def inherited(self, own) -> list:
+        """For each container what its outermost ancestor with a value has, itself included; -1 for none."""
+        out: list[int] = []
+        for i, up in enumerate(self.parents):
+            out.append(out[up] if up >= 0 and out[up] >= 0 else i if own(i) else -1)
+        return out
+
+
 def left_out(elements: list[Element], pieces: list[tuple[str, int]]) -> list[bool]:
     """Whether each element is noise or lies in noise.
 
@@ -161,23 +184,43 @@ def left_out(elements: list[Element], pieces: list[tuple[str, int]]) -> list[boo
     return hard if all(at >= 0 and out[at] or not text.strip() for text, at in pieces) else out
 
 
-def parse(page: str | None) -> tuple[list[str], list[Block]]:
-    """The paths of the containers, by number, and the blocks of text with the containers around them, innermost last."""
+def tokens(page: str):
+    """The tags of a page as (end of the text before, start of the text behind, closing, tag, attributes); no tag for what only separates text.
+
+    Nothing after the last ``>`` is a tag.  What an unclosed comment or script begins is never text.
+    """
+    last = page.rfind(">") + 1
+    for m in TOKEN.finditer(page, 0, last):
+        if m["cut"] is not None or m["cut_raw"] is not None:
+            yield m.start(), len(page), "", "", ""
+            return
+        odd = m["tag"] is None
+        yield m.start(), m.end(), m["odd_end"] if odd else m["end"], (m["odd"] if odd else m["tag"] or "") or "", (m["odd_attrs"] if odd else m["attrs"]) or ""
+    declared = [at for at in (page.find("<!", last), page.find("<?", last)) if at >= 0]
+    if declared:
+        yield min(declared), len(page), "", "", ""
+
+
+def parse(page: str | None) -> tuple[Containers, list[Block]]:
+    """The containers, and the blocks of text, each with the innermost container around it (-1 for none)."""
     elements: list[Element] = []
     stack: list[int] = []
-    # of each block: its pieces of text with the element around each, and the elements that are open
-    runs: list[tuple[list[tuple[str, int]], list[int]]] = []
+    opened: dict[str, int] = defaultdict(int)  # open elements by tag
+    # of each block: its pieces of text with the element around each, and the innermost element that is open
+    runs: list[tuple[list[tuple[str, int]], int]] = []
     words: list[tuple[str, int]] = []
 
     def flush() -> None:
         nonlocal words
         if words:
-            runs.append((words, list(stack)))
+            runs.append((words, stack[-1] if stack else -1))
             words = []
 
     def close(at: int) -> None:
         if any(elements[x].tag in BLOCKS for x in stack[at:]):
             flush()
+        for x in stack[at:]:
+            opened[elements[x].tag] -= 1
         del stack[at:]
 
     def add(text: str) -> None:
@@ -185,89 +228,99 @@ def parse(page: str | None) -> tuple[list[str], list[Block]]:
             words.append((html.unescape(text), stack[-1] if stack else -1))
 
     page, at = page or "", 0
-    for m in TOKEN.finditer(page):
-        add(page[at:m.start()])
-        at = m.end()
-        tag = (m["tag"] or "").lower()
+    for before, behind, end, tag, attrs in tokens(page):
+        add(page[at:before])
+        at, tag = behind, tag.lower()
         if not tag:
             continue
-        if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if elements[stack[i]].tag == tag:
-                    close(i)
-                    break
-            else:
-                if tag == "p":
-                    flush()
+        if end:
+            if opened[tag]:
+                close(next(i for i in range(len(stack) - 1, -1, -1) if elements[stack[i]].tag == tag))
+            elif tag == "p":
+                flush()
             continue
         if tag == "br":
             words.append((" ", stack[-1] if stack else -1))
             continue
         if tag in BLOCKS:
             # a paragraph ends where a block begins, with what is open inside it; a list item where the next one does
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened["p"] else ():
                 if elements[stack[i]].tag == "p":
                     close(i)
                 elif elements[stack[i]].tag in BLOCKS:
                     break
-            for i in range(len(stack) - 1, -1, -1):
-                if elements[stack[i]].tag in CLOSED_BY.get(tag, ()):
+            ends = CLOSED_BY.get(tag, ())
+            for i in range(len(stack) - 1, -1, -1) if any(opened[t] for t in ends) else ():
+                if elements[stack[i]].tag in ends:
                     close(i)
                 elif elements[stack[i]].tag in SCOPES:
                     break
             flush()
-        if tag in VOID or m["attrs"].endswith("/") and tag not in BLOCKS:
+        if tag in VOID or attrs.endswith("/") and tag not in BLOCKS:
             continue
-        given = attributes(m["attrs"])
+        given = attributes(attrs)
         up = elements[stack[-1]] if stack else None
         article = up is not None and up.article or tag in ("article", "main")
         path = up.path if up else ""
         if tag in CONTAINERS:
-            path = f"{path}/{generalised(tag, given.get('class', ''))}"
+            # a path is named by a hash of its steps, however deep it is
+            path = hashlib.blake2b(f"{path}/{generalised(tag, given.get('class', ''))}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
         real = tag == "main" or tag == "article" and not named_noise([*given.get("class", "").split(), *given.get("id", "").split()])
-        elements.append(Element(tag, path, stack[-1] if stack else -1, noise_of(tag, given, article), article, up is not None and up.link or tag == "a", real))
+        elements.append(Element(tag, path, stack[-1] if stack else -1, up, noise_of(tag, given, article), article, real))
         stack.append(len(elements) - 1)
+        opened[tag] += 1
     add(page[at:])
     flush()
 
     noise = left_out(elements, [w for run, _ in runs for w in run])
-    paths: list[str] = []
-    numbers = [-1] * len(elements)
+    found, numbers = Containers(), []
     for i, e in enumerate(elements):
+        around = numbers[e.parent] if e.parent >= 0 else -1
         if e.tag in CONTAINERS and not noise[i]:
-            numbers[i] = len(paths)
-            paths.append(e.path)
+            numbers.append(len(found.paths))
+            found.paths.append(e.path)
+            found.tags.append(e.tag)
+            found.parents.append(around)
+        else:
+            numbers.append(around)
     blocks: list[Block] = []
-    for run, around in runs:
+    for run, inner in runs:
         kept = [(text, at) for text, at in run if at < 0 or not noise[at]]
         text = " ".join("".join(text for text, _ in kept).split())
         if text:
             links = sum(len(text) for text, at in kept if at >= 0 and elements[at].link)
-            blocks.append(Block(text, links, [numbers[i] for i in around if numbers[i] >= 0], any(elements[i].tag in HEADINGS for i in around)))
-    return paths, blocks
+            blocks.append(Block(text, links, numbers[inner] if inner >= 0 else -1, inner >= 0 and elements[inner].heading))
+    return found, blocks
 
 
-def container_scores(paths: list[str], blocks: list[Block]) -> dict[str, float]:
-    """Share of the page's score by path."""
-    scores: dict[str, float] = defaultdict(float)
+def container_scores(found: Containers, blocks: list[Block]) -> dict[str, float]:
+    """Share of the page's score by path; all from the third container around a block on get the same of it."""
+    own, far, used = [0.0] * len(found.paths), [0.0] * len(found.paths), [False] * len(found.paths)
     for block in blocks:
         n = len(block.text)
         worth = (1 + block.text.count(",") + min(n / 100, 3)) * max(0.0, 1 - block.links / max(1, n))
-        for distance, owner in enumerate(reversed(block.owners)):
-            scores[paths[owner]] += worth / (1, 2, 6, 9)[min(distance, 3)]
+        at = block.owner
+        if at >= 0:
+            used[at] = True
+        for part in (1, 2, 6):
+            if at < 0:
+                break
+            own[at] += worth / part
+            at = found.parents[at]
+        if at >= 0:
+            far[at] += worth / 9
+    scores: dict[str, float] = defaultdict(float)
+    for i in range(len(found.paths) - 1, -1, -1):
+        up = found.parents[i]
+        if up >= 0:
+            far[up] += far[i]
+            used[up] = used[up] or used[i]
+        if used[i]:
+            scores[found.paths[i]] += own[i] + far[i]
     total = sum(scores.values())
     return {p: s / total for p, s in scores.items()} if total > 0 else {}
 
 
-def root_of(paths: list[str], owners: list[int]) -> tuple[int, bool]:
-    """Of the last of nested containers: the outermost article or main around it, else the outermost element below the body; and which it is."""
-    tags = [paths[n][len(paths[up]) if up >= 0 else 0:][1:].split(".")[0] for up, n in zip([-1, *owners], owners, strict=False)]
-    for n, tag in zip(owners, tags, strict=True):
-        if tag in ("article", "main"):
-            return n, True
-    return next((n for n, tag in zip(owners, tags, strict=True) if tag != "body"), owners[-1]), False
-
-
 def main_text(page: str | None, ranked: list[str]) -> str:
     """The blocks around the first of the ranked paths that the page has, else around its own best container.
 
@@ -275,21 +328,32 @@ def main_text(page: str | None, ranked: list[str]) -> str:
     outermost element below the body is, but for blocks that are mostly links and
     lie outside the path: menus without a name.
     """
-    paths, blocks = parse(page)
-    own = container_scores(paths, blocks)
+    found, blocks = parse(page)
+    own = container_scores(found, blocks)
     chosen = next((p for p in ranked if p in own), None) or max(own, key=lambda p: (own[p], p), default=None)
-    roots: dict[int, bool] = {}
+    if chosen is None:
+        return "\n".join(b.text for b in blocks)
+    at_path = found.inherited(lambda i: found.paths[i] == chosen)
+    article = found.inherited(lambda i: found.tags[i] in ("article", "main"))
+    outer = found.inherited(lambda i: found.tags[i] != "body")
+    # of the outermost container at the path, the article around it, else what is below the body
+    roots: dict[int, int] = {}
     for b in blocks:
-        place = next((i for i, o in enumerate(b.owners) if paths[o] == chosen), None)
-        if place is not None:
-            root, article = root_of(paths, b.owners[:place + 1])
-            roots[root] = article
+        at = at_path[b.owner] if b.owner >= 0 else -1
+        if at >= 0:
+            if article[at] >= 0:
+                roots[article[at]] = 2
+            else:
+                roots.setdefault(outer[at] if outer[at] >= 0 else at, 1)
+    inside: list[int] = []
+    for i, up in enumerate(found.parents):
+        inside.append(max(inside[up] if up >= 0 else 0, roots.get(i, 0)))
 
     def kept(b: Block) -> bool:
-        around = [roots[o] for o in b.owners if o in roots]
-        return any(around) or bool(around) and (b.heading or 2 * b.links <= len(b.text) or any(paths[o] == chosen for o in b.owners))
+        kind = inside[b.owner] if b.owner >= 0 else 0
+        return kind == 2 or kind == 1 and (b.heading or 2 * b.links <= len(b.text) or at_path[b.owner] >= 0)
 
-    return "\n".join(b.text for b in blocks if chosen is None or kept(b))
+    return "\n".join(b.text for b in blocks if kept(b))
 
 
 def host_paths(pages: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ Every candidate of the tables is thus confirmed, implied or excluded.
 
 Defined cases: null and empty texts have an empty set and stand alone; rows
 with equal doc_id and different texts are linked like other rows; a component
-of rows without doc_id has a null component_id; an empty table gives an empty
+of rows without doc_id has a null component_id, and one of them stays; an empty table gives an empty
 result; other columns are never looked at.
 """
 
@@ -63,16 +63,21 @@ def half_keys(shingles: np.ndarray) -> np.ndarray:
 def _profiles(batches):
     for batch in batches:
         out = []
-        for doc_id, text in zip(batch.doc_id, batch.text, strict=True):
+        for key, doc_id, text in zip(batch["key"], batch["doc_id"], batch["text"], strict=True):
             s = shingle_set(text)
-            out.append((doc_id, len(s), set_digest(s), half_keys(s).tolist() if len(s) else []))
-        yield pd.DataFrame(out, columns=["doc_id", "n_shingles", "digest", "halves"]).astype({"doc_id": "Int64"})
+            out.append((key, doc_id, len(s), set_digest(s), half_keys(s).tolist() if len(s) else []))
+        yield pd.DataFrame(out, columns=["key", "doc_id", "n_shingles", "digest", "halves"]).astype({"doc_id": "Int64"})
+
+
+def row_key() -> Column:
+    """Names a row by its id and its text."""
+    return F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col("text").cast("string"), F.lit("")))))
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest of the set and half keys of every row."""
-    return materialise(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        _profiles, "doc_id long, n_shingles long, digest binary, halves array<long>"), "profiles")
+    """key, doc_id, n_shingles, digest of the set and half keys of every row."""
+    return materialise(docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
+        _profiles, "key binary, doc_id long, n_shingles long, digest binary, halves array<long>"), "profiles")
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
@@ -193,8 +198,8 @@ def component_labels(links: DataFrame) -> DataFrame:
     return components(links).select(F.col("node").alias("class"), "component")
 
 
-def near_duplicates(docs: DataFrame, shared: int = SHARED) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept for every row of ``docs``; linked from a similarity of ``shared`` per cent."""
+def grouped_rows(docs: DataFrame, shared: int = SHARED) -> DataFrame:
+    """key, doc_id, n_shingles, component_id and group (a number of the component, null for an empty set) of every row."""
     rows = profiles(docs)
     classes = classes_of(rows)
     tables = tables_of(classes)
@@ -209,15 +214,21 @@ def near_duplicates(docs: DataFrame, shared: int = SHARED) -> DataFrame:
     labels = materialise(component_labels(links), "labels")
     named = classes.select("class", "digest", "low").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_set = materialise(named.join(lows, "component").select("digest", "component_id"), "sets")
-    out = rows.select("doc_id", "n_shingles", "digest").join(by_set, "digest", "left")
+    by_set = materialise(named.join(lows, "component").select("digest", "component_id", F.col("component").alias("group")), "sets")
+    out = rows.select("key", "doc_id", "n_shingles", "digest").join(by_set, "digest", "left")
     component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("key", "doc_id", "n_shingles", component.alias("component_id"), "group")
+
+
+def near_duplicates(docs: DataFrame, shared: int = SHARED) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept for every row of ``docs``; linked from a similarity of ``shared`` per cent."""
+    return grouped_rows(docs, shared).select(
+        "doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 def keep_one(docs: DataFrame, shared: int = SHARED) -> DataFrame:
-    """The rows of ``docs`` whose document stays, unchanged: of each component the one with the smallest doc_id."""
-    fate = near_duplicates(docs, shared).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    gone = materialise(fate.filter("NOT kept").select(F.col("doc_id").alias("_gone")), "gone")
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    """The rows of ``docs`` that stay, unchanged: of each component the one with the smallest doc_id, one without id only where no other is there."""
+    rows = materialise(grouped_rows(docs, shared).filter(F.col("group").isNotNull()).select("key", "doc_id", "group"), "grouped")
+    first = rows.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    gone = materialise(rows.join(first, "group").filter(F.col("key") != F.col("first.key")).select(F.col("key").alias("__gone")).distinct(), "gone")
+    return docs.join(gone, row_key() == F.col("__gone"), "left_anti")

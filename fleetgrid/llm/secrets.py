@@ -15,8 +15,8 @@ fixed hash.  Candidates are few, so only their rows are ever shuffled; counts by
 word are combined before the shuffle.
 
 Defined cases: null and empty texts have no candidates; a null source is a
-path of its own; repeated rows give repeated findings; findings without labels
-of both classes all score 0.5; an empty table gives an empty result; other
+path of its own; repeated rows give repeated findings; very long texts, values and
+words are searched whole; findings without labels of both classes all score 0.5; an empty table gives an empty result; other
 columns are never looked at.
 """
 
@@ -33,6 +33,7 @@ SHORTEST = 16
 DICTIONARY_USES = 5
 TRAINING_ROWS = 20_000
 TREES, DEPTH, SEED = 24, 6, 7
+BLOCK = 256  # counts that are summed up together
 ACCEPT = 0.5
 RUN = r"[A-Za-z0-9+/_\-]"
 CANDIDATE = rf"(?<!{RUN})(?=[A-Za-z+/_\-]*[0-9]){RUN}{{{SHORTEST},}}"
@@ -50,7 +51,8 @@ PLACEHOLDER = r"(?i)^(?:true|false|null|nil|none|undefined|required|optional|str
 NAME = r"(?i)(?<![a-z])(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)"
 ASSIGNS = NAME + r"\\?[\"']?\s*(?::=|=>|={1,2}|:)\s*"
 ASSIGNED = ASSIGNS + (
-    r"(?:\"((?:[^\"\\\n]|\\.)+)\"|'((?:[^'\\\n]|\\.)+)'|`([^`\n]+)`|"
+    # possessive: a long value is not matched step by step on the stack
+    r"(?:\"((?:[^\"\\\n]++|\\.)++)\"|'((?:[^'\\\n]++|\\.)++)'|`([^`\n]++)`|"
     r"((?!\"\"|'')(?:(?![&,;][\"']?[A-Za-z_][\w.-]*[\"']?[=:])\S)+))")
 
 
@@ -59,40 +61,83 @@ def plain_word(word: Column) -> Column:
     return F.lower(F.regexp_replace(F.coalesce(word, F.lit("")), r"[^A-Za-z_]+", ""))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _before(counts: Column, sums: Column, place: Column) -> Column:
+    """The sum of the counts before a place, from the sums of whole blocks of them."""
+    blocks = F.floor(place / BLOCK).cast("int")
+    add = lambda total, x: total + x
+    return F.aggregate(F.slice(sums, F.lit(1), blocks), F.lit(0), add) + F.aggregate(F.slice(counts, blocks * BLOCK + 1, place - blocks * BLOCK), F.lit(0), add)
+
+
+def _assignments(text: Column) -> Column:
+    """number, found, word (where the value begins), whether it is a run of that word and how many that has, and the words before it."""
+    blanks = lambda c: F.regexp_count(c, F.lit(SPACES))
+    read = F.struct(F.split(text, SPACES).alias("words"), F.regexp_extract_all(text, F.lit(ASSIGNED), 0).alias("all"), F.split(text, ASSIGNED, -1).alias("between"))
+
+    def counted(s):
+        # the text between assignments and the assignments alternate; blanks before a value tell its word
+        steps = F.zip_with(F.slice(s["between"], F.lit(1), F.size(s["all"])), s["all"], lambda b, a: F.struct(
+            blanks(b).alias("before"), blanks(F.regexp_extract(a, ASSIGNS, 0)).alias("own"), blanks(a).alias("all")))
+        return F.struct(s["words"].alias("words"), F.transform(s["words"], lambda w: F.regexp_extract_all(w, F.lit(CANDIDATE), 0)).alias("runs"),
+                        s["all"].alias("all"), steps.alias("steps"), F.transform(steps, lambda c: c["before"] + c["all"]).alias("counts"))
+
+    def summed(s):
+        blocks = F.transform(F.sequence(F.lit(0), F.floor(F.size(s["counts"]) / BLOCK).cast("int")), lambda b: F.aggregate(
+            F.slice(s["counts"], b * BLOCK + 1, F.lit(BLOCK)), F.lit(0), lambda total, x: total + x))
+        return s.withField("sums", blocks)
+
+    def placed(s):
+        def one(found, number):
+            step = F.get(s["steps"], number)
+            at = _before(s["counts"], s["sums"], number) + step["before"] + step["own"]
+            return _let(at, lambda word: F.struct(
+                number.alias("number"), found.alias("found"), word.alias("word"), F.get(s["runs"], word).alias("runs"),
+                plain_word(F.get(s["words"], word - 1)).alias("before"), plain_word(F.get(s["words"], word - 2)).alias("before2")))
+
+        def told(a):
+            value = value_of(a["found"])
+            return F.struct(a["number"].alias("number"), a["word"].alias("word"), value.alias("candidate"), F.array_contains(a["runs"], value).alias("known"),
+                            F.size(a["runs"]).alias("runs"), a["before"].alias("before"), a["before2"].alias("before2"),
+                            F.translate(F.lower(F.regexp_extract(a["found"], ASSIGNED, 1)), "-", "_").alias("inside"))
+
+        return F.transform(s["all"], lambda found, number: _let(one(found, number), told))
+
+    return _let(_let(_let(read, counted), summed), placed)
+
+
+def value_of(found: Column) -> Column:
+    """The value of an assignment, without its quotes or the sign that ends its sentence."""
+    bare = F.regexp_replace(F.regexp_extract(found, ASSIGNED, 5), r"(?<=.)[.,;]+$", "")
+    return F.concat(*[F.regexp_extract(found, ASSIGNED, k) for k in (2, 3, 4)], bare)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, path, word (its number), part, candidate and its neighbouring words.
 
     A run's ``part`` counts the runs of its word; values that are no run of the
     word where they begin are numbered on from there, in the order of the text.
+    What a candidate needs of its text is picked before rows are made of the
+    candidates, so no row carries the text.
     """
     read = docs.select("doc_id", F.col("source").cast("string").alias("path"), text_of().alias("text"))
-    at = lambda back: F.when(F.col("word") >= back, F.element_at("words", F.col("word") + 1 - back))
-    own = F.element_at("words", F.col("word") + 1)
-    near = [plain_word(at(1)).alias("before"), plain_word(at(2)).alias("before2")]
-
-    words = read.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", "path", F.split("text", SPACES).alias("words"))
-    places = F.filter(F.transform("words", lambda w, i: F.when(w.rlike(CANDIDATE), i)), lambda i: i.isNotNull())
-    placed = words.select("doc_id", "path", "words", F.explode(places).alias("word"))
-    runs = placed.select(
-        "doc_id", "path", "word", F.posexplode(F.regexp_extract_all(own, F.lit(CANDIDATE), 0)).alias("part", "candidate"), *near,
-        plain_word(F.regexp_extract(own, r"^[^A-Za-z]*([A-Za-z_]+)[=:]", 1)).alias("inside"))
-
-    # the text between assignments and the assignments alternate; blanks before a value tell its word
-    blanks = lambda c: F.regexp_count(c, F.lit(SPACES))
-    cut = read.filter(F.col("text").rlike(ASSIGNED)).select(
-        "doc_id", "path", F.split("text", SPACES).alias("words"), F.regexp_extract_all("text", F.lit(ASSIGNED), 0).alias("all"), F.split("text", ASSIGNED, -1).alias("between"))
-    told = cut.withColumn("counts", F.zip_with(F.slice("between", 1, F.size("all")), "all", lambda b, a: F.struct(
-        blanks(b).alias("before"), blanks(F.regexp_extract(a, ASSIGNS, 0)).alias("own"), blanks(a).alias("all"))))
-    each = told.select("doc_id", "path", "words", "counts", F.posexplode("all").alias("number", "found"))
-    count = F.element_at("counts", F.col("number") + 1)
-    earlier = F.aggregate(F.slice("counts", F.lit(1), F.col("number")), F.lit(0), lambda n, c: n + c["before"] + c["all"])
-    bare = F.regexp_replace(F.regexp_extract("found", ASSIGNED, 5), r"(?<=.)[.,;]+$", "")
-    value = F.concat(*[F.regexp_extract("found", ASSIGNED, k) for k in (2, 3, 4)], bare)
-    valued = each.select("doc_id", "path", "words", "number", (earlier + count["before"] + count["own"]).alias("word"), value.alias("candidate"),
-                         F.translate(F.lower(F.regexp_extract("found", ASSIGNED, 1)), "-", "_").alias("inside"))
-    own_runs = F.regexp_extract_all(own, F.lit(CANDIDATE), 0)
-    values = valued.filter(~F.array_contains(own_runs, F.col("candidate"))).select(
-        "doc_id", "path", "word", (F.size(own_runs) + F.col("number")).alias("part"), "candidate", *near, "inside")
+
+    def near(words, i):
+        word = F.get(words, i)
+        return F.struct(
+            i.alias("word"), F.regexp_extract_all(word, F.lit(CANDIDATE), 0).alias("runs"), plain_word(F.get(words, i - 1)).alias("before"),
+            plain_word(F.get(words, i - 2)).alias("before2"), plain_word(F.regexp_extract(word, r"^[^A-Za-z]*([A-Za-z_]+)[=:]", 1)).alias("inside"))
+
+    places = _let(F.split("text", SPACES), lambda words: F.filter(
+        F.transform(words, lambda w, i: F.when(w.rlike(CANDIDATE), near(words, i))), lambda x: x.isNotNull()))
+    placed = read.filter(F.col("text").rlike(CANDIDATE)).select("doc_id", "path", F.explode(places).alias("at"))
+    runs = placed.select("doc_id", "path", "at.word", F.posexplode("at.runs").alias("part", "candidate"), "at.before", "at.before2", "at.inside")
+
+    valued = read.filter(F.col("text").rlike(ASSIGNED)).select("doc_id", "path", F.explode(_assignments(F.col("text"))).alias("at")).filter("NOT at.known")
+    values = valued.select("doc_id", "path", "at.word", (F.col("at.runs") + F.col("at.number")).alias("part"), "at.candidate", "at.before", "at.before2", "at.inside")
     return runs.unionByName(values)
 
 

@@ -301,3 +301,45 @@ def test_empty_tables(spark, empty):
                mixing.mixed_documents(empty), decontamination.leaks(empty, bench), decontamination.drop_leaking(empty, bench), suffix_dedup.cut(empty),
                quality.quality_scores(empty, labels), quality.keep_good(empty, labels), secrets.scan(empty)):
         assert df.count() == 0
+
+
+def test_leaks_of_rows_with_equal_or_no_ids(spark):
+    item = "Alice Moore has 52 apples and buys 17 more apples at the market before lunch."
+    other = "Peter Stone has 31 apples and buys 12 more apples at the market before lunch."
+    clean = messy.prose(70, 60)
+    bench = spark.createDataFrame([(1, item), (2, messy.prose(71, 40))], "item_id long, text string")
+    for ids in ((1, 2, 3), (7, 7, 7), (None, None, None)):
+        docs = spark.createDataFrame(list(zip(ids, (f"x {item} y", f"x {other} y", clean), strict=True)), "doc_id long, text string")
+        assert sorted((r.item_id, r.reparameterised) for r in decontamination.leaks(docs, bench).collect()) == [(1, False), (1, True)]
+        assert [r.text for r in decontamination.drop_leaking(docs, bench).collect()] == [clean]
+
+
+def test_windows_that_all_items_share(spark):
+    stem = "choose the best answer of the four that are given below and explain it "
+    items = [(i, stem + messy.prose(1000 + i, 45)) for i in range(60)]
+    docs = [(i, stem + messy.prose(3000 + i, 50)) for i in range(60)] + [(100 + i, items[i][1]) for i in range(5)]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontamination.leaks(d, b).collect()} == {(100 + i, i) for i in range(5)} == brute_leaks(docs, items)
+
+
+def test_near_copies_without_ids(spark):
+    text = messy.prose(80, 100)
+    rows = [(1, text), (None, text + " more"), (None, messy.prose(81, 80)), (None, messy.prose(81, 80) + " end"), (2, text + " tail"), (2, messy.prose(82, 50)), (None, None), (3, "")]
+    kept = minhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((tuple(r) for r in kept if r.doc_id is not None), key=KEY) == [(1, text), (2, messy.prose(82, 50)), (3, "")]
+    assert len([r for r in kept if r.doc_id is None]) == 2
+
+
+def test_long_values_and_many_candidates(spark):
+    long = "ab1" * 100_000
+    escaped = '\\"' * 100_000
+    many = " ".join(f"token=value{i}" for i in range(50_000))
+    word = "&".join(f"auth=v{i}x" for i in range(3_000))
+    rows = [(1, f'password="{long}" end', "a"), (2, f"secret='{escaped}'", "a"), (3, many, "a"), (4, word, "a"), (5, f'pwd="{long}', "a")]
+    found = secrets.candidates(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5))
+    by = Counter()
+    for r in found.select("doc_id", "word", "candidate").collect():
+        by[r.doc_id] += 1
+        if r.doc_id == 3:
+            assert r.candidate == f"value{r.word}"
+    assert by == {1: 1, 2: 1, 3: 50_000, 4: 3_000, 5: 2}

@@ -5,6 +5,8 @@ import hashlib
 import html
 import re
 
+import time
+
 import pytest
 
 from fleetgrid.llm import html_extraction, url_filters, warc
@@ -178,3 +180,16 @@ def test_unescaped_text_of_the_tables(spark):
         article = re.search(r"<article>(.*)</article>", r.html, re.S)[1]
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", " " if "<br>" in b else "", b)).split()) for b in re.split(r"</?(?:p|h1)>", article)]
         assert got[r.page_id] == "\n".join(b for b in blocks if b)
+
+
+def test_cut_off_and_endless_pages():
+    began = time.perf_counter()
+    cut = "<p>kept</p><a " + 'x="1" ' * 200
+    assert html_extraction.main_text(cut, []).startswith("kept\n")
+    assert len(html_extraction.main_text("<div>x" * 50_000, []).split("\n")) == 50_000
+    assert html_extraction.main_text("<p>one</p><!-- never closed <p>two</p>", []) == "one"
+    assert html_extraction.main_text("<p>one</p><script>a > b", []) == "one"
+    assert html_extraction.main_text("<article><p title='a>b' class=\"x\">in</p><p x=\"odd>out</p></article>", []) == "in\nout"
+    assert len(html_extraction.main_text("<a " * 50_000, [])) > 100_000
+    assert html_extraction.main_text("<ul>" + "<li>x" * 20_000, []).count("x") == 20_000
+    assert time.perf_counter() - began < 30

@@ -18,7 +18,8 @@ a component cannot change it.  The classes of the others may be many that are
 alike but not alike enough, so they are dealt anew by their rarest shingles:
 linked sets must share one of those, and classes that cannot reach 0.85 with
 anything have none to share.  What is left meets a few seeded members of the main components,
-and at last all classes of *different* components that share a rare shingle meet.
+and at last all classes of *different* components that share a rare shingle meet,
+unless their sketches of parities differ in more bits than linked sets differ in shingles.
 Every candidate of the tables is thus confirmed, implied or excluded.
 
 Defined cases: null and empty texts have an empty set and stand alone; rows
@@ -41,6 +42,7 @@ ROWS = 5  # minima in a half key
 HALVES = 15  # half keys on each side
 SHARED, OF = 85, 100  # linked when OF * intersection >= SHARED * union
 BLOCK = 1024
+SKETCH = 8  # whole numbers of 64 parities
 PROBES = 8  # members of main components that a class meets in a turn
 TURNS = 1
 
@@ -60,13 +62,22 @@ def half_keys(shingles: np.ndarray) -> np.ndarray:
     return mixed(keys + np.arange(len(keys), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each of 64 * SKETCH bits whether an odd number of shingles falls on it.
+
+    Two sets' sketches differ in no more bits than the sets differ in shingles.
+    """
+    slots = np.bincount((mixed(shingles ^ _FLIPS[0]) % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(slots.astype(np.uint8)).view(np.int64)
+
+
 def _profiles(batches):
     for batch in batches:
         out = []
         for key, doc_id, text in zip(batch["key"], batch["doc_id"], batch["text"], strict=True):
             s = shingle_set(text)
-            out.append((key, doc_id, len(s), set_digest(s), half_keys(s).tolist() if len(s) else []))
-        yield pd.DataFrame(out, columns=["key", "doc_id", "n_shingles", "digest", "halves"]).astype({"doc_id": "Int64"})
+            out.append((key, doc_id, len(s), set_digest(s), half_keys(s).tolist() if len(s) else [], parities(s).tolist()))
+        yield pd.DataFrame(out, columns=["key", "doc_id", "n_shingles", "digest", "halves", "sketch"]).astype({"doc_id": "Int64"})
 
 
 def row_key() -> Column:
@@ -75,15 +86,15 @@ def row_key() -> Column:
 
 
 def profiles(docs: DataFrame) -> DataFrame:
-    """key, doc_id, n_shingles, digest of the set and half keys of every row."""
+    """key, doc_id, n_shingles, digest of the set, half keys and sketch of every row."""
     return materialise(docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        _profiles, "key binary, doc_id long, n_shingles long, digest binary, halves array<long>"), "profiles")
+        _profiles, "key binary, doc_id long, n_shingles long, digest binary, halves array<long>, sketch array<long>"), "profiles")
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
-    """One row per distinct set: class, digest, low (smallest doc_id), n_shingles, halves."""
+    """One row per distinct set: class, digest, low (smallest doc_id), n_shingles, halves, sketch."""
     grouped = rows.filter("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("low"), F.max("n_shingles").alias("n_shingles"), F.min("halves").alias("halves"))
+        F.min("doc_id").alias("low"), F.max("n_shingles").alias("n_shingles"), F.min("halves").alias("halves"), F.min("sketch").alias("sketch"))
     return materialise(grouped.withColumn("class", F.monotonically_increasing_id()), "classes")
 
 
@@ -135,11 +146,13 @@ def linked(pairs: DataFrame, texts: DataFrame, shared: int = SHARED) -> DataFram
 
 
 def rare_tables(texts: DataFrame, classes: DataFrame, shared: int = SHARED) -> DataFrame:
-    """(key, class, n_shingles, rest): the rarest shingles of each class among these classes, so many that linked sets share one.
+    """(key, class, n_shingles, rest, short): the rarest shingles of each class among these classes, so many that linked sets share one.
 
     A set of n shingles shares at least 85 % of them with any set that it is
     linked with, so not all of its rarest ones, n - ceil(0.85 n) + 1, can be
     missing there.  A class of which so many occur nowhere else leaves for good.
+    Where the other set is no smaller, they share even 2 * 0.85 / 1.85 of the
+    smaller one's; ``short`` tells the rows that are rare enough for that.
     ``rest`` counts the shingles of the class behind this one in the common order.
     """
     wanted = texts.join(classes, "class")
@@ -154,9 +167,12 @@ def rare_tables(texts: DataFrame, classes: DataFrame, shared: int = SHARED) -> D
     mine = Window.partitionBy("class")
     placed = spread.join(uses, "key").withColumns({
         "place": F.row_number().over(mine.orderBy("uses", "key")), "elsewhere": F.count("*").over(mine)})
-    needed = F.ceil(F.col("n_shingles") * shared / OF)
+    # whole numbers, rounded up
+    needed = F.expr(f"(n_shingles * {shared} + {OF - 1}) div {OF}")
+    more = F.expr(f"(2 * n_shingles * {shared} + {OF + shared - 1}) div {OF + shared}")
     return materialise(placed.filter(F.col("place") <= F.col("elsewhere") - needed + 1).select(
-        "key", "class", "n_shingles", (F.col("elsewhere") - F.col("place")).alias("rest")), "rare")
+        "key", "class", "n_shingles", (F.col("elsewhere") - F.col("place")).alias("rest"),
+        (F.col("place") <= F.col("elsewhere") - more + 1).alias("short")), "rare")
 
 
 def open_rows(tables: DataFrame, labels: DataFrame) -> DataFrame:
@@ -181,16 +197,25 @@ def probes(rows: DataFrame, turn: int, shared: int = SHARED) -> DataFrame:
     return met.withColumn("place", place).filter(F.col("place") <= PROBES).select("a", "b")
 
 
-def cross_pairs(rows: DataFrame, shared: int = SHARED) -> DataFrame:
+def cross_pairs(rows: DataFrame, classes: DataFrame, shared: int = SHARED) -> DataFrame:
     """Distinct pairs of classes of different components that share a rare shingle and may be similar.
 
     If it is the first shingle that they share, the sets have at most that one and
     what follows it in common.  That must be enough; a pair of similar sets passes at its first one.
+    The sketches drop pairs that surely differ in more shingles than linked sets may,
+    (n_a + n_b) * (1 - s) / (1 + s), before they become rows.
     """
-    a, b = rows.filter("component != main").alias("a"), rows.alias("b")
-    enough = (F.least("a.rest", "b.rest") + 1) * (OF + shared) >= (F.col("a.n_shingles") + F.col("b.n_shingles")) * shared
+    bits = [F.get("sketch", F.lit(i)).alias(f"s{i}") for i in range(SKETCH)]
+    known = materialise(rows.join(classes.select("class", *bits), "class"), "sketched")
+    a, b = known.filter("component != main").alias("a"), known.alias("b")
+    both = F.col("a.n_shingles") + F.col("b.n_shingles")
+    enough = (F.least("a.rest", "b.rest") + 1) * (OF + shared) >= both * shared
+    short = F.when(F.col("a.n_shingles") <= F.col("b.n_shingles"), F.col("a.short")).otherwise(F.col("b.short"))
+    differ = sum((F.bit_count(F.col(f"a.s{i}").bitwiseXOR(F.col(f"b.s{i}"))) for i in range(SKETCH)), F.lit(0))
+    near = differ * (OF + shared) <= both * (OF - shared)
     # a pair of two outsiders comes up from both sides; distinct makes it one
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & enough).select(
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.component") != F.col("b.component")) & similar_sizes(
+        "a.n_shingles", "b.n_shingles", shared) & short & enough & near).select(
         F.greatest("a.class", "b.class").alias("a"), F.least("a.class", "b.class").alias("b")).distinct()
 
 
@@ -210,7 +235,7 @@ def grouped_rows(docs: DataFrame, shared: int = SHARED) -> DataFrame:
     rare = rare_tables(texts, rows_open.select("class", "n_shingles").distinct(), shared)
     for turn in range(TURNS):
         links = links.unionByName(linked(probes(open_rows(rare, component_labels(links)), turn, shared), texts, shared))
-    links = links.unionByName(linked(cross_pairs(open_rows(rare, component_labels(links)), shared), texts, shared))
+    links = links.unionByName(linked(cross_pairs(open_rows(rare, component_labels(links)), classes, shared), texts, shared))
     labels = materialise(component_labels(links), "labels")
     named = classes.select("class", "digest", "low").join(labels, "class", "left").withColumn("component", F.coalesce("component", "class"))
     lows = named.groupBy("component").agg(F.min("low").alias("component_id"))

@@ -343,3 +343,24 @@ def test_long_values_and_many_candidates(spark):
         if r.doc_id == 3:
             assert r.candidate == f"value{r.word}"
     assert by == {1: 1, 2: 1, 3: 50_000, 4: 3_000, 5: 2}
+
+
+def test_a_cloud_of_texts_around_the_threshold(spark):
+    # 300 texts that are alike at 0.7 to 0.85, about half of them linked with some other
+    base, rng, data = messy.prose(60, 150).split(), np.random.default_rng(8), []
+    for i in range(300):
+        words = list(base)
+        for at in rng.choice(150, 2 + i % 3, replace=False):
+            words[at] = f"w{i}x{at}"
+        data.append((i, " ".join(words)))
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(4)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(df).collect()) == sorted(messy.near_components(data))
+
+
+def test_sketches_never_differ_more_than_sets():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        a = np.unique(rng.integers(0, 2**63, rng.integers(1, 400), dtype=np.uint64))
+        b = np.unique(np.concatenate((a[rng.random(len(a)) < 0.9], rng.integers(0, 2**63, 20, dtype=np.uint64))))
+        differ = sum(int(x).bit_count() for x in (minhash.parities(a) ^ minhash.parities(b)).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b)) and differ % 2 == len(np.setxor1d(a, b)) % 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.bits import cell_resolution, h3_is_valid, hex_to_cell
@@ -41,13 +43,22 @@ def split_by_reason(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame
 
 
 def validate_pings(df: DataFrame, on_bad: str = "quarantine") -> tuple[DataFrame, DataFrame] | DataFrame:
-    """Split off bad pings, or with ``on_bad="default"`` keep every row and flag it for partition 0."""
+    """Split off bad pings, or keep every row in one table.
+
+    ``on_bad="default"`` flags rows for partition 0, ``on_bad="reason"`` adds the
+    failed rule; both judge a row once, whatever becomes of it.
+    """
     if on_bad == "default":
         return df.withColumn("in_range", ping_reason().isNull())
+    if on_bad == "reason":
+        return df.withColumn("reason", ping_reason())
     return split_by_reason(df, ping_reason())
 
 
-def validate_drivers(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def validate_drivers(df: DataFrame, on_bad: str = "quarantine") -> tuple[DataFrame, DataFrame] | DataFrame:
+    """Split off drivers outside their limits, or with ``on_bad="reason"`` keep every row with the failed rule."""
+    if on_bad == "reason":
+        return df.withColumn("reason", driver_reason())
     return split_by_reason(df, driver_reason())
 
 
@@ -87,6 +98,15 @@ def with_counters(df: DataFrame, name: str | Observation, **aggregates: Column)
     return df.observe(name, *[c.alias(k) for k, c in wanted.items()])
 
 
+def counted_run(df: DataFrame, act: Callable[[DataFrame], object], **aggregates: Column) -> DataFrame:
+    """Runs ``act``, which must read all of ``df`` once, and returns what was counted on the side as a row."""
+    seen = Observation()
+    act(with_counters(df, seen, **aggregates))
+    counted = seen.get
+    names = list(aggregates) or ["rows"]
+    return df.sparkSession.createDataFrame([tuple(counted[n] for n in names)], ", ".join(f"`{n}` bigint" for n in names))
+
+
 def normalize_pings(df: DataFrame, variant: str) -> DataFrame:
     """Bring a record variant to the common names, types and units."""
     spec = VARIANTS[variant]

@@ -18,9 +18,7 @@ WIRE = ["event_id", "driver_id", "lat", "lon", "ts_ms", "status"]
 
 def _outcome(decoded: C.Decoded, *columns: str):
     """Good and rejected rows in one table, so the counts can be seen to add up."""
-    good = decoded.good.select(*columns, F.lit(None).cast("string").alias("reason"))
-    return good.unionByName(decoded.quarantine.select(
-        *[c for c in columns if c in decoded.quarantine.columns], "reason"), allowMissingColumns=True)
+    return decoded.rows.select(*columns, "reason")
 
 
 def _nulled(condition: str, reason: str, *columns: str) -> str:
@@ -30,10 +28,14 @@ def _nulled(condition: str, reason: str, *columns: str) -> str:
 
 @query("json_pings", f"SELECT {_nulled('event_id % 97 = 0', 'unparsable', 'driver_id', 'lat', 'lon', 'ts_ms', 'status')} FROM {Q.PINGS}")
 def json_pings(spark, d):
+    return _outcome(C.decode_json(_json_raw(spark, d)), *WIRE)
+
+
+def _json_raw(spark, d):
+    """JSON payloads, some of them cut off."""
     text = C.encode_json("driver_id", "lat", "lon", "ts_ms", "status")
     broken = F.substring(text, F.lit(1), F.length(text) - 9)
-    raw = I.pings(spark, d).select("event_id", F.when(F.col("event_id") % 97 == 0, broken).otherwise(text).alias("value"))
-    return _outcome(C.decode_json(raw), *WIRE)
+    return I.pings(spark, d).select("event_id", F.when(F.col("event_id") % 97 == 0, broken).otherwise(text).alias("value"))
 
 
 @query("csv_pings", f"SELECT event_id, driver_id, {Q.half_up('lat', 6)} AS lat, {Q.half_up('lon', 6)} AS lon, ts_ms, status, NULL::VARCHAR AS reason FROM {Q.PINGS}")
@@ -187,8 +189,7 @@ _REASON = "CASE WHEN trim(driver_id) = '' THEN 'blank_id' WHEN lat NOT BETWEEN -
 
 @query("validate_pings", f"SELECT event_id, {_REASON} AS reason FROM {Q.FLAWED}")
 def validate_pings(spark, d):
-    good, bad = P.validate_pings(I.flawed_pings(spark, d))
-    return good.select("event_id", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("event_id", "reason"))
+    return P.validate_pings(I.flawed_pings(spark, d), on_bad="reason").select("event_id", "reason")
 
 
 @query("range_guard", f"SELECT event_id, {_REASON} IS NULL AS in_range, CASE WHEN {_REASON} IS NULL THEN CAST(abs(cell) % 64 AS INTEGER) ELSE 0 END AS partition FROM {Q.with_cell(Q.FLAWED, 3)}")
@@ -201,8 +202,7 @@ def range_guard(spark, d):
   WHEN CAST(user_id % 40 AS DOUBLE) > 33.3e0 THEN 'speed' END AS reason FROM {Q.H3_IDS}""")
 def validate_drivers(spark, d):
     drivers = I.h3_ids(spark, d).withColumns({"heading": (F.col("event_id") % 401) - 20, "speed_mps": (F.col("user_id") % 40).cast("double")})
-    good, bad = P.validate_drivers(drivers)
-    return good.select("event_id", F.lit(None).cast("string").alias("reason")).unionByName(bad.select("event_id", "reason"))
+    return P.validate_drivers(drivers, on_bad="reason").select("event_id", "reason")
 
 
 def _valid_cells_sql() -> str:
@@ -243,6 +243,53 @@ def peek_counters(spark, d):
                            available=F.count_if(F.col("status") == "AVAILABLE")).select("event_id", "status")
 
 
+@query("peek_counter_values", f"SELECT count(*) AS rows, count(*) FILTER (status = 'AVAILABLE') AS available, count(DISTINCT driver_id) AS drivers FROM {Q.PINGS}")
+def peek_counter_values(spark, d):
+    """What the counters saw while the pings were written elsewhere."""
+    path = scratch_path(spark, "peeked")
+    seen = {"rows": F.count(F.lit(1)), "available": F.count_if(F.col("status") == "AVAILABLE"), "drivers": F.size(F.collect_set("driver_id")).cast("bigint")}
+    return P.counted_run(I.pings(spark, d), lambda rows: rows.write.parquet(path), **seen)
+
+
+@query("outcome_folders", f"""SELECT outcome, reason, count(*) AS records, count(driver_id) AS parsed FROM (SELECT CASE WHEN event_id % 97 = 0 THEN 'quarantine' ELSE 'good' END AS outcome,
+  CASE WHEN event_id % 97 = 0 THEN 'unparsable' END AS reason, CASE WHEN event_id % 97 <> 0 THEN driver_id END AS driver_id FROM {Q.PINGS}) GROUP BY ALL""")
+def outcome_folders(spark, d):
+    """Both outcomes of a decoded table, written in one pass."""
+    path = scratch_path(spark, "outcomes")
+    writers.write_outcomes(C.decode_json(_json_raw(spark, d)).rows, path)
+    return spark.read.parquet(path).groupBy("outcome", "reason").agg(F.count(F.lit(1)).alias("records"), F.count("driver_id").alias("parsed"))
+
+
+def _json_folder(spark, d, label):
+    path = scratch_path(spark, label)
+    _json_raw(spark, d).select("value").write.text(path)
+    return path
+
+
+@query("read_pings_folder", f"SELECT driver_id, lat, lon, ts_ms, status FROM {Q.PINGS} WHERE event_id % 97 <> 0")
+def read_pings_folder(spark, d):
+    """Pings read from a folder of text files by the reader that decodes them."""
+    return readers.read_pings(spark, _json_folder(spark, d, "ping-files")).good
+
+
+@query("read_pings_quarantine", f"SELECT count(*) AS records, 'unparsable' AS reason FROM {Q.PINGS} WHERE event_id % 97 = 0")
+def read_pings_quarantine(spark, d):
+    bad = readers.read_pings(spark, _json_folder(spark, d, "ping-files")).quarantine
+    return bad.groupBy("reason").agg(F.count(F.lit(1)).alias("records"))
+
+
+@query("read_topics_folders", f"""SELECT 'drivers' AS topic, driver_id AS id, count(*) AS records, max(ts_ms) AS last_ms FROM {Q.PINGS} GROUP BY driver_id
+  UNION ALL SELECT 'riders', rider_id, count(*), max(request_ms) FROM {Q.RIDERS} GROUP BY rider_id""")
+def read_topics_folders(spark, d):
+    """Payloads of two sources, read from the earliest on and tagged by source."""
+    folders = {name: scratch_path(spark, f"topic-{name}") for name in ("drivers", "riders")}
+    I.pings(spark, d).select(C.encode_csv("ping").alias("value")).write.text(folders["drivers"])
+    I.riders(spark, d).select(C.encode_csv("rider").alias("value")).write.text(folders["riders"])
+    part = F.split("value", ",")
+    read = readers.read_topics(spark, folders).select("topic", part[0].alias("id"), part[3].cast("bigint").alias("ms"))
+    return read.groupBy("topic", "id").agg(F.count(F.lit(1)).alias("records"), F.max("ms").alias("last_ms"))
+
+
 @query("normalize_variants", f"""SELECT 'short' AS variant, driver_id, lat, lon, ts_ms, cell, NULL::DOUBLE AS speed_mps FROM {Q.with_cell(Q.PINGS, 9)}
   UNION ALL SELECT 'kinematic_kmh', driver_id, lat, lon, ts_ms, NULL, CAST(user_id % 120 AS DOUBLE) * {Q.num(1.0 / 3.6)} FROM {Q.PINGS}
   UNION ALL SELECT 'kinematic_mph', CAST(user_id AS VARCHAR), lat, lon, ts_ms, NULL, CAST(user_id % 120 AS DOUBLE) * {Q.num(0.44704)} FROM {Q.PINGS}

@@ -12,16 +12,29 @@ from ..operators.quality import with_cell
 from ..operators.series import throughput
 from ..operators.state import latest_by
 from ..session import scratch_path
-from ..sources.readers import read_table_stream
+from ..sources.readers import read_table_stream, write_slices
+from ..sources.writers import start
 from ..streaming import jobs, processors as K
 from . import inputs as I, sqltext as Q
 from .cells import _VALID
 from .registry import query
 
 
-def event_stream(spark, d, max_per_trigger: int | None = 1):
-    schema = I.table(spark, d, "events").schema
-    return read_table_stream(spark, d, "events.parquet", schema, max_per_trigger)
+SLICES = 4  # files that every stream takes in one by one
+
+
+def event_stream(spark, d, order="event_id"):
+    """The events as a stream of several files in the order of ``order``, one in each micro-batch."""
+    events = I.table(spark, d, "events")
+    rows = events if order in events.columns else events.withColumn(order, epoch_millis("ts"))
+    path = scratch_path(spark, "intake")
+    write_slices(rows, path, order, SLICES)
+    return read_table_stream(spark, path, "part-", rows.schema, 1)
+
+
+def _slice_sql(order="event_id", rows="events"):
+    """SQL of the number of the file that a row lies in."""
+    return f"CAST(floor(({order} - (SELECT min({order}) FROM {rows})) * {SLICES} / ((SELECT max({order}) - min({order}) + 1 FROM {rows}))) AS BIGINT)"
 
 
 def ping_stream(spark, d):
@@ -59,6 +72,41 @@ def stream_dedup_with_expiry(spark, d):
     return jobs.run_to_table(K.dedup_stream(rows, ts="bucket_ms", order=["arrival"], ttl_ms=10_800_000, clock="ts_ms"), "dedup-ttl")
 
 
+TTL_MS = 6 * 3_600_000
+_BY_TIME = f"(SELECT driver_id, ts_ms, {_slice_sql('ts_ms', Q.PINGS)} AS slice FROM {Q.PINGS})"
+
+
+def _by_time(spark, d):
+    return I.ping_columns(event_stream(spark, d, "ts_ms")).select("driver_id", F.col("event_id").alias("arrival"), "ts_ms")
+
+
+# After the files comes one more batch, with the watermark that they leave behind.
+@query("stream_live_state", f"""SELECT CAST(b.batch AS INTEGER) AS batch, driver_id, max(ts_ms) AS last_ms
+  FROM (SELECT unnest(range({SLICES + 1})) AS batch) b JOIN {_BY_TIME} r ON r.slice <= b.batch
+  GROUP BY b.batch, driver_id HAVING max(ts_ms) + {TTL_MS} + 1 >= coalesce((SELECT max(ts_ms) FROM {_BY_TIME} e WHERE e.slice < b.batch), 0)""")
+def stream_live_state(spark, d):
+    """The drivers whose last timestamp is still stored after each batch; timers have removed the others."""
+    base = scratch_path(spark, "live")
+    kept = K.dedup_stream(_by_time(spark, d), order=["ts_ms", "arrival"], ttl_ms=TTL_MS, clock="ts_ms", lateness="0 seconds")
+    jobs.run_to_table(kept, "live", base=base)
+    return jobs.live_state(spark, f"{base}/progress", "last", SLICES + 1).select("batch", "driver_id", F.col("ts").alias("last_ms"))
+
+
+@query("stream_intake_per_batch", f"""SELECT {_slice_sql()} AS batch, count(*) AS records, min(event_id) AS first_event, max(event_id) AS last_event
+  FROM events GROUP BY 1""")
+def stream_intake_per_batch(spark, d):
+    """What each micro-batch takes in where a trigger reads one file."""
+    taken = ping_stream(spark, d).select("event_id")
+    base = scratch_path(spark, "intake-batches")
+
+    def write(batch, number):
+        batch.agg(F.count(F.lit(1)).alias("records"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event")).write.mode(
+            "overwrite").parquet(f"{base}/out/batch={number}")
+
+    start(taken.writeStream.foreachBatch(write), f"{base}/progress").awaitTermination()
+    return spark.read.schema("records bigint, first_event bigint, last_event bigint, batch bigint").parquet(f"{base}/out")
+
+
 _BANDS = f"""SELECT 'geo' AS partitioner, CAST(abs(cell) % 12 AS INTEGER) AS partition, CAST(floor((lat + 90.0e0) / 10.0e0) AS INTEGER) AS lat_band,
   count(*) AS records FROM {Q.with_cell(Q.PINGS, 5)} GROUP BY ALL"""
 
@@ -72,6 +120,16 @@ def stream_band_counts(spark, d):
     return last
 
 
+@query("stream_band_counts_at_triggers", f"""SELECT b.batch, 'geo' AS partitioner, partition, lat_band, count(*) AS records FROM (SELECT unnest(range({SLICES})) AS batch) b
+  JOIN (SELECT CAST(abs(cell) % 12 AS INTEGER) AS partition, CAST(floor((lat + 90.0e0) / 10.0e0) AS INTEGER) AS lat_band, {_slice_sql()} AS slice
+   FROM {Q.with_cell(Q.PINGS, 5)}) r ON r.slice <= b.batch GROUP BY ALL""")
+def stream_band_counts_at_triggers(spark, d):
+    """The cumulative counts as they are emitted at every timed trigger."""
+    pings = P.assign_partition(with_cell(ping_stream(spark, d), 5), "mod", 12)
+    emitted = jobs.run_to_table(S.partition_band_counts(pings, "geo"), "bands-timed", "complete", every="1 second")
+    return emitted.select("batch", "partitioner", "partition", "lat_band", "records")
+
+
 @query("stream_throughput", f"SELECT CAST(floor(ts_ms / 10000) AS BIGINT) * 10000 AS window_ms, count(*) AS records FROM {Q.PINGS} GROUP BY 1")
 def stream_throughput(spark, d):
     counted = throughput(ping_stream(spark, d).withColumn("event_ts", F.col("event_ts").cast("timestamp")), "10 seconds", watermark="1 minute")

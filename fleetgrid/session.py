@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,9 +50,35 @@ def _local_dir() -> str:
     return tempfile.mkdtemp(prefix="fleetgrid-")
 
 
+_areas: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is ever overwritten there."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _areas:
+        _areas[-1].append(path)
+    return path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a written table or folder; nothing happens where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_area(spark: SparkSession) -> Iterator[None]:
+    """Owns the scratch tables made inside and deletes them at its end, when results must have been written.
+
+    Without an area they stay in the shared folder until that is cleared.
+    """
+    _areas.append([])
+    try:
+        yield
+    finally:
+        for path in _areas.pop():
+            discard(spark, path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -29,12 +29,40 @@ CSV_KINDS = {"ping": "driver_id STRING, lat DOUBLE, lon DOUBLE, ts_ms BIGINT, st
              "rider": "rider_id STRING, lat DOUBLE, lon DOUBLE, request_ms BIGINT"}
 
 
+RAW = "__raw"
+
+
 @dataclass(frozen=True)
 class Decoded:
-    """Rows that parsed, and rows that did not with their raw payload and a reason."""
+    """Every row once: its own columns, what its payload holds, and ``reason`` (null for rows that parsed), beside its raw form.
+
+    ``rows`` reads and decodes the input once and serves both outcomes, for
+    example in one write by outcome; ``good`` and ``quarantine`` are its two sides.
+    """
+
+    marked: DataFrame
+    names: list[str]
+
+    @property
+    def rows(self) -> DataFrame:
+        return self.marked.select(*self.names, "reason")
+
+    @property
+    def good(self) -> DataFrame:
+        return self.marked.filter("reason IS NULL").select(*self.names)
+
+    @property
+    def quarantine(self) -> DataFrame:
+        return self.marked.filter("reason IS NOT NULL").select(f"{RAW}.*", "reason")
+
 
-    good: DataFrame
-    quarantine: DataFrame
+def _decoded(df: DataFrame, read: DataFrame, reason: Column, kept: list[str], fields: dict[str, Column]) -> Decoded:
+    """``read`` holds the columns of ``df`` and what ``reason`` and ``fields`` are made of; fields of bad rows are null."""
+    raw = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(RAW)
+    judged = read.withColumn("__reason", reason)
+    good = F.col("__reason").isNull()
+    found = [F.when(good, column).alias(name) for name, column in fields.items()]
+    return Decoded(judged.select(*kept, *found, F.col("__reason").alias("reason"), raw), [*kept, *fields])
 
 
 def encode_binary(df: DataFrame, layout: str, out: str = "value") -> DataFrame:
@@ -61,13 +89,9 @@ def decode_binary(df: DataFrame, layout: str, value: str = "value") -> Decoded:
             start = start + WIDTH[kind]
     # a cut, negative or oversized length never adds up to the payload's size
     fits = F.octet_length(value) == start - 1
-    marked = out.withColumn("__fits", F.coalesce(fits, F.lit(False)))
-    fields = [(get_text(value, at, size) if kind == "text" else READ[kind](value, at)).alias(name)
-              for name, kind, at, size in names]
-    kept = [c for c in df.columns if c != value and c not in {n for n, *_ in names}]
-    good = marked.filter("__fits").select(*kept, *fields)
-    bad = marked.filter("NOT __fits").select(*df.columns, F.lit("length").alias("reason"))
-    return Decoded(good, bad)
+    fields = {name: get_text(value, at, size) if kind == "text" else READ[kind](value, at) for name, kind, at, size in names}
+    kept = [c for c in df.columns if c != value and c not in fields]
+    return _decoded(df, out, F.when(~F.coalesce(fits, F.lit(False)), "length"), kept, fields)
 
 
 def encode_csv(kind: str) -> Column:
@@ -96,9 +120,9 @@ def decode_json(df: DataFrame, schema: T.StructType = PING, value: str = "value"
 
 def _split(df: DataFrame, parsed: DataFrame, value: str) -> Decoded:
     bad = F.col("__row").isNull() | F.col("__row._corrupt_record").isNotNull()
-    kept = [c for c in df.columns if c != value]
-    good = parsed.filter(~bad).select(*kept, "__row.*").drop("_corrupt_record")
-    return Decoded(good, parsed.filter(bad).select(*df.columns, F.lit("unparsable").alias("reason")))
+    names = [f.name for f in parsed.schema["__row"].dataType.fields if f.name != "_corrupt_record"]
+    kept = [c for c in df.columns if c != value and c not in names]
+    return _decoded(df, parsed, F.when(bad, "unparsable"), kept, {n: F.col("__row")[n] for n in names})
 
 
 def composite_key(entity: ColumnLike, lat: ColumnLike, lon: ColumnLike) -> Column:
@@ -114,10 +138,8 @@ def parse_composite_key(df: DataFrame, key: str = "key") -> Decoded:
         "__lon": F.when(F.size(parts) == 3, F.get(parts, F.lit(2)).try_cast("double"))})
     reason = (F.when(F.col(key).isNull(), "null_key").when(F.size("__parts") != 3, "parts")
               .when(F.col("__lat").isNull() | F.col("__lon").isNull(), "number"))
-    marked = read.withColumn("reason", reason)
-    good = marked.filter("reason IS NULL").select(
-        *df.columns, F.get("__parts", F.lit(0)).alias("entity_id"), F.col("__lat").alias("lat"), F.col("__lon").alias("lon"))
-    return Decoded(good, marked.filter("reason IS NOT NULL").select(*df.columns, "reason"))
+    fields = {"entity_id": F.get("__parts", F.lit(0)), "lat": F.col("__lat"), "lon": F.col("__lon")}
+    return _decoded(df, read, reason, [c for c in df.columns if c not in fields], fields)
 
 
 __all__ = ["LAYOUTS", "Decoded", "encode_binary", "decode_binary", "encode_csv", "decode_csv", "encode_json",

@@ -58,12 +58,27 @@ def read_table_stream(spark: SparkSession, folder: str, name: str, schema: T.Str
     return reader.parquet(folder)
 
 
+def write_slices(df: DataFrame, path: str, order: str, slices: int) -> None:
+    """Writes a table as files that follow ``order`` (a whole number), one after the other: what a stream with ``max_per_trigger=1`` takes in turn.
+
+    Each file is one micro-batch's intake, so one task writes it; take more slices of larger tables.
+    """
+    low, high = df.agg(F.min(order), F.max(order)).first()
+    if low is None:
+        df.write.mode("append").parquet(path)
+        return
+    number = F.floor((F.col(order) - low) * slices / (high - low + 1))
+    for i in range(slices):
+        df.filter(number == i).coalesce(1).write.mode("append").parquet(path)
+
+
 def union_topics(topics: dict[str, DataFrame]) -> DataFrame:
     """UNION ALL of several topics, each row tagged with its topic; missing columns become null."""
     tagged = [df.withColumn("topic", F.lit(name)) for name, df in topics.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def read_topics(spark: SparkSession, sources: dict[str, str | dict[str, str]], streaming: bool = False) -> DataFrame:
+def read_topics(spark: SparkSession, sources: dict[str, str | dict[str, str]], streaming: bool = False,
+                max_per_trigger: int | None = None) -> DataFrame:
     """Everything from the earliest offset of several topics, tagged by topic."""
-    return union_topics({name: read_raw(spark, src, streaming).select("value") for name, src in sources.items()})
+    return union_topics({name: read_raw(spark, src, streaming, max_per_trigger).select("value") for name, src in sources.items()})

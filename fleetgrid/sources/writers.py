@@ -40,6 +40,12 @@ def write_matches(df: DataFrame, sink: str | dict[str, str], key: str = "rider_i
     return None
 
 
+def write_outcomes(rows: DataFrame, path: str, reason: str = "reason") -> None:
+    """Good and rejected rows in one pass, in folders ``outcome=good`` and ``outcome=quarantine``."""
+    outcome = F.when(F.col(reason).isNull(), "good").otherwise("quarantine")
+    rows.withColumn("outcome", outcome).write.mode("overwrite").partitionBy("outcome").parquet(path)
+
+
 def write_report(df: DataFrame, path: str) -> None:
     """Metrics as JSON documents, one per row."""
     df.write.mode("overwrite").json(path)

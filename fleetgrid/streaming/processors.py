@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 DEDUP_WINDOW_MS = 10_000
@@ -27,13 +27,16 @@ class DropRepeats(StatefulProcessor):
 
     With ``ttl_ms`` a stored timestamp is void once it is older than that by
     the clock of the row that meets it; rows that are dropped do not renew it.
+    With ``evict`` a timer removes it as soon as no row can meet it any more:
+    when the watermark of the clock, or processing time, has passed that age.
     """
 
-    def __init__(self, ts: str, order: list[str], ttl_ms: int | None, clock: str | None):
-        self.ts, self.order, self.ttl_ms, self.clock = ts, order, ttl_ms, clock
+    def __init__(self, ts: str, order: list[str], ttl_ms: int | None, clock: str | None, evict: bool, columns: list[str]):
+        self.ts, self.order, self.ttl_ms, self.clock, self.evict, self.columns = ts, order, ttl_ms, clock, evict, columns
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        schema = T.StructType([T.StructField("ts", T.LongType())])
+        self.handle = handle
+        schema = T.StructType([T.StructField("ts", T.LongType()), T.StructField("due", T.LongType())])
         self.last = handle.getValueState("last", schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -49,8 +52,29 @@ class DropRepeats(StatefulProcessor):
             clock = batch[self.clock].astype("Int64") if self.clock else timerValues.getCurrentProcessingTimeInMs()
             repeated &= (now >= clock - self.ttl_ms).fillna(False)
         last = now.iloc[-1]
-        self.last.update((None if pd.isna(last) else int(last),))
-        yield batch[~repeated.astype(bool)]
+        self._store(None if pd.isna(last) else int(last), stored[1] if stored is not None else None, timerValues)
+        yield batch.loc[~repeated.astype(bool), self.columns]
+
+    def _store(self, last: int | None, old: int | None, timerValues) -> None:
+        due = last + self.ttl_ms + 1 if self.evict and last is not None else None
+        if due is not None:
+            clock = timerValues.getCurrentWatermarkInMs() if self.clock else timerValues.getCurrentProcessingTimeInMs()
+            if due < clock:
+                last = None  # void before it is stored
+        if last is None:
+            due = None
+        if old is not None and old != due:
+            self.handle.deleteTimer(old)
+        if last is None:
+            self.last.clear()
+            return
+        self.last.update((last, due))
+        if due is not None and old != due:
+            self.handle.registerTimer(due)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
@@ -91,16 +115,24 @@ class MatchInCell(StatefulProcessor):
         pass
 
 
+CLOCK = "__clock"  # event time made of a clock column
+
+
 def dedup_stream(df: DataFrame, key: str = "driver_id", ts: str = "ts_ms", order: list[str] | None = None,
-                 ttl_ms: int | None = None, clock: str | None = None) -> DataFrame:
+                 ttl_ms: int | None = None, clock: str | None = None, lateness: str | None = None) -> DataFrame:
     """Streaming twin of ``dedup_last``.
 
     With ``ttl_ms`` a timestamp is forgotten once it is older than that by the
-    clock: a column of milliseconds, or processing time.
+    clock: a column of milliseconds, or processing time.  By processing time,
+    and with ``lateness`` by a clock column as well, what is forgotten also leaves
+    the state: the watermark follows the clock at that distance, and rows behind it
+    are late and left out.
     """
-    mode = "ProcessingTime" if ttl_ms and not clock else "None"
-    processor = DropRepeats(ts, order or ["event_id"], ttl_ms, clock)
-    return df.groupBy(key).transformWithStateInPandas(processor, df.schema, "append", mode)
+    evict = ttl_ms is not None and (clock is None or lateness is not None)
+    mode = "None" if not evict else "EventTime" if clock else "ProcessingTime"
+    processor = DropRepeats(ts, order or ["event_id"], ttl_ms, clock, evict, df.columns)
+    rows = df.withColumn(CLOCK, F.timestamp_millis(clock)).withWatermark(CLOCK, lateness) if mode == "EventTime" else df
+    return rows.groupBy(key).transformWithStateInPandas(processor, df.schema, "append", mode)
 
 
 MATCH_SCHEMA = "rider_id STRING, driver_id STRING, cell BIGINT, arrival BIGINT"

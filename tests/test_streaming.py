@@ -133,3 +133,63 @@ def test_binary_payloads_are_read_as_they_are(spark, tmp_path):
     got = read_pings(spark, str(tmp_path), "lp_rider")
     assert [tuple(r) for r in got.good.collect()] == [("a\n\u00e9", 10.0, -0.1, 720575940379279370, 10)] * 2
     assert got.quarantine.count() == 1
+
+
+def test_state_leaves_when_its_time_is_over(spark, tmp_path):
+    src, base, schema = str(tmp_path / "src"), str(tmp_path / "base"), "driver_id string, event_id bigint, ts_ms bigint"
+    feed(spark, src, [("a", 1, 1_000), ("b", 2, 1_500), ("c", 3, None)], schema)
+    feed(spark, src, [("a", 4, 5_000), ("d", 5, 5_000)], schema)
+    feed(spark, src, [("d", 6, 9_000), ("d", 7, 9_000)], schema)
+    kept = processors.dedup_stream(stream(spark, src, schema), ttl_ms=2_000, clock="ts_ms", lateness="0 seconds")
+    out = jobs.run_to_table(kept, "evicted", base=base)
+    assert sorted(r.event_id for r in out.collect()) == [1, 2, 3, 4, 5, 6]
+    live = jobs.live_state(spark, f"{base}/progress", "last", 4).collect()
+    # a missing time is never stored; 1,500 is over once the watermark has reached 5,000, and 5,000 at 9,000
+    assert sorted((r.batch, r.driver_id, r.ts) for r in live) == [(0, "a", 1000), (0, "b", 1500), (1, "a", 5000), (1, "b", 1500), (1, "d", 5000), (2, "a", 5000), (2, "d", 9000), (3, "d", 9000)]
+
+
+def test_folders_that_a_batch_reads_stay_few():
+    for fan in (2, 3, 8):
+        for n in range(300):
+            found = jobs.covering(n, fan)
+            held = [last - i for level, last in found for i in range(fan ** level)]
+            assert sorted(held) == list(range(n)) and len(found) <= (fan - 1) * 9
+    assert max(len(jobs.covering(n)) for n in range(512)) <= 7 * 3
+
+
+def test_merged_state_over_many_batches(spark, tmp_path):
+    import os
+    src, base = str(tmp_path / "src"), str(tmp_path / "base")
+    schema = "driver_id string, event_id bigint, ts_ms bigint, batch string"
+    rows = [(f"d{(i * 7) % 5}" if i % 11 else None, i, (i // 6) % 4, "mine") for i in range(36)]
+    for i in range(0, 36, 4):
+        feed(spark, src, rows[i:i + 4], schema)
+    jobs.dedup_in_batches(stream(spark, src, schema), base, fan=2).awaitTermination()
+    last, want = {}, []
+    for key, i, ts, _ in rows:
+        if key not in last or last[key] != ts:
+            want.append(i)
+        last[key] = ts
+    out = spark.read.schema(schema.replace(", batch string", "")).parquet(f"{base}/out")
+    assert sorted(r.event_id for r in out.collect()) == want
+    # nine batches: eight are in one folder, and the folders merged before the last batch are gone
+    assert sorted(os.listdir(f"{base}/state")) == ["0-8", "3-7"]
+
+
+def test_streams_at_timed_triggers(spark, tmp_path):
+    src, schema = str(tmp_path / "src"), "driver_id string, event_id bigint, ts_ms bigint"
+    for i in range(3):
+        feed(spark, src, [("a", i, i)], schema)
+    counts = stream(spark, src, schema).groupBy("driver_id").count()
+    out = jobs.run_to_table(counts, "timed", "complete", every="200 milliseconds")
+    assert sorted((r.batch, r["count"]) for r in out.collect()) == [(0, 1), (1, 2), (2, 3)]
+
+
+def test_scratch_tables_have_an_owner(spark):
+    import os
+    from fleetgrid import session
+    with session.scratch_area(spark):
+        path = session.scratch_path(spark, "owned")
+        spark.range(3).write.parquet(path)
+        assert os.path.isdir(path)
+    assert not os.path.isdir(path)

@@ -221,7 +221,9 @@ def _leaking(docs: DataFrame, benchmark: DataFrame, coverage: float) -> DataFram
     bitmap, shift = bitmap_of(items.select("hash").distinct())
     # at most WINDOW - 1 short widths, and the widest window of all items
     seen = items.agg(F.collect_set(F.when(F.col("width") < WINDOW, F.col("width"))).alias("short"), F.max(F.when(F.col("width") > WINDOW, F.col("width"))).alias("widest")).first()
-    hits = materialise(window_rows(named_texts(docs, "doc_id"), bitmap, shift, tuple(sorted(seen.short)), seen.widest or 0), "hits")
+    # what only the bitmap let through goes before anything is written
+    found = window_rows(named_texts(docs, "doc_id"), bitmap, shift, tuple(sorted(seen.short)), seen.widest or 0)
+    hits = materialise(found.join(items.select("hash").distinct(), "hash", "left_semi"), "hits")
     # a window that many items have fetches none of them
     fetched = hits.select(F.col("key").alias("doc"), "hash").distinct().join(rare_places(items, coverage), "hash").select("doc", "item").distinct()
     d, i, c = hits.alias("d"), items.alias("i"), fetched.alias("c")

@@ -29,12 +29,12 @@ empty tables give an empty result; other columns are never looked at.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from xxhash import xxh3_64_intdigest
 
 from .bitmaps import bitmap_of, in_bitmap
 from .tables import materialise, text_of
@@ -43,6 +43,8 @@ WINDOW = 5
 COVERAGE = 0.8
 LITERALS = 3  # a template window holds at least so many plain words
 TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,:/]\d+)*")
+ASCII_TOKEN = re.compile(r"[A-Za-z]+|[0-9]+(?:[.,:/][0-9]+)*")  # the same for texts without other characters
+KEPT_CODES = 500_000
 
 # Words that are units after a number, and words that are numbers.
 UNITS = frozenset(
@@ -61,22 +63,29 @@ TO_RIGHT, TO_LEFT = np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)
 NAMED, NUMBERED, MEASURED = (np.uint64(x * 0x9E3779B97F4A7C15 % 2**64 & ~7) for x in (1, 2, 3))
 
 
+SPECIAL = dict.fromkeys(UNITS, UNIT) | dict.fromkeys(NUMBER_WORDS, NUMBER)
+
+
+def literal_code(token: str) -> int:
+    """A stable 64-bit code of the lower-cased token itself, a number or not."""
+    return xxh3_64_intdigest(token.lower().encode("utf-8", "surrogatepass")) & ~7
+
+
 def code_of(token: str) -> int:
     """A stable 64-bit code of the lower-cased token, one for all numbers, with its kind in the low bits."""
     lower = token.lower()
-    if token[0].isdigit() or lower in NUMBER_WORDS:
+    kind = SPECIAL.get(lower)
+    if kind == NUMBER or token[0].isdigit():
         return int(NUMBERED) | NUMBER
-    kind = UNIT if lower in UNITS else NAME if token[0].isupper() else WORD
-    digest = hashlib.blake2b(lower.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-    return int.from_bytes(digest, "little") & ~7 | kind
+    if kind is None:
+        kind = NAME if token[0].isupper() else WORD
+    return xxh3_64_intdigest(lower.encode("utf-8", "surrogatepass")) & ~7 | kind
 
 
 class Codes(dict):
-    """Codes of tokens seen so far; emptied when it grows large."""
+    """Codes of tokens seen so far."""
 
     def __missing__(self, token):
-        if len(self) > 500_000:
-            self.clear()
         self[token] = code = code_of(token)
         return code
 
@@ -86,11 +95,6 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def literal_code(token: str) -> int:
-    """A stable 64-bit code of the lower-cased token itself, a number or not."""
-    return int.from_bytes(hashlib.blake2b(token.lower().encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") & ~7
-
-
 def range_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, salt: np.uint64) -> np.ndarray:
     """Hashes of the ranges [start, end) of codes; equal ranges hash alike wherever they begin."""
     base, inverse = np.full(len(codes) + 1, ODD[0]), np.full(len(codes) + 1, INVERSE)
@@ -106,9 +110,11 @@ def windows_of(text: str, codes: Codes, short: tuple[int, ...] | None = None, wi
     windows of these widths are added instead, and of the widened windows only
     those of at most ``widest`` tokens are made.
     """
-    found = TOKEN.findall(text)
+    found = (ASCII_TOKEN if text.isascii() else TOKEN).findall(text)
     if not found:
         return [], 0, []
+    if len(codes) > KEPT_CODES:
+        codes.clear()
     code = np.fromiter(map(codes.__getitem__, found), np.uint64, len(found))
     kind = (code & KIND_BITS).astype(np.int8)
     plain = code & ~KIND_BITS

@@ -87,6 +87,11 @@ def _ieee_bits(value: Column, exponent_bits: int, fraction_bits: int) -> Column:
     return let(value.cast("double"), write)
 
 
+def double_bits(value: ColumnLike) -> Column:
+    """The IEEE-754 bits of a double as a signed whole number."""
+    return _ieee_bits(col(value), 11, 52)
+
+
 def put_i64(value: ColumnLike) -> Column:
     return F.unhex(F.lpad(F.hex(col(value).cast("bigint")), 16, "0"))
 

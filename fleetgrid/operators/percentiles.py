@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from ..functions.binary import double_bits
 from ..session import materialise
 
 # Rank of a percentile in a sorted sample, counted from 0.
 #   i  floor(p*n)          j  ceil(p*n) - 1 (nearest rank)          k  p*n of a sample of 10,000
 KINDS = "ijk"
-CUTS_LOG2 = 10
-# Up to this many distinct values are ordered in one window.
-ORDERED_VALUES = 2_000_000
+BITS = 64
+ROUND_BITS = 16  # of a value that a round decides
 LAST_SAMPLES = 10_000
 
 
@@ -26,50 +26,57 @@ def last_samples(df: DataFrame, order: str, n: int = LAST_SAMPLES) -> DataFrame:
     return df.orderBy(F.desc(order)).limit(n)
 
 
-def pctl(df: DataFrame, value: str, kind: str = "j", ps: tuple[float, ...] = (0.99,),
-         ordered_values: int = ORDERED_VALUES) -> DataFrame:
+def ordered_bits(value: Column, kind: T.DataType) -> Column:
+    """A whole number of 64 bits that orders values like they order themselves.
+
+    Decimals go by their nearest double, so neighbours may share a number.
+    """
+    if isinstance(kind, T.IntegralType):
+        return value.cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(value)
+    bits = double_bits(value.cast("double"))
+    # of negative numbers a larger size comes first
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit((1 << 63) - 1))).otherwise(bits)
+
+
+def pctl(df: DataFrame, value: str, kind: str = "j", ps: tuple[float, ...] = (0.99,), round_bits: int = ROUND_BITS) -> DataFrame:
     """Exact percentiles of a column: one row per ``p``, as an element of the sample.
 
-    Equal values are merged first.  While more than ``ordered_values`` distinct
-    ones are left, a round cuts their range at 1023 approximate quantiles,
-    counts the slices, and keeps for each percentile only the slice that holds
-    its rank.  The counts are exact, so approximate cuts cost no precision; two
-    rounds shrink a trillion distinct values to about a million.
+    Radix selection: equal values are merged and counted once, in one reading of
+    the input.  A round counts the values by the next leading bits of their
+    order and keeps for each percentile the slice that holds its rank; after all
+    rounds that is one value.  Every round is a count into at most
+    ``2 ** round_bits`` slices, whatever the number of values.
     """
-    merged = (df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v"))
-              .agg(F.count(F.lit(1)).alias("c")))
-    distinct, rounds = merged.count(), 0
-    while distinct > ordered_values:
-        distinct, rounds = distinct >> CUTS_LOG2, rounds + 1
-    if rounds:
-        merged = materialise(merged, "value-counts")
+    bits = ordered_bits(F.col("v"), df.schema[value].dataType)
+    counted = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+    merged = materialise(counted.withColumn("bits", bits), "value-counts")
     total = merged.agg(F.sum("c").alias("n"))
     wanted = F.array(*[F.struct(F.lit(float(p)).alias("p"), _rank(kind, p, F.col("n")).alias("rank")) for p in ps])
-    targets = total.filter("n > 0").select(F.inline(wanted))
-    # one candidate list per percentile; the ranks are one row per percentile
-    listed = merged.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in ps])))
-    candidates = listed.join(F.broadcast(targets), "p")
-    for _ in range(rounds):
-        candidates = _narrow(candidates)
+    # a row for each percentile: the bits that are known, and the rank among the values that begin with them
+    targets = total.filter("n > 0").select(F.inline(wanted)).withColumn("known", F.lit(0).cast("bigint"))
+    before = BITS
+    while before > 0:
+        shift = max(0, before - round_bits)
+        targets, before = _narrow(merged, targets, shift, before), shift
+    # decimals that share a double are told apart by themselves
+    last = merged.join(F.broadcast(targets), F.col("bits") == F.col("known"))
     upto = F.sum("c").over(Window.partitionBy("p").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    placed = candidates.withColumn("upto", upto).filter(F.col("upto") > F.col("rank"))
+    placed = last.withColumn("upto", upto).filter(F.col("upto") > F.col("rank"))
     return placed.groupBy("p").agg(F.min("v").alias(value)).select("p", value)
 
 
-def _narrow(candidates: DataFrame) -> DataFrame:
-    """Keep the slice with the wanted rank and count the rank from the start of that slice."""
-    cuts = (1 << CUTS_LOG2) - 1
-    shares = [i / (cuts + 1) for i in range(1, cuts + 1)]
-    quantiles = candidates.groupBy("p").agg(F.percentile_approx(F.col("v").cast("double"), shares, 10 * cuts).alias("cuts"))
-    steps = F.array(*[F.lit(1 << b) for b in range(CUTS_LOG2 - 1, -1, -1)])
-    slot = F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(
-        F.element_at("cuts", at + step) <= F.col("v").cast("double"), step).otherwise(F.lit(0)))
-    sliced = candidates.join(F.broadcast(quantiles), "p").withColumn("slot", slot).drop("cuts")
-    sizes = sliced.groupBy("p", "rank", "slot").agg(F.sum("c").alias("size"))
-    order = Window.partitionBy("p").orderBy("slot")
-    upto = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    chosen = (sizes.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("size"))
-              .filter((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
-              .select("p", "slot", "before"))
-    return (sliced.join(F.broadcast(chosen), ["p", "slot"])
-            .select("p", (F.col("rank") - F.col("before")).alias("rank"), "v", "c"))
+def _narrow(merged: DataFrame, targets: DataFrame, shift: int, before: int) -> DataFrame:
+    """Adds the bits from ``before`` down to ``shift`` to what is known of each percentile."""
+    head = F.shiftright("bits", before) if before < BITS else F.lit(0).cast("bigint")
+    # there are as many targets as percentiles
+    parts = merged.select("c", head.alias("head"), F.shiftright("bits", shift).alias("slice")).join(F.broadcast(targets), F.col("head") == F.col("known"))
+    sizes = parts.groupBy("p", "rank", "slice").agg(F.sum("c").alias("size"))
+    upto = F.sum("size").over(Window.partitionBy("p").orderBy("slice").rowsBetween(Window.unboundedPreceding, 0))
+    chosen = sizes.withColumn("upto", upto).withColumn("before", F.col("upto") - F.col("size")).filter(
+        (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("upto")))
+    # written, so that a round does not repeat the ones before it
+    return materialise(chosen.select("p", (F.col("rank") - F.col("before")).alias("rank"), F.col("slice").alias("known")), "percentile-round")

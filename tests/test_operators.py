@@ -281,19 +281,27 @@ def test_transitions_fill_the_gap_with_touching_cells(spark):
 
 # ---- figures ---------------------------------------------------------------
 
-@pytest.mark.parametrize("ordered_values", [1, 50, 10_000_000])
+@pytest.mark.parametrize("round_bits", [5, 16])
 @pytest.mark.parametrize("kind", ["i", "j"])
-def test_percentiles_are_exact(spark, ordered_values, kind):
+def test_percentiles_are_exact(spark, round_bits, kind):
     rng = random.Random(9)
-    values = [rng.choice([5.0, rng.uniform(0, 1000)]) for _ in range(4001)]
+    values = [rng.choice([5.0, rng.uniform(-1000, 1000), rng.uniform(-1, 1) * 10.0 ** rng.randint(-300, 300), 0.0, -0.0]) for _ in range(4001)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    got = {r.p: r.v for r in pctl(df, "v", kind, (0.25, 0.5, 0.99, 1.0), ordered_values=ordered_values).collect()}
+    got = {r.p: r.v for r in pctl(df, "v", kind, (0.25, 0.5, 0.99, 1.0), round_bits=round_bits).collect()}
     ranked, n = sorted(values), len(values)
     for p in (0.25, 0.5, 0.99, 1.0):
         at = math.ceil(p * n) - 1 if kind == "j" else math.floor(p * n)
         assert got[p] == ranked[max(0, min(at, n - 1))]
 
 
+def test_percentiles_of_other_types(spark):
+    df = spark.range(1001).selectExpr("CAST(id AS int) - 500 AS i", "CAST(id AS decimal(30, 18)) / 3 AS d", "date_add(DATE'2024-01-01', CAST(id AS int)) AS t")
+    for name in ("i", "d", "t"):
+        ranked = sorted(r[0] for r in df.select(name).collect())
+        got = {r.p: r[name] for r in pctl(df, name, "i", (0.1, 0.5, 1.0)).collect()}
+        assert got == {0.1: ranked[100], 0.5: ranked[500], 1.0: ranked[1000]}
+
+
 def test_percentile_of_nothing(spark):
     assert pctl(spark.createDataFrame([], "v double"), "v").count() == 0
 

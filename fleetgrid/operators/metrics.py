@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.bits import cell_resolution
@@ -37,16 +39,16 @@ def resolution_mix(df: DataFrame, cell: str = "cell") -> DataFrame:
 
 def resolution_report(pings: DataFrame, polygons: DataFrame, resolutions: list[int], ring: str = "ring") -> DataFrame:
     """Cells needed to cover the polygons at each resolution and the share of them without a ping."""
-    reports = []
-    for res in resolutions:
-        cells = polygon_cells(polygons, res, ring).select("cell").distinct()
-        occupied = pings.select(cell_of("lat", "lon", res).alias("cell")).distinct().withColumn("seen", F.lit(1))
-        reports.append(cells.join(occupied, "cell", "left").agg(
-            F.lit(res).alias("resolution"), F.count(F.lit(1)).alias("cells"),
-            F.count_if(F.col("seen").isNull()).alias("empty_cells")))
-    out = reports[0]
-    for more in reports[1:]:
-        out = out.unionByName(more)
+    # the pings are read once, whatever the number of resolutions
+    cell_at = [F.struct(F.lit(res).alias("resolution"), cell_of("lat", "lon", res).alias("cell")) for res in resolutions]
+    occupied = pings.select(F.inline(F.array(*cell_at))).distinct().withColumn("seen", F.lit(1))
+    needed = [polygon_cells(polygons, res, ring).select(F.lit(res).alias("resolution"), "cell") for res in resolutions]
+    cells = reduce(DataFrame.unionByName, needed).distinct()
+    counted = cells.join(occupied, ["resolution", "cell"], "left").groupBy("resolution").agg(
+        F.count(F.lit(1)).alias("cells"), F.count_if(F.col("seen").isNull()).alias("empty_cells"))
+    # a row for each resolution, also where no cell is needed
+    wanted = pings.sparkSession.createDataFrame([(res,) for res in resolutions], "resolution int")
+    out = wanted.join(counted, "resolution", "left").na.fill(0, ["cells", "empty_cells"])
     ratio = F.when(F.col("cells") == 0, dbl(0.0)).otherwise(F.col("empty_cells") / F.greatest("cells", F.lit(1)))
     return out.withColumn("empty_ratio", ratio)
 

@@ -2,17 +2,19 @@
 
 A sparse suffix array does the search.  Every 200-byte window names one of its
 64-byte grams as its anchor, by the smallest hash; equal windows name equal
-grams at the same place.  Grams that occur once are dropped by a count; the
-rest are shuffled by gram with the bytes around them, equal surroundings
+grams at the same place.  A window has 68 bytes or more on one side of its
+anchor, so an anchor matters only if the 132 bytes that end or that start with
+it occur at another anchor as well; a count of their hashes drops the others.
+What is left is shuffled by gram with the bytes around it, equal surroundings
 counted once.  A task sorts what starts at the anchors, and, read backwards,
 what ends there, by deep-shallow sorting.  With the common prefixes of both
 orders, two windows are equal when they agree on the bytes before their anchor
 and on those from it on, so equality is decided on bytes, not on hashes.
 
-Texts are read three times and do not move before the last join: for their
-grams, for the names of what surrounds repeated grams, and for the bytes of one
-representative of each name.  Surroundings that occur twice are repeated as a whole; only
-different ones are compared.  The bitmaps that the readings use are bounded;
+Texts are read three times and do not move before the last join: for the halves
+around their anchors, for the names of what surrounds repeated halves, and for the bytes of one
+representative row of each name.  Surroundings that occur twice are repeated as a whole; only
+different ones of one gram are sent and compared.  Names have 96 bits.  The bitmaps that the readings use are bounded;
 see ``bitmaps``.  A gram with more than ``HOT_CONTEXTS`` different
 surroundings, such as the end of a passage that a third of all documents
 share, is not sorted in one task: its windows are counted one by one in a
@@ -40,24 +42,23 @@ from .tables import materialise, text_of
 MATCH = 200  # bytes
 GRAM = 64
 SPAN = MATCH - GRAM + 1  # grams in a window
+SIDE = (MATCH - GRAM) // 2  # bytes that any window has before or behind its anchor
+HALF = GRAM + SIDE
 PLACE_BITS = 24
 PIECE = 1 << 22  # bytes of a text that are looked at together
 HOT_CONTEXTS = 50_000
 SENT_ROWS = 20_000  # that a task holds before it sends them
+SEEN_NAMES = 200_000  # that a task remembers, so as to send the context of a common name once
 SORTED_ROWS = 20_000  # rows that are sorted together, more where one gram has more
 
 _up, _down = _Powers(BASE), _Powers(INVERSE)
 
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    n = len(data)
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_CODES[data] * _up.first(n))))
-    return mixed((sums[GRAM:] - sums[:-GRAM]) * _down.first(n)[:n - GRAM + 1])
-
-
 def _anchors(data: np.ndarray):
     n = len(data) - MATCH + 1
-    grams = _gram_hashes(data)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(BYTE_CODES[data] * _up.first(len(data)))))
+    down = _down.first(len(data))
+    grams = mixed((sums[GRAM:] - sums[:-GRAM]) * down[:len(data) - GRAM + 1])
     mask = np.uint64((1 << PLACE_BITS) - 1)
     ranked = (grams & ~mask) | np.arange(len(grams), dtype=np.uint64)
     rows = -(-len(ranked) // SPAN)
@@ -70,18 +71,25 @@ def _anchors(data: np.ndarray):
     place = (np.minimum(tails[:n], heads[SPAN - 1:SPAN - 1 + n]) & mask).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
     last = np.concatenate((first[1:], [n])) - 1
-    return place[first], first, last, grams[place[first]]
+    place = place[first]
+    # the bytes before an anchor, of which a window sees them all, and those behind it; one of both is there
+    before, behind = first <= place - SIDE, last >= place - SIDE
+    halves = [mixed((sums[at + HALF] - sums[at]) * down[at]) ^ np.uint64(tag * BASE) for tag, at in enumerate((np.where(before, place - SIDE, 0), np.where(behind, place, 0)))]
+    return place, first, last, grams[place], np.where(before, halves[0], halves[1]), np.where(behind, halves[1], halves[0])
 
 
 def anchors(data: bytes):
-    """For each anchor its place, the first and last window start that name it, and the hash of its gram."""
+    """For each anchor its place, the first and last window start that name it, and the hashes of its gram and of its halves.
+
+    Where windows have room for one half only, both hashes are of that one.
+    """
     found = []
     for at in range(0, max(0, len(data) - MATCH + 1), PIECE):
         part = np.frombuffer(data, np.uint8)[at:at + PIECE + MATCH - 1]
-        place, first, last, gram = _anchors(part)
-        found.append((place + at, first + at, last + at, gram))
+        place, first, last, *hashes = _anchors(part)
+        found.append((place + at, first + at, last + at, *hashes))
     if not found:
-        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 3
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -118,16 +126,19 @@ def _data(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _grams(batches):
+def _halves(batches):
     for batch in batches:
-        found = [anchors(_data(t))[3] for t in batch.text]
+        found = []
+        for text in batch.text:
+            *_, before, behind = anchors(_data(text))
+            found += [before, behind[behind != before]]
         if found:
             yield pd.DataFrame({"hash": np.concatenate(found).view(np.int64)})
 
 
-def _marks(key: bytes, place: np.ndarray) -> np.ndarray:
-    """A hash of each place of a text."""
-    return mixed(np.uint64(int.from_bytes(key[:8], "big")) ^ (place.astype(np.uint64) * np.uint64(BASE)))
+def _marks(row: int, place: np.ndarray) -> np.ndarray:
+    """A hash of each place of a row."""
+    return mixed(np.int64(row).view(np.uint64) ^ (place.astype(np.uint64) * np.uint64(BASE)))
 
 
 def _named(data: bytes, lo: int, hi: int, at: int, gram: int) -> tuple[bytes, bytes]:
@@ -136,24 +147,31 @@ def _named(data: bytes, lo: int, hi: int, at: int, gram: int) -> tuple[bytes, by
     return gram.to_bytes(8, "big") + hashlib.blake2b(context, digest_size=12, salt=(at - lo).to_bytes(8, "big")).digest(), context
 
 
-def _reader(grams: bytes, gram_shift: int, marks: bytes | None = None, mark_shift: int = 0):
-    """Reads texts for the places of repeated grams, or with ``marks`` for the contexts at the marked places."""
-    bits, marked = np.frombuffer(grams, np.uint8), None if marks is None else np.frombuffer(marks, np.uint8)
+def _reader(halves: bytes, half_shift: int, marks: bytes | None = None, mark_shift: int = 0):
+    """Reads texts for the places of repeated halves, or with ``marks`` for the contexts at the marked places."""
+    bits, marked = np.frombuffer(halves, np.uint8), None if marks is None else np.frombuffer(marks, np.uint8)
     columns = ["key", "place", "left", "windows", "name", "mark"] if marks is None else ["name", "left", "context"]
 
     def rows(batches):
+        seen: set[bytes] = set()
         for batch in batches:
             out = []
-            for key, text in zip(batch.key, batch.text, strict=True):
+            for key, row, text in zip(batch.key, batch.row, batch.text, strict=True):
                 data = _data(text)
-                place, first, last, gram = anchors(data)
-                hit = in_bitmap(bits, gram_shift, gram)
-                mark = _marks(bytes(key), place)
+                place, first, last, gram, before, behind = anchors(data)
+                hit = in_bitmap(bits, half_shift, before) | in_bitmap(bits, half_shift, behind)
+                mark = _marks(row, place)
                 if marked is not None:
                     hit &= in_bitmap(marked, mark_shift, mark)
                 for at, lo, hi, h, m in zip(place[hit].tolist(), first[hit].tolist(), last[hit].tolist(), gram[hit].tolist(), mark[hit].view(np.int64).tolist(), strict=True):
                     name, context = _named(data, lo, hi, at, h)
-                    out.append((key, at, at - lo, hi - lo + 1, name, m) if marked is None else (name, at - lo, context))
+                    if marked is None:
+                        out.append((key, at, at - lo, hi - lo + 1, name, m))
+                    elif name not in seen:
+                        seen.add(name)
+                        out.append((name, at - lo, context))
+                if len(seen) > SEEN_NAMES:
+                    seen.clear()
                 if len(out) > SENT_ROWS:
                     yield pd.DataFrame(out, columns=columns)
                     out = []
@@ -222,15 +240,18 @@ def spans_of(contexts: DataFrame, names: DataFrame, hot_contexts: int = HOT_CONT
 
 def repeated_runs(docs: DataFrame, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """key (MD5 of the text) and runs, the ordered (start, end) of its maximal repeated runs, for texts that have any."""
-    texts = docs.select(F.unhex(F.md5(text_of())).alias("key"), text_of().alias("text"))
-    twice = materialise(texts.select("text").mapInPandas(_grams, "hash long").groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "grams")
-    grams = bitmap_of(twice)
-    found = materialise(texts.mapInPandas(_reader(*grams), PLACE_SCHEMA), "places")
+    texts = docs.select(F.unhex(F.md5(text_of())).alias("key"), F.xxhash64(F.col("doc_id").cast("string"), text_of()).alias("row"), text_of().alias("text"))
+    twice = materialise(texts.select("text").mapInPandas(_halves, "hash long").groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "halves")
+    halves = bitmap_of(twice)
+    found = materialise(texts.mapInPandas(_reader(*halves), PLACE_SCHEMA), "places")
     names = materialise(found.groupBy("name").agg(F.count("*").alias("n"), F.min("mark").alias("hash")), "names")
-    contexts = texts.mapInPandas(_reader(*grams, *bitmap_of(names.select("hash").distinct())), CONTEXT_SCHEMA)
+    # a name alone in its gram has nothing to be compared with
+    shared = names.groupBy(gram_of().alias("gram")).agg(F.count("*").alias("different")).filter("different > 1").select("gram")
+    compared = materialise(names.join(shared, gram_of() == F.col("gram"), "left_semi").select("name", "hash"), "compared")
+    contexts = texts.mapInPandas(_reader(*halves, *bitmap_of(compared.select("hash").distinct())), CONTEXT_SCHEMA)
     # a context that occurs twice is repeated as a whole; the others are compared
     whole = names.filter("n > 1").select("name", F.lit(True).alias("whole"), F.lit(0).alias("before"), F.lit(0).alias("after"))
-    spans = spans_of(contexts, names, hot_contexts).select("name", F.lit(False).alias("whole"), "before", "after")
+    spans = spans_of(contexts, compared, hot_contexts).select("name", F.lit(False).alias("whole"), "before", "after")
     known = materialise(whole.unionByName(spans).groupBy("name").agg(F.max("whole").alias("whole"), F.max("before").alias("before"), F.max("after").alias("after")), "spans")
     start = F.when(F.col("whole"), F.col("place") - F.col("left")).otherwise(F.col("place") - F.col("before"))
     end = F.when(F.col("whole"), F.col("place") - F.col("left") + F.col("windows") - 1 + MATCH).otherwise(F.col("place") + F.col("after"))

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 
 import messy
@@ -222,6 +223,32 @@ def test_cut_against_every_window(docs):
     assert plain(suffix_dedup.cut(docs, hot_contexts=0), *columns) == want
 
 
+def test_cut_at_the_length_of_a_match(spark):
+    passage = messy.prose(90, 60)[:260]
+    # 199 bytes are too few, 200 are enough, wherever the anchor lies in them
+    rows = [(i, f"{messy.prose(200 + i, 30)}#{i}#{passage[at:at + size]}#{i}#{messy.prose(300 + i, 30)}")
+            for i, (at, size) in enumerate([(0, 200), (1, 199), (1, 200), (30, 200), (60, 200), (0, 199), (5, 255)])]
+    want = sorted(messy.cut_texts(rows), key=KEY)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert plain(suffix_dedup.cut(df), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
+def test_one_text_in_a_third_of_all_rows(spark):
+    passage = messy.prose(91, 80)
+    rows = [(None if i % 3 else i, passage) for i in range(400)] + [(1000 + i, f"{messy.prose(400 + i, 12)} {passage[i:i + 210]} {i}") for i in range(60)]
+    want = sorted(messy.cut_texts(rows), key=KEY)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert plain(suffix_dedup.cut(df), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == want
+
+
+def test_a_common_context_is_sent_once(monkeypatch):
+    passage = messy.prose(92, 80)
+    frame = pd.DataFrame({"key": [b"k" * 16] * 500, "row": range(500), "text": [passage] * 500})
+    every = np.full(1 << 13, 255, np.uint8).tobytes()
+    sent = pd.concat(suffix_dedup._reader(every, 48, every, 48)([frame, frame]))
+    assert len(sent) == sent["name"].nunique() == len(suffix_dedup.anchors(passage.encode())[0])
+
+
 def test_deep_shallow_order():
     rng = np.random.default_rng(1)
     strings = rng.integers(97, 99, (400, 96), dtype=np.uint8)
@@ -239,7 +266,7 @@ def test_deep_shallow_order():
 def test_anchors_cover_every_window_once(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "PIECE", 300)
     data = messy.prose(60, 400).encode()
-    place, first, last, _ = suffix_dedup.anchors(data)
+    place, first, last, *_ = suffix_dedup.anchors(data)
     assert [s for a, b in zip(first, last, strict=True) for s in range(a, b + 1)] == list(range(len(data) - 199))
     assert all(a >= p - 136 and b <= p for p, a, b in zip(place, first, last, strict=True))
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scalar import ColumnLike, col, shift_left
+from .scalar import ColumnLike, col, shift_left, spread
 
 # Fixed values of the published H3 layout.
 BASE_CELLS = 122
@@ -18,6 +18,8 @@ DIGIT_BITS = (1 << 45) - 1
 CELL_MODE = 1
 MAX_RESOLUTION = 15
 
+LEVELS_AT_ONCE = 5  # one row opens into 7^5 at most
+
 
 def cell_resolution(cell: ColumnLike) -> Column:
     return F.shiftright(col(cell), 52).bitwiseAND(F.lit(15)).cast("int")
@@ -86,9 +88,16 @@ def h3_children(df: DataFrame, resolution: int | None = None, levels: int | None
     c, own = F.col(cell), cell_resolution(F.col(cell)).cast("int")
     target = F.lit(resolution) if levels is None else own + levels
     most = resolution if levels is None else levels
-    count = F.pow(F.lit(7.0), F.col("__target") - own).cast("bigint")
-    eligible = df.withColumn("__target", target).filter((F.col("__target") >= own) & (F.col("__target") <= MAX_RESOLUTION))
-    numbered = eligible.withColumn("__k", F.explode(F.sequence(F.lit(0).cast("bigint"), count - 1)))
+    numbered = df.withColumn("__target", target).filter((F.col("__target") >= own) & (F.col("__target") <= MAX_RESOLUTION)).withColumn(
+        "__k", F.lit(0).cast("bigint"))
+    # descendants are a range of numbers, opened a few levels at a time
+    for below in reversed(range(0, max(most, 1), LEVELS_AT_ONCE)):
+        levels_now = F.least(F.greatest(F.col("__target") - own - below, F.lit(0)), F.lit(LEVELS_AT_ONCE))
+        width = F.round(F.pow(F.lit(7.0), levels_now)).cast("bigint")
+        numbered = numbered.withColumn("__k", F.explode(F.transform(
+            F.sequence(F.lit(0).cast("bigint"), width - 1), lambda d: F.col("__k") * width + d)))
+        if below:
+            numbered = spread(numbered, cell, "__k")
     # the child number in base 7 gives the new digits, finest last
     digits = F.lit(0).cast("bigint")
     for place in range(most):

@@ -12,7 +12,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scalar import ColumnLike, col, dbl, let
+from .scalar import ColumnLike, col, dbl, let, spread
 
 # Fixed values of the grid.
 EARTH_KM = 6371.0088
@@ -21,6 +21,10 @@ OFFSET = 1 << 25
 FIELD = (1 << 26) - 1
 MAX_GRID_RESOLUTION = 12
 
+CELL_BLOCK = 4096  # neighbouring cells of a row that one input row opens into
+SMALL_DISK = 8  # steps, up to which the offsets of a disk are written into the plan
+WIDE_DISK = 50  # steps, from which on the rows of one disk are dealt to several tasks
+
 
 def edge_km(resolution: int) -> float:
     return EDGE_KM_RES9 * 7.0 ** ((9 - resolution) / 2)
@@ -128,12 +132,24 @@ def grid_disk(cell: ColumnLike, k: int) -> Column:
 
 
 def grid_children(df: DataFrame, resolution: int, own: int, cell: str = "cell", out: str = "child") -> DataFrame:
-    """One row per finer cell whose centre lies in ``cell``."""
+    """One row per finer cell whose centre lies in ``cell``.
+
+    A disk that holds the children is filtered.  A wide one is opened row by
+    row, so no array is longer than it is wide, however many levels there are.
+    """
     x, y = plane_xy(cell, own)
-    start = pack_cell(*_nearest(*_scaled(x, y, resolution)), resolution)
+    q, r = _nearest(*_scaled(x, y, resolution))
     reach = math.ceil(edge_km(own) / (1.5 * edge_km(resolution))) + 1
-    return (df.withColumn(out, F.explode(grid_disk(start, reach)))
-            .filter(cell_parent(out, own, resolution) == F.col(cell)))
+    if reach <= SMALL_DISK:
+        near = df.withColumn(out, F.explode(grid_disk(pack_cell(q, r, resolution), reach)))
+        return near.filter(cell_parent(out, own, resolution) == F.col(cell))
+    rows = df.withColumns({"__q": q, "__r": r}).withColumn("__dr", F.explode(F.sequence(F.lit(-reach), F.lit(reach))))
+    if reach > WIDE_DISK:
+        rows = spread(rows, cell, "__dr")
+    steps = F.sequence(F.greatest(F.lit(-reach), -F.col("__dr") - reach), F.least(F.lit(reach), F.lit(reach) - F.col("__dr")))
+    cells = rows.withColumn("__dq", F.explode(steps))
+    return (cells.withColumn(out, pack_cell(F.col("__q") + F.col("__dq"), F.col("__r") + F.col("__dr"), resolution))
+            .filter(cell_parent(out, own, resolution) == F.col(cell)).drop("__q", "__r", "__dr", "__dq"))
 
 
 def _inside_margin(cell: ColumnLike, fine: int, coarse: int) -> Column:
@@ -164,48 +180,52 @@ def boundary_cells_of(cell: ColumnLike, fine: int = 9, k: int = 3, coarse: int =
     return F.when(near, F.array_sort(F.array_distinct(touched))).otherwise(F.array(primary))
 
 
-def _ring_bounds(ring: Column) -> tuple[Column, Column, Column, Column]:
-    lats, lons = F.transform(ring, lambda p: p["lat"]), F.transform(ring, lambda p: p["lon"])
-    return F.array_min(lats), F.array_max(lats), F.array_min(lons), F.array_max(lons)
-
-
 def _ring_edges(ring: Column) -> Column:
     """Neighbouring corners in pairs, the last one with the first."""
     following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-    return F.zip_with(ring, following, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    return F.zip_with(ring, following, lambda a, b: F.struct(a["lat"].alias("lat_a"), a["lon"].alias("lon_a"), b["lat"].alias("lat_b"), b["lon"].alias("lon_b")))
+
 
+def _row_latitude(r: Column, resolution: int) -> Column:
+    """Latitude of the centres of a row of hexagons; null past a pole."""
+    return cell_center(pack_cell(F.lit(0), r, resolution), resolution)[0]
 
-def _inside(lat: Column, lon: Column, edges: Column) -> Column:
-    """Even-odd ray casting in the latitude/longitude plane."""
-    crossings = F.filter(edges, lambda e: (
-        ((e["a"]["lat"] > lat) != (e["b"]["lat"] > lat))
-        & (lon < (e["b"]["lon"] - e["a"]["lon"]) * (lat - e["a"]["lat"]) / (e["b"]["lat"] - e["a"]["lat"]) + e["a"]["lon"])))
-    return F.size(crossings) % 2 == 1
+
+def _spans(rings: DataFrame, resolution: int, ring: str) -> DataFrame:
+    """__ring, __r and the half-open ranges [__from, __to) of longitude that lie inside, by the even-odd rule.
+
+    Every edge meets only the rows of hexagons between its ends.  The crossings
+    of a row come in pairs, because a closed ring leaves as often as it enters.
+    """
+    edges = rings.select("__ring", F.explode(_ring_edges(F.col(ring))).alias("__e")).select("__ring", "__e.*").filter("lat_a <> lat_b")
+    height = dbl(1.5 * edge_km(resolution))
+    low, high = (pick(_project(F.col("lat_a"), F.lit(0.0))[1], _project(F.col("lat_b"), F.lit(0.0))[1]) / height for pick in (F.least, F.greatest))
+    met = edges.withColumn("__r", F.explode(F.sequence(F.floor(low), F.ceil(high)))).withColumn("__lat", _row_latitude(F.col("__r"), resolution))
+    lat = F.col("__lat")
+    met = met.filter((F.col("lat_a") > lat) != (F.col("lat_b") > lat))
+    crossing = (F.col("lon_b") - F.col("lon_a")) * (lat - F.col("lat_a")) / (F.col("lat_b") - F.col("lat_a")) + F.col("lon_a")
+    rows = met.groupBy("__ring", "__r").agg(F.sort_array(F.collect_list(crossing)).alias("__x"))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("__x"), F.lit(2)), lambda i: F.struct(F.get("__x", i - 1).alias("__from"), F.get("__x", i).alias("__to")))
+    return rows.select("__ring", "__r", F.explode(pairs).alias("__span")).select("__ring", "__r", "__span.*").filter("__from < __to")
 
 
 def polygon_cells(polygons: DataFrame, resolution: int, ring: str = "ring", out: str = "cell") -> DataFrame:
-    """Cells whose centre lies inside each row's ring (``array<struct<lat,lon>>``).
+    """Cells whose centre lies inside each row's ring (``array<struct<lat,lon>>``), by even-odd in the latitude/longitude plane.
 
-    The bounding box is cut into hexagon rows first and those are spread over
-    the cluster, so one large polygon is not filled by a single task.
+    A scanline fill: edges are cut by the rows of hexagons that they cross, the
+    sorted crossings of a row give its ranges, and only the cells of a range are
+    made, in blocks that are spread over the cluster.  The cost is rows crossed by
+    edges plus cells; no cell is compared with an edge.
     """
-    edge = edge_km(resolution)
-    low_lat, high_lat, low_lon, high_lon = _ring_bounds(F.col(ring))
-    x0, y0 = _project(low_lat, low_lon)
-    x1, y1 = _project(high_lat, high_lon)
-    boxed = polygons.withColumns({"__x0": x0, "__x1": x1, "__y0": y0, "__y1": y1, "__edges": _ring_edges(F.col(ring))})
-    rows = boxed.withColumn("__r", F.explode(F.sequence(
-        F.floor(F.col("__y0") / dbl(1.5 * edge)), F.ceil(F.col("__y1") / dbl(1.5 * edge)))))
-    # a fixed number of partitions: re-planning would merge these few rows before they multiply
-    tasks = int(polygons.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(tasks, F.hash(ring), F.col("__r"))
-    shift = F.col("__r") / dbl(2.0)
-    width = dbl(math.sqrt(3.0) * edge)
-    cells = rows.withColumn("__q", F.explode(F.sequence(
-        F.floor(F.col("__x0") / width - shift), F.ceil(F.col("__x1") / width - shift))))
+    # equal rings are filled once; their digest stands for them in the exchanges
+    keyed = polygons.withColumn("__ring", F.sha2(F.to_json(ring), 256))
+    spans = _spans(polygons.select(ring).distinct().withColumn("__ring", F.sha2(F.to_json(ring), 256)), resolution, ring)
+    width = dbl(math.sqrt(3.0) * edge_km(resolution))
+    first, last = (dbl(EARTH_KM) * F.radians(c) / width - F.col("__r") / dbl(2.0) for c in ("__from", "__to"))
+    ranges = spans.withColumns({"__first": F.floor(first) - 1, "__last": F.ceil(last) + 1})
+    blocks = keyed.join(ranges, "__ring").withColumn("__block", F.explode(F.sequence("__first", "__last", F.lit(CELL_BLOCK).cast("bigint"))))
+    cells = spread(blocks, "__ring", "__r", "__block").withColumn("__q", F.explode(F.sequence(
+        F.col("__block"), F.least(F.col("__block") + CELL_BLOCK - 1, F.col("__last")))))
     cells = cells.withColumn(out, pack_cell(F.col("__q"), F.col("__r"), resolution))
-    lat, lon = cell_center(out, resolution)
-    placed = cells.withColumns({"__lat": lat, "__lon": lon}).filter(F.col("__lat").isNotNull())
-    return (placed.filter(let(F.struct("__lat", "__lon"), lambda p: _inside(p["__lat"], p["__lon"], F.col("__edges"))))
-            .drop("__edges", "__x0", "__x1", "__y0", "__y1", "__r", "__q", "__lat", "__lon"))
-
+    inside = let(cell_center(out, resolution)[1], lambda lon: (lon >= F.col("__from")) & (lon < F.col("__to")))
+    return cells.filter(inside).select(*polygons.columns, out)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 ColumnLike = Column | str
 
@@ -22,6 +22,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal rows out before they multiply; a fixed number of partitions, because re-planning would merge the few rows."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def half_up(x: ColumnLike, places: int) -> Column:
     """Round half up with plain arithmetic, so every engine gives the same double."""
     scale = dbl(10.0**places)

@@ -3,6 +3,7 @@
 import math
 import random
 import struct
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -75,6 +76,41 @@ def test_disks(points, k, size):
     assert back.count() == 0
 
 
+def test_children_many_levels_down(spark):
+    hexagon = spark.createDataFrame([(0x832830FFFFFFFFF,)], "cell long")
+    children = bits.h3_children(hexagon, levels=7)
+    assert children.agg(F.count("*"), F.countDistinct("child"), F.min(bits.cell_resolution("child"))).first() == (7**7, 7**7, 10)
+    assert children.filter(bits.h3_parent("child", 3) != F.col("cell")).isEmpty()
+
+
+def test_grid_children_many_levels_down(spark):
+    one = spark.range(1).select(grid.cell_of(dbl(12.97), dbl(77.59), 4).alias("cell"))
+    children = grid.grid_children(one, 11, 4)
+    found, distinct = children.agg(F.count("*"), F.countDistinct("child")).first()
+    assert found == distinct and abs(found / 7**7 - 1) < 0.01
+
+
+def test_polygon_against_every_edge(spark):
+    rng = random.Random(5)
+    turns = [2 * math.pi * i / 10_000 for i in range(10_000)]
+    star = [(19 + 0.2 * (1 + 0.5 * rng.random()) * math.sin(t), 72.9 + 0.2 * (1 + 0.5 * rng.random()) * math.cos(t)) for t in turns]
+    bow = [(10.0, 20.0), (10.3, 20.4), (10.3, 20.0), (10.0, 20.4)]
+    rings = [("star", star), ("bow", bow), ("bow", bow), ("flat", [(1.0, 1.0), (1.0, 2.0)]), ("none", []), ("null", None)]
+    df = spark.createDataFrame(rings, "name string, ring array<struct<lat:double,lon:double>>")
+    got = Counter(tuple(r) for r in grid.polygon_cells(df, 7).select("name", "cell").collect())
+    # every cell of the box against every edge
+    want = Counter()
+    for name, ring in rings[:3]:
+        box = spark.range(400).crossJoin(spark.range(400).withColumnRenamed("id", "j")).select(grid.cell_of(
+            dbl(min(p[0] for p in ring)) + F.col("id") * dbl((max(p[0] for p in ring) - min(p[0] for p in ring)) / 399),
+            dbl(min(p[1] for p in ring)) + F.col("j") * dbl((max(p[1] for p in ring) - min(p[1] for p in ring)) / 399), 7).alias("cell")).distinct()
+        lat, lon = grid.cell_center("cell", 7)
+        for cell, y, x in box.select("cell", lat, lon).collect():
+            crossed = sum(1 for (a, b), (c, e) in zip(ring, ring[1:] + ring[:1], strict=True) if (a > y) != (c > y) and x < (e - b) * (y - a) / (c - a) + b)
+            want[name, cell] += crossed % 2
+    assert got == +want and len(got) > 300
+
+
 def test_grid_children_cover_each_fine_cell_once(spark):
     area = spark.range(0, 400).select((F.lit(40.6) + (F.col("id") % 20) * 0.01).alias("lat"), (F.lit(-74.1) + F.floor(F.col("id") / 20) * 0.01).alias("lon"))
     coarse = area.select(grid.cell_of("lat", "lon", 6).alias("cell")).distinct()

@@ -5,7 +5,10 @@ are summarised by their count, bounding box and one real driver.
 From a summary follow a least possible distance (box) and a reachable one
 (driver); cells that cannot win are dropped before any driver is looked at.
 A crowded cell is opened step by step into 16 parts until every part that is
-left is small.  Each step keeps the winner, so the result is exact.
+left is small.  What riders still have to look at, the frontier of (rider,
+part) rows, is written once for each step.  The small parts of a step are
+compared before the crowded ones are opened, so their answers close most of
+those.  Each step keeps the winner, so the result is exact.
 """
 
 from __future__ import annotations
@@ -83,11 +86,15 @@ def _prune(rows: DataFrame, boxes: str, worthwhile: Column | None = None) -> Dat
     return opened.select("*", "__box.*").drop("__box")
 
 
+def _worth_opening(rows: DataFrame) -> DataFrame:
+    box = F.struct("lat0", "lat1", "lon0", "lon1")
+    return rows.filter(_least_km(F.col("lat"), F.col("lon"), box) <= F.col("best_km"))
+
+
 def _tighten(rows: DataFrame) -> DataFrame:
     """Share the best distance among a rider's few open parts and drop those that fell behind."""
     mine = Window.partitionBy("rider_id")
-    return (rows.withColumn("best_km", F.min("best_km").over(mine))
-            .filter(_least_km(F.col("lat"), F.col("lon"), F.struct("lat0", "lat1", "lon0", "lon1")) <= F.col("best_km")))
+    return _worth_opening(rows.withColumn("best_km", F.min("best_km").over(mine)))
 
 
 BOX = ["n", "lat0", "lat1", "lon0", "lon1", "lon_at_lat1"]
@@ -119,18 +126,26 @@ def match_nearest(riders: DataFrame, drivers: DataFrame, resolution: int = 9, k:
     open_parts = (_prune(start, "__boxes", F.col("__total") > FEW).drop("__total")
                   .withColumn("part", F.lit(0).cast("bigint")))
 
+    # Without any crowded cell there is one step, and nothing but the positions is written.
+    crowded = F.col("n") > leaf_positions
+    if boxes.filter(crowded).select("n").limit(1).isEmpty():
+        frontier, last = open_parts, True
+    else:
+        frontier, last = materialise(open_parts, "frontier"), False
     compared, depth = [], 0
     while True:
-        crowded = F.col("n") > leaf_positions
-        last = depth == MAX_DEPTH or not _any_crowded(boxes, leaf_positions)
-        leaves = open_parts if last else open_parts.filter(~crowded)
+        leaves = frontier if last else frontier.filter(~crowded)
         keys = ["cell"] if depth == 0 else ["cell", "part"]
         placed = spots.select("cell", "driver_id", "d_lat", "d_lon", *([] if depth == 0 else [_part(depth).alias("part")]))
-        compared.append(_closest(leaves.select(*RIDER, *keys).join(placed, keys)))
+        closest = _closest(leaves.select(*RIDER, *keys).join(placed, keys))
+        compared.append(closest if last else materialise(closest, "closest"))
         if last:
             break
         depth += 1
-        boxes, open_parts = _open(boxes, open_parts, spots, depth, leaf_positions)
+        answered = compared[-1].select("rider_id", F.col("best.distance_km").alias("__km"))
+        left = frontier.filter(crowded).join(answered, "rider_id", "left").withColumn("best_km", F.least("best_km", "__km")).drop("__km")
+        frontier = materialise(_open(_worth_opening(left), spots, depth), "frontier")
+        last = depth == MAX_DEPTH or frontier.filter(crowded).isEmpty()
     if len(compared) == 1:
         nearest = compared[0]
     else:
@@ -148,20 +163,12 @@ def _closest(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("rider_id").agg(F.min(candidate).alias("best"))
 
 
-def _any_crowded(boxes: DataFrame, leaf_positions: int) -> bool:
-    return not boxes.filter(F.col("n") > leaf_positions).select("n").limit(1).isEmpty()
-
-
-def _open(boxes: DataFrame, open_parts: DataFrame, spots: DataFrame, depth: int,
-          leaf_positions: int) -> tuple[DataFrame, DataFrame]:
-    """Replace crowded parts by their 16 sub-parts, in the summaries and in each rider's list."""
+def _open(crowded: DataFrame, spots: DataFrame, depth: int) -> DataFrame:
+    """Replace the crowded parts of the frontier by those of their 16 sub-parts that may hold a nearest driver."""
     keys = ["cell"] if depth == 1 else ["cell", "part"]
-    crowded = boxes.filter(F.col("n") > leaf_positions).select(*keys)
     upper = [] if depth == 1 else [_part(depth - 1).alias("part")]
-    inside = spots.select("*", *upper).join(crowded, keys, "left_semi")
-    finer = materialise(_summary(inside.withColumn("sub", _part(depth)), [*keys, "sub"]), "driver-parts")
+    inside = spots.select("*", *upper).join(crowded.select(*keys).distinct(), keys, "left_semi")
+    finer = _summary(inside.withColumn("sub", _part(depth)), [*keys, "sub"])
     listed = finer.groupBy(*keys).agg(F.collect_list(F.struct(F.col("sub").alias("part"), *BOX)).alias("__boxes"))
-    crowded_parts = open_parts.filter(F.col("n") > leaf_positions).select(*RIDER, "best_km", *keys)
-    opened = _tighten(_prune(crowded_parts.join(listed, keys).drop("part"), "__boxes"))
-    next_boxes = finer.drop("part").withColumnRenamed("sub", "part") if depth > 1 else finer.withColumnRenamed("sub", "part")
-    return next_boxes, opened
+    waiting = crowded.select(*RIDER, "best_km", *keys)
+    return _tighten(_prune(waiting.join(listed, keys).drop("part"), "__boxes"))

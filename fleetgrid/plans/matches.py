@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.scalar import half_up
+from ..functions.scalar import dbl, half_up
 from ..operators import boundary as B, matching as M, metrics, state
 from ..operators.nearest import match_nearest
 from ..operators.quality import with_cell
@@ -54,8 +54,8 @@ def match_summary(spark, d):
 _STATE9 = Q.latest(Q.with_cell(Q.PINGS, 9), "cell, driver_id")
 
 
-def _nearest_sql(drivers: str, res: int = 9, k: int = 2) -> str:
-    near = f"(SELECT r.*, r.cell + o.d AS near FROM {Q.with_cell(Q.RIDERS, res)} r, {Q.disk(k)} o)"
+def _nearest_sql(drivers: str, res: int = 9, k: int = 2, riders: str = Q.RIDERS) -> str:
+    near = f"(SELECT r.*, r.cell + o.d AS near FROM {Q.with_cell(riders, res)} r, {Q.disk(k)} o)"
     pairs = f"""SELECT n.rider_id, s.driver_id, s.lat AS driver_lat, s.lon AS driver_lon,
       {Q.haversine('n.lat', 'n.lon', 's.lat', 's.lon')} AS km FROM {near} n JOIN {drivers} s ON s.cell = n.near"""
     return f"""SELECT rider_id, driver_id, {Q.half_up('driver_lat', 9)} AS driver_lat, {Q.half_up('driver_lon', 9)} AS driver_lon, {Q.half_up('km', 6)} AS distance_km
@@ -73,6 +73,29 @@ def match_nearest_query(spark, d):
     return _rounded(match_nearest(I.riders(spark, d), drivers))
 
 
+# Half of the pings, each a driver of its own, and a third of the riders drawn together to a tenth of the area's width.
+_DRAWN = (40.6, -74.0, 0.1)
+
+
+def _drawn_sql(src: str, which: str) -> str:
+    lat, lon, share = map(Q.num, _DRAWN)
+    return f"(SELECT * REPLACE (CASE WHEN {which} THEN {lat} + (lat - {lat}) * {share} ELSE lat END AS lat, CASE WHEN {which} THEN {lon} + (lon - {lon}) * {share} ELSE lon END AS lon) FROM {src})"
+
+
+def _drawn(df, which):
+    lat, lon, share = map(dbl, _DRAWN)
+    return df.withColumns({"lat": F.when(which, lat + (F.col("lat") - lat) * share).otherwise(F.col("lat")),
+                           "lon": F.when(which, lon + (F.col("lon") - lon) * share).otherwise(F.col("lon"))})
+
+
+@query("match_nearest_crowded", _nearest_sql(
+    Q.with_cell(f"(SELECT * REPLACE (concat('ping-', CAST(event_id AS VARCHAR)) AS driver_id) FROM {_drawn_sql(Q.PINGS, 'event_id % 2 = 0')})", 7),
+    7, 1, _drawn_sql(Q.RIDERS, "order_id % 3 = 0")))
+def match_nearest_crowded(spark, d):
+    drivers = _drawn(I.pings(spark, d), F.col("event_id") % 2 == 0).withColumn("driver_id", F.concat(F.lit("ping-"), F.col("event_id").cast("string")))
+    return _rounded(match_nearest(_drawn(I.riders(spark, d), F.col("order_id") % 3 == 0), drivers, 7, 1))
+
+
 @query("match_nearest_moved_evicted", _nearest_sql(Q.latest(Q.with_cell(Q.PINGS, 7), "driver_id"), 7, 2))
 def match_nearest_moved_evicted(spark, d):
     drivers = state.latest_per_cell_driver(with_cell(I.pings(spark, d), 7), "event_id", evict_moved=True)

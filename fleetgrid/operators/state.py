@@ -6,7 +6,7 @@ operator takes an explicit arrival column whose values are unique.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import DataType, DecimalType, NumericType, BooleanType, TimestampNTZType, TimestampType, DateType
 
 FIXED_WIDTH = (NumericType, BooleanType, TimestampType, TimestampNTZType, DateType)
@@ -21,8 +21,11 @@ def latest_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
 
     Each map task sends at most one row per key, so a key that holds a third of
     the input costs no more than any other.  Fixed-width columns are taken one
-    by one, which keeps the aggregate hash-based; text columns travel together.
-    A row without an arrival number has not arrived and is left out.
+    by one, which keeps the aggregate hash-based.  With text columns only the
+    last arrival of each key is aggregated, and a semi-join then fetches the rows
+    that arrived then: one for each key, so the window over them, which settles
+    arrival numbers that were used twice, is small.  No text is sorted or
+    aggregated.  A row without an arrival number has not arrived and is left out.
     """
     df = df.filter(F.col(order).isNotNull())
     others = [f for f in df.schema.fields if f.name not in keys and f.name != order]
@@ -30,9 +33,9 @@ def latest_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
         picked = [F.max_by(f.name, order).alias(f.name) for f in others]
         out = df.groupBy(*keys).agg(*picked, F.max(order).alias(order))
     else:
-        row = F.struct(*[f.name for f in others])
-        out = df.groupBy(*keys).agg(F.max_by(row, order).alias("__row"), F.max(order).alias(order))
-        out = out.select(*keys, order, "__row.*")
+        last = df.groupBy(*keys).agg(F.max(order).alias(order)).select(order)
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc(order)))
+        out = df.join(last, order, "left_semi").withColumn("__rank", rank).filter("__rank = 1")
     return out.select(*df.columns)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -22,11 +24,15 @@ def scan_state(spark: SparkSession, path: str, low: int, high: int, cell: str =
 
 
 def write_matches(df: DataFrame, sink: str | dict[str, str], key: str = "rider_id",
-                  checkpoint: str | None = None) -> DataStreamWriter | None:
+                  checkpoint: str | None = None, run: str | None = None) -> DataStreamWriter | None:
     """Keyed sink for matches or processed pings: a parquet folder, or a topic given as options.
 
     Batch rows are written at once; for a stream the configured writer is returned.
+    Rows of a named ``run`` go to a folder of their own, which a rerun replaces;
+    without a name they are appended, so a rerun repeats them.  Keep to one of both in a folder.
     """
+    if run is not None and (df.isStreaming or isinstance(sink, dict)):
+        raise ValueError("only a batch written to a folder has a run")
     if isinstance(sink, dict):
         df = df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
     if df.isStreaming:
@@ -35,6 +41,8 @@ def write_matches(df: DataFrame, sink: str | dict[str, str], key: str = "rider_i
         return writer.option("checkpointLocation", checkpoint) if checkpoint else writer
     if isinstance(sink, dict):
         df.write.format("kafka").options(**sink).save()
+    elif run is not None:
+        df.write.mode("overwrite").parquet(f"{sink}/run={quote(run, safe='')}")
     else:
         df.write.mode("append").parquet(sink)
     return None

@@ -3,6 +3,7 @@
 import json
 import struct
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetgrid.sources import codecs, readers, writers
@@ -84,3 +85,13 @@ def test_report_is_json(spark, tmp_path):
     assert json.loads(writers.report_document(df).first().document) == {"n": 1, "rate": 2.5}
     writers.write_report(df, str(tmp_path / "r"))
     assert spark.read.json(str(tmp_path / "r")).first().rate == 2.5
+
+
+def test_a_run_written_twice_counts_once(spark, tmp_path):
+    sink, rows = str(tmp_path / "matches"), spark.createDataFrame([("r1", "d1"), ("r2", "d2")], "rider_id string, driver_id string")
+    writers.write_matches(rows, sink, run="2024-01-01 08:00")
+    writers.write_matches(rows.limit(1), sink, run="2024-01-02")
+    writers.write_matches(rows, sink, run="2024-01-01 08:00")
+    assert sorted(r.rider_id for r in spark.read.parquet(sink).collect()) == ["r1", "r1", "r2"]
+    with pytest.raises(ValueError):
+        writers.write_matches(rows, {"topic": "matches"}, run="2024-01-02")

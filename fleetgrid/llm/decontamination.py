@@ -45,6 +45,7 @@ LITERALS = 3  # a template window holds at least so many plain words
 TOKEN = re.compile(r"[^\W\d_]+|\d+(?:[.,:/]\d+)*")
 ASCII_TOKEN = re.compile(r"[A-Za-z]+|[0-9]+(?:[.,:/][0-9]+)*")  # the same for texts without other characters
 KEPT_CODES = 500_000
+RUN_CHARS = 1 << 18  # characters of neighbouring texts whose windows are worked out together
 
 # Words that are units after a number, and words that are numbers.
 UNITS = frozenset(
@@ -103,35 +104,68 @@ def range_hashes(codes: np.ndarray, start: np.ndarray, end: np.ndarray, salt: np
     return mixed((sums[end] - sums[start]) * np.cumprod(inverse)[start] ^ salt) | np.uint64(1)
 
 
-def windows_of(text: str, codes: Codes, short: tuple[int, ...] | None = None, widest: int | None = None):
-    """tokens, number of windows, and the forms of the windows: (place, start, end, hash) arrays and whether names are placeholders.
+class Windows:
+    """Tokens of some texts in a row, and the forms of their windows: (place, start, end, hash) arrays and whether names are placeholders.
+
+    Places, starts and ends count from the first token of all; no window crosses
+    the end of a text.
+    """
+
+    def __init__(self, tokens: list[str], first: np.ndarray, last: np.ndarray, owner: np.ndarray, forms: list[tuple]):
+        self.tokens, self.first, self.last, self.owner, self.forms = tokens, first, last, owner, forms
+
+    def total(self, text: int) -> int:
+        """Windows of a text; one that is shorter than a window is one."""
+        return max(1, int(self.last[text] - self.first[text]) - WINDOW + 1)
+
+
+def windows_of(texts: list[str], codes: Codes, short: tuple[int, ...] | None = None, widest: int | None = None) -> Windows:
+    """The windows of some texts, worked out together.
 
     A text of fewer tokens than ``WINDOW`` is one window.  With ``short`` the
     windows of these widths are added instead, and of the widened windows only
     those of at most ``widest`` tokens are made.
     """
-    found = (ASCII_TOKEN if text.isascii() else TOKEN).findall(text)
+    found: list[str] = []
+    last = np.zeros(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        found += (ASCII_TOKEN if text.isascii() else TOKEN).findall(text)
+        last[i] = len(found)
+    first = np.concatenate((np.zeros(1, np.int64), last[:-1]))
+    size = len(found)
+    owner = np.repeat(np.arange(len(texts)), last - first)  # the text of each token
     if not found:
-        return [], 0, []
+        return Windows(found, first, last, owner, [])
     if len(codes) > KEPT_CODES:
         codes.clear()
-    code = np.fromiter(map(codes.__getitem__, found), np.uint64, len(found))
+    code = np.fromiter(map(codes.__getitem__, found), np.uint64, size)
     kind = (code & KIND_BITS).astype(np.int8)
     plain = code & ~KIND_BITS
+    begin, end_of = first[owner], last[owner]
     name, number = kind == NAME, kind == NUMBER
     unit = kind == UNIT
-    if unit.any():
-        unit[1:] &= number[:-1]
-        unit[0] = False
-        plain[unit] = MEASURED
-    size, named, forms = len(code), name.any(), []
-    if named:
-        template = np.where(name, NAMED, plain)
-        names = np.concatenate(([0], np.cumsum(name)))
-        words = np.concatenate(([0], np.cumsum(~(name | number | unit))))  # plain words before each token
-    for width in ([WINDOW] if size >= WINDOW else [] if short is not None else [size]) + [w for w in short or () if w <= size]:
+    unit[1:] &= number[:-1]
+    unit[begin == np.arange(size)] = False
+    plain[unit] = MEASURED
+    template = np.where(name, NAMED, plain)
+    names = np.concatenate(([0], np.cumsum(name)))
+    words = np.concatenate(([0], np.cumsum(~(name | number | unit))))  # plain words before each token
+    forms = []
+    if short is None:
+        lengths = np.unique(np.minimum(last - first, WINDOW))
+        widths = [int(w) for w in lengths if w]
+    else:
+        widths = [WINDOW, *short]
+    for width in widths:
+        if width > size:
+            continue
         n = size - width + 1
-        place = np.arange(n)
+        fits = np.arange(n) + width <= end_of[:n]
+        if short is None and width < WINDOW:
+            fits &= end_of[:n] - begin[:n] == width
+        place = np.flatnonzero(fits)
+        if not len(place):
+            continue
         p = mixed(sum(plain[i:i + n] * ODD[i] for i in range(width)))
         if width < WINDOW and (number.any() or unit.any()):
             # so short a window with few fixed words agrees word for word or not at all
@@ -140,33 +174,43 @@ def windows_of(text: str, codes: Codes, short: tuple[int, ...] | None = None, wi
             literal = plain.copy()
             literal[number | unit] = [literal_code(found[i]) for i in np.flatnonzero(number | unit)]
             p[few] = mixed(sum(literal[i:i + n] * ODD[i] for i in range(width)))[few]
-        forms.append((place, place, place + width, p, False))
-        if not named:
-            continue
-        held, rich = names[width:] > names[:n], words[width:] - words[:n] >= LITERALS
+        forms.append((place, place, place + width, p[place], False))
+        held, rich = fits & (names[width:] > names[:n]), words[width:] - words[:n] >= LITERALS
         good = np.flatnonzero(held & rich)
         if len(good):
-            t = mixed(sum(template[i:i + n] * ODD[i] for i in range(width))) | np.uint64(1)
-            forms.append((good, good, good + width, t[good], True))
+            t = mixed(sum(template[good + i] * ODD[i] for i in range(width))) | np.uint64(1)
+            forms.append((good, good, good + width, t, True))
         poor = np.flatnonzero(held & ~rich) if width == WINDOW and widest != 0 else good[:0]
         if not len(poor):
             continue
         # to the right until it holds enough words, at the end of an item to the left; a document cannot know where items end
         right = np.searchsorted(words, words[poor] + LITERALS)
         left = np.searchsorted(words, words[poor + width] - LITERALS, "right") - 1
-        inside = right <= size
-        for ok, start, end, salt in ((inside, poor, right, TO_RIGHT), (left >= 0 if short is not None else ~inside & (left >= 0), left, poor + width, TO_LEFT)):
+        inside, behind = right <= end_of[poor], left >= begin[poor]
+        for ok, start, end, salt in ((inside, poor, right, TO_RIGHT), (behind if short is not None else ~inside & behind, left, poor + width, TO_LEFT)):
             if widest is not None:
                 ok = ok & (end - start <= widest)
             if ok.any():
                 start, end = start[ok], end[ok]
                 forms.append((poor[ok], start, end, range_hashes(template, start, end, salt), True))
-    return found, max(1, size - WINDOW + 1), forms
+    return Windows(found, first, last, owner, forms)
+
+
+def runs_of_texts(texts: list[str]):
+    """Ranges of neighbouring texts of about ``RUN_CHARS`` characters, a longer text by itself."""
+    start = size = 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > RUN_CHARS:
+            yield start, i
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield start, len(texts)
 
 
-def slots_of(tokens: list[str], start: int, end: int, codes: Codes, template: bool) -> list[str]:
-    """The typed values of a window, in order."""
-    out, number = [], start > 0 and codes[tokens[start - 1]] & 7 == NUMBER
+def slots_of(tokens: list[str], first: int, start: int, end: int, codes: Codes, template: bool) -> list[str]:
+    """The typed values of a window of the text whose tokens begin at ``first``, in order."""
+    out, number = [], start > first and codes[tokens[start - 1]] & 7 == NUMBER
     for token in tokens[start:end]:
         kind = codes[token] & 7
         if kind == NUMBER or kind == UNIT and number or kind == NAME and template:
@@ -194,14 +238,16 @@ def window_rows(texts: DataFrame, bitmap: bytes | None = None, shift: int = 0, s
         codes = Codes()
         bits = None if bitmap is None else np.frombuffer(bitmap, np.uint8)
         for batch in batches:
+            keys, numbers, read = batch["key"].tolist(), batch["id"].tolist(), batch["text"].tolist()
             out = []
-            for key, number, text in zip(batch["key"], batch["id"], batch["text"], strict=True):
-                tokens, total, forms = windows_of(text, codes, short, widest)
-                for place, start, end, hashes, form in forms:
+            for low, high in runs_of_texts(read):
+                made = windows_of(read[low:high], codes, short, widest)
+                for place, start, end, hashes, form in made.forms:
                     at = np.arange(len(hashes)) if bits is None else np.flatnonzero(in_bitmap(bits, shift, hashes))
-                    if len(at):
-                        out += [(key, number, h, i, e - s, total, slots_of(tokens, s, e, codes, form)) for i, s, e, h in zip(
-                            place[at].tolist(), start[at].tolist(), end[at].tolist(), hashes[at].view(np.int64).tolist(), strict=True)]
+                    text = made.owner[place[at]]
+                    first = made.first[text]
+                    out += [(keys[low + x], numbers[low + x], h, i - f, e - s, made.total(x), slots_of(made.tokens, f, s, e, codes, form)) for x, f, i, s, e, h in zip(
+                        text.tolist(), first.tolist(), place[at].tolist(), start[at].tolist(), end[at].tolist(), hashes[at].view(np.int64).tolist(), strict=True)]
             yield pd.DataFrame(out, columns=["key", "id", "hash", "place", "width", "total", "slots"]).astype({"id": "Int64"})
 
     return texts.mapInPandas(rows, SCHEMA)

@@ -2,8 +2,13 @@
 
 Points go through the Lambert cylindrical equal-area projection and then onto
 pointy-top hexagons in axial coordinates.  Each resolution has hexagons seven
-times smaller than the one before.  An id is ``resolution | q | r``.  There is
-no wrap at the antimeridian and no centre for a cell that reaches past a pole.
+times smaller than the one before.  An id is ``resolution | q | r``.  A cell that
+reaches past a pole has no centre.
+
+The antimeridian cuts cells in two.  One turn around the globe is no whole number
+of hexagons, but the nearest whole number of them maps the grid onto itself, so
+an id and the id turned by it are the same place to within half a cell.
+``disk_across_seam`` joins the two sides that way.
 """
 
 from __future__ import annotations
@@ -131,6 +136,33 @@ def grid_disk(cell: ColumnLike, k: int) -> Column:
     return F.transform(offsets, lambda o: col(cell) + o)
 
 
+def wrapped_longitude(lon: ColumnLike) -> Column:
+    """The same meridian between -180 and, not included, 180 degrees; longitudes that lie there stay as they are."""
+    lon = col(lon)
+    return F.when((lon >= dbl(-180.0)) & (lon < dbl(180.0)), lon).otherwise(F.pmod(lon + dbl(180.0), dbl(360.0)) - dbl(180.0))
+
+
+def seam_columns(resolution: int) -> int:
+    """Hexagons of one turn around the globe, to the nearest whole number."""
+    return round(2.0 * math.pi * EARTH_KM / (math.sqrt(3.0) * edge_km(resolution)))
+
+
+def disk_across_seam(cell: ColumnLike, resolution: int, k: int) -> Column:
+    """The cells within ``k`` steps, those beyond the antimeridian under the ids that they have there.
+
+    Both halves of a cell that the antimeridian cuts are in the disk.  A cell is
+    in the disk of another exactly when that one is in its disk.  Only cells close to
+    the antimeridian pay for it; the disk of any other is the plain one.
+    """
+    plain = grid_disk(cell, k)
+    width, half = math.sqrt(3.0) * edge_km(resolution), math.pi * EARTH_KM
+    turn = F.lit(seam_columns(resolution) << 26).cast("bigint")
+    around = F.concat(plain, F.transform(plain, lambda c: c + turn), F.transform(plain, lambda c: c - turn))
+    held = F.filter(around, lambda c: F.abs(plane_xy(c, resolution)[0]) <= dbl(half + width / 2.0))
+    near = F.abs(plane_xy(cell, resolution)[0]) >= dbl(half - (k + 1.5) * width)
+    return F.when(near, F.array_distinct(held)).otherwise(plain)
+
+
 def grid_children(df: DataFrame, resolution: int, own: int, cell: str = "cell", out: str = "child") -> DataFrame:
     """One row per finer cell whose centre lies in ``cell``.
 

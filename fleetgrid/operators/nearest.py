@@ -1,7 +1,7 @@
 """Nearest driver for every rider, without comparing all pairs in a crowded cell.
 
-A rider may be matched with any driver in the k-disk of cells around it.  Cells
-are summarised by their count, bounding box and one real driver.
+A rider may be matched with any driver in the k-disk of cells around it, which
+goes on beyond the antimeridian.  Cells are summarised by their count, bounding box and one real driver.
 From a summary follow a least possible distance (box) and a reachable one
 (driver); cells that cannot win are dropped before any driver is looked at.
 A crowded cell is opened step by step into 16 parts until every part that is
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import HAVERSINE_KM, haversine_km
-from ..functions.grid import cell_of, disk_offsets, edge_km, plane_xy
+from ..functions.grid import cell_of, disk_across_seam, edge_km, plane_xy
 from ..functions.scalar import dbl
 from ..session import materialise
 
@@ -44,10 +44,11 @@ def _reachable_km(lat: Column, lon: Column, box: Column) -> Column:
 
 
 def _least_km(lat: Column, lon: Column, box: Column) -> Column:
-    """No driver in the box is closer than this: the larger of the latitude and the meridian gap."""
-    zero = dbl(0.0)
+    """No driver in the box is closer than this: the larger of the latitude and the meridian gap, the shorter way round."""
+    zero, turn = dbl(0.0), dbl(360.0)
     north = F.radians(F.greatest(box["lat0"] - lat, lat - box["lat1"], zero))
-    east = F.radians(F.greatest(box["lon0"] - lon, lon - box["lon1"], zero))
+    direct = F.greatest(box["lon0"] - lon, lon - box["lon1"], zero)
+    east = F.radians(F.greatest(F.least(direct, turn + box["lon0"] - lon, turn + lon - box["lon1"]), zero))
     to_meridian = F.when(east < dbl(1.5), F.asin(F.cos(F.radians(lat)) * F.sin(east))).otherwise(zero)
     # a hair less, so that rounding can never drop the winner
     return F.greatest(north, to_meridian) * dbl(HAVERSINE_KM * (1.0 - 1e-9)) - dbl(1e-9)
@@ -103,7 +104,7 @@ RIDER = ["rider_id", "lat", "lon"]
 
 def match_nearest(riders: DataFrame, drivers: DataFrame, resolution: int = 9, k: int = 2,
                   leaf_positions: int = LEAF_POSITIONS) -> DataFrame:
-    """Nearest driver (haversine) among the cells within ``k`` steps of the rider's cell.
+    """Nearest driver (haversine) among the cells within ``k`` steps of the rider's cell, also across the antimeridian.
 
     ``riders`` has rider_id (unique), lat, lon; ``drivers`` is a state table with
     driver_id, lat, lon and optionally cell.  Riders without a candidate give no
@@ -117,8 +118,8 @@ def match_nearest(riders: DataFrame, drivers: DataFrame, resolution: int = 9, k:
 
     # Expand the summaries and not the riders: at most 1+3k(k+1) boxes meet in a cell.
     boxes = _summary(spots, ["cell"])
-    around = (boxes.withColumn("__near", F.explode(F.array(*[F.lit(o).cast("bigint") for o in disk_offsets(k)])))
-              .groupBy((F.col("cell") + F.col("__near")).alias("__rider_cell"))
+    around = (boxes.withColumn("__rider_cell", F.explode(disk_across_seam("cell", resolution, k)))
+              .groupBy("__rider_cell")
               .agg(F.collect_list(F.struct("cell", *BOX)).alias("__boxes"), F.sum("n").alias("__total")))
     start = (asking.withColumnRenamed("cell", "__rider_cell").join(around, "__rider_cell").drop("__rider_cell")
              .withColumn("best_km", dbl(float("inf"))))

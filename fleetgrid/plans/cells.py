@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import bits, geo, grid
@@ -104,6 +106,17 @@ def disk_cells(spark, d):
     return with_cell(I.pings(spark, d), 9).select("event_id", F.explode(grid.grid_disk("cell", 2)).alias("near"))
 
 
+_TURNED = f"""(SELECT p.event_id, p.cell + o.d + w.turns * {Q.turn(9)} AS near FROM {Q.with_cell(Q.at_seam(Q.PINGS), 9)} p, {Q.disk(2)} o,
+  (SELECT unnest([-1, 0, 1]) AS turns) w)"""
+
+
+@query("disk_cells_across_seam", f"SELECT event_id, near FROM {_TURNED} WHERE abs({Q.center_xy('near', 9)[0]}) <= {Q.num(math.pi * Q.RADIUS + math.sqrt(3.0) * Q.edge(9) / 2.0)}")
+def disk_cells_across_seam(spark, d):
+    """The disks of pings around the antimeridian; those that touch it go on beyond it."""
+    pings = with_cell(I.at_seam(I.pings(spark, d)), 9)
+    return pings.select("event_id", F.explode(grid.disk_across_seam("cell", 9, 2)).alias("near"))
+
+
 _CLAT, _CLON = Q.center("cell", 9)
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.bits import ONE_PER_DIGIT
+from ..functions.grid import wrapped_longitude
 from ..functions.scalar import dbl, epoch_millis, shift_left
 
 # The bounding box the coordinates are spread over, and its primes.
@@ -53,6 +54,14 @@ def world_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lon": dbl(-180.0) + dbl(360.0) * _share(e * 6101 + u * 15485863, 10009)})
 
 
+SEAM_SHIFT = 253.9797  # degrees east that take the middle of the area to the antimeridian
+
+
+def at_seam(rows: DataFrame) -> DataFrame:
+    """The same rows with their area moved onto the antimeridian."""
+    return rows.withColumn("lon", wrapped_longitude(F.col("lon") + dbl(SEAM_SHIFT)))
+
+
 def flawed_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pings in which some ids are blank and some coordinates are out of range."""
     e = F.col("event_id")

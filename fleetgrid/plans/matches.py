@@ -54,8 +54,9 @@ def match_summary(spark, d):
 _STATE9 = Q.latest(Q.with_cell(Q.PINGS, 9), "cell, driver_id")
 
 
-def _nearest_sql(drivers: str, res: int = 9, k: int = 2, riders: str = Q.RIDERS) -> str:
-    near = f"(SELECT r.*, r.cell + o.d AS near FROM {Q.with_cell(riders, res)} r, {Q.disk(k)} o)"
+def _nearest_sql(drivers: str, res: int = 9, k: int = 2, riders: str = Q.RIDERS, turns: str = "0") -> str:
+    near = f"""(SELECT r.*, r.cell + o.d + w.turns * {Q.turn(res)} AS near FROM {Q.with_cell(riders, res)} r, {Q.disk(k)} o,
+      (SELECT unnest([{turns}]) AS turns) w)"""
     pairs = f"""SELECT n.rider_id, s.driver_id, s.lat AS driver_lat, s.lon AS driver_lon,
       {Q.haversine('n.lat', 'n.lon', 's.lat', 's.lon')} AS km FROM {near} n JOIN {drivers} s ON s.cell = n.near"""
     return f"""SELECT rider_id, driver_id, {Q.half_up('driver_lat', 9)} AS driver_lat, {Q.half_up('driver_lon', 9)} AS driver_lon, {Q.half_up('km', 6)} AS distance_km
@@ -96,6 +97,13 @@ def match_nearest_crowded(spark, d):
     return _rounded(match_nearest(_drawn(I.riders(spark, d), F.col("order_id") % 3 == 0), drivers, 7, 1))
 
 
+@query("match_nearest_across_seam", _nearest_sql(Q.latest(Q.with_cell(Q.at_seam(Q.PINGS), 7), "cell, driver_id"), 7, 2, Q.at_seam(Q.RIDERS), "-1, 0, 1"))
+def match_nearest_across_seam(spark, d):
+    """Riders and drivers on both sides of the antimeridian."""
+    drivers = state.latest_per_cell_driver(with_cell(I.at_seam(I.pings(spark, d)), 7), "event_id")
+    return _rounded(match_nearest(I.at_seam(I.riders(spark, d)), drivers, 7, 2))
+
+
 @query("match_nearest_moved_evicted", _nearest_sql(Q.latest(Q.with_cell(Q.PINGS, 7), "driver_id"), 7, 2))
 def match_nearest_moved_evicted(spark, d):
     drivers = state.latest_per_cell_driver(with_cell(I.pings(spark, d), 7), "event_id", evict_moved=True)

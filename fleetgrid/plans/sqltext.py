@@ -38,6 +38,14 @@ RIDERS = f"""(SELECT o_orderkey AS order_id, concat('rider-', CAST(o_orderkey AS
   {num(40.4774)} + {num(0.4402)} * {_share("o_orderkey*6007 + o_custkey*7561", 10037)} AS lat,
   {num(-74.2591)} + {num(0.5588)} * {_share("o_orderkey*4903 + o_custkey*9811", 10039)} AS lon,
   1704067200000 + ((o_orderkey*86413) % 2592000)*1000 AS request_ms FROM orders)"""
+
+
+def at_seam(src: str) -> str:
+    """The rows moved east until the antimeridian runs through their middle."""
+    moved = f"(lon + {num(253.9797)})"
+    return f"""(SELECT * REPLACE (CASE WHEN {moved} < 180 THEN {moved} ELSE {moved} + {num(180.0)} - {num(360.0)} - {num(180.0)} END AS lon) FROM {src})"""
+
+
 ONES = sum(1 << (3 * i) for i in range(15))
 H3_IDS = f"""(SELECT * EXCLUDE (res_, random_, sevens_, digits_) FROM (SELECT p.*, event_id % 16 AS res_,
   ((event_id % 1000003) * 2654435761 + user_id * 40503) % {1 << 45} AS random_,
@@ -107,6 +115,11 @@ def disk(k: int) -> str:
             f"(SELECT CAST(unnest(range(-{k}, {k + 1})) AS BIGINT) AS b) WHERE abs(a + b) <= {k})").replace("(a << 26)", "a * 67108864")
 
 
+def turn(res: int) -> int:
+    """What one turn around the globe adds to an id: the nearest whole number of columns."""
+    return round(2.0 * math.pi * RADIUS / (math.sqrt(3.0) * edge(res))) * 67108864
+
+
 def half_up(expr: str, places: int) -> str:
     scale = num(10.0**places)
     return f"(floor(CAST({expr} AS DOUBLE) * {scale} + {num(0.5)}) / {scale})"

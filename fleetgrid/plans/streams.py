@@ -189,6 +189,26 @@ def stream_process_pings_state(spark, d):
     return latest_by(emitted.drop("batch"), ["driver_id"], "event_id").select("driver_id", "event_id", "cell")
 
 
+@query("stream_process_pings_together", f"""SELECT driver_id, event_id, cell, forwarded FROM {Q.latest(f'(SELECT * FROM {_VALID} WHERE is_valid)', 'driver_id')}
+  JOIN (SELECT driver_id, count(*) AS forwarded FROM {_VALID} WHERE is_valid GROUP BY 1) USING (driver_id)""")
+def stream_process_pings_together(spark, d):
+    """Forwarded rows, counted for each driver, and the driver's state, both from one query over one reading."""
+    base = scratch_path(spark, "process")
+    rows = I.as_h3_ids(ping_stream(spark, d)).select("event_id", "driver_id", "cell")
+    jobs.process_to_tables(rows, "event_id", base).awaitTermination()
+    forwarded = spark.read.parquet(f"{base}/forwarded").groupBy("driver_id").agg(F.count(F.lit(1)).alias("forwarded"))
+    return jobs.driver_state(spark, base, rows.schema, SLICES).join(forwarded, "driver_id").select("driver_id", "event_id", "cell", "forwarded")
+
+
+@query("stream_boundary_multicast_repeats", f"""SELECT event_id, driver_id, ts_ms, cell AS target_cell FROM (SELECT event_id, driver_id, ts_ms // 21600000 AS ts_ms, cell,
+  lag(ts_ms // 21600000) OVER (PARTITION BY driver_id ORDER BY event_id) AS b FROM {Q.with_parent(Q.with_cell(Q.PINGS, 9, 'fine'), 9, 5, 'cell', 'fine')})
+  WHERE b IS NULL OR b <> ts_ms""")
+def stream_boundary_multicast_repeats(spark, d):
+    """Drivers repeat their timestamps, so whole pings are dropped besides the copies."""
+    rows = ping_stream(spark, d).select("event_id", "driver_id", "lat", "lon", F.floor(F.col("ts_ms") / 21600000).alias("ts_ms"))
+    return jobs.run_to_table(jobs.boundary_stream(rows), "boundary").select("event_id", "driver_id", "ts_ms", "target_cell")
+
+
 @query("stream_boundary_multicast_dedup", f"SELECT event_id, driver_id, cell AS target_cell FROM {Q.with_parent(Q.with_cell(Q.PINGS, 9, 'fine'), 9, 5, 'cell', 'fine')}")
 def stream_boundary_multicast_dedup(spark, d):
     """Every ping leaves once, as its primary copy: the others are dropped again."""

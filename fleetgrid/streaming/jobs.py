@@ -40,6 +40,31 @@ def process_pings(pings: DataFrame, order: str, cell: str = "cell") -> tuple[Dat
     return rekey(valid, cell), last.select("driver_id", "__row.*")
 
 
+def process_to_tables(pings: DataFrame, order: str, base: str, cell: str = "cell", every: str | None = None) -> StreamingQuery:
+    """Both outcomes of ``process_pings`` from one query, which reads its source once.
+
+    A batch writes what it forwards to ``<base>/forwarded``, in a folder named by
+    the batch, and makes the state of its drivers out of these rows.
+    ``driver_state`` reads the state.
+    """
+    state = _Generations(base, ["driver_id"], _newest_driver, FAN, BUCKETS)
+
+    def on_batch(batch: DataFrame, number: int) -> None:
+        forwarded = rekey(filter_valid_cell(batch, cell), cell)
+        path = f"{base}/forwarded/batch={number}"
+        forwarded.write.mode("overwrite").parquet(path)
+        written = batch.sparkSession.read.schema(forwarded.schema).parquet(path)
+        state.leave(latest_by(written.select(*batch.columns), ["driver_id"], order), batch.schema, number)
+
+    return start(pings.writeStream.foreachBatch(on_batch), f"{base}/progress", every)
+
+
+def driver_state(spark: SparkSession, base: str, schema: T.StructType, batches: int) -> DataFrame:
+    """The last valid ping of each driver after the first ``batches`` batches of ``process_to_tables``."""
+    state = _Generations(base, ["driver_id"], _newest_driver, FAN, BUCKETS)
+    return _newest_driver(state.read(spark, covering(batches), schema).drop(BUCKET)).drop(NUMBER)
+
+
 def boundary_stream(pings: DataFrame, order: str = "event_id", ttl_ms: int | None = None) -> DataFrame:
     """Multicast near borders, then drop the copies again per driver."""
     return dedup_stream(multicast(pings), order=[order, "copy_no"], ttl_ms=ttl_ms)
@@ -171,6 +196,10 @@ def _newest(rows: DataFrame, keys: list[str]) -> DataFrame:
     return latest_by(rows, keys, NUMBER)
 
 
+def _newest_driver(rows: DataFrame) -> DataFrame:
+    return _newest(rows, ["driver_id"])
+
+
 def dedup_in_batches(rows: DataFrame, base: str, order: str = "event_id", ts: str = "ts_ms", key: str = "driver_id",
                      every: str | None = None, fan: int = FAN) -> StreamingQuery:
     """Streaming dedup with batch operators, which split a driver who sends very many pings."""

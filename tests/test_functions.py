@@ -76,6 +76,29 @@ def test_disks(points, k, size):
     assert back.count() == 0
 
 
+@pytest.mark.parametrize("resolution,k", [(1, 2), (4, 2), (7, 3), (9, 2)])
+def test_disks_across_the_antimeridian(spark, resolution, k):
+    rng = random.Random(5)
+    wide = 3.0 if resolution < 5 else 0.03
+    rows = [(i, rng.uniform(-1, 1), 180.0 + rng.uniform(-wide, wide)) for i in range(200)] + [(-1, 0.0, 180.0), (-2, 0.0, -180.0), (-3, 0.0, 12.0)]
+    cells = spark.createDataFrame(rows, "i int, lat double, lon double").withColumn("lon", grid.wrapped_longitude("lon"))
+    assert cells.filter("lon < -180 OR lon >= 180").isEmpty() and cells.filter("i < -1 AND i > -3 AND lon <> -180").isEmpty()
+    cells = cells.withColumn("cell", grid.cell_of("lat", "lon", resolution)).withColumn("disk", grid.disk_across_seam("cell", resolution, k))
+    # distinct, at least the part of the plain disk that lies on the globe, and mutual
+    assert cells.filter((F.size("disk") != F.size(F.array_distinct("disk"))) | ~F.array_contains("disk", F.col("cell"))).isEmpty()
+    each = cells.withColumn("n", F.explode("disk"))
+    assert each.filter(~F.array_contains(grid.disk_across_seam("n", resolution, k), F.col("cell"))).isEmpty()
+    # every id of a disk can be the cell of a point: its centre is at most half a cell beyond the antimeridian
+    beyond = 90.0 * math.sqrt(3.0) * grid.edge_km(resolution) / (math.pi * grid.EARTH_KM)
+    assert each.filter(F.abs(grid.cell_center("n", resolution)[1]) > 180.0 + beyond * (1 + 1e-9)).isEmpty()
+    # a step east and west of a point on the antimeridian is in its disk
+    step = 180.0 * math.sqrt(3.0) * grid.edge_km(resolution) / (math.pi * grid.EARTH_KM)
+    for way in (-step, step):
+        beside = cells.filter("i < 0").withColumn("other", grid.cell_of("lat", grid.wrapped_longitude(F.col("lon") + way), resolution))
+        assert beside.filter(~F.array_contains("disk", F.col("other"))).isEmpty()
+    assert cells.filter("i = -3").filter(F.col("disk") == grid.grid_disk("cell", k)).count() == (1 if resolution > 1 else cells.filter("i = -3").count())
+
+
 def test_children_many_levels_down(spark):
     hexagon = spark.createDataFrame([(0x832830FFFFFFFFF,)], "cell long")
     children = bits.h3_children(hexagon, levels=7)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from fleetgrid.functions import binary
-from fleetgrid.functions.grid import cell_of, grid_disk
+from fleetgrid.functions.grid import axial_q, axial_r, cell_of, grid_disk, seam_columns
 from fleetgrid.operators import boundary, matching, metrics, nearest, ordered, partitioning, quality, series, skew, state
 from fleetgrid.operators.percentiles import pctl
 
@@ -134,6 +134,41 @@ def test_nearest_equals_brute_force(spark, monkeypatch, leaf, few, seed):
     assert all(found[k] == want[k] for k in want)
 
 
+@pytest.mark.parametrize("leaf,few", [(4, 0), (100000, 16)])
+def test_nearest_across_the_antimeridian(spark, monkeypatch, leaf, few):
+    monkeypatch.setattr(nearest, "FEW", few)
+    rng = random.Random(8)
+
+    def place():
+        lon = 180.0 + rng.gauss(0, 0.004)
+        return rng.uniform(-17.01, -16.99), lon if lon < 180.0 else lon - 360.0
+
+    drivers = [(f"d{i}", *place()) for i in range(400)] + [("over", 60.0, -179.9999), ("there", 20.0, 0.0)]
+    riders = [(f"r{i}", *place()) for i in range(150)] + [("near", 60.0, 179.9999), ("edge", 20.0, 179.9)]
+    to_df = lambda rows, who: spark.createDataFrame(rows, f"{who} string, lat double, lon double")
+    got = {r.rider_id: (r.driver_id, r.distance_km) for r in nearest.match_nearest(
+        to_df(riders, "rider_id"), to_df(drivers, "driver_id"), 9, 2, leaf_positions=leaf).collect()}
+    assert got["near"][0] == "over" and got["near"][1] < 0.02 and "edge" not in got
+
+    def cells(rows, who):
+        return {r[0]: (r.q, r.r, r.lat, r.lon) for r in to_df(rows, who).withColumn("cell", cell_of("lat", "lon", 9)).select(
+            who, axial_q("cell").alias("q"), axial_r("cell").alias("r"), "lat", "lon").collect()}
+
+    def steps(a, b):
+        return min(max(abs(a[0] - b[0] + t), abs(a[1] - b[1]), abs(a[0] - b[0] + t + a[1] - b[1])) for t in (0, seam_columns(9), -seam_columns(9)))
+
+    def km(a, b):
+        p, q = math.radians(a[2]), math.radians(b[2])
+        h = math.sin((q - p) / 2) ** 2 + math.cos(p) * math.cos(q) * math.sin(math.radians(b[3] - a[3]) / 2) ** 2
+        return 2 * 6371.0 * math.asin(math.sqrt(h))
+
+    at = cells(drivers, "driver_id")
+    for rider, a in cells(riders, "rider_id").items():
+        best = min(((km(a, b), d) for d, b in at.items() if steps(a, b) <= 2), default=None)
+        assert (best is None) == (rider not in got)
+        assert best is None or got[rider][0] == best[1] and abs(got[rider][1] - best[0]) < 1e-9
+
+
 def test_latest_with_arrival_numbers_used_twice(spark):
     rows = [("a", 1, "x"), ("a", 3, "y"), ("b", 3, "z"), ("b", 2, "w"), ("c", 3, "v"), ("c", 3, "v"), (None, 1, "n"), (None, 5, "m"), ("d", None, "u"), ("e", 1, None)]
     df = spark.createDataFrame(rows, "driver_id string, event_id long, status string")

@@ -48,6 +48,25 @@ def test_dedup_in_batches_across_a_restart(spark, tmp_path):
     assert run() == [("a", 1), ("b", 3), ("a", 5), ("a", 7), ("c", 8)]
 
 
+def test_both_outcomes_from_one_query_across_a_restart(spark, tmp_path):
+    src, base = str(tmp_path / "src"), str(tmp_path / "base")
+    schema, good, bad = "driver_id string, event_id bigint, cell bigint", 0x892A1072B43FFFF, 5
+
+    def run(batches):
+        query = jobs.process_to_tables(stream(spark, src, schema), "event_id", base)
+        query.awaitTermination()
+        forwarded = sorted((r.event_id, r.key) for r in spark.read.parquet(f"{base}/forwarded").collect())
+        state = jobs.driver_state(spark, base, spark.read.parquet(src).schema, batches).collect()
+        return forwarded, sorted((r.driver_id, r.event_id) for r in state)
+
+    feed(spark, src, [("a", 2, good), ("a", 1, good), ("b", 3, good), ("c", 4, bad)], schema)
+    assert run(1) == ([(1, good), (2, good), (3, good)], [("a", 2), ("b", 3)])
+    for i in range(5, 14):  # more batches than are kept apart
+        feed(spark, src, [("a", i, good if i % 2 else bad)], schema)
+    forwarded, state = run(10)
+    assert [n for n, _ in forwarded] == [1, 2, 3, 5, 7, 9, 11, 13] and state == [("a", 13), ("b", 3)]
+
+
 def test_riders_meet_the_last_driver_before_them(spark, tmp_path):
     schema = "cell bigint, kind string, arrival bigint, driver_id string, status string, rider_id string"
     src = str(tmp_path / "src")

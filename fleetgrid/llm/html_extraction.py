@@ -14,7 +14,10 @@ Menus, page headers, footers, sidebars, notices, adverts, forms, scripts, styles
 reader comments are left out by tag, role, class or id at either pass.  A role, class, id or form
 around the main or all articles of the page, or around most of its text, is the
 layout's and drops nothing; neither do names such as has-sidebar, no-comments or
-modal-open.  When nothing is left, only tags that never hold an article are noise.
+modal-open.  Inside an article or main a name says so for certain only when it is made of clear signs
+alone, such as ad or social-share; behind any other, such as related-work, share-price or widgets, stands
+noise when the text is mostly links, or when the element's path recurs on more than half of the host's
+pages, of at least three.  When nothing is left, only tags that never hold an article are noise.
 
 Defined cases: null or empty html gives empty text; null urls and urls without
 a host vote together; a page without containers gives the text of its body; a tag that is
@@ -57,6 +60,10 @@ SIGNS = re.compile(
 CONTENT_SIGNS = re.compile(
     r"footers?|banners?|cookies?|consent|gdpr|notices?|alerts?|ads?|advert|adverts|advertisements?|advertising|sponsor|sponsored|promo|promos|promotion|"
     r"related|recommended|newsletter|subscribe|signup|login|adsense")
+# signs that leave no doubt inside an article either
+CLEAR_SIGNS = re.compile(
+    r"nav|navbar|navigation|menu|menus|breadcrumbs?|sidebars?|footers?|cookies?|consent|gdpr|ads?|advert|adverts|advertisements?|advertising|"
+    r"sponsored|adsense|newsletter|subscribe|signup|login|share|sharing|social|pagination|pager|toolbar|popup")
 MODIFIERS = frozenset("has no non not with without hide show".split())  # before a sign: the element tells of noise elsewhere
 STATES = frozenset("open opened closed enabled disabled active layout".split())  # the same as the last word of a name
 READER_SIGNS = re.compile(r"comments?|disqus|respond|replies")
@@ -82,15 +89,21 @@ def generalised(tag: str, classes: str) -> str:
     return ".".join([tag, *sorted({re.sub(r"\d+", "#", c.lower()) for c in classes.split()})])
 
 
-NAMED, CONTENT, READERS, HARD = 1, 2, 3, 4  # noise by a name that may be the layout's; by a kind of content; reader comments; whatever it holds
-SHARE = {NAMED: 0.5, CONTENT: 0.95, READERS: 2.0, HARD: 2.0}  # holding more of the page's text, an element is layout; comments may outweigh the article
+# noise by a name that may be the layout's; by a kind of content; reader comments; whatever it holds; if links or the host's pages say so
+NAMED, CONTENT, READERS, HARD, SUSPECT = 1, 2, 3, 4, 5
+HOST_PAGES = 3  # pages of a host from which on they can tell that a path recurs
+SHARE = {NAMED: 0.5, CONTENT: 0.95, READERS: 2.0, HARD: 2.0, SUSPECT: 0.5}  # holding more of the page's text, an element is layout; comments may outweigh the article
+
+
+def words_of(name: str) -> list[str]:
+    return [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
 
 
 def named_noise(names: list[str]) -> int:
     """What the classes and the id of an element say: 0, NAMED, CONTENT or READERS."""
     found = 0
     for name in names:
-        words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
+        words = words_of(name)
         if len(words) > 1 and words[-1] in STATES:
             continue
         for before, word in zip(["", *words], words, strict=False):
@@ -99,6 +112,12 @@ def named_noise(names: list[str]) -> int:
     return found
 
 
+def certain(names: list[str]) -> bool:
+    """Whether one of the names is made of signs alone, a clear one among them."""
+    split = [words_of(n) for n in names]
+    return any(all(map(SIGNS.fullmatch, words)) and any(map(CLEAR_SIGNS.fullmatch, words)) for words in split)
+
+
 def noise_of(tag: str, given: dict[str, str], inside_article: bool) -> int:
     """0, or what kind of noise an element is by its tag and attributes."""
     if tag == "form":
@@ -114,7 +133,8 @@ def noise_of(tag: str, given: dict[str, str], inside_article: bool) -> int:
     names = [*given.get("class", "").split(), *given.get("id", "").split()]
     if given.get("role", "").lower() in ROLES or not inside_article and any("header" in re.split(r"[^a-z]+", n.lower()) for n in names):
         return max(CONTENT, named_noise(names))
-    return max(named_noise(names), NAMED if given.get("aria-hidden", "").lower() == "true" else 0)
+    kind = max(named_noise(names), NAMED if given.get("aria-hidden", "").lower() == "true" else 0)
+    return SUSPECT if inside_article and kind in (NAMED, CONTENT) and named_noise(names) and not certain(names) else kind
 
 
 class Block:
@@ -125,19 +145,21 @@ class Block:
 
 
 class Element:
-    __slots__ = ("tag", "path", "parent", "noise", "article", "link", "heading", "real", "size", "mains", "articles")
+    __slots__ = ("tag", "path", "parent", "noise", "article", "link", "heading", "real", "size", "links", "mains", "articles", "spot")
 
     def __init__(self, tag: str, path: str, parent: int, up: Element | None, noise: int, article: bool, real: bool):
         self.tag, self.path, self.parent, self.noise, self.article = tag, path, parent, noise, article
         self.link = up is not None and up.link or tag == "a"
         self.heading = up is not None and up.heading or tag in HEADINGS
-        self.real, self.size, self.mains, self.articles = real, 0, 0, 0  # an article or main that no name says to be noise
+        self.real, self.size, self.links, self.mains, self.articles = real, 0, 0, 0, 0  # an article or main that no name says to be noise
+        self.spot = ""  # of a suspect, its path with its own tag and names
 
 
 class Containers:
-    """The containers of a page that are no noise, outer ones first: path, tag and the container around each."""
+    """The containers of a page that are no noise, outer ones first: path, tag and the container around each; the spots of its suspects."""
 
     def __init__(self):
+        self.spots: set[str] = set()
         self.paths: list[str] = []
         self.tags: list[str] = []
         self.parents: list[int] = []
@@ -150,9 +172,11 @@ class Containers:
         return out
 
 
-def left_out(elements: list[Element], pieces: list[tuple[str, int]]) -> list[bool]:
+def left_out(elements: list[Element], pieces: list[tuple[str, int]], recurring: frozenset[str]) -> list[bool]:
     """Whether each element is noise or lies in noise.
 
+    A suspect is noise when it is mostly links or its spot is among the recurring ones.
+
     A name or role does not count where the element holds a main, every
     article of the page, or most of its text: it then belongs to the layout.
     When nothing is left, names and roles do not count at all.
@@ -167,6 +191,7 @@ def left_out(elements: list[Element], pieces: list[tuple[str, int]]) -> list[boo
             total += size
             if at >= 0:
                 elements[at].size += size
+                elements[at].links += size if elements[at].link else 0
     for i in range(len(elements) - 1, -1, -1):
         e = elements[i]
         if hard[i]:
@@ -176,10 +201,11 @@ def left_out(elements: list[Element], pieces: list[tuple[str, int]]) -> list[boo
         e.mains, e.articles = e.mains + own[0], e.articles + own[1]
         if e.parent >= 0:
             up = elements[e.parent]
-            up.size, up.mains, up.articles = up.size + e.size, up.mains + e.mains, up.articles + e.articles
+            up.size, up.links, up.mains, up.articles = up.size + e.size, up.links + e.links, up.mains + e.mains, up.articles + e.articles
     out: list[bool] = []
     for e, h in zip(elements, hard, strict=True):
-        layout = not e.noise or e.mains or e.articles and e.articles == articles or e.size > total * SHARE.get(e.noise, 0)
+        spared = e.noise == SUSPECT and e.spot not in recurring and 2 * e.links <= e.size
+        layout = not e.noise or spared or e.mains or e.articles and e.articles == articles or e.size > total * SHARE.get(e.noise, 0)
         out.append(h or e.parent >= 0 and out[e.parent] or not layout)
     return hard if all(at >= 0 and out[at] or not text.strip() for text, at in pieces) else out
 
@@ -201,7 +227,7 @@ def tokens(page: str):
         yield min(declared), len(page), "", "", ""
 
 
-def parse(page: str | None) -> tuple[Containers, list[Block]]:
+def parse(page: str | None, recurring: frozenset[str] = frozenset()) -> tuple[Containers, list[Block]]:
     """The containers, and the blocks of text, each with the innermost container around it (-1 for none)."""
     elements: list[Element] = []
     stack: list[int] = []
@@ -266,14 +292,19 @@ def parse(page: str | None) -> tuple[Containers, list[Block]]:
             # a path is named by a hash of its steps, however deep it is
             path = hashlib.blake2b(f"{path}/{generalised(tag, given.get('class', ''))}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
         real = tag == "main" or tag == "article" and not named_noise([*given.get("class", "").split(), *given.get("id", "").split()])
-        elements.append(Element(tag, path, stack[-1] if stack else -1, up, noise_of(tag, given, article), article, real))
+        element = Element(tag, path, stack[-1] if stack else -1, up, noise_of(tag, given, article), article, real)
+        if element.noise == SUSPECT:
+            step = generalised(tag, f"{given.get('class', '')} {given.get('id', '')}")
+            element.spot = hashlib.blake2b(f"{up.path if up else ''}//{step}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
+        elements.append(element)
         stack.append(len(elements) - 1)
         opened[tag] += 1
     add(page[at:])
     flush()
 
-    noise = left_out(elements, [w for run, _ in runs for w in run])
+    noise = left_out(elements, [w for run, _ in runs for w in run], recurring)
     found, numbers = Containers(), []
+    found.spots = {e.spot for e in elements if e.spot}
     for i, e in enumerate(elements):
         around = numbers[e.parent] if e.parent >= 0 else -1
         if e.tag in CONTAINERS and not noise[i]:
@@ -321,14 +352,14 @@ def container_scores(found: Containers, blocks: list[Block]) -> dict[str, float]
     return {p: s / total for p, s in scores.items()} if total > 0 else {}
 
 
-def main_text(page: str | None, ranked: list[str]) -> str:
+def main_text(page: str | None, ranked: list[str], recurring: frozenset[str] = frozenset()) -> str:
     """The blocks around the first of the ranked paths that the page has, else around its own best container.
 
     All of the article or main around it is kept.  Without one, all of the
     outermost element below the body is, but for blocks that are mostly links and
     lie outside the path: menus without a name.
     """
-    found, blocks = parse(page)
+    found, blocks = parse(page, recurring)
     own = container_scores(found, blocks)
     chosen = next((p for p in ranked if p in own), None) or max(own, key=lambda p: (own[p], p), default=None)
     if chosen is None:
@@ -356,30 +387,44 @@ def main_text(page: str | None, ranked: list[str]) -> str:
     return "\n".join(b.text for b in blocks if kept(b))
 
 
+SCORE, SEEN, PAGE = range(3)  # kinds of votes: a container's share, the spot of a suspect, the page itself
+
+
 def host_paths(pages: DataFrame) -> DataFrame:
-    """host and its paths, best first."""
+    """host, its paths, best first, and the spots of suspects that recur on its pages."""
     def votes(batches):
         for batch in batches:
-            out = [(host, path, share) for host, page in zip(batch.host, batch.html, strict=True) for path, share in container_scores(*parse(page)).items()]
-            yield pd.DataFrame(out, columns=["host", "path", "share"])
+            out = []
+            for host, page in zip(batch.host, batch.html, strict=True):
+                found, blocks = parse(page)
+                out += [(host, SCORE, path, share) for path, share in container_scores(found, blocks).items()]
+                out += [(host, SEEN, spot, 1.0) for spot in found.spots]
+                out.append((host, PAGE, "", 1.0))
+            yield pd.DataFrame(out, columns=["host", "kind", "path", "share"])
 
     read = pages.select(host_of(F.coalesce("url", F.lit(""))).alias("host"), F.col("html").cast("string").alias("html"))
     # whole numbers add up to the same sum in any order
-    summed = read.mapInPandas(votes, "host string, path string, share double").groupBy("host", "path").agg(
-        F.sum(F.round(F.col("share") * 1_000_000).cast("long")).alias("votes"))
+    summed = materialise(read.mapInPandas(votes, "host string, kind int, path string, share double").groupBy("host", "kind", "path").agg(
+        F.sum(F.round(F.col("share") * 1_000_000).cast("long")).alias("votes")), "host-votes")
     order = Window.partitionBy("host").orderBy(F.col("votes").desc(), "path")
-    best = summed.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PATHS)
+    best = summed.filter(F.col("kind") == SCORE).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= PATHS)
     ranked = best.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("place", "path"))).alias("ranked"))
-    return materialise(ranked.select(F.col("host").alias("_host"), F.col("ranked.path").alias("ranked")), "host-paths")
+    counted = summed.filter(F.col("kind") == PAGE).select("host", F.col("votes").alias("pages"))
+    # at most twice as many of a host recur as a page of it has on average
+    recurring = summed.filter(F.col("kind") == SEEN).join(counted, "host").filter(
+        (F.col("pages") >= HOST_PAGES * 1_000_000) & (2 * F.col("votes") > F.col("pages"))).groupBy("host").agg(F.collect_list("path").alias("recurring"))
+    known = ranked.join(recurring, "host", "left")
+    return materialise(known.select(F.col("host").alias("_host"), F.col("ranked.path").alias("ranked"), F.coalesce("recurring", F.array().cast("array<string>")).alias("recurring")), "host-paths")
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every row of ``pages``."""
     def texts(batches):
         for batch in batches:
-            found = [main_text(page, list(ranked) if ranked is not None else []) for page, ranked in zip(batch.html, batch.ranked, strict=True)]
+            found = [main_text(page, list(ranked) if ranked is not None else [], frozenset(recurring) if recurring is not None else frozenset())
+                     for page, ranked, recurring in zip(batch.html, batch.ranked, batch.recurring, strict=True)]
             yield pd.DataFrame({"page_id": batch.page_id, "url": batch.url, "text": found, "n_chars": [len(t) for t in found]})
 
     rows = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", F.col("html").cast("string").alias("html"), host_of(F.coalesce("url", F.lit(""))).alias("host"))
-    joined = rows.join(host_paths(pages), F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "ranked")
+    joined = rows.join(host_paths(pages), F.col("host") == F.col("_host"), "left").select("page_id", "url", "html", "ranked", "recurring")
     return joined.mapInPandas(texts, "page_id string, url string, text string, n_chars long").withColumn("page_id", F.col("page_id").cast("long"))

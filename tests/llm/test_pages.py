@@ -158,6 +158,25 @@ def test_names_of_layout_drop_no_article():
     assert html_extraction.main_text("<body><div class=cookie-notice><p>only this</p></div></body>", []) == "only this"
 
 
+def test_names_inside_an_article_need_links_or_the_host(spark):
+    body = f"<p>Start {{0}}.</p><p>{LINES}</p>"
+    named = "<div class=related-work><p>Work of others, {0}.</p></div><p class=share-price>Price {0}.</p><ul class=widgets><li>One {0}<li>Two</ul>"
+    aside = "<aside>Aside.</aside><div class=social-share><p>Tell others.</p></div><div class='related posts'><a href=/a>Next one</a> and <a href=/b>another one</a></div>"
+    page = "<body><nav>No</nav><article>" + body + "%s" + aside + "</article></body>"
+    rest = "Start {0}.\n" + LINES.strip()
+    all_of_it = rest + "\nWork of others, {0}.\nPrice {0}.\nOne {0}\nTwo"
+    # one page alone; a host where one of six pages has these names; a host where five of six have them; a host of two pages
+    rows = [(0, "http://one/", (page % named).format(0))]
+    rows += [(10 + i, "http://few/", (page % (named if i == 0 else "")).format(i)) for i in range(6)]
+    rows += [(20 + i, "http://most/", (page % (named if i else "<p>Own.</p>")).format(i)) for i in range(6)]
+    rows += [(30 + i, "http://two/", (page % named).format(i)) for i in range(2)]
+    out = {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, PAGE_SCHEMA)).collect()}
+    assert out[0] == all_of_it.format(0) and out[10] == all_of_it.format(0)
+    assert [out[i] for i in range(11, 16)] == [rest.format(i) for i in range(1, 6)]
+    assert out[20] == rest.format(0) + "\nOwn." and [out[20 + i] for i in range(1, 6)] == [rest.format(i) for i in range(1, 6)]
+    assert [out[30 + i] for i in range(2)] == [all_of_it.format(i) for i in range(2)]
+
+
 def test_a_host_outvotes_a_single_page(spark):
     usual = '<div class="story"><p>{0}, one, two, three, four.</p><p>{0}, five.</p></div><div class="more"><p>{0}.</p></div>'
     odd = '<div class="story"><p>Short.</p></div><div class="more"><p>' + "long, long, long, " * 20 + "</p><p>and more, more</p></div>"

@@ -5,7 +5,9 @@ keeps the bits that were set at least twice: the filter of hashes that *may*
 occur again.  Pass two probes every row.  Only rows whose bits are all kept
 are shuffled and grouped by their full SHA-256; all others are unique for
 certain and pass straight through.  The filter never misses a repeat, so the
-result is exact; a wrong hit only costs one more shuffled row.
+result is exact; a wrong hit only costs one more shuffled row.  To learn which
+bits are set twice, pass one exchanges two pairs of small numbers for each row,
+(block, bit), counted within a task first; no text and no digest travels there.
 
 The filter has at least 16 bits a row in blocks of 32,768 bits.  It is
 broadcast only while it is smaller than ``BROADCAST_BYTES``; a larger one is

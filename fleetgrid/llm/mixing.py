@@ -80,12 +80,22 @@ def cuts(keyed: DataFrame, epochs: DataFrame, rows: int) -> DataFrame:
     bits = min(KEY_BITS, max(0, math.ceil(math.log2(max(1, rows / BUCKET_ROWS)))))
     bucket = F.shiftright(F.conv(F.substring("key", 1, KEY_BITS // 4), 16, 10).cast("long"), KEY_BITS - bits)
     placed = keyed.withColumn("bucket", bucket)
-    so_far = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    sums = placed.groupBy("source", "bucket").agg(F.sum("size").alias("words")).withColumn("after", F.sum("words").over(so_far))
-    asked = epochs.select(F.col("source").alias("_source"), "quota")
     same = F.col("source").eqNullSafe(F.col("_source"))
-    held = sums.join(asked, same).filter((F.col("after") - F.col("words") < F.col("quota")) & (F.col("quota") <= F.col("after")))
-    held = held.select("_source", F.col("bucket").alias("_bucket"), (F.col("after") - F.col("words")).alias("base"), "quota")
+
+    def holding(sums: DataFrame, at: str, asked: DataFrame) -> DataFrame:
+        """_source, the one value of ``at`` that holds the quota, the words before it as base, and quota."""
+        so_far = Window.partitionBy("source").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+        upto = sums.withColumn("after", F.sum("words").over(so_far)).join(asked, same)
+        after = F.col("base") + F.col("after")
+        return upto.filter((after - F.col("words") < F.col("quota")) & (F.col("quota") <= after)).select(
+            "_source", F.col(at).alias(f"_{at}"), (after - F.col("words")).alias("base"), "quota")
+
+    # two levels, so that a window over a source has the square root of its buckets
+    sums = materialise(placed.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "sums").withColumn("stretch", F.shiftright("bucket", bits // 2))
+    asked = epochs.select(F.col("source").alias("_source"), F.lit(0).cast("long").alias("base"), "quota")
+    stretch = holding(sums.groupBy("source", "stretch").agg(F.sum("words").alias("words")), "stretch", asked)
+    near = sums.join(stretch.select("_source", "_stretch"), same & (F.col("stretch") == F.col("_stretch")), "left_semi")
+    held = holding(near, "bucket", stretch.select("_source", "base", "quota"))
     inside = placed.join(held, same & (F.col("bucket") == F.col("_bucket")))
     tied = inside.groupBy("source", "key", "size", "base", "quota").agg(F.count("*").alias("rows"))
     order = Window.partitionBy("source").orderBy("key", "size").rowsBetween(Window.unboundedPreceding, 0)

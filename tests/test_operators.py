@@ -134,6 +134,33 @@ def test_nearest_equals_brute_force(spark, monkeypatch, leaf, few, seed):
     assert all(found[k] == want[k] for k in want)
 
 
+def test_nearest_compares_few_drivers_however_dense_a_cell_is(spark, monkeypatch):
+    rng = random.Random(4)
+    place = lambda: (40.7 + rng.uniform(0, 0.002), -74.0 + rng.uniform(0, 0.002))
+    drivers = spark.createDataFrame([(f"d{i}", *place()) for i in range(12000)], "driver_id string, lat double, lon double")
+    riders = spark.createDataFrame([(f"r{i}", *place()) for i in range(300)], "rider_id string, lat double, lon double")
+    pairs, written, closest, materialise = [], [], nearest._closest, nearest.materialise
+    monkeypatch.setattr(nearest, "_closest", lambda df: pairs.append(df.count()) or closest(df))
+    monkeypatch.setattr(nearest, "materialise", lambda df, label: written.append(df.count() * (label == "frontier")) or materialise(df, label))
+    got = {r.rider_id: (r.driver_id, r.distance_km) for r in nearest.match_nearest(riders, drivers, 9, 2).collect()}
+    assert got == {r.rider_id: (r.driver_id, r.km) for r in brute_nearest(riders, drivers, 9, 2).collect()} and len(got) == 300
+    assert sum(pairs) < 300 * 128 and sum(written) < 300 * 2, (pairs, written)
+
+
+def test_nearest_where_drivers_crowd_a_corner_of_a_cell(spark):
+    """A few spots of a cell hold nearly all of its drivers; riders stand among them and far from them."""
+    rng = random.Random(5)
+    tight = lambda: (40.7003 + rng.gauss(0, 2e-6), -74.0 + rng.gauss(0, 2e-6))
+    wide = lambda: (40.7 + rng.uniform(-0.004, 0.004), -74.0 + rng.uniform(-0.004, 0.004))
+    drivers = [(f"d{i}", *(tight() if i % 20 else wide())) for i in range(3000)]
+    drivers += [("again", *drivers[7][1:]), (None, *wide()), ("nowhere", None, -74.0)]
+    riders = [(f"r{i}", *(tight() if i % 3 else wide())) for i in range(200)] + [("none", None, None), ("far", 10.0, 10.0)]
+    drivers = spark.createDataFrame(drivers, "driver_id string, lat double, lon double")
+    riders = spark.createDataFrame(riders, "rider_id string, lat double, lon double")
+    got = {r.rider_id: (r.driver_id, r.distance_km) for r in nearest.match_nearest(riders, drivers, 9, 2, leaf_positions=16).collect()}
+    assert got == {r.rider_id: (r.driver_id, r.km) for r in brute_nearest(riders, drivers, 9, 2).collect()} and len(got) == 200
+
+
 @pytest.mark.parametrize("leaf,few", [(4, 0), (100000, 16)])
 def test_nearest_across_the_antimeridian(spark, monkeypatch, leaf, few):
     monkeypatch.setattr(nearest, "FEW", few)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scalar import ColumnLike, col, shift_left, spread
+from .scalar import ColumnLike, col, deal, shift_left, spread
 
 # Fixed values of the published H3 layout.
 BASE_CELLS = 122
@@ -56,19 +56,28 @@ def _unused_digits(resolution: Column) -> Column:
     return shift_left(F.lit(1).cast("bigint"), F.lit(45) - resolution * 3) - F.lit(1)
 
 
-def h3_is_valid(cell: ColumnLike) -> Column:
-    c = col(cell)
-    unused = _unused_digits(cell_resolution(c))
+def _header_and_digits_ok(cell: Column) -> Column:
+    """All of the layout but for the subsequences deleted below a pentagon."""
+    unused = _unused_digits(cell_resolution(cell))
     # a digit is 7 exactly when its three bits are all set
-    sevens = (c.bitwiseAND(F.shiftright(c, 1)).bitwiseAND(F.shiftright(c, 2))
+    sevens = (cell.bitwiseAND(F.shiftright(cell, 1)).bitwiseAND(F.shiftright(cell, 2))
               .bitwiseAND(F.lit(ONE_PER_DIGIT)))
     digits_ok = sevens == unused.bitwiseAND(F.lit(ONE_PER_DIGIT))
+    header_ok = ((cell > 0) & (cell_mode(cell) == CELL_MODE)
+                 & (F.shiftright(cell, 56).bitwiseAND(F.lit(7)) == 0) & (base_cell(cell) < BASE_CELLS))
+    return header_ok & digits_ok
+
+
+def _deleted(cell: Column) -> Column:
+    """Whether the cell lies in the subsequence that a pentagon has lost."""
     # written in base 8 without leading zeros, the digits start with the first non-zero one
-    leading = F.substring(F.conv(c.bitwiseAND(F.lit(DIGIT_BITS)).cast("string"), 10, 8), 1, 1)
-    deleted = base_cell(c).isin(PENTAGON_BASE_CELLS) & (leading == "1")
-    header_ok = ((c > 0) & (cell_mode(c) == CELL_MODE)
-                 & (F.shiftright(c, 56).bitwiseAND(F.lit(7)) == 0) & (base_cell(c) < BASE_CELLS))
-    return F.coalesce(header_ok & digits_ok & ~deleted, F.lit(False))
+    leading = F.substring(F.conv(cell.bitwiseAND(F.lit(DIGIT_BITS)).cast("string"), 10, 8), 1, 1)
+    return base_cell(cell).isin(PENTAGON_BASE_CELLS) & (leading == "1")
+
+
+def h3_is_valid(cell: ColumnLike) -> Column:
+    c = col(cell)
+    return F.coalesce(_header_and_digits_ok(c) & ~_deleted(c), F.lit(False))
 
 
 def h3_parent(cell: ColumnLike, resolution: int) -> Column:
@@ -84,18 +93,29 @@ def h3_children(df: DataFrame, resolution: int | None = None, levels: int | None
     """One row per descendant (7 per level, fewer below a pentagon).
 
     Descendants are taken at a fixed ``resolution`` or ``levels`` below each cell.
+    What all descendants of a cell share is judged once, and rows are dealt out before they multiply;
+    of a descendant only its number is looked at.
     """
     c, own = F.col(cell), cell_resolution(F.col(cell)).cast("int")
     target = F.lit(resolution) if levels is None else own + levels
     most = resolution if levels is None else levels
-    numbered = df.withColumn("__target", target).filter((F.col("__target") >= own) & (F.col("__target") <= MAX_RESOLUTION)).withColumn(
-        "__k", F.lit(0).cast("bigint"))
+    kept = c.bitwiseAND(F.lit(~(15 << 52))).bitwiseAND(F.bitwise_not(_unused_digits(own)))
+    first = (kept.bitwiseOR(shift_left(F.col("__target").cast("bigint"), F.lit(52)))
+             .bitwiseOR(_unused_digits(F.col("__target"))))
+    # below a pentagon itself, or its middle descendants, some descendants are missing
+    middle = base_cell(kept).isin(PENTAGON_BASE_CELLS) & (kept.bitwiseAND(F.lit(DIGIT_BITS)) == 0)
+    numbered = df.withColumn("__target", target).filter((F.col("__target") >= own) & (F.col("__target") <= MAX_RESOLUTION)).withColumns({
+        "__first": first, "__middle": middle, "__k": F.lit(0).cast("bigint")})
+    # the filling ones of the unused digits would lead where there are no others, so the middle is asked first
+    numbered = numbered.filter(_header_and_digits_ok(F.col("__first")) & (F.col("__middle") | ~_deleted(F.col("__first"))))
+    if most:
+        numbered = deal(numbered)
     # descendants are a range of numbers, opened a few levels at a time
     for below in reversed(range(0, max(most, 1), LEVELS_AT_ONCE)):
         levels_now = F.least(F.greatest(F.col("__target") - own - below, F.lit(0)), F.lit(LEVELS_AT_ONCE))
         width = F.round(F.pow(F.lit(7.0), levels_now)).cast("bigint")
-        numbered = numbered.withColumn("__k", F.explode(F.transform(
-            F.sequence(F.lit(0).cast("bigint"), width - 1), lambda d: F.col("__k") * width + d)))
+        numbered = numbered.withColumns({"__low": F.col("__k") * width, "__high": F.col("__k") * width + width - 1}).withColumn(
+            "__k", F.explode(F.sequence("__low", "__high")))
         if below:
             numbered = spread(numbered, cell, "__k")
     # the child number in base 7 gives the new digits, finest last
@@ -103,8 +123,10 @@ def h3_children(df: DataFrame, resolution: int | None = None, levels: int | None
     for place in range(most):
         digit = F.pmod(F.floor(F.col("__k") / F.lit(float(7**place))), F.lit(7))
         digits = digits.bitwiseOR(F.shiftleft(digit.cast("bigint"), 3 * place))
-    kept = c.bitwiseAND(F.lit(~(15 << 52))).bitwiseAND(F.bitwise_not(_unused_digits(own)))
-    child = (kept.bitwiseOR(shift_left(F.col("__target").cast("bigint"), F.lit(52)))
-             .bitwiseOR(shift_left(digits, F.lit(45) - F.col("__target") * 3))
-             .bitwiseOR(_unused_digits(F.col("__target"))))
-    return numbered.withColumn(out, child).filter(h3_is_valid(out)).drop("__k", "__target")
+    child = F.col("__first").bitwiseOR(shift_left(digits, F.lit(45) - F.col("__target") * 3))
+    # a number leads with the digit 1 from a power of 7 up to twice that power
+    missing = F.lit(False)
+    for place in range(most):
+        missing = missing | F.col("__k").between(7**place, 2 * 7**place - 1)
+    return numbered.filter(~(F.col("__middle") & missing)).withColumn(out, child).drop(
+        "__k", "__target", "__first", "__middle", "__low", "__high")

@@ -53,6 +53,18 @@ def test_children(spark):
     assert bits.h3_children(five, 2).count() == 41
 
 
+def test_children_of_one_partition_are_made_by_many_tasks(spark):
+    """Rows are dealt out before they multiply, and what is no valid cell has no children, at a pentagon or not."""
+    hexagon, five, seven = (int(t, 16) for t in ("872a1072bffffff", "8009fffffffffff", "872a1071fffffff"))
+    cells = spark.createDataFrame([(hexagon,)] * 8 + [(five,), (five + (1 << 56),), (seven,), (0,), (None,)], "cell bigint").coalesce(1)
+    for levels in (1, 2, 3):
+        opened = bits.h3_children(cells, levels=levels)
+        assert opened.rdd.getNumPartitions() > 1
+        counts = {r.cell: r["count"] for r in opened.filter(bits.h3_is_valid("child")).groupBy("cell").count().collect()}
+        assert counts == {hexagon: 8 * 7**levels, five: 1 + 5 * (7**levels - 1) // 6}
+        assert opened.count() == sum(counts.values())
+
+
 @pytest.fixture(scope="module")
 def points(spark):
     rng = random.Random(3)

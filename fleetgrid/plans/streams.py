@@ -20,20 +20,20 @@ from .cells import _VALID
 from .registry import query
 
 
-SLICES = 4  # files that every stream takes in one by one
+SLICES = 4  # parts of the table that every stream takes in one by one
 
 
 def event_stream(spark, d, order="event_id"):
-    """The events as a stream of several files in the order of ``order``, one in each micro-batch."""
+    """The events as a stream of several slices in the order of ``order``, one in each micro-batch."""
     events = I.table(spark, d, "events")
     rows = events if order in events.columns else events.withColumn(order, epoch_millis("ts"))
     path = scratch_path(spark, "intake")
-    write_slices(rows, path, order, SLICES)
-    return read_table_stream(spark, path, "part-", rows.schema, 1)
+    files = write_slices(rows, path, order, SLICES)
+    return read_table_stream(spark, path, "part-", rows.schema, files)
 
 
 def _slice_sql(order="event_id", rows="events"):
-    """SQL of the number of the file that a row lies in."""
+    """SQL of the number of the slice that a row lies in."""
     return f"CAST(floor(({order} - (SELECT min({order}) FROM {rows})) * {SLICES} / ((SELECT max({order}) - min({order}) + 1 FROM {rows}))) AS BIGINT)"
 
 
@@ -80,7 +80,7 @@ def _by_time(spark, d):
     return I.ping_columns(event_stream(spark, d, "ts_ms")).select("driver_id", F.col("event_id").alias("arrival"), "ts_ms")
 
 
-# After the files comes one more batch, with the watermark that they leave behind.
+# After the slices comes one more batch, with the watermark that they leave behind.
 @query("stream_live_state", f"""SELECT CAST(b.batch AS INTEGER) AS batch, driver_id, max(ts_ms) AS last_ms
   FROM (SELECT unnest(range({SLICES + 1})) AS batch) b JOIN {_BY_TIME} r ON r.slice <= b.batch
   GROUP BY b.batch, driver_id HAVING max(ts_ms) + {TTL_MS} + 1 >= coalesce((SELECT max(ts_ms) FROM {_BY_TIME} e WHERE e.slice < b.batch), 0)""")
@@ -95,7 +95,7 @@ def stream_live_state(spark, d):
 @query("stream_intake_per_batch", f"""SELECT {_slice_sql()} AS batch, count(*) AS records, min(event_id) AS first_event, max(event_id) AS last_event
   FROM events GROUP BY 1""")
 def stream_intake_per_batch(spark, d):
-    """What each micro-batch takes in where a trigger reads one file."""
+    """What each micro-batch takes in where a trigger reads one slice."""
     taken = ping_stream(spark, d).select("event_id")
     base = scratch_path(spark, "intake-batches")
 

@@ -58,18 +58,37 @@ def read_table_stream(spark: SparkSession, folder: str, name: str, schema: T.Str
     return reader.parquet(folder)
 
 
-def write_slices(df: DataFrame, path: str, order: str, slices: int) -> None:
-    """Writes a table as files that follow ``order`` (a whole number), one after the other: what a stream with ``max_per_trigger=1`` takes in turn.
+SLICE_FILE_ROWS = 100_000  # of the largest slice in one file
 
-    Each file is one micro-batch's intake, so one task writes it; take more slices of larger tables.
+
+def write_slices(df: DataFrame, path: str, order: str, slices: int, file_rows: int = SLICE_FILE_ROWS) -> int:
+    """Writes a table as slices that follow ``order`` (a whole number), one after the other, and returns the number of files of a slice.
+
+    Every slice has that many files, which is what a stream takes in turn with it as
+    ``max_per_trigger``; they grow in number with the table and not in length, so
+    a slice is written and read by many tasks.
     """
     low, high = df.agg(F.min(order), F.max(order)).first()
     if low is None:
-        df.write.mode("append").parquet(path)
-        return
+        df.coalesce(1).write.mode("append").parquet(path)
+        return 1
     number = F.floor((F.col(order) - low) * slices / (high - low + 1))
+    # one row for each slice
+    sizes = {r.number: r.n for r in df.groupBy(number.alias("number")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    files = max(1, -(-max(n for i, n in sizes.items() if i is not None) // file_rows))
     for i in range(slices):
-        df.filter(number == i).coalesce(1).write.mode("append").parquet(path)
+        rows = df.filter(number == i)
+        (rows.coalesce(1) if files == 1 else rows.repartition(files)).write.mode("append").parquet(path)
+        # a task without rows leaves no file: a short slice is filled up with empty ones
+        for _ in range((i + 1) * files - _count_files(df.sparkSession, path)):
+            df.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return files
+
+
+def _count_files(spark: SparkSession, path: str) -> int:
+    """Data files of a written folder."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/part-*")
+    return len(pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern))
 
 
 def union_topics(topics: dict[str, DataFrame]) -> DataFrame:

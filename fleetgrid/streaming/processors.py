@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -16,10 +17,19 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 DEDUP_WINDOW_MS = 10_000
 
 
-def _in_order(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+def _together(batches: Iterator[pd.DataFrame]) -> pd.DataFrame:
     frames = list(batches)
-    rows = pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
-    return rows.sort_values(order, kind="stable", ignore_index=True)
+    return pd.concat(frames, ignore_index=True) if len(frames) > 1 else frames[0]
+
+
+def _whole(rows: pd.DataFrame, columns: list[str]) -> list[np.ndarray] | None:
+    """The columns as 64-bit numbers; None where one of them has nulls or is no such number."""
+    values = [rows[c].to_numpy() for c in columns]
+    return values if all(v.dtype.kind == "i" for v in values) else None
+
+
+def _in_order(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    return _together(batches).sort_values(order, kind="stable", ignore_index=True)
 
 
 class DropRepeats(StatefulProcessor):
@@ -40,20 +50,38 @@ class DropRepeats(StatefulProcessor):
         self.last = handle.getValueState("last", schema)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows, self.order)
+        batch = _together(rows)
         stored = self.last.get() if self.last.exists() else None
-        # nullable whole numbers: nothing passes through floating point on the way
+        before = stored[0] if stored is not None else None
+        clock = self.clock if self.clock or self.ttl_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        whole = _whole(batch, [self.ts, *self.order, *([self.clock] if self.clock else [])])
+        kept, last = self._fresh(whole, before, clock) if whole else self._fresh_with_nulls(batch, before, clock)
+        self._store(last, stored[1] if stored is not None else None, timerValues)
+        yield batch.take(kept)[self.columns]
+
+    def _fresh(self, whole: list[np.ndarray], before: int | None, clock) -> tuple[np.ndarray, int]:
+        """Positions of the rows that pass, in order, and the last timestamp: plain numbers, since most keys have few rows."""
+        place = np.lexsort(whole[len(self.order):0:-1])
+        now = whole[0][place]
+        repeated = np.empty(len(now), bool)
+        repeated[0] = before is not None and now[0] == before
+        np.equal(now[1:], now[:-1], out=repeated[1:])
+        if self.ttl_ms is not None:
+            repeated &= now >= (whole[-1][place] if self.clock else clock) - self.ttl_ms
+        return place[~repeated], int(now[-1])
+
+    def _fresh_with_nulls(self, batch: pd.DataFrame, before: int | None, clock) -> tuple[np.ndarray, int | None]:
+        """The same with nullable whole numbers: nothing passes through floating point on the way."""
+        batch = batch.reset_index(drop=True).sort_values(self.order, kind="stable")
         now = batch[self.ts].astype("Int64")
-        before = now.shift(1)
-        if stored is not None and stored[0] is not None:
-            before.iloc[0] = stored[0]
-        repeated = (before == now).fillna(False)
+        previous = now.shift(1)
+        if before is not None:
+            previous.iloc[0] = before
+        repeated = (previous == now).fillna(False)
         if self.ttl_ms is not None:
-            clock = batch[self.clock].astype("Int64") if self.clock else timerValues.getCurrentProcessingTimeInMs()
-            repeated &= (now >= clock - self.ttl_ms).fillna(False)
+            repeated &= (now >= (batch[self.clock].astype("Int64") if self.clock else clock) - self.ttl_ms).fillna(False)
         last = now.iloc[-1]
-        self._store(None if pd.isna(last) else int(last), stored[1] if stored is not None else None, timerValues)
-        yield batch.loc[~repeated.astype(bool), self.columns]
+        return batch.index.to_numpy()[~repeated.astype(bool).to_numpy()], None if pd.isna(last) else int(last)
 
     def _store(self, last: int | None, old: int | None, timerValues) -> None:
         due = last + self.ttl_ms + 1 if self.evict and last is not None else None

@@ -1,9 +1,11 @@
 """Streams fed file by file, compared with the rule and with a restart in between."""
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from fleetgrid.streaming import jobs, processors
-from fleetgrid.sources.readers import read_pings
+from fleetgrid.sources.readers import read_pings, read_table_stream, write_slices
 from fleetgrid.sources.writers import start, write_matches
 
 PING = "driver_id string, event_id bigint, ts_ms bigint"
@@ -48,6 +50,32 @@ def test_dedup_in_batches_across_a_restart(spark, tmp_path):
     assert run() == [("a", 1), ("b", 3), ("a", 5), ("a", 7), ("c", 8)]
 
 
+def test_a_slice_of_many_files_is_one_batch(spark, tmp_path):
+    path, base = str(tmp_path / "in"), str(tmp_path / "base")
+    # the third slice has one row only, and the fourth none but the last
+    rows = spark.range(1, 2001).union(spark.createDataFrame([(2500,), (4000,)], "id long")).coalesce(1)
+    files = write_slices(rows, path, "id", 4, file_rows=150)
+    assert files == 7 and len(list((tmp_path / "in").glob("part-*.parquet"))) == 4 * files
+    taken = read_table_stream(spark, path, "part-", rows.schema, files)
+    start(taken.writeStream.foreachBatch(lambda df, n: df.write.parquet(f"{base}/batch={n}")), f"{base}-progress").awaitTermination()
+    seen = spark.read.parquet(base).groupBy("batch").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
+    assert sorted(map(tuple, seen.collect())) == [(0, 1000, 1, 1000), (1, 1000, 1001, 2000), (2, 1, 2500, 2500), (3, 1, 4000, 4000)]
+
+
+def test_plain_and_nullable_numbers_drop_the_same_repeats():
+    rng = np.random.default_rng(6)
+    for n in (1, 2, 7, 300):
+        rows = pd.DataFrame({"ts": rng.integers(0, 4, n), "event_id": rng.integers(0, n, n), "copy": rng.integers(0, 2, n), "clock": rng.integers(0, 6, n)})
+        for ttl, clock in ((None, None), (2, "clock"), (2, 4)):
+            for before in (None, 1):
+                p = processors.DropRepeats("ts", ["event_id", "copy"], ttl, clock if isinstance(clock, str) else None, False, list(rows))
+                whole = processors._whole(rows, ["ts", "event_id", "copy", *(["clock"] if clock == "clock" else [])])
+                fast, last = p._fresh(whole, before, clock)
+                slow, end = p._fresh_with_nulls(rows, before, clock)
+                assert fast.tolist() == slow.tolist() and last == end
+    assert processors._whole(pd.DataFrame({"ts": [1.0, None]}), ["ts"]) is None
+
+
 def test_both_outcomes_from_one_query_across_a_restart(spark, tmp_path):
     src, base = str(tmp_path / "src"), str(tmp_path / "base")
     schema, good, bad = "driver_id string, event_id bigint, cell bigint", 0x892A1072B43FFFF, 5

@@ -391,3 +391,36 @@ def test_sketches_never_differ_more_than_sets():
         b = np.unique(np.concatenate((a[rng.random(len(a)) < 0.9], rng.integers(0, 2**63, 20, dtype=np.uint64))))
         differ = sum(int(x).bit_count() for x in (minhash.parities(a) ^ minhash.parities(b)).view(np.uint64))
         assert differ <= len(np.setxor1d(a, b)) and differ % 2 == len(np.setxor1d(a, b)) % 2
+
+
+def sent(df):
+    """The lines of the plan below each broadcast."""
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = [re.search(r"\w|\*", x + "x").start() for x in lines]
+    for i, x in enumerate(lines):
+        if "BroadcastExchange" in x:
+            yield [lines[j] for j in range(i + 1, next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines)))]
+
+
+def test_hits_of_the_benchmark_never_travel(spark, monkeypatch):
+    """Files of hits are a small part of their rows in memory, so no join may send them whole by the size of the files."""
+    item = "Tom has 3 red apples and Mary gives him 4 more so how many apples does he have now"
+    docs = spark.createDataFrame([(i, f"{i} said {item.replace('Tom', n)} and so on") for i, n in enumerate(["Tom", "Ann", "Bob"] * 20)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item), (2, "A quite different question about the many rivers of the old world")], "item_id long, text string")
+    limit, length = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "500")
+    try:
+        out = decontamination.leaks(docs, bench)
+        below = list(sent(out))
+        assert below and all("items-" in "".join(x) and "hits-" not in "".join(x) for x in below)
+        want = plain(out, *out.columns)
+        assert len(want) == 60
+        # a benchmark too large to send does not travel either, whatever its files hold
+        monkeypatch.setattr(decontamination, "MOST_SENT", 0)
+        out = decontamination.leaks(docs, bench)
+        assert not list(sent(out))
+        assert plain(out, *out.columns) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        spark.conf.set("spark.sql.maxMetadataStringLength", length)
